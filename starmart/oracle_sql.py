@@ -322,3 +322,133 @@ ORACLE["dim_location"] = with_star("SELECT * FROM dim_localizacao")
 ORACLE["dim_offence"] = with_star("SELECT * FROM dim_infracao")
 ORACLE["dim_offender"] = with_star("SELECT * FROM dim_infrator")
 ORACLE["fact_sql"] = with_star("SELECT * FROM fato_multa")
+
+
+# ---------------------------------------------------------------------------
+# Exact rounding helpers (same integer formula as functions.rounding)
+# ---------------------------------------------------------------------------
+def rr(num: str, den: str, scale: int = 2) -> str:
+    """round(num/den, scale) half away from zero, as DECIMAL(20, scale); NULL for a 0/NULL denominator."""
+    f = 10**scale
+    unit = "0." + "0" * (scale - 1) + "1" if scale > 0 else "1"
+    core = f"sign({num}) * sign({den}) * ((abs({num}) * {2 * f} + abs({den})) // (2 * abs({den})))"
+    return (
+        f"(CASE WHEN ({den}) IS NULL OR ({den}) = 0 OR ({num}) IS NULL THEN NULL "
+        f"ELSE CAST(CAST({core} AS DECIMAL(20,0)) * {unit} AS DECIMAL(20,{scale})) END)"
+    )
+
+
+def cents(x: str) -> str:
+    return f"CAST(({x}) * 100 AS BIGINT)"
+
+
+def mean2(x: str, cond: str | None = None) -> str:
+    v = x if cond is None else f"CASE WHEN {cond} THEN {x} END"
+    return rr(f"SUM({cents(v)})", f"(COUNT({v}) * 100)", 2)
+
+
+FT = "fato_multa f JOIN dim_tempo t ON t.id_tempo_sk = f.id_tempo_sk"
+FL = "JOIN dim_localizacao l ON l.id_localizacao_sk = f.id_localizacao_sk"
+FV = "fato_multa f JOIN dim_infrator v ON v.id_infrator_sk = f.id_infrator_sk"
+FI = "fato_multa f JOIN dim_infracao i ON i.id_infracao_sk = f.id_infracao_sk"
+
+Q1_G = f"""q1g AS (
+  SELECT t.ano, l.uf_infracao, COUNT(*) AS total_autos, CAST(SUM(f.qtd_infracoes) AS BIGINT) AS total_infracoes
+  FROM {FT} {FL}
+  WHERE l.uf_infracao NOT IN {lst(V.REPORT_EXCLUDED_STATES)}
+  GROUP BY t.ano, l.uf_infracao
+), q1w AS (
+  SELECT *, LAG(total_infracoes) OVER (PARTITION BY uf_infracao ORDER BY ano) AS prev FROM q1g
+), q1 AS (
+  SELECT ano, {region_case('uf_infracao', V.NOT_IDENTIFIED)} AS regiao, uf_infracao, total_autos, total_infracoes,
+    {rr('(total_infracoes - prev) * 100', 'prev', 2)} AS variacao_pct_ano_anterior
+  FROM q1w
+)"""
+
+def _star_with(ctes: str, select: str) -> str:
+    return f"WITH {FINES_RAW_CTE},{PREPARED_SQL_CTE},{STAR_CTE},\n{ctes}\n{select}"
+
+
+ORACLE["report_q1"] = _star_with(Q1_G, "SELECT * FROM q1")
+_YEARS = sorted(V.MOVABLE_HOLIDAYS)
+_pivot = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _YEARS)
+ORACLE["report_q1b"] = _star_with(
+    Q1_G + f""", q1p AS (SELECT regiao, {_pivot} FROM q1 GROUP BY regiao)""",
+    f'SELECT *, {rr(f"""("{_YEARS[-1]}" - "{_YEARS[0]}") * 100""", f'"{_YEARS[0]}"', 1)} '
+    f"AS var_{str(_YEARS[0])[-2:]}_{str(_YEARS[-1])[-2:]}_pct FROM q1p",
+)
+_pos = "CASE regiao " + " ".join(f"WHEN {q(r)} THEN {i + 1}" for i, r in enumerate(V.STACK_ORDER)) + " ELSE 0 END"
+ORACLE["report_q1c"] = _star_with(
+    Q1_G
+    + f""", q1r AS (SELECT ano, regiao, CAST(SUM(total_infracoes) AS BIGINT) AS total_infracoes, {_pos} AS pos
+             FROM q1 GROUP BY ano, regiao),
+q1s AS (SELECT ano, regiao, total_infracoes,
+          CAST(coalesce(SUM(total_infracoes) OVER (PARTITION BY ano ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base
+        FROM q1r WHERE pos > 0)""",
+    "SELECT ano, regiao, CAST(total_infracoes AS DOUBLE) / 1000000.0 AS total_infracoes_m, CAST(base AS DOUBLE) / 1000000.0 AS base_m FROM q1s",
+)
+
+Q2_G = f"""q2 AS (
+  SELECT v.descricao_especie_veiculo AS especie_veiculo, v.descricao_tipo_veiculo AS tipo_veiculo,
+    v.indicador_veiculo_estrangeiro AS estrangeiro, COUNT(*) AS total_infracoes,
+    {mean2('f.excesso_verificado')} AS media_excesso_kmh,
+    CAST(MAX(f.excesso_verificado) AS DECIMAL(10,2)) AS maior_excesso_kmh
+  FROM {FV}
+  WHERE f.excesso_verificado > {V.EXCESS_RANGE[0]} AND f.excesso_verificado <= {V.EXCESS_RANGE[1]}
+    AND v.descricao_especie_veiculo NOT IN {lst(V.REPORT_EXCLUDED_LABELS)}
+    AND v.descricao_tipo_veiculo NOT IN {lst(V.REPORT_EXCLUDED_LABELS)}
+  GROUP BY 1, 2, 3
+  HAVING COUNT(*) >= {V.MIN_GROUP_ROWS}
+)"""
+ORACLE["report_q2"] = _star_with(Q2_G, "SELECT * FROM q2")
+_fcol = "CASE estrangeiro " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in V.FOREIGN_COLOURS.items()) + f" ELSE {q(V.DEFAULT_COLOUR)} END"
+ORACLE["report_q2b"] = _star_with(
+    Q2_G,
+    f"SELECT *, especie_veiculo || ' / ' || tipo_veiculo AS label, {_fcol} AS cor FROM q2 "
+    "ORDER BY media_excesso_kmh DESC NULLS LAST, especie_veiculo, tipo_veiculo, estrangeiro LIMIT 15",
+)
+ORACLE["report_q3"] = _star_with(
+    "q3 AS (SELECT 1)",
+    f"SELECT v.descricao_especie_veiculo, v.descricao_tipo_veiculo, f.excesso_verificado AS excesso_kmh FROM {FV} "
+    f"WHERE f.excesso_verificado > {V.OUTLIER_EXCESS} "
+    "ORDER BY excesso_kmh DESC, v.descricao_especie_veiculo, v.descricao_tipo_veiculo LIMIT 20",
+)
+Q4_G = f"""q4 AS (
+  SELECT i.codigo_infracao, i.descricao_infracao, COUNT(*) AS total_autuacoes,
+    {mean2('f.excesso_verificado', 'f.excesso_verificado <> 0')} AS media_excesso_kmh,
+    CAST(MAX(f.excesso_verificado) AS DECIMAL(10,2)) AS maior_excesso_kmh
+  FROM {FI}
+  GROUP BY 1, 2
+)"""
+ORACLE["report_q4"] = _star_with(Q4_G, "SELECT * FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 20")
+ORACLE["report_q4b"] = _star_with(
+    Q4_G,
+    f"SELECT codigo_infracao, '[' || CAST(codigo_infracao AS VARCHAR) || '] ' || substr(descricao_infracao, 1, {V.LABEL_PREFIX_CHARS}) || '...' AS label, "
+    "total_autuacoes FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 10",
+)
+ORACLE["report_q5"] = _star_with(
+    "q5 AS (SELECT 1)",
+    f"SELECT t.is_feriado, t.dia_semana, COUNT(f.numero_auto) AS total_multas, {mean2('f.excesso_verificado')} AS media_excesso_velocidade_kmh "
+    f"FROM {FT} JOIN dim_infracao i ON i.id_infracao_sk = f.id_infracao_sk GROUP BY 1, 2",
+)
+ORACLE["report_q6"] = _star_with(
+    f"""q6 AS (SELECT l.uf_infracao, t.ano, t.trimestre, COUNT(f.numero_auto) AS total_multas FROM {FT} {FL} GROUP BY 1, 2, 3)""",
+    "SELECT *, total_multas - LAG(total_multas) OVER (PARTITION BY uf_infracao ORDER BY ano, trimestre) AS variacao_trimestre_anterior FROM q6",
+)
+ORACLE["report_q7"] = _star_with(
+    f"""q7 AS (SELECT v.descricao_especie_veiculo, v.descricao_tipo_veiculo, v.indicador_abordagem, v.indicador_veiculo_estrangeiro,
+            COUNT(f.numero_auto) AS total_multas FROM {FV} GROUP BY 1, 2, 3, 4)""",
+    f"SELECT *, {rr('total_multas * 100', '(SELECT SUM(total_multas) FROM q7)', 2)} AS pct_do_total FROM q7",
+)
+ORACLE["report_q8"] = _star_with(
+    f"""q8 AS (SELECT i.codigo_infracao, i.descricao_infracao, i.enquadramento_infracao, COUNT(f.numero_auto) AS total_multas
+            FROM {FI} GROUP BY 1, 2, 3)""",
+    f"SELECT *, {rr('total_multas * 100', '(SELECT SUM(total_multas) FROM q8)', 2)} AS pct_do_total FROM q8 "
+    "ORDER BY total_multas DESC, codigo_infracao LIMIT 10",
+)
+ORACLE["report_q9"] = _star_with(
+    f"""q9 AS (SELECT v.descricao_marca_veiculo, v.descricao_modelo_veiculo, COUNT(f.numero_auto) AS total_multas FROM {FV}
+            WHERE v.descricao_marca_veiculo IS NOT NULL AND v.descricao_marca_veiculo <> {q(NI)} GROUP BY 1, 2),
+q9r AS (SELECT *, row_number() OVER (ORDER BY total_multas DESC, descricao_marca_veiculo, descricao_modelo_veiculo) AS ranking FROM q9)""",
+    "SELECT ranking, descricao_marca_veiculo, descricao_modelo_veiculo, total_multas FROM q9r WHERE ranking <= 10",
+)

@@ -80,11 +80,13 @@ def star_rollup(
     small = [n for n in dims if star.small(n)]
     large = [n for n in dims if n not in small]
     for name in small:
-        f = f.join(dim_df(name), DIMENSIONS[name], "inner")
+        # degenerate fact attributes with a dimension attribute's name yield to the dimension
+        f = f.drop(*[a for a in dims[name] if a in f.columns]).join(dim_df(name), DIMENSIONS[name], "inner")
     group_small = [a for n in small for a in dims[n]]
     if not large:
         return f.groupBy(*group_small).agg(*[_partial(m) for m in measures])
     keys = group_small + [DIMENSIONS[n] for n in large]
+    f = f.drop(*[a for n in large for a in dims[n] if a in f.columns and a not in group_small])
     pre = f.groupBy(*keys).agg(*[_partial(m) for m in measures])
     for name in large:
         pre = pre.join(dim_df(name), DIMENSIONS[name], "inner")
