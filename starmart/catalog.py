@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.operators.quality import STAR_CHECKS, test_suite
+from starmart.plans import generic as G
 from starmart.plans import reports as R
 from starmart.plans.prepare import normalize
 from starmart.plans.star import Star, build_star
@@ -45,4 +47,19 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["fact_sql"] = _star_table("fato_multa")
     for name, fn in R.REPORTS.items():
         q[name] = _report(fn)
+    q["dim_location_frame"] = _star_table("dim_localizacao", "frame")
+    q["dim_offender_frame"] = _star_table("dim_infrator", "frame")
+    q["fact_null_safe"] = _star_table("fato_multa", "frame")
+    q["test_suite"] = lambda spark, sf: _suite(star_for(spark, sf, "sql"), spark, sf)
+    q["labels_and_formats"] = lambda spark, sf: G.labels_and_formats(R.q1(star_for(spark, sf, "sql")), YEARS)
+    q.update(G.GENERIC)
     return q
+
+
+YEARS = [2022, 2023, 2024]
+
+
+def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:
+    tables = {n: star.table(n) for n in ("dim_tempo", "dim_localizacao", "dim_infracao", "dim_infrator", "fato_multa")}
+    tables["prepared"] = star.prepared if star.prepared is not None else normalize(fines_raw(spark, sf), "sql")
+    return test_suite(tables, STAR_CHECKS)

@@ -55,11 +55,8 @@ def is_holiday(d: Column | str, holidays: str = "listed") -> Column:
         listed = [x for days in V.MOVABLE_HOLIDAYS.values() for x in days]
         movable = d.isin([F.lit(x).cast("date") for x in listed])
     elif holidays == "computed":
-        easter = easter_sunday(F.year(d))
-        movable = None
-        for off in V.EASTER_OFFSETS:
-            cond = d == F.date_add(easter, off)
-            movable = cond if movable is None else (movable | cond)
+        # one Easter evaluation per row: the day offset from Easter decides
+        movable = F.date_diff(d, easter_sunday(F.year(d))).isin(V.EASTER_OFFSETS)
     else:
         raise ValueError("holidays must be 'listed' or 'computed'")
     return F.coalesce(fixed | movable, F.lit(False))

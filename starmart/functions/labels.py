@@ -34,15 +34,17 @@ def dot_thousands(c: Column | str) -> Column:
 
 
 def signed_percent(c: Column | str, decimals: int = 1) -> Column:
-    """'+12.3%' for positive values, '-4.0%' / '0.0%' otherwise."""
-    c = col_(c).cast("double")
-    body = F.format_string(f"%.{decimals}f%%", c)
-    return F.when(c > 0, F.concat(F.lit("+"), body)).otherwise(body)
+    """'+12.3%' for positive values, '-4.0%' / '0.0%' otherwise (value rounded exactly to ``decimals``)."""
+    v = col_(c).cast(f"decimal(20,{decimals})")
+    body = F.concat(v.cast("string"), F.lit("%"))
+    return F.when(v > 0, F.concat(F.lit("+"), body)).otherwise(body)
 
 
 def millions_label(c: Column | str, decimals: int = 1) -> Column:
-    """'13.2M' from a count."""
-    return F.concat(F.format_string(f"%.{decimals}f", millions(c)), F.lit("M"))
+    """'13.2M' from an integer count (exact half-away rounding, no binary-float ties)."""
+    from starmart.functions.rounding import round_ratio
+
+    return F.concat(round_ratio(col_(c), F.lit(1_000_000), decimals).cast("string"), F.lit("M"))
 
 
 def colour(key: Column | str, palette: dict[str, str], default: str = V.DEFAULT_COLOUR) -> Column:

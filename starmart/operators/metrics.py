@@ -57,7 +57,7 @@ def top_k(df: DataFrame, order: list[str | Column], k: int) -> DataFrame:
 def rank_by(df: DataFrame, order: list[str | Column], k: int, out: str = "ranking") -> DataFrame:
     """Number the top ``k`` rows 1..k in ``order`` (W6 + P12)."""
     top = top_k(df, order, k)
-    return top.withColumn(out, F.row_number().over(Window.orderBy(*[_c(o) for o in order])))
+    return top.withColumn(out, F.row_number().over(Window.orderBy(*[_c(o) for o in order])).cast("long"))
 
 
 def pivot_change(
@@ -83,16 +83,23 @@ def pivot_change(
     return wide.withColumn(out, round_ratio((t - b) * 100, b, scale))
 
 
-def stack_base(df: DataFrame, by: list[str], category: str, order: list[str], value: str, out: str = "base") -> DataFrame:
-    """Running total of ``value`` over the categories before each row, in a fixed category ``order``.
+def stack_base(df: DataFrame, by: list[str], category: str, order: list[str] | str, value: str, out: str = "base") -> DataFrame:
+    """Running total of ``value`` over the categories before each row.
 
-    Rows whose category is not in ``order`` are dropped (they are not stacked).
+    ``order`` is either a fixed list of category values (rows whose category
+    is not listed are dropped: they are not stacked) or the name of a column
+    that orders the categories.
     """
-    pos = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(category))
+    if isinstance(order, str):
+        pos = F.col(order)
+        keep = F.lit(True)
+    else:
+        pos = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(category))
+        keep = pos > 0
     w = Window.partitionBy(*by).orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.withColumn("__pos", pos)
-        .filter(F.col("__pos") > 0)
+        .filter(keep)
         .withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
         .drop("__pos")
     )

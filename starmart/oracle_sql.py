@@ -452,3 +452,274 @@ ORACLE["report_q9"] = _star_with(
 q9r AS (SELECT *, row_number() OVER (ORDER BY total_multas DESC, descricao_marca_veiculo, descricao_modelo_veiculo) AS ranking FROM q9)""",
     "SELECT ranking, descricao_marca_veiculo, descricao_modelo_veiculo, total_multas FROM q9r WHERE ranking <= 10",
 )
+
+
+# ---------------------------------------------------------------------------
+# Generic operators on the TPC-H-like tables
+# ---------------------------------------------------------------------------
+def _plain(ctes: str, select: str) -> str:
+    return f"WITH {ctes}\n{select}" if ctes else select
+
+
+ORACLE["share_by_brand"] = _plain(
+    "li AS (SELECT l_partkey, SUM(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY 1), "
+    "b AS (SELECT p_brand, CAST(SUM(q) AS BIGINT) AS total_qty FROM li JOIN part ON l_partkey = p_partkey GROUP BY 1)",
+    f"SELECT p_brand, total_qty, {rr('total_qty * 100', '(SELECT SUM(total_qty) FROM b)', 2)} AS pct_do_total FROM b",
+)
+_ONC = "orders JOIN customer ON o_custkey = c_custkey"
+ORACLE["yoy_by_nation"] = _plain(
+    f"g AS (SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS ano, COUNT(*) AS total_pedidos FROM {_ONC} "
+    "JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2), "
+    "w AS (SELECT *, LAG(total_pedidos) OVER (PARTITION BY n_name ORDER BY ano) AS prev FROM g)",
+    f"SELECT n_name, ano, total_pedidos, {rr('(total_pedidos - prev) * 100', 'prev', 2)} AS variacao_pct_ano_anterior FROM w",
+)
+ORACLE["qoq_by_segment"] = _plain(
+    f"g AS (SELECT c_mktsegment, CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(quarter(o_orderdate) AS INTEGER) AS trimestre, "
+    f"COUNT(*) AS total_pedidos FROM {_ONC} GROUP BY 1, 2, 3)",
+    "SELECT *, total_pedidos - LAG(total_pedidos) OVER (PARTITION BY c_mktsegment ORDER BY ano, trimestre) AS variacao_trimestre_anterior FROM g",
+)
+ORACLE["top_parts"] = _plain(
+    "li AS (SELECT l_partkey, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_qty FROM lineitem GROUP BY 1 "
+    "ORDER BY total_qty DESC, l_partkey LIMIT 10)",
+    "SELECT p_partkey, p_name, total_qty FROM li JOIN part ON p_partkey = l_partkey",
+)
+ORACLE["rank_brands"] = _plain(
+    "g AS (SELECT p_brand, COUNT(*) AS total_linhas FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1), "
+    "r AS (SELECT row_number() OVER (ORDER BY total_linhas DESC, p_brand) AS ranking, p_brand, total_linhas FROM g)",
+    "SELECT * FROM r WHERE ranking <= 10",
+)
+_REGION_G = (
+    f"g AS (SELECT r_name, r_regionkey, CAST(year(o_orderdate) AS INTEGER) AS ano, COUNT(*) AS total_pedidos FROM {_ONC} "
+    "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3)"
+)
+_OYEARS = list(range(1995, 2002))
+_opiv = ", ".join(f'SUM(CASE WHEN ano = {y} THEN total_pedidos END) AS "{y}"' for y in _OYEARS)
+ORACLE["region_year_pivot"] = _plain(
+    _REGION_G + f", p AS (SELECT r_name, {_opiv} FROM g GROUP BY 1)",
+    "SELECT r_name, "
+    + ", ".join(f'CAST(coalesce("{y}", 0) AS BIGINT) AS "{y}"' for y in _OYEARS)
+    + f', {rr(f"""("{_OYEARS[-1]}" - "{_OYEARS[0]}") * 100""", f'"{_OYEARS[0]}"', 1)} AS var_pct FROM p',
+)
+ORACLE["stack_by_year"] = _plain(
+    _REGION_G,
+    "SELECT ano, r_name, total_pedidos, CAST(coalesce(SUM(total_pedidos) OVER (PARTITION BY ano ORDER BY r_regionkey "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base FROM g",
+)
+ORACLE["outlier_rows"] = (
+    "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_quantity > 0 AND l_quantity <= 50 "
+    "AND l_extendedprice > 104000.0 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 20"
+)
+ORACLE["mean_nonzero"] = _plain(
+    "d AS (SELECT l_returnflag, CAST(l_discount AS DECIMAL(10,2)) AS d FROM lineitem)",
+    "SELECT l_returnflag, COUNT(*) AS linhas, COUNT(CASE WHEN d <> 0 THEN d END) AS linhas_nao_zero, "
+    f"{rr('SUM(CASE WHEN d <> 0 THEN CAST(d * 100 AS BIGINT) END)', '(COUNT(CASE WHEN d <> 0 THEN d END) * 100)', 4)} AS media_desconto_nao_zero, "
+    "MAX(d) AS maior_desconto FROM d GROUP BY 1",
+)
+ORACLE["semi_exists"] = "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"
+ORACLE["orphan_rows"] = (
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)"
+)
+
+
+# ---------------------------------------------------------------------------
+# Rule tables, parsers, calendar over the raw fines
+# ---------------------------------------------------------------------------
+def _rule(col: str, sql_e: str, frame_e: str) -> str:
+    return with_raw(
+        f"SELECT {col} AS before, {sql_e} AS after_sql, {frame_e} AS after_frame, COUNT(*) AS n FROM fines_raw GROUP BY 1, 2, 3"
+    )
+
+
+def with_raw(select: str) -> str:
+    return f"WITH {FINES_RAW_CTE}\n{select}"
+
+
+_u = lambda c: f"upper({pystrip(c)})"
+ORACLE["scalar_region"] = _rule(
+    "uf_infracao", region_case(f"coalesce(uf_infracao, {q(NI)})", NI), region_case(_u("uf_infracao"), V.NOT_INFORMED_FRAME)
+)
+ORACLE["scalar_direction"] = _rule(
+    "sentido_trafego",
+    _dir_sql("sentido_trafego", NI, lambda c: f"trim({c})"),
+    _dir_sql("sentido_trafego", V.NOT_INFORMED_FRAME, pystrip),
+)
+ORACLE["scalar_doc_type"] = _rule("assinatura_auto", _doc_sql("assinatura_auto"), _doc_frame("assinatura_auto"))
+_sp = "descricao_especie_veiculo"
+ORACLE["scalar_species"] = _rule(_sp, _species_sql(f"coalesce({_sp}, {q(NI)})"), _species_frame(_sp))
+_tp = "descricao_tipo_veiculo"
+ORACLE["scalar_missing_terms"] = _rule(_tp, _terms_sql(f"coalesce({_tp}, {q(NI)})", V.MISSING_TERMS), _terms_frame(_tp))
+_mk = "descricao_marca_veiculo"
+ORACLE["scalar_make"] = _rule(_mk, _terms_sql(f"coalesce({_mk}, {q(NI)})", V.MISSING_TERMS_MAKE_SQL), _terms_frame(_mk))
+ORACLE["scalar_plate"] = _rule("uf_placa", _plate_sql("uf_placa"), _plate_frame("uf_placa"))
+_fg = "indicador_veiculo_estrangeiro"
+ORACLE["scalar_foreign"] = _rule(_fg, _foreign_sql(_fg), _foreign_sql(_fg))
+ORACLE["parse_km_both"] = _rule("km_infracao", _guarded_int("km_infracao", 0), _km_frame("km_infracao"))
+
+
+def _fields(specs) -> str:
+    parts = [
+        f"SELECT {q(f)} AS field, {f} AS before, CAST({s} AS VARCHAR) AS after_sql, CAST({fr} AS VARCHAR) AS after_frame, "
+        f"COUNT(*) AS n FROM fines_raw GROUP BY 1, 2, 3, 4"
+        for f, s, fr in specs
+    ]
+    return with_raw(" UNION ALL ".join(parts))
+
+
+_HOUR_SQL = (
+    "CAST(CASE WHEN hora_infracao IS NULL THEN NULL WHEN regexp_full_match(hora_infracao, '-?[0-9]+') "
+    "THEN coalesce(TRY_CAST(hora_infracao AS INTEGER), 0) ELSE 0 END AS INTEGER)"
+)
+ORACLE["parse_ints"] = _fields([
+    ("codigo_infracao", _guarded_int("codigo_infracao", 0), _frame_int("codigo_infracao", 0)),
+    ("qtd_infracoes", _guarded_int("qtd_infracoes", 1), _frame_int("qtd_infracoes", 1)),
+    ("hora_infracao", _HOUR_SQL, "hora_infracao"),
+])
+ORACLE["parse_decimal_comma"] = _fields([(c, _guarded_dec(c), _dec_frame(c)) for c in ("medicao_considerada", "excesso_verificado")])
+_ISO = "CASE WHEN regexp_full_match(data_infracao, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN TRY_CAST(data_infracao AS DATE) END"
+ORACLE["parse_date"] = with_raw(f"SELECT data_infracao AS before, {_ISO} AS after, COUNT(*) AS n FROM fines_raw GROUP BY 1, 2")
+ORACLE["holiday_flag"] = with_prepared(
+    f"SELECT data_infracao, {holiday_case('data_infracao')} AS feriado_listado, {holiday_case('data_infracao')} AS feriado_calculado, "
+    f"{weekday_case('data_infracao')} AS dia_semana FROM (SELECT DISTINCT data_infracao FROM prepared) WHERE {holiday_case('data_infracao')}"
+)
+
+# ---------------------------------------------------------------------------
+# Profiling and data tests
+# ---------------------------------------------------------------------------
+from starmart.schemas import RAW_COLUMNS as _RAW  # noqa: E402
+
+_nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(_RAW))
+ORACLE["profile_nulls"] = (
+    f"WITH {FINES_RAW_CTE}, a AS (SELECT COUNT(*) AS total_rows, {_nulls} FROM fines_raw)\n"
+    + " UNION ALL ".join(
+        f"SELECT {q(c)} AS column_name, n{i} AS nulls, {rr(f'n{i} * 100', 'total_rows', 2)} AS pct FROM a WHERE n{i} > 0"
+        for i, c in enumerate(_RAW)
+    )
+)
+_MIXED = " , ".join(
+    f"try_strptime(data_infracao, {q(f)})" for f in ("%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d", "%d-%m-%Y")
+)
+ORACLE["profile_dates"] = (
+    f"WITH {FINES_RAW_CTE}, d AS (SELECT CAST(coalesce({_MIXED}) AS DATE) AS d FROM fines_raw)\n"
+    "SELECT 'invalid_or_null' AS metric, COUNT(*) FILTER (WHERE d IS NULL) AS value FROM d UNION ALL "
+    "SELECT 'outside_year', COUNT(*) FILTER (WHERE d IS NOT NULL AND year(d) <> 2023) FROM d"
+)
+ORACLE["profile_hours"] = (
+    f"WITH {FINES_RAW_CTE}, h AS (SELECT {_numtext('hora_infracao')} AS h FROM fines_raw)\n"
+    f"SELECT 'not_numeric' AS metric, COUNT(*) FILTER (WHERE h IS NULL) AS value FROM h UNION ALL "
+    f"SELECT 'out_of_range', COUNT(*) FILTER (WHERE h < {V.HOUR_RANGE[0]} OR h > {V.HOUR_RANGE[1]}) FROM h"
+)
+ORACLE["profile_duplicates"] = with_raw(
+    "SELECT 'duplicated_keys' AS metric, CAST(coalesce(SUM(n - 1), 0) AS BIGINT) AS value "
+    "FROM (SELECT numero_auto, COUNT(*) AS n FROM fines_raw GROUP BY 1)"
+)
+
+
+def _describe(c: str) -> str:
+    return (
+        f"(WITH c AS (SELECT {c} AS v, COUNT(*) AS n FROM fines_raw WHERE {c} IS NOT NULL GROUP BY 1) "
+        f'SELECT {q(c)} AS column_name, CAST(SUM(n) AS BIGINT) AS "count", COUNT(*) AS "unique", '
+        f'(SELECT MIN(v) FROM c WHERE n = (SELECT MAX(n) FROM c)) AS top, MAX(n) AS freq FROM c)'
+    )
+
+
+ORACLE["profile_text"] = with_raw(" UNION ALL ".join(f"SELECT * FROM {_describe(c)}" for c in ("medicao_infracao", "medicao_considerada")))
+_CATS = ["uf_infracao", "uf_placa", "indicador_veiculo_estrangeiro", "indicador_abordagem", "assinatura_auto", "sentido_trafego"]
+ORACLE["profile_values"] = with_raw(
+    "SELECT DISTINCT column_name, value FROM ("
+    + " UNION ALL ".join(f"SELECT {q(c)} AS column_name, CAST({c} AS VARCHAR) AS value FROM fines_raw" for c in _CATS)
+    + ") WHERE value IS NOT NULL"
+)
+ORACLE["profile_terms"] = with_raw(
+    f"SELECT {_u(_mk)} AS value, COUNT(*) AS n FROM fines_raw WHERE {_u(_mk)} IN {lst(V.MISSING_TERMS)} GROUP BY 1"
+)
+ORACLE["test_not_null"] = with_raw("SELECT * FROM fines_raw WHERE numero_auto IS NULL")
+ORACLE["test_unique"] = with_prepared(
+    "SELECT numero_auto, COUNT(*) AS n_records FROM prepared WHERE numero_auto IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1"
+)
+ORACLE["test_accepted"] = with_prepared(
+    "SELECT indicador_veiculo_estrangeiro, COUNT(*) AS n_records FROM prepared "
+    "WHERE indicador_veiculo_estrangeiro IS NOT NULL AND indicador_veiculo_estrangeiro NOT IN ('S', 'N') GROUP BY 1"
+)
+ORACLE["union_evolving"] = with_raw(
+    "SELECT numero_auto, data_infracao, uf_infracao, km_infracao, CAST(NULL AS VARCHAR) AS municipio FROM fines_raw UNION ALL "
+    "SELECT numero_auto, data_infracao, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), municipio FROM fines_raw"
+)
+ORACLE["append_then_distinct"] = with_raw("SELECT DISTINCT * FROM (SELECT * FROM fines_raw UNION ALL SELECT * FROM fines_raw)")
+
+
+def _suite_sql() -> str:
+    from starmart.operators.quality import STAR_CHECKS
+
+    parts = []
+    for c in STAR_CHECKS:
+        head = f"SELECT {q(c.model)} AS model, {q(c.column)} AS column_name, {q(c.test)} AS test, "
+        if c.test == "not_null":
+            parts.append(head + f"COUNT(*) AS failures FROM {c.model} WHERE {c.column} IS NULL")
+        elif c.test == "unique":
+            parts.append(
+                head + f"CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT {c.column}, COUNT(*) AS n FROM {c.model} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+            )
+        elif c.test == "accepted_values":
+            parts.append(
+                head + f"CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT {c.column}, COUNT(*) AS n FROM {c.model} "
+                f"WHERE {c.column} IS NOT NULL AND {c.column} NOT IN {lst(c.values)} GROUP BY 1)"
+            )
+        else:
+            pc = c.parent_column or c.column
+            parts.append(
+                head + f"COUNT(*) FROM {c.model} x WHERE x.{c.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {c.parent} p WHERE p.{pc} = x.{c.column})"
+            )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["test_suite"] = with_star(_suite_sql())
+
+_LY = [2022, 2023, 2024]
+_lpiv = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _LY)
+_rcol = "CASE regiao " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in V.REGION_COLOURS.items()) + f" ELSE {q(V.DEFAULT_COLOUR)} END"
+ORACLE["labels_and_formats"] = _star_with(
+    Q1_G + f", lp AS (SELECT regiao, {_lpiv} FROM q1 GROUP BY regiao), "
+    f"""lv AS (SELECT *, CAST({rr('("2024" - "2022") * 100', '"2022"', 1)} AS DECIMAL(20,1)) AS v FROM lp)""",
+    "SELECT regiao, format('{:,}', \"2024\") AS total_ultimo_ano, replace(format('{:,}', \"2024\"), ',', '.') AS total_ultimo_ano_br, "
+    f"CAST({rr('\"2024\"', '1000000', 1)} AS VARCHAR) || 'M' AS total_milhoes, "
+    "CASE WHEN v > 0 THEN '+' || CAST(v AS VARCHAR) || '%' ELSE CAST(v AS VARCHAR) || '%' END AS variacao, "
+    f"{_rcol} AS cor FROM lv",
+)
+
+# ---------------------------------------------------------------------------
+# Star under the frame rules: 0-based keys, NULL-safe key matching
+# ---------------------------------------------------------------------------
+_NL = lambda cols: ", ".join(f"{c} NULLS LAST" for c in cols)
+_LOC = ["uf_infracao", "br_infracao", "km_infracao", "municipio", "regiao_infracao", "sentido_trafego"]
+_LOC_ORDER = ["uf_infracao", "municipio", "br_infracao", "km_infracao", "regiao_infracao", "sentido_trafego"]
+_OFR = ["indicador_veiculo_estrangeiro", "uf_placa", "descricao_especie_veiculo", "descricao_marca_veiculo",
+        "descricao_tipo_veiculo", "descricao_modelo_veiculo", "indicador_abordagem", "assinatura_auto"]
+FRAME_STAR_CTE = f"""
+fdim_tempo AS (SELECT row_number() OVER (ORDER BY data_infracao) - 1 AS id_tempo_sk, data_infracao
+               FROM (SELECT DISTINCT data_infracao FROM fprepared)),
+fdim_loc AS (SELECT row_number() OVER (ORDER BY {_NL(_LOC_ORDER)}) - 1 AS id_localizacao_sk, {", ".join(_LOC)}
+             FROM (SELECT DISTINCT {", ".join(_LOC)} FROM fprepared)),
+fdim_inf AS (SELECT row_number() OVER (ORDER BY codigo_infracao NULLS LAST) - 1 AS id_infracao_sk, codigo_infracao
+             FROM (SELECT DISTINCT codigo_infracao FROM fprepared)),
+fdim_ofr AS (SELECT row_number() OVER (ORDER BY {_NL(_OFR)}) - 1 AS id_infrator_sk, {", ".join(_OFR)}
+             FROM (SELECT DISTINCT {", ".join(_OFR)} FROM fprepared))"""
+
+
+def with_frame_star(select: str) -> str:
+    return f"WITH {FINES_RAW_CTE},{PREPARED_FRAME_CTE},{FRAME_STAR_CTE}\n{select}"
+
+
+_ns = lambda a, b, cols: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+ORACLE["dim_location_frame"] = with_frame_star("SELECT * FROM fdim_loc")
+ORACLE["dim_offender_frame"] = with_frame_star("SELECT * FROM fdim_ofr")
+ORACLE["fact_null_safe"] = with_frame_star(
+    "SELECT t.id_tempo_sk, l.id_localizacao_sk, i.id_infracao_sk, v.id_infrator_sk, s.numero_auto, s.qtd_infracoes, "
+    "s.medicao_considerada, s.excesso_verificado FROM fprepared s "
+    "LEFT JOIN fdim_tempo t ON s.data_infracao IS NOT DISTINCT FROM t.data_infracao "
+    f"LEFT JOIN fdim_loc l ON {_ns('s', 'l', _LOC)} "
+    "LEFT JOIN fdim_inf i ON s.codigo_infracao IS NOT DISTINCT FROM i.codigo_infracao "
+    f"LEFT JOIN fdim_ofr v ON {_ns('s', 'v', _OFR)}"
+)

@@ -54,6 +54,7 @@ class Star:
     fato_multa: DataFrame
     rows: dict[str, int] = field(default_factory=dict)
     rules: str = "sql"
+    prepared: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -121,7 +122,7 @@ def build_star(prepared: DataFrame, rules: str = "sql", holidays: str = "listed"
     tables = {"dim_tempo": dim_tempo, "dim_localizacao": dim_loc, "dim_infracao": off.df, "dim_infrator": ofr.df, "fato_multa": fact}
     if materialize_tables:
         tables = {k: materialize(v, f"{k}_{rules}") for k, v in tables.items()}
-    return Star(rules=rules, rows=rows, **tables)
+    return Star(rules=rules, rows=rows, prepared=prepared, **tables)
 
 
 def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "sql") -> Star:
