@@ -52,6 +52,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["fact_null_safe"] = _star_table("fato_multa", "frame")
     q["test_suite"] = lambda spark, sf: _suite(star_for(spark, sf, "sql"), spark, sf)
     q["labels_and_formats"] = lambda spark, sf: G.labels_and_formats(R.q1(star_for(spark, sf, "sql")), YEARS)
+    q["holiday_flag"] = lambda spark, sf: G.holiday_flag(star_for(spark, sf, "sql").dim_tempo)
     q.update(G.GENERIC)
     return q
 

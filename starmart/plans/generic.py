@@ -235,9 +235,9 @@ def parse_date(spark, sf):
     ).agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
-def holiday_flag(spark, sf):
-    """Holiday dates among the fines' dates under both calendars (they agree for the listed years)."""
-    dates = normalize(fines_raw(spark, sf), "sql").select("data_infracao").distinct()
+def holiday_flag(dim_tempo: DataFrame) -> DataFrame:
+    """Holiday dates of the time dimension under both calendars (they agree for the listed years)."""
+    dates = dim_tempo.select("data_infracao")
     flags = dates.select(
         "data_infracao",
         cal.is_holiday("data_infracao", "listed").alias("feriado_listado"),
@@ -350,7 +350,6 @@ GENERIC = {
     "parse_ints": parse_ints,
     "parse_decimal_comma": parse_decimal_comma,
     "parse_date": parse_date,
-    "holiday_flag": holiday_flag,
     "profile_nulls": profile_nulls,
     "profile_dates": profile_dates,
     "profile_hours": profile_hours,
