@@ -1,0 +1,6 @@
+"""Incremental raw loads as a Structured Streaming job.
+
+The warehouse has no event-time logic (no windows, watermarks or state), so
+the only streaming piece is the landing load itself: monthly files that
+arrive in a folder are appended to the raw table exactly once.
+"""

@@ -1,0 +1,45 @@
+"""Append newly arrived delimited files to the raw landing table, exactly once.
+
+A file-source stream with a fixed schema, ``header`` on and schema
+enforcement off: each file's header is checked against the canonical
+layout, so a file with another layout fails the batch instead of being
+bound by position.  Such files go through ``sources.csv.read_raw``.  The
+progress (which files were loaded) lives in a checkpoint under the shared
+checkpoint folder, so a rerun or a lost executor never loads a file twice.
+Run with ``trigger(availableNow=True)`` for a catch-up batch job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from starmart.schemas import RAW_COLUMNS_AND_HEADERS
+
+SOURCE_SCHEMA = T.StructType([T.StructField(h, T.StringType(), True) for _, h in RAW_COLUMNS_AND_HEADERS])
+
+
+def start_raw_append(
+    spark: SparkSession,
+    source_dir: str,
+    target_path: str,
+    checkpoint: str,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    available_now: bool = True,
+) -> StreamingQuery:
+    stream = (
+        spark.readStream.schema(SOURCE_SCHEMA)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("sep", sep)
+        .option("encoding", encoding)
+        .csv(source_dir)
+    )
+    cols = [F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(n) for n, h in RAW_COLUMNS_AND_HEADERS]
+    rows = stream.select(*cols, F.col("_metadata.file_path").alias("source_file"))
+    writer = rows.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", checkpoint).outputMode("append")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
