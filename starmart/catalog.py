@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.operators.quality import STAR_CHECKS, test_suite
+from starmart.operators.quality import STAR_CHECKS, run_checks
 from starmart.plans import generic as G
 from starmart.plans import reports as R
 from starmart.plans.prepare import normalize
@@ -63,4 +63,4 @@ YEARS = [2022, 2023, 2024]
 def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:
     tables = {n: star.table(n) for n in ("dim_tempo", "dim_localizacao", "dim_infracao", "dim_infrator", "fato_multa")}
     tables["prepared"] = star.prepared if star.prepared is not None else normalize(fines_raw(spark, sf), "sql")
-    return test_suite(tables, STAR_CHECKS)
+    return run_checks(tables, STAR_CHECKS)

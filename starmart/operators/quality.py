@@ -7,7 +7,7 @@ Each check returns the failing rows as a DataFrame (empty = pass):
 * ``check_accepted``   -> (value, n_records) for non-NULL values outside the list
 * ``check_references`` -> child rows whose non-NULL key has no parent
 
-``test_suite`` runs a list of checks and returns one row per check with its
+``run_checks`` runs a list of checks and returns one row per check with its
 failure count; counts are distributed aggregates, nothing is collected.
 """
 
@@ -77,7 +77,7 @@ def failures(tables: dict[str, DataFrame], c: Check) -> DataFrame:
     )
 
 
-def test_suite(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     out = None
     for c in checks:
         r = failures(tables, c)
