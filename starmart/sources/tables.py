@@ -54,7 +54,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's default parallelism when it comes from fewer files than cores.
+
+    A small input stored as one file with one row group is read by a single
+    task; CPU-heavy row-wise work after it would then run on one core.  A
+    large input (many files) is returned unchanged, so no shuffle is added
+    where the scan is already parallel.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if len(df.inputFiles()) < par else df
+
+
 def fines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty raw-fines view over ``lineitem`` JOIN ``part`` (25 STRING columns)."""
     text = FINES_RAW_SQL.replace("FROM lineitem JOIN part", "FROM {lineitem} JOIN {part}")
-    return spark.sql(text, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"]
+    return spark.sql(text, lineitem=spread(table(spark, sf_dir, "lineitem", cols)), part=table(spark, sf_dir, "part"))
