@@ -3,9 +3,10 @@
 ``row_number() over (order by k)`` with no partitioning runs in one task.
 Here the rows are range-partitioned and sorted by the key order, each row
 gets ``monotonically_increasing_id`` (partition index in the high bits, row
-position in the low 33 bits), the numbered rows are written with a reliable
-``checkpoint()`` so the ids can never change between passes (even if an
-executor is lost), and a per-partition row count turns them into dense keys:
+position in the low 33 bits), the numbered rows are written as Parquet to
+the shared checkpoint folder so the ids can never change between passes
+(even if an executor is lost), and a per-partition row count turns them
+into dense keys:
 
     key = first + rows in earlier partitions + position in partition
 
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import ensure_checkpoint_dir
+from starmart.session import work_dir
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
@@ -56,10 +57,11 @@ def assign_dense_keys(
 
     Ascending orders place NULLs last (the convention of the warehouse SQL).
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     cols = df.columns
-    ordered = df.orderBy(*_order_cols(order, nulls_last)).withColumn("__mid", F.monotonically_increasing_id())
-    ordered = ordered.checkpoint(eager=True)
+    path = work_dir(spark, f"keys_{sk}")
+    df.orderBy(*_order_cols(order, nulls_last)).withColumn("__mid", F.monotonically_increasing_id()).write.parquet(path)
+    ordered = spark.read.parquet(path)
     pid = F.shiftright(F.col("__mid"), _LOW_BITS)
     counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ split skewed keys.  Under the frame rules keys match NULL to NULL.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,31 +99,54 @@ def build_star(prepared: DataFrame, rules: str = "sql", holidays: str = "listed"
     if materialize_tables:
         prepared = materialize(prepared, f"prepared_{rules}")
 
-    dim_tempo, n_t = build_dim_time(prepared, first, holidays)
-    loc = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first)
-    dim_loc = loc.df.select(LOCATION_SK, *LOCATION_COLUMNS)
-    off = build_dimension(
-        prepared,
-        OFFENCE_KEY,
-        OFFENCE_SK,
-        first=first,
-        attrs_max={"descricao_infracao": "descricao_abreviada_infracao", "enquadramento_infracao": "enquadramento_infracao"},
-    )
-    ofr = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first)
+    def loc_dim():
+        k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first)
+        return k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows
+
+    def offence_dim():
+        attrs = {"descricao_infracao": "descricao_abreviada_infracao", "enquadramento_infracao": "enquadramento_infracao"}
+        k = build_dimension(prepared, OFFENCE_KEY, OFFENCE_SK, first=first, attrs_max=attrs)
+        return k.df, k.rows
+
+    def offender_dim():
+        k = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first)
+        return k.df, k.rows
+
+    builders = {
+        "dim_tempo": lambda: build_dim_time(prepared, first, holidays),
+        "dim_localizacao": loc_dim,
+        "dim_infracao": offence_dim,
+        "dim_infrator": offender_dim,
+    }
+    # the four dimensions are independent job chains: submit them together
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {name: pool.submit(_built, fn, name, materialize_tables, rules) for name, fn in builders.items()}
+        built = {name: fut.result() for name, fut in futures.items()}
+    dim_tempo, n_t = built["dim_tempo"]
+    dim_loc, n_l = built["dim_localizacao"]
+    dim_off, n_o = built["dim_infracao"]
+    dim_ofr, n_v = built["dim_infrator"]
 
     f = prepared
     f = lookup_key(f, dim_tempo, TIME_KEY, TIME_SK, n_t, null_safe)
-    f = lookup_key(f, dim_loc, LOCATION_KEY, LOCATION_SK, loc.rows, null_safe)
-    f = lookup_key(f, off.df, OFFENCE_KEY, OFFENCE_SK, off.rows, null_safe)
-    f = lookup_key(f, ofr.df, OFFENDER_KEY, OFFENDER_SK, ofr.rows, null_safe)
+    f = lookup_key(f, dim_loc, LOCATION_KEY, LOCATION_SK, n_l, null_safe)
+    f = lookup_key(f, dim_off, OFFENCE_KEY, OFFENCE_SK, n_o, null_safe)
+    f = lookup_key(f, dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v, null_safe)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
     fact = f.select(TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra)
-
-    rows = {"dim_tempo": n_t, "dim_localizacao": loc.rows, "dim_infracao": off.rows, "dim_infrator": ofr.rows}
-    tables = {"dim_tempo": dim_tempo, "dim_localizacao": dim_loc, "dim_infracao": off.df, "dim_infrator": ofr.df, "fato_multa": fact}
     if materialize_tables:
-        tables = {k: materialize(v, f"{k}_{rules}") for k, v in tables.items()}
-    return Star(rules=rules, rows=rows, prepared=prepared, **tables)
+        fact = materialize(fact, f"fato_multa_{rules}")
+
+    rows = {"dim_tempo": n_t, "dim_localizacao": n_l, "dim_infracao": n_o, "dim_infrator": n_v}
+    return Star(
+        dim_tempo=dim_tempo, dim_localizacao=dim_loc, dim_infracao=dim_off, dim_infrator=dim_ofr, fato_multa=fact,
+        rows=rows, rules=rules, prepared=prepared,
+    )
+
+
+def _built(fn, name: str, write: bool, rules: str):
+    df, rows = fn()
+    return (materialize(df, f"{name}_{rules}") if write else df), rows
 
 
 def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "sql") -> Star:
