@@ -22,7 +22,9 @@ def _c(x: str | Column) -> Column:
 def share_of_total(df: DataFrame, value: str, out: str = "pct_do_total", scale: int = 2) -> DataFrame:
     """Add ``out`` = round(100 * value / sum(value over all rows), scale)."""
     total = df.select(F.sum(value)).scalar()
-    return df.withColumn(out, round_percent(F.col(value), total, scale))
+    # bind the subquery once; the rounding formula then reads the column
+    with_total = df.withColumn("__total", total)
+    return with_total.withColumn(out, round_percent(F.col(value), F.col("__total"), scale)).drop("__total")
 
 
 def change_vs_previous(
