@@ -103,3 +103,39 @@ def _metrics(one_row: DataFrame) -> DataFrame:
     cols = one_row.columns
     stack = F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("long").alias("value")) for c in cols]))
     return one_row.select(stack)
+
+
+def profile(
+    df: DataFrame,
+    date_col: str | None = None,
+    year: int | None = None,
+    hour_col: str | None = None,
+    key_col: str | None = None,
+    text_cols: list[str] | None = None,
+) -> DataFrame:
+    """All profiling sections as one long table (section, column_name, metric, value as text)."""
+    parts = [
+        profile_nulls(df).select(
+            F.lit("nulls").alias("section"), "column_name", F.lit("nulls").alias("metric"), F.col("nulls").cast("string").alias("value")
+        ),
+        profile_nulls(df).select(
+            F.lit("nulls").alias("section"), "column_name", F.lit("pct").alias("metric"), F.col("pct").cast("string").alias("value")
+        ),
+    ]
+    if date_col:
+        parts.append(profile_dates(df, date_col, year).select(
+            F.lit("dates").alias("section"), F.lit(date_col).alias("column_name"), "metric", F.col("value").cast("string")))
+    if hour_col:
+        parts.append(profile_hours(df, hour_col).select(
+            F.lit("hours").alias("section"), F.lit(hour_col).alias("column_name"), "metric", F.col("value").cast("string")))
+    if key_col:
+        parts.append(duplicate_count(df, key_col).select(
+            F.lit("duplicates").alias("section"), F.lit(key_col).alias("column_name"), "metric", F.col("value").cast("string")))
+    if text_cols:
+        d = describe_text(df, text_cols)
+        for m in ("count", "unique", "top", "freq"):
+            parts.append(d.select(F.lit("describe").alias("section"), "column_name", F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -723,3 +723,37 @@ ORACLE["fact_null_safe"] = with_frame_star(
     "LEFT JOIN fdim_inf i ON s.codigo_infracao IS NOT DISTINCT FROM i.codigo_infracao "
     f"LEFT JOIN fdim_ofr v ON {_ns('s', 'v', _OFR)}"
 )
+
+
+def _profile_report_sql() -> str:
+    nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(_RAW))
+    rows = []
+    for i, c in enumerate(_RAW):
+        rows.append(f"SELECT 'nulls' AS section, {q(c)} AS column_name, 'nulls' AS metric, CAST(n{i} AS VARCHAR) AS value FROM a WHERE n{i} > 0")
+        rows.append(f"SELECT 'nulls', {q(c)}, 'pct', CAST({rr(f'n{i} * 100', 'total_rows', 2)} AS VARCHAR) FROM a WHERE n{i} > 0")
+    rows.append(
+        "SELECT 'dates', 'data_infracao', 'invalid_or_null', CAST(COUNT(*) FILTER (WHERE d IS NULL) AS VARCHAR) FROM d"
+    )
+    rows.append(
+        "SELECT 'dates', 'data_infracao', 'outside_year', CAST(COUNT(*) FILTER (WHERE d IS NOT NULL AND year(d) <> 2023) AS VARCHAR) FROM d"
+    )
+    rows.append("SELECT 'hours', 'hora_infracao', 'not_numeric', CAST(COUNT(*) FILTER (WHERE h IS NULL) AS VARCHAR) FROM h")
+    rows.append(
+        f"SELECT 'hours', 'hora_infracao', 'out_of_range', CAST(COUNT(*) FILTER (WHERE h < {V.HOUR_RANGE[0]} OR h > {V.HOUR_RANGE[1]}) AS VARCHAR) FROM h"
+    )
+    rows.append(
+        "SELECT 'duplicates', 'numero_auto', 'duplicated_keys', CAST(coalesce(SUM(n - 1), 0) AS VARCHAR) "
+        "FROM (SELECT numero_auto, COUNT(*) AS n FROM fines_raw GROUP BY 1)"
+    )
+    for c in ("medicao_infracao", "medicao_considerada"):
+        for m in ("count", "unique", "top", "freq"):
+            rows.append(f'SELECT \'describe\', column_name, {q(m)}, CAST("{m}" AS VARCHAR) FROM {_describe(c)}')
+    return (
+        f"WITH {FINES_RAW_CTE}, a AS (SELECT COUNT(*) AS total_rows, {nulls} FROM fines_raw), "
+        f"d AS (SELECT CAST(coalesce({_MIXED}) AS DATE) AS d FROM fines_raw), "
+        f"h AS (SELECT {_numtext('hora_infracao')} AS h FROM fines_raw)\n" + " UNION ALL ".join(rows)
+    )
+
+
+ORACLE["profile_report"] = _profile_report_sql()
+ORACLE["csv_roundtrip"] = with_raw("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in _RAW) + " FROM fines_raw")

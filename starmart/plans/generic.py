@@ -312,6 +312,39 @@ def append_then_distinct(spark, sf):
     return raw.unionByName(raw).distinct()
 
 
+def profile_report(spark, sf):
+    """The full profiling report of the raw fines as one long table."""
+    return prof.profile(
+        fines_raw(spark, sf), date_col="data_infracao", year=2023, hour_col="hora_infracao", key_col="numero_auto",
+        text_cols=["medicao_infracao", "medicao_considerada"],
+    )
+
+
+def csv_roundtrip(spark, sf):
+    """Raw fines written as delimited files in two layouts, then ingested back.
+
+    Half the rows go to UTF-8 files with the accented source headers, half to
+    ISO-8859-1 files with unaccented headers in reverse column order; the
+    ingest must sniff both encodings, reconcile both headers and union them.
+    Blank and NULL fields both come back as '' (a text file keeps no NULLs).
+    """
+    import unicodedata
+
+    from starmart.schemas import RAW_COLUMNS_AND_HEADERS
+    from starmart.session import work_dir
+    from starmart.sources.csv import read_raw, write_csv_batches
+
+    raw = fines_raw(spark, sf)
+    base = work_dir(spark, "csv_roundtrip")
+    heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
+    plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]
+    half = F.col("numero_auto").isNull() | (F.abs(F.xxhash64("numero_auto")) % 2 == 0)
+    write_csv_batches(raw.filter(half), f"{base}/2023", heads, files=2)
+    rev = list(reversed(RAW_COLUMNS))
+    write_csv_batches(raw.filter(~half).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1", files=2)
+    return read_raw(spark, f"{base}/*/*.csv", with_source=False)
+
+
 def labels_and_formats(star_q1: DataFrame, years: list[int]) -> DataFrame:
     """Region summary with chart labels: thousands, millions label, signed % change, colour."""
     wide = pivot_change(star_q1, "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var", scale=1)
@@ -361,5 +394,7 @@ GENERIC = {
     "test_unique": test_unique,
     "test_accepted": test_accepted,
     "union_evolving": union_evolving,
+    "profile_report": profile_report,
+    "csv_roundtrip": csv_roundtrip,
     "append_then_distinct": append_then_distinct,
 }

@@ -149,6 +149,18 @@ def _built(fn, name: str, write: bool, rules: str):
     return (materialize(df, f"{name}_{rules}") if write else df), rows
 
 
+def register_views(star: Star, prefix: str = "") -> list[str]:
+    """Expose the star (and PREPARED) as temporary views for SQL users."""
+    names = []
+    for name in ("dim_tempo", "dim_localizacao", "dim_infracao", "dim_infrator", "fato_multa"):
+        star.table(name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    if star.prepared is not None:
+        star.prepared.createOrReplaceTempView(prefix + "prepared")
+        names.append(prefix + "prepared")
+    return names
+
+
 def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "sql") -> Star:
     """Open a star previously written with ``write_star`` (dimension sizes are re-counted from Parquet metadata)."""
     tables = {k: spark.read.parquet(p) for k, p in paths.items()}

@@ -120,6 +120,8 @@ def read_raw(
             .option("encoding", enc)
             .option("inferSchema", False)
             .option("mode", "PERMISSIVE")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .csv(sorted(group_paths))
         )
         mapping: dict[str, str] = {}
@@ -145,3 +147,29 @@ def source_year(file_col: str = "source_file") -> "F.Column":
     """The 4-digit year folder a file sits in (``.../2023/file.csv`` -> 2023), else NULL."""
     y = F.regexp_extract(F.col(file_col), r"/([0-9]{4})/[^/]*$", 1)
     return F.when(y != "", y.cast("int"))
+
+
+def first_file_columns(spark: SparkSession, paths: list[str] | str, sep: str = ";") -> list[str]:
+    """Header names of the first file in name order, decoded with its sniffed encoding."""
+    files = sorted(_file_list(spark, paths), key=lambda f: f.path)
+    if not files:
+        return []
+    f = files[0]
+    return spark.read.option("sep", sep).option("header", True).option("encoding", f.encoding).csv(f.path).columns
+
+
+def write_csv_batches(df: DataFrame, path: str, headers: list[str], encoding: str = UTF8, sep: str = ";", files: int | None = None) -> None:
+    """Write ``df`` (columns in RAW order, any subset) as delimited text files with the given header names."""
+    out = df.toDF(*headers)
+    if files:
+        out = out.repartition(files)
+    (
+        out.write.mode("overwrite")
+        .option("sep", sep)
+        .option("header", True)
+        .option("encoding", encoding)
+        # the writer trims values by default; a raw landing must keep them as they are
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -101,3 +101,14 @@ def test_blank_rows_dropped_by_date_rule(spark, tmp_path):
         nums = sorted(r["numero_auto"] for r in prepared.select("numero_auto").collect())
         assert "" not in nums and len(nums) == 7, rules
         assert prepared.filter(F.col("municipio") == "Município Ç").count() >= 1
+
+
+def test_rows_per_file_and_first_columns(spark, tmp_path):
+    from starmart.operators.profile import rows_per_source
+    from starmart.sources.csv import first_file_columns
+
+    make_files(str(tmp_path))
+    raw = read_raw(spark, str(tmp_path) + "/*/*.csv")
+    per_file = {os.path.basename(r["source_file"]): r["rows"] for r in rows_per_source(raw).orderBy("source_file").collect()}
+    assert per_file == {"a.csv": 3, "b.csv": 2, "c.csv": 1, "d.csv": 1, "e.csv": 2}
+    assert first_file_columns(spark, str(tmp_path) + "/*/*.csv")[0] == "Número do Auto"

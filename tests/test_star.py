@@ -66,3 +66,22 @@ def test_same_result_under_other_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert rows1 == rows2
     assert keys1 == keys2
+
+
+def test_views_answer_sql(spark):
+    from starmart.plans.star import register_views
+
+    star = star_for(spark, SF_SMALL, "sql")
+    names = register_views(star, prefix="t_")
+    assert "t_fato_multa" in names
+    by_sql = spark.sql(
+        "SELECT t.ano, COUNT(*) AS n FROM t_fato_multa f JOIN t_dim_tempo t ON t.id_tempo_sk = f.id_tempo_sk GROUP BY t.ano"
+    )
+    by_df = star.fato_multa.join(star.dim_tempo, "id_tempo_sk").groupBy("ano").count()
+    assert sorted(map(tuple, by_sql.collect())) == sorted(map(tuple, by_df.collect()))
+
+
+def test_reports_run_on_frame_star(spark):
+    star = star_for(spark, SF_SMALL, "frame")
+    for name, fn in R.REPORTS.items():
+        assert fn(star).count() >= 0, name
