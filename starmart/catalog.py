@@ -53,6 +53,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["test_suite"] = lambda spark, sf: _suite(star_for(spark, sf, "sql"), spark, sf)
     q["labels_and_formats"] = lambda spark, sf: G.labels_and_formats(R.q1(star_for(spark, sf, "sql")), YEARS)
     q["holiday_flag"] = lambda spark, sf: G.holiday_flag(star_for(spark, sf, "sql").dim_tempo)
+    # data tests run on the materialised PREPARED table, as warehouse tests run on the model table
+    q["test_unique"] = lambda spark, sf: G.test_unique(star_for(spark, sf, "sql").prepared)
+    q["test_accepted"] = lambda spark, sf: G.test_accepted(star_for(spark, sf, "sql").prepared)
     q.update(G.GENERIC)
     return q
 

@@ -113,29 +113,42 @@ def profile(
     key_col: str | None = None,
     text_cols: list[str] | None = None,
 ) -> DataFrame:
-    """All profiling sections as one long table (section, column_name, metric, value as text)."""
-    parts = [
-        profile_nulls(df).select(
-            F.lit("nulls").alias("section"), "column_name", F.lit("nulls").alias("metric"), F.col("nulls").cast("string").alias("value")
-        ),
-        profile_nulls(df).select(
-            F.lit("nulls").alias("section"), "column_name", F.lit("pct").alias("metric"), F.col("pct").cast("string").alias("value")
-        ),
-    ]
+    """All profiling sections as one long table (section, column_name, metric, value as text).
+
+    Null counts, date and hour validity come from one aggregate pass over
+    ``df``; duplicates and text summaries are one grouped aggregate each.
+    """
+    cols = df.columns
+    aggs = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(cols)]
+    rows = []
+    for i, c in enumerate(cols):
+        n = F.col(f"n_{i}")
+        keep = n > 0
+        rows.append((keep, "nulls", c, "nulls", n.cast("string")))
+        rows.append((keep, "nulls", c, "pct", round_percent(n, F.col("__rows"), 2).cast("string")))
     if date_col:
-        parts.append(profile_dates(df, date_col, year).select(
-            F.lit("dates").alias("section"), F.lit(date_col).alias("column_name"), "metric", F.col("value").cast("string")))
+        d = mixed_date(date_col)
+        aggs.append(F.count_if(d.isNull()).alias("d_bad"))
+        rows.append((F.lit(True), "dates", date_col, "invalid_or_null", F.col("d_bad").cast("string")))
+        if year is not None:
+            aggs.append(F.count_if(d.isNotNull() & (F.year(d) != F.lit(year))).alias("d_out"))
+            rows.append((F.lit(True), "dates", date_col, "outside_year", F.col("d_out").cast("string")))
     if hour_col:
-        parts.append(profile_hours(df, hour_col).select(
-            F.lit("hours").alias("section"), F.lit(hour_col).alias("column_name"), "metric", F.col("value").cast("string")))
+        h = hour_number(hour_col)
+        aggs += [F.count_if(h.isNull()).alias("h_bad"), F.count_if((h < V.HOUR_RANGE[0]) | (h > V.HOUR_RANGE[1])).alias("h_out")]
+        rows.append((F.lit(True), "hours", hour_col, "not_numeric", F.col("h_bad").cast("string")))
+        rows.append((F.lit(True), "hours", hour_col, "out_of_range", F.col("h_out").cast("string")))
+    one = df.agg(*aggs)
+    structs = F.array(*[
+        F.struct(keep.alias("keep"), F.lit(sec).alias("section"), F.lit(c).alias("column_name"), F.lit(m).alias("metric"), v.alias("value"))
+        for keep, sec, c, m, v in rows
+    ])
+    out = one.select(F.inline(structs)).filter("keep").drop("keep")
     if key_col:
-        parts.append(duplicate_count(df, key_col).select(
+        out = out.unionByName(duplicate_count(df, key_col).select(
             F.lit("duplicates").alias("section"), F.lit(key_col).alias("column_name"), "metric", F.col("value").cast("string")))
     if text_cols:
         d = describe_text(df, text_cols)
-        for m in ("count", "unique", "top", "freq"):
-            parts.append(d.select(F.lit("describe").alias("section"), "column_name", F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        stack = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")) for m in ("count", "unique", "top", "freq")])
+        out = out.unionByName(d.select(F.lit("describe").alias("section"), "column_name", F.inline(stack)))
     return out

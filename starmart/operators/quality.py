@@ -78,10 +78,35 @@ def failures(tables: dict[str, DataFrame], c: Check) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    out = None
+    """One row per check: (model, column_name, test, failures).
+
+    Row-wise checks (not_null, accepted_values) of one table share a single
+    aggregate pass; unique checks are one grouped aggregate each and
+    relationship checks one anti join each.
+    """
+    parts: list[DataFrame] = []
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
-        r = failures(tables, c)
-        out = r if out is None else out.unionByName(r)
+        if c.test in ("not_null", "accepted_values"):
+            by_model.setdefault(c.model, []).append(c)
+        else:
+            parts.append(failures(tables, c))
+    for model, cs in by_model.items():
+        aggs = []
+        for i, c in enumerate(cs):
+            col = F.col(c.column)
+            bad = col.isNull() if c.test == "not_null" else (col.isNotNull() & ~col.isin(c.values or []))
+            aggs.append(F.count_if(bad).cast("long").alias(f"f{i}"))
+        one = tables[model].agg(*aggs)
+        rows = F.array(*[
+            F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"),
+                     F.col(f"f{i}").alias("failures"))
+            for i, c in enumerate(cs)
+        ])
+        parts.append(one.select(F.inline(rows)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

@@ -285,12 +285,12 @@ def test_not_null(spark, sf):
     return qa.check_not_null(fines_raw(spark, sf), "numero_auto")
 
 
-def test_unique(spark, sf):
-    return qa.check_unique(normalize(fines_raw(spark, sf), "sql"), "numero_auto")
+def test_unique(prepared: DataFrame) -> DataFrame:
+    return qa.check_unique(prepared, "numero_auto")
 
 
-def test_accepted(spark, sf):
-    return qa.check_accepted(normalize(fines_raw(spark, sf), "sql"), "indicador_veiculo_estrangeiro", ["S", "N"])
+def test_accepted(prepared: DataFrame) -> DataFrame:
+    return qa.check_accepted(prepared, "indicador_veiculo_estrangeiro", ["S", "N"])
 
 
 # ---------------------------------------------------------------------------
@@ -391,8 +391,6 @@ GENERIC = {
     "profile_values": profile_values,
     "profile_terms": profile_terms,
     "test_not_null": test_not_null,
-    "test_unique": test_unique,
-    "test_accepted": test_accepted,
     "union_evolving": union_evolving,
     "profile_report": profile_report,
     "csv_roundtrip": csv_roundtrip,
