@@ -21,10 +21,10 @@ from starmart.sources.tables import fines_raw
 _STARS: dict[tuple, Star] = {}
 
 
-def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql") -> Star:
+def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql", timings: dict | None = None) -> Star:
     key = (id(spark.sparkContext), sf_dir.rstrip("/"), rules)
     if key not in _STARS:
-        _STARS[key] = build_star(normalize(fines_raw(spark, sf_dir), rules), rules)
+        _STARS[key] = build_star(normalize(fines_raw(spark, sf_dir), rules), rules, timings=timings)
     return _STARS[key]
 
 

@@ -11,6 +11,7 @@ split skewed keys.  Under the frame rules keys match NULL to NULL.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -93,11 +94,27 @@ def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed"
     return df, keyed.rows
 
 
-def build_star(prepared: DataFrame, rules: str = "sql", holidays: str = "listed", materialize_tables: bool = True) -> Star:
+def build_star(
+    prepared: DataFrame,
+    rules: str = "sql",
+    holidays: str = "listed",
+    materialize_tables: bool = True,
+    timings: dict[str, float] | None = None,
+) -> Star:
+    """Build the star from PREPARED; ``timings`` (optional) receives wall seconds per phase."""
+    clock = [time.time()]
+
+    def lap(phase: str) -> None:
+        now = time.time()
+        if timings is not None:
+            timings[phase] = round(now - clock[0], 3)
+        clock[0] = now
+
     first = 1 if rules == "sql" else 0
     null_safe = rules == "frame"
     if materialize_tables:
         prepared = materialize(prepared, f"prepared_{rules}")
+    lap("prepared")
 
     def loc_dim():
         k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first)
@@ -126,6 +143,7 @@ def build_star(prepared: DataFrame, rules: str = "sql", holidays: str = "listed"
     dim_loc, n_l = built["dim_localizacao"]
     dim_off, n_o = built["dim_infracao"]
     dim_ofr, n_v = built["dim_infrator"]
+    lap("dimensions")
 
     f = prepared
     f = lookup_key(f, dim_tempo, TIME_KEY, TIME_SK, n_t, null_safe)
@@ -136,6 +154,7 @@ def build_star(prepared: DataFrame, rules: str = "sql", holidays: str = "listed"
     fact = f.select(TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra)
     if materialize_tables:
         fact = materialize(fact, f"fato_multa_{rules}")
+    lap("fact")
 
     rows = {"dim_tempo": n_t, "dim_localizacao": n_l, "dim_infracao": n_o, "dim_infrator": n_v}
     return Star(
