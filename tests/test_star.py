@@ -85,3 +85,36 @@ def test_reports_run_on_frame_star(spark):
     star = star_for(spark, SF_SMALL, "frame")
     for name, fn in R.REPORTS.items():
         assert fn(star).count() >= 0, name
+
+
+def test_large_dimension_path_gives_same_reports(spark):
+    """With broadcasts disabled by the size check, reports pre-aggregate on the key and shuffle-join: same results."""
+    star = star_for(spark, SF_SMALL, "sql")
+    expected = {name: sorted(map(tuple, fn(star).collect())) for name, fn in R.REPORTS.items()}
+    spark.conf.set("starmart.broadcast.maxRows", "0")
+    old_auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not star.small("dim_infrator")
+        for name, fn in R.REPORTS.items():
+            df = fn(star)
+            if name == "report_q7":
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert "BroadcastHashJoin" not in plan
+            assert sorted(map(tuple, df.collect())) == expected[name], name
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
+
+
+def test_fact_build_without_broadcast(spark):
+    ref = star_for(spark, SF_SMALL, "sql").fato_multa
+    spark.conf.set("starmart.broadcast.maxRows", "0")
+    old_auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = build_star(normalize(fines_raw(spark, SF_SMALL), "sql"), "sql")
+        assert sorted(map(tuple, star.fato_multa.collect())) == sorted(map(tuple, ref.collect()))
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
