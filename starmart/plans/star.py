@@ -113,6 +113,7 @@ def build_star(
     first = 1 if rules == "sql" else 0
     null_safe = rules == "frame"
     if materialize_tables:
+        # written once: five builds read it
         prepared = materialize(prepared, f"prepared_{rules}")
     lap("prepared")
 
