@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starmart.functions import vocab as V
-from starmart.functions.text import col_, literal_map, sql_trim, upper_strip, upper_trim
+from starmart.functions.text import col_, literal_map, py_strip, sql_trim, upper_strip, upper_trim
 
 SQL, FRAME = "sql", "frame"
 
@@ -139,7 +139,7 @@ def plate_state(c: Column | str, rules: str = SQL) -> Column:
         junk = v.isin(V.PLATE_JUNK)
     else:
         v = upper_strip(c)
-        junk = (v == F.lit("/")) | (py_strip_chars(F.translate(v, "'-", "")) == F.lit("1"))
+        junk = (v == F.lit("/")) | (py_strip(F.translate(v, "'-", "")) == F.lit("1"))
     return (
         F.when(v.isin(keep), v)
         .when(junk, F.lit(V.NOT_IDENTIFIED_CODE))
@@ -148,12 +148,6 @@ def plate_state(c: Column | str, rules: str = SQL) -> Column:
     )
 
 
-def py_strip_chars(c: Column) -> Column:
-    from starmart.functions.text import py_strip
-
-    return py_strip(c)
-
-
 def foreign_flag(c: Column | str) -> Column:
     """Foreign-vehicle flag (F10), exact match: S or a neighbour country -> S; N or BR -> N; else N/I.  Same in both rule sets."""
     c = col_(c)

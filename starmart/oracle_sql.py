@@ -366,7 +366,8 @@ Q1_G = f"""q1g AS (
 )"""
 
 def _star_with(ctes: str, select: str) -> str:
-    return f"WITH {FINES_RAW_CTE},{PREPARED_SQL_CTE},{STAR_CTE},\n{ctes}\n{select}"
+    extra = f",\n{ctes}" if ctes else ""
+    return f"WITH {FINES_RAW_CTE},{PREPARED_SQL_CTE},{STAR_CTE}{extra}\n{select}"
 
 
 ORACLE["report_q1"] = _star_with(Q1_G, "SELECT * FROM q1")
@@ -408,7 +409,7 @@ ORACLE["report_q2b"] = _star_with(
     "ORDER BY media_excesso_kmh DESC NULLS LAST, especie_veiculo, tipo_veiculo, estrangeiro LIMIT 15",
 )
 ORACLE["report_q3"] = _star_with(
-    "q3 AS (SELECT 1)",
+    "",
     f"SELECT v.descricao_especie_veiculo, v.descricao_tipo_veiculo, f.excesso_verificado AS excesso_kmh FROM {FV} "
     f"WHERE f.excesso_verificado > {V.OUTLIER_EXCESS} "
     "ORDER BY excesso_kmh DESC, v.descricao_especie_veiculo, v.descricao_tipo_veiculo LIMIT 20",
@@ -427,7 +428,7 @@ ORACLE["report_q4b"] = _star_with(
     "total_autuacoes FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 10",
 )
 ORACLE["report_q5"] = _star_with(
-    "q5 AS (SELECT 1)",
+    "",
     f"SELECT t.is_feriado, t.dia_semana, COUNT(f.numero_auto) AS total_multas, {mean2('f.excesso_verificado')} AS media_excesso_velocidade_kmh "
     f"FROM {FT} JOIN dim_infracao i ON i.id_infracao_sk = f.id_infracao_sk GROUP BY 1, 2",
 )

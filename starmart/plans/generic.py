@@ -23,7 +23,6 @@ from starmart.operators import profile as prof
 from starmart.operators import quality as qa
 from starmart.operators.joins import anti_join, maybe_broadcast, semi_join
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
-from starmart.plans.prepare import normalize
 from starmart.schemas import RAW_COLUMNS
 from starmart.sources.tables import fines_raw, table
 

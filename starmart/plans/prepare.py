@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from starmart.functions import calendar as cal
 from starmart.functions import decode as dec
 from starmart.functions import parse as P
-from starmart.functions import vocab as V
 from starmart.functions.text import blank_default, null_default
 from starmart.schemas import RAW_COLUMNS
 
