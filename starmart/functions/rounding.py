@@ -49,3 +49,13 @@ def mean_of_cents(sum_cents: Column, count: Column, scale: int = 2) -> Column:
 def to_cents(x: Column) -> Column:
     """A DECIMAL(.,2) value as an integer number of hundredths."""
     return (x * 100).cast("decimal(38,0)")
+
+
+def to_units(x: Column, digits: int) -> Column:
+    """``x`` as an integer count of 10^-digits units (a DOUBLE is rounded half-up at that digit)."""
+    return (x * (10**digits)).cast("decimal(38,0)")
+
+
+def mean_of_units(sum_units: Column, count: Column, digits: int, scale: int = 2) -> Column:
+    """Mean of values given their sum in 10^-digits units, rounded half away from zero to ``scale`` decimals."""
+    return round_ratio(sum_units, count * (10**digits), scale)

@@ -338,13 +338,13 @@ def rr(num: str, den: str, scale: int = 2) -> str:
     )
 
 
-def cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS BIGINT)"
+def units(x: str, digits: int = 2) -> str:
+    return f"CAST(({x}) * {10 ** digits} AS BIGINT)"
 
 
-def mean2(x: str, cond: str | None = None) -> str:
+def mean2(x: str, cond: str | None = None, digits: int = 2) -> str:
     v = x if cond is None else f"CASE WHEN {cond} THEN {x} END"
-    return rr(f"SUM({cents(v)})", f"(COUNT({v}) * 100)", 2)
+    return rr(f"SUM({units(v, digits)})", f"(COUNT({v}) * {10 ** digits})", 2)
 
 
 FT = "fato_multa f JOIN dim_tempo t ON t.id_tempo_sk = f.id_tempo_sk"
@@ -389,11 +389,12 @@ q1s AS (SELECT ano, regiao, total_infracoes,
     "SELECT ano, regiao, CAST(total_infracoes AS DOUBLE) / 1000000.0 AS total_infracoes_m, CAST(base AS DOUBLE) / 1000000.0 AS base_m FROM q1s",
 )
 
-Q2_G = f"""q2 AS (
+def q2_cte(digits: int = 2, max_type: str = "DECIMAL(10,2)") -> str:
+    return f"""q2 AS (
   SELECT v.descricao_especie_veiculo AS especie_veiculo, v.descricao_tipo_veiculo AS tipo_veiculo,
     v.indicador_veiculo_estrangeiro AS estrangeiro, COUNT(*) AS total_infracoes,
-    {mean2('f.excesso_verificado')} AS media_excesso_kmh,
-    CAST(MAX(f.excesso_verificado) AS DECIMAL(10,2)) AS maior_excesso_kmh
+    {mean2('f.excesso_verificado', digits=digits)} AS media_excesso_kmh,
+    CAST(MAX(f.excesso_verificado) AS {max_type}) AS maior_excesso_kmh
   FROM {FV}
   WHERE f.excesso_verificado > {V.EXCESS_RANGE[0]} AND f.excesso_verificado <= {V.EXCESS_RANGE[1]}
     AND v.descricao_especie_veiculo NOT IN {lst(V.REPORT_EXCLUDED_LABELS)}
@@ -401,6 +402,9 @@ Q2_G = f"""q2 AS (
   GROUP BY 1, 2, 3
   HAVING COUNT(*) >= {V.MIN_GROUP_ROWS}
 )"""
+
+
+Q2_G = q2_cte()
 ORACLE["report_q2"] = _star_with(Q2_G, "SELECT * FROM q2")
 _fcol = "CASE estrangeiro " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in V.FOREIGN_COLOURS.items()) + f" ELSE {q(V.DEFAULT_COLOUR)} END"
 ORACLE["report_q2b"] = _star_with(
@@ -414,13 +418,17 @@ ORACLE["report_q3"] = _star_with(
     f"WHERE f.excesso_verificado > {V.OUTLIER_EXCESS} "
     "ORDER BY excesso_kmh DESC, v.descricao_especie_veiculo, v.descricao_tipo_veiculo LIMIT 20",
 )
-Q4_G = f"""q4 AS (
+def q4_cte(digits: int = 2, max_type: str = "DECIMAL(10,2)") -> str:
+    return f"""q4 AS (
   SELECT i.codigo_infracao, i.descricao_infracao, COUNT(*) AS total_autuacoes,
-    {mean2('f.excesso_verificado', 'f.excesso_verificado <> 0')} AS media_excesso_kmh,
-    CAST(MAX(f.excesso_verificado) AS DECIMAL(10,2)) AS maior_excesso_kmh
+    {mean2('f.excesso_verificado', 'f.excesso_verificado <> 0', digits)} AS media_excesso_kmh,
+    CAST(MAX(f.excesso_verificado) AS {max_type}) AS maior_excesso_kmh
   FROM {FI}
   GROUP BY 1, 2
 )"""
+
+
+Q4_G = q4_cte()
 ORACLE["report_q4"] = _star_with(Q4_G, "SELECT * FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 20")
 ORACLE["report_q4b"] = _star_with(
     Q4_G,
@@ -758,3 +766,42 @@ def _profile_report_sql() -> str:
 
 ORACLE["profile_report"] = _profile_report_sql()
 ORACLE["csv_roundtrip"] = with_raw("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in _RAW) + " FROM fines_raw")
+
+
+# ---------------------------------------------------------------------------
+# Notebook analyses on the star loaded under the frame rules (same table names)
+# ---------------------------------------------------------------------------
+FRAME_STAR_NAMED_CTE = f"""
+dim_tempo AS (
+  SELECT row_number() OVER (ORDER BY data_infracao) - 1 AS id_tempo_sk, data_infracao,
+    CAST(year(data_infracao) AS INTEGER) AS ano
+  FROM (SELECT DISTINCT data_infracao FROM fprepared)
+),
+dim_localizacao AS (SELECT * FROM fdim_loc),
+dim_infracao AS (
+  SELECT row_number() OVER (ORDER BY codigo_infracao NULLS LAST) - 1 AS id_infracao_sk, codigo_infracao,
+    descricao_infracao, enquadramento_infracao
+  FROM (SELECT codigo_infracao, max(descricao_abreviada_infracao) AS descricao_infracao,
+          max(enquadramento_infracao) AS enquadramento_infracao FROM fprepared GROUP BY codigo_infracao)
+),
+dim_infrator AS (SELECT * FROM fdim_ofr),
+fato_multa AS (
+  SELECT t.id_tempo_sk, l.id_localizacao_sk, i.id_infracao_sk, v.id_infrator_sk, s.numero_auto, s.qtd_infracoes,
+    s.medicao_considerada, s.excesso_verificado
+  FROM fprepared s
+  LEFT JOIN dim_tempo t ON s.data_infracao IS NOT DISTINCT FROM t.data_infracao
+  LEFT JOIN fdim_loc l ON {_ns('s', 'l', _LOC)}
+  LEFT JOIN dim_infracao i ON s.codigo_infracao IS NOT DISTINCT FROM i.codigo_infracao
+  LEFT JOIN fdim_ofr v ON {_ns('s', 'v', _OFR)}
+)"""
+
+
+def _frame_star_with(ctes: str, select: str) -> str:
+    return f"WITH {FINES_RAW_CTE},{PREPARED_FRAME_CTE},{FRAME_STAR_CTE},{FRAME_STAR_NAMED_CTE},\n{ctes}\n{select}"
+
+
+ORACLE["report_q1_frame"] = _frame_star_with(Q1_G, "SELECT * FROM q1")
+ORACLE["report_q2_frame"] = _frame_star_with(q2_cte(6, "DOUBLE"), "SELECT * FROM q2")
+ORACLE["report_q4_frame"] = _frame_star_with(
+    q4_cte(6, "DOUBLE"), "SELECT * FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 20"
+)

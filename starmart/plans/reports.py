@@ -17,15 +17,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions import vocab as V
 from starmart.functions.decode import region
 from starmart.functions.labels import code_label, colour, millions, pair_label
-from starmart.functions.rounding import mean_of_cents, to_cents
+from starmart.functions.rounding import mean_of_units, to_units
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
 from starmart.plans.star import DIMENSIONS, Star
 
-DEC2 = "decimal(10,2)"
 
 
 @dataclass
@@ -94,11 +94,26 @@ def star_rollup(
     return pre.groupBy(*groups).agg(*[_merge(m) for m in measures])
 
 
-def _cents_measures(col: str, prefix: str, nonzero: bool = False) -> list[Measure]:
+def _digits(star: Star, col: str = "excesso_verificado") -> int:
+    """Exact digits of a fact measure: a DECIMAL's scale; a DOUBLE is taken to 6 decimals."""
+    dt = star.fato_multa.schema[col].dataType
+    return dt.scale if isinstance(dt, T.DecimalType) else 6
+
+
+def _mean_measures(star: Star, col: str, prefix: str, nonzero: bool = False) -> list[Measure]:
     x = F.col(col)
     if nonzero:
         x = F.when(x != 0, x)
-    return [Measure(f"{prefix}_sum", "sum", to_cents(x)), Measure(f"{prefix}_n", "count", x)]
+    return [Measure(f"{prefix}_sum", "sum", to_units(x, _digits(star, col))), Measure(f"{prefix}_n", "count", x)]
+
+
+def _mean(star: Star, prefix: str, col: str = "excesso_verificado") -> Column:
+    return mean_of_units(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n"), _digits(star, col))
+
+
+def _as_measure(star: Star, name: str, col: str = "excesso_verificado") -> Column:
+    """A max/min result in the fact measure's own type (DECIMAL(10,2) or DOUBLE)."""
+    return F.col(name).cast(star.fato_multa.schema[col].dataType).alias(name)
 
 
 # ---------------------------------------------------------------------------
@@ -145,7 +160,7 @@ def q2(star: Star) -> DataFrame:
     g = star_rollup(
         star,
         {"dim_infrator": ["descricao_especie_veiculo", "descricao_tipo_veiculo", "indicador_veiculo_estrangeiro"]},
-        [Measure("total_infracoes", "count"), *_cents_measures("excesso_verificado", "ex"), Measure("maior_excesso_kmh", "max", ex)],
+        [Measure("total_infracoes", "count"), *_mean_measures(star, "excesso_verificado", "ex"), Measure("maior_excesso_kmh", "max", ex)],
         fact_filter=(ex > lo) & (ex <= hi),
         dim_filters={
             "dim_infrator": ~F.col("descricao_especie_veiculo").isin(V.REPORT_EXCLUDED_LABELS)
@@ -157,8 +172,8 @@ def q2(star: Star) -> DataFrame:
         F.col("descricao_tipo_veiculo").alias("tipo_veiculo"),
         F.col("indicador_veiculo_estrangeiro").alias("estrangeiro"),
         F.col("total_infracoes").cast("long").alias("total_infracoes"),
-        mean_of_cents(F.col("ex_sum"), F.col("ex_n")).alias("media_excesso_kmh"),
-        F.col("maior_excesso_kmh").cast(DEC2).alias("maior_excesso_kmh"),
+        _mean(star, "ex").alias("media_excesso_kmh"),
+        _as_measure(star, "maior_excesso_kmh"),
     )
 
 
@@ -195,7 +210,7 @@ def q4_all(star: Star) -> DataFrame:
         {"dim_infracao": ["codigo_infracao", "descricao_infracao"]},
         [
             Measure("total_autuacoes", "count"),
-            *_cents_measures("excesso_verificado", "nz", nonzero=True),
+            *_mean_measures(star, "excesso_verificado", "nz", nonzero=True),
             Measure("maior_excesso_kmh", "max", F.col("excesso_verificado")),
         ],
     )
@@ -203,8 +218,8 @@ def q4_all(star: Star) -> DataFrame:
         "codigo_infracao",
         "descricao_infracao",
         F.col("total_autuacoes").cast("long").alias("total_autuacoes"),
-        mean_of_cents(F.col("nz_sum"), F.col("nz_n")).alias("media_excesso_kmh"),
-        F.col("maior_excesso_kmh").cast(DEC2).alias("maior_excesso_kmh"),
+        _mean(star, "nz").alias("media_excesso_kmh"),
+        _as_measure(star, "maior_excesso_kmh"),
     )
 
 
@@ -230,14 +245,14 @@ def q5(star: Star) -> DataFrame:
     g = star_rollup(
         star,
         {"dim_tempo": ["is_feriado", "dia_semana"]},
-        [Measure("total_multas", "count", F.col("numero_auto")), *_cents_measures("excesso_verificado", "ex")],
+        [Measure("total_multas", "count", F.col("numero_auto")), *_mean_measures(star, "excesso_verificado", "ex")],
         exists=["dim_infracao"],
     )
     return g.select(
         "is_feriado",
         "dia_semana",
         F.col("total_multas").cast("long").alias("total_multas"),
-        mean_of_cents(F.col("ex_sum"), F.col("ex_n")).alias("media_excesso_velocidade_kmh"),
+        _mean(star, "ex").alias("media_excesso_velocidade_kmh"),
     )
 
 
