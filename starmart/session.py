@@ -14,6 +14,18 @@ from pyspark.sql import SparkSession
 
 _LOCAL_DIRS: dict[int, str] = {}
 
+# Settings the library is tuned for; set them on a cluster session too.
+RECOMMENDED_CONF: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The cleaning projections generate methods over 8000 bytes of bytecode, which the JVM
+    # will not JIT-compile; at this limit Spark falls back to per-expression code for those
+    # stages only, which runs about twice as fast here.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starmart") -> SparkSession:
     builder = (
@@ -22,13 +34,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in RECOMMENDED_CONF.items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
