@@ -146,11 +146,18 @@ def build_star(
     dim_ofr, n_v = built["dim_infrator"]
     lap("dimensions")
 
+    lookups = [
+        (dim_tempo, TIME_KEY, TIME_SK, n_t),
+        (dim_loc, LOCATION_KEY, LOCATION_SK, n_l),
+        (dim_off, OFFENCE_KEY, OFFENCE_SK, n_o),
+        (dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v),
+    ]
+    # broadcast lookups first (they pipeline into the scan); shuffle joins last and largest last,
+    # so each shuffled fact row already carries narrow keys instead of the resolved text columns
+    lookups.sort(key=lambda t: (not can_broadcast(t[0], t[3]), t[3]))
     f = prepared
-    f = lookup_key(f, dim_tempo, TIME_KEY, TIME_SK, n_t, null_safe)
-    f = lookup_key(f, dim_loc, LOCATION_KEY, LOCATION_SK, n_l, null_safe)
-    f = lookup_key(f, dim_off, OFFENCE_KEY, OFFENCE_SK, n_o, null_safe)
-    f = lookup_key(f, dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v, null_safe)
+    for dim, keys, sk, n in lookups:
+        f = lookup_key(f, dim, keys, sk, n, null_safe)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
     fact = f.select(TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra)
     if materialize_tables:
