@@ -188,8 +188,23 @@ def register_views(star: Star, prefix: str = "") -> list[str]:
     return names
 
 
+TABLES = ("dim_tempo", "dim_localizacao", "dim_infracao", "dim_infrator", "fato_multa")
+
+
+def write_star(star: Star, target_dir: str) -> dict[str, str]:
+    """Replace the five star tables under ``target_dir`` (one Parquet folder each); returns their paths."""
+    from starmart.sources.sinks import write_table
+
+    paths = {}
+    for name in TABLES:
+        path = f"{target_dir.rstrip('/')}/{name}"
+        write_table(star.table(name), path=path, mode="overwrite")
+        paths[name] = path
+    return paths
+
+
 def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "sql") -> Star:
-    """Open a star previously written with ``write_star`` (dimension sizes are re-counted from Parquet metadata)."""
-    tables = {k: spark.read.parquet(p) for k, p in paths.items()}
+    """Open a star written by ``write_star``; dimension sizes are re-counted (Parquet metadata counts)."""
+    tables = {k: spark.read.parquet(p) for k, p in paths.items() if k in TABLES}
     rows = {k: tables[k].count() for k in DIMENSIONS}
     return Star(rules=rules, rows=rows, **tables)

@@ -118,3 +118,15 @@ def test_fact_build_without_broadcast(spark):
     finally:
         spark.conf.unset("starmart.broadcast.maxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
+
+
+def test_write_and_reopen_star(spark, tmp_path):
+    from starmart.plans.star import star_from_tables, write_star
+
+    star = star_for(spark, SF_SMALL, "sql")
+    paths = write_star(star, str(tmp_path / "warehouse"))
+    write_star(star, str(tmp_path / "warehouse"))  # replace, not append
+    again = star_from_tables(spark, paths)
+    assert again.rows == star.rows
+    assert again.fato_multa.count() == star.fato_multa.count()
+    assert sorted(map(tuple, R.q8(again).collect())) == sorted(map(tuple, R.q8(star).collect()))
