@@ -130,3 +130,13 @@ def test_write_and_reopen_star(spark, tmp_path):
     assert again.rows == star.rows
     assert again.fato_multa.count() == star.fato_multa.count()
     assert sorted(map(tuple, R.q8(again).collect())) == sorted(map(tuple, R.q8(star).collect()))
+
+
+def test_empty_input_flows_through(spark):
+    raw = fines_raw(spark, SF_SMALL).filter(F.lit(False))
+    for rules in ("sql", "frame"):
+        star = build_star(normalize(raw, rules), rules)
+        assert all(v == 0 for v in star.rows.values())
+        assert star.fato_multa.count() == 0
+        for name, fn in R.REPORTS.items():
+            assert fn(star).count() >= 0, (rules, name)
