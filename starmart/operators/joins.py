@@ -46,14 +46,6 @@ def maybe_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
     return F.broadcast(df) if can_broadcast(df, rows) else df
 
 
-def key_condition(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = False) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k]) if null_safe else (left[k] == right[k])
-        cond = c if cond is None else (cond & c)
-    return cond
-
-
 def lookup_key(
     df: DataFrame,
     dim: DataFrame,
