@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.session import work_dir
@@ -63,12 +63,14 @@ def assign_dense_keys(
     df.orderBy(*_order_cols(order, nulls_last)).withColumn("__mid", F.monotonically_increasing_id()).write.parquet(path)
     ordered = spark.read.parquet(path)
     pid = F.shiftright(F.col("__mid"), _LOW_BITS)
-    counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", "__n", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    offsets_local = offsets.collect()  # one row per partition: bounded by the partition count
-    total = sum(r["__n"] for r in offsets_local)
-    off_df = df.sparkSession.createDataFrame([(r["__pid"], r["__off"]) for r in offsets_local], "__pid long, __off long")
+    # one (partition, rows) pair per partition: bounded by the partition count, not by the data
+    counts = sorted((r[0], r[1]) for r in ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for p_id, n in counts:
+        offsets.append((p_id, running))
+        running += n
+    total = running
+    off_df = spark.createDataFrame(offsets, "__pid long, __off long")
     keyed = ordered.join(F.broadcast(off_df), pid == F.col("__pid"), "inner").select(
         (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW_MASK)) + F.lit(first)).cast("long").alias(sk),
         *[F.col(c) for c in cols],

@@ -112,3 +112,18 @@ def test_rows_per_file_and_first_columns(spark, tmp_path):
     per_file = {os.path.basename(r["source_file"]): r["rows"] for r in rows_per_source(raw).orderBy("source_file").collect()}
     assert per_file == {"a.csv": 3, "b.csv": 2, "c.csv": 1, "d.csv": 1, "e.csv": 2}
     assert first_file_columns(spark, str(tmp_path) + "/*/*.csv")[0] == "Número do Auto"
+
+
+def test_load_warehouse_end_to_end(spark, tmp_path):
+    from starmart.plans.reports import REPORTS
+    from starmart.plans.warehouse import load_warehouse, write_reports
+
+    make_files(str(tmp_path / "in"))
+    for rules in ("sql", "frame"):
+        star = load_warehouse(spark, str(tmp_path / "in") + "/*/*.csv", str(tmp_path / rules / "star"), rules)
+        assert star.fato_multa.count() == 7
+        assert spark.read.parquet(str(tmp_path / rules / "star" / "fato_multa")).count() == 7
+        paths = write_reports(star, str(tmp_path / rules / "reports"))
+        assert set(paths) == set(REPORTS)
+        q1 = spark.read.parquet(paths["report_q1"]).collect()
+        assert sum(r["total_autos"] for r in q1) == 7
