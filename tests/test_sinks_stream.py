@@ -51,3 +51,17 @@ def test_streaming_append_once(spark, tmp_path):
     r = spark.read.parquet(out)
     assert r.count() == 2
     assert r.filter(F.col("numero_auto") == "").count() == 1
+
+
+def test_spread_only_for_few_files(spark, tmp_path):
+    from starmart.sources.tables import spread
+
+    par = spark.sparkContext.defaultParallelism
+    many = str(tmp_path / "many")
+    spark.range(0, 1000, numPartitions=par + 2).write.parquet(many)
+    one = str(tmp_path / "one")
+    spark.range(0, 1000, numPartitions=1).write.parquet(one)
+    many_df, one_df = spark.read.parquet(many), spark.read.parquet(one)
+    assert spread(many_df) is many_df
+    plan = spread(one_df)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
