@@ -22,13 +22,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rules", choices=["sql", "frame"], default="sql")
     ap.add_argument("--holidays", choices=["listed", "computed"], default="listed")
     ap.add_argument("--sep", default=";")
+    ap.add_argument("--multiline", action="store_true", help="quoted fields may contain line breaks")
     args = ap.parse_args(argv)
     builder = SparkSession.builder.appName("starmart")
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    star = load_warehouse(spark, args.inputs, f"{args.target}/star", args.rules, args.holidays, args.sep)
+    star = load_warehouse(spark, args.inputs, f"{args.target}/star", args.rules, args.holidays, args.sep, args.multiline)
     write_reports(star, f"{args.target}/reports")
 
 

@@ -23,9 +23,10 @@ def load_warehouse(
     rules: str = "sql",
     holidays: str = "listed",
     sep: str = ";",
+    multiline: bool = False,
 ) -> Star:
     """Ingest the files, clean them under ``rules``, build the star and (optionally) write it under ``target_dir``."""
-    raw = read_raw(spark, paths, sep=sep, with_source=False)
+    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline)
     star = build_star(normalize(raw, rules, holidays), rules, holidays)
     if target_dir:
         write_star(star, target_dir)

@@ -106,8 +106,14 @@ def read_raw(
     paths: list[str] | str,
     sep: str = ";",
     with_source: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
-    """Read delimited files with varying encodings and headers into RAW (+ ``source_file``)."""
+    """Read delimited files with varying encodings and headers into RAW (+ ``source_file``).
+
+    ``multiline=True`` accepts quoted fields that contain line breaks; each
+    file is then read by one task (it cannot be split), so leave it off for
+    large files without such fields.
+    """
     files = _file_list(spark, paths)
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
     for f in files:
@@ -122,6 +128,7 @@ def read_raw(
             .option("mode", "PERMISSIVE")
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
+            .option("multiLine", multiline)
             .csv(sorted(group_paths))
         )
         mapping: dict[str, str] = {}

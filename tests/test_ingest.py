@@ -127,3 +127,16 @@ def test_load_warehouse_end_to_end(spark, tmp_path):
         assert set(paths) == set(REPORTS)
         q1 = spark.read.parquet(paths["report_q1"]).collect()
         assert sum(r["total_autos"] for r in q1) == 7
+
+
+def test_quoted_fields_with_separator_and_newline(spark, tmp_path):
+    base = tmp_path / "q"
+    os.makedirs(base / "2022")
+    vals = [_row(1)[c] for c in RAW_COLUMNS]
+    vals[RAW_COLUMNS.index("municipio")] = '"A;B"'
+    vals[RAW_COLUMNS.index("descricao_abreviada_infracao")] = '"linha 1\nlinha 2"'
+    with open(base / "2022" / "m.csv", "w", encoding="utf-8") as f:
+        f.write(";".join(HEADERS) + "\n" + ";".join(vals) + "\n")
+    raw = read_raw(spark, str(base) + "/*/*.csv", multiline=True)
+    r = raw.collect()
+    assert len(r) == 1 and r[0]["municipio"] == "A;B" and r[0]["descricao_abreviada_infracao"] == "linha 1\nlinha 2"
