@@ -113,3 +113,14 @@ def test_round_ratio_is_exact(spark):
     df = spark.createDataFrame(rows, "n long, d long, s int")
     got = [r[0] for r in df.select(round_ratio(F.col("n"), F.col("d"), 2)).collect()]
     assert got == [Decimal("0.13"), Decimal("-0.13"), Decimal("0.01"), Decimal("0.67"), None, Decimal("0.05"), Decimal("-0.05")]
+
+
+def test_holiday_calendar_and_changed_values(spark):
+    from starmart.operators.profile import changed_values
+
+    cal_df = cal.holiday_calendar(spark, [2022, 2023, 2024])
+    assert cal_df.count() == 3 * 8 + 12
+    assert cal.holiday_calendar(spark, [2025], "computed").filter(F.col("data") == F.lit("2025-04-18").cast("date")).count() == 1
+    df = spark.createDataFrame([("c",), ("C",), ("x",), ("c",)], "s string")
+    got = {(r["before"], r["after"]): r["n"] for r in changed_values(df.withColumn("t", dec.direction("s", "sql")), "s", "t").collect()}
+    assert got == {("c", "Crescente"): 2, ("C", "Crescente"): 1, ("x", "NÃO INFORMADO"): 1}
