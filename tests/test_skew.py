@@ -43,3 +43,14 @@ def test_hot_group_aggregates_pre_combine(spark):
     plan = g._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert {r["k"]: r["count"] for r in g.collect()} == {"HOT": 20_000, "c": 40_000}
+
+
+def test_semi_join_pre_combines_hot_key(spark):
+    from starmart.operators.joins import semi_join
+
+    left = spark.range(0, 100).withColumnRenamed("id", "k")
+    right = spark.range(0, 60_000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
+    out = semi_join(left, right, "k")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan
+    assert sorted(r["k"] for r in out.collect()) == list(range(50))
