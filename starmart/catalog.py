@@ -48,7 +48,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name, fn in R.REPORTS.items():
         q[name] = _report(fn)
     # the notebook analyses read the star loaded by the data-frame pipeline
-    for name in ("report_q1", "report_q2", "report_q4"):
+    for name in ("report_q1", "report_q1b", "report_q1c", "report_q2", "report_q2b", "report_q4", "report_q4b"):
         q[f"{name}_frame"] = (lambda fn: lambda spark, sf: fn(star_for(spark, sf, "frame")))(R.REPORTS[name])
     q["dim_location_frame"] = _star_table("dim_localizacao", "frame")
     q["dim_offender_frame"] = _star_table("dim_infrator", "frame")

@@ -805,3 +805,33 @@ ORACLE["report_q2_frame"] = _frame_star_with(q2_cte(6, "DOUBLE"), "SELECT * FROM
 ORACLE["report_q4_frame"] = _frame_star_with(
     q4_cte(6, "DOUBLE"), "SELECT * FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 20"
 )
+
+
+def _frame_variant(sql_version: str, ctes: str) -> str:
+    """Reuse a star report's final SELECT over the frame-rule star with the given report CTEs."""
+    select = sql_version.rsplit("\n", 1)[1]
+    return _frame_star_with(ctes, select)
+
+
+ORACLE["report_q1b_frame"] = _frame_variant(
+    ORACLE["report_q1b"], Q1_G + f""", q1p AS (SELECT regiao, {_pivot} FROM q1 GROUP BY regiao)"""
+)
+ORACLE["report_q1c_frame"] = _frame_star_with(
+    Q1_G
+    + f""", q1r AS (SELECT ano, regiao, CAST(SUM(total_infracoes) AS BIGINT) AS total_infracoes, {_pos} AS pos
+             FROM q1 GROUP BY ano, regiao),
+q1s AS (SELECT ano, regiao, total_infracoes,
+          CAST(coalesce(SUM(total_infracoes) OVER (PARTITION BY ano ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS base
+        FROM q1r WHERE pos > 0)""",
+    "SELECT ano, regiao, CAST(total_infracoes AS DOUBLE) / 1000000.0 AS total_infracoes_m, CAST(base AS DOUBLE) / 1000000.0 AS base_m FROM q1s",
+)
+ORACLE["report_q2b_frame"] = _frame_star_with(
+    q2_cte(6, "DOUBLE"),
+    f"SELECT *, especie_veiculo || ' / ' || tipo_veiculo AS label, {_fcol} AS cor FROM q2 "
+    "ORDER BY media_excesso_kmh DESC NULLS LAST, especie_veiculo, tipo_veiculo, estrangeiro LIMIT 15",
+)
+ORACLE["report_q4b_frame"] = _frame_star_with(
+    q4_cte(6, "DOUBLE"),
+    f"SELECT codigo_infracao, '[' || CAST(codigo_infracao AS VARCHAR) || '] ' || substr(descricao_infracao, 1, {V.LABEL_PREFIX_CHARS}) || '...' AS label, "
+    "total_autuacoes FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 10",
+)
