@@ -4,7 +4,7 @@
   ``mode='overwrite_partitions'`` replaces only the partitions present in the
   new data (an idempotent re-load of one year/month), the safe replacement
   for appending the same load twice.
-* ``append_table``: plain append (the reference's batch inserts).
+* ``append_table``: plain append (a batch insert into the landing table).
 * ``create_raw_table``: the 25-text-column landing table, created if absent.
 * ``write_jdbc``: an external database sink with a batch size; it needs a
   reachable database and is not exercised by the tests.
