@@ -36,8 +36,8 @@ MOJIBAKE_REPLACEMENT = "ï¿½"
 
 
 def _fold(s: str) -> str:
-    """lower-case, trimmed, accents removed, inner blanks collapsed."""
-    s = unicodedata.normalize("NFD", s.strip().lower())
+    """lower-case, trimmed, accents removed, inner blanks collapsed (a byte-order mark is ignored)."""
+    s = unicodedata.normalize("NFD", s.replace("\ufeff", "").strip().lower())
     s = "".join(ch for ch in s if not unicodedata.combining(ch))
     return re.sub(r"\s+", " ", s)
 

@@ -140,3 +140,13 @@ def test_quoted_fields_with_separator_and_newline(spark, tmp_path):
     raw = read_raw(spark, str(base) + "/*/*.csv", multiline=True)
     r = raw.collect()
     assert len(r) == 1 and r[0]["municipio"] == "A;B" and r[0]["descricao_abreviada_infracao"] == "linha 1\nlinha 2"
+
+
+def test_header_with_byte_order_mark(spark, tmp_path):
+    assert resolve_header("﻿Número do Auto") == "numero_auto"
+    base = tmp_path / "bom"
+    os.makedirs(base / "2022")
+    with open(base / "2022" / "b.csv", "w", encoding="utf-8-sig") as f:
+        f.write(";".join(HEADERS) + "\n" + ";".join(_row(5)[c] for c in RAW_COLUMNS) + "\n")
+    raw = read_raw(spark, str(base) + "/*/*.csv")
+    assert [r["numero_auto"] for r in raw.collect()] == ["A5"]
