@@ -7,6 +7,7 @@ reports read the materialised warehouse tables.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,15 @@ from starmart.plans.star import Star, build_star
 from starmart.sources.tables import fines_raw
 
 _STARS: dict[tuple, Star] = {}
+_LOCK = threading.Lock()
 
 
 def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql", timings: dict | None = None) -> Star:
     key = (id(spark.sparkContext), sf_dir.rstrip("/"), rules)
-    if key not in _STARS:
-        _STARS[key] = build_star(normalize(fines_raw(spark, sf_dir), rules), rules, timings=timings)
-    return _STARS[key]
+    with _LOCK:  # queries submitted from several threads build a star once
+        if key not in _STARS:
+            _STARS[key] = build_star(normalize(fines_raw(spark, sf_dir), rules), rules, timings=timings)
+        return _STARS[key]
 
 
 def _star_table(name: str, rules: str = "sql") -> Callable[[SparkSession, str], DataFrame]:
