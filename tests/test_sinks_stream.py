@@ -65,3 +65,17 @@ def test_spread_only_for_few_files(spark, tmp_path):
     assert spread(many_df) is many_df
     plan = spread(one_df)._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning" in plan
+
+
+def test_streaming_rejects_other_layout(spark, tmp_path):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    src = tmp_path / "in2"
+    os.makedirs(src)
+    headers = list(reversed([h for _, h in RAW_COLUMNS_AND_HEADERS]))  # same names, other order
+    with open(src / "m.csv", "w", encoding="utf-8") as f:
+        f.write(";".join(headers) + "\n" + ";".join(["v"] * 25) + "\n")
+    q = start_raw_append(spark, str(src), str(tmp_path / "out2"), str(tmp_path / "ck2"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
