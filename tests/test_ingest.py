@@ -150,3 +150,20 @@ def test_header_with_byte_order_mark(spark, tmp_path):
         f.write(";".join(HEADERS) + "\n" + ";".join(_row(5)[c] for c in RAW_COLUMNS) + "\n")
     raw = read_raw(spark, str(base) + "/*/*.csv")
     assert [r["numero_auto"] for r in raw.collect()] == ["A5"]
+
+
+def test_sniff_and_read_with_many_splits(spark, tmp_path):
+    base = tmp_path / "split"
+    rows = [[_row(i)[c] for c in RAW_COLUMNS] for i in range(400)]
+    _write(str(base / "2022" / "big.csv"), HEADERS, rows, "latin-1")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        s = sniff_files(spark, str(base) + "/*/*.csv").collect()
+        assert len(s) == 1 and s[0]["header_line"].startswith("N") and not s[0]["valid_utf8"]
+        raw = read_raw(spark, str(base) + "/*/*.csv")
+        assert raw.rdd.getNumPartitions() > 1
+        assert raw.count() == 400
+        assert raw.filter(F.col("municipio") == "Município Ç").count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
