@@ -17,7 +17,7 @@ from starmart.plans import generic as G
 from starmart.plans import reports as R
 from starmart.plans.prepare import normalize
 from starmart.plans.star import Star, build_star
-from starmart.sources.tables import fines_raw
+from starmart.sources.tables import landing
 
 _STARS: dict[tuple, Star] = {}
 _LOCK = threading.Lock()
@@ -27,7 +27,7 @@ def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql", timings: dict
     key = (id(spark.sparkContext), sf_dir.rstrip("/"), rules)
     with _LOCK:  # queries submitted from several threads build a star once
         if key not in _STARS:
-            _STARS[key] = build_star(normalize(fines_raw(spark, sf_dir), rules), rules, timings=timings)
+            _STARS[key] = build_star(normalize(landing(spark, sf_dir), rules), rules, timings=timings)
         return _STARS[key]
 
 
@@ -41,8 +41,8 @@ def _report(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    q["prepared_sql"] = lambda spark, sf: normalize(fines_raw(spark, sf), "sql")
-    q["prepared_frame"] = lambda spark, sf: normalize(fines_raw(spark, sf), "frame")
+    q["prepared_sql"] = lambda spark, sf: normalize(landing(spark, sf), "sql")
+    q["prepared_frame"] = lambda spark, sf: normalize(landing(spark, sf), "frame")
     q["dim_time"] = _star_table("dim_tempo")
     q["dim_location"] = _star_table("dim_localizacao")
     q["dim_offence"] = _star_table("dim_infracao")
@@ -71,5 +71,5 @@ YEARS = [2022, 2023, 2024]
 
 def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:
     tables = {n: star.table(n) for n in ("dim_tempo", "dim_localizacao", "dim_infracao", "dim_infrator", "fato_multa")}
-    tables["prepared"] = star.prepared if star.prepared is not None else normalize(fines_raw(spark, sf), "sql")
+    tables["prepared"] = star.prepared if star.prepared is not None else normalize(landing(spark, sf), "sql")
     return run_checks(tables, STAR_CHECKS)

@@ -24,7 +24,7 @@ from starmart.operators import quality as qa
 from starmart.operators.joins import anti_join, maybe_broadcast, semi_join
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
 from starmart.schemas import RAW_COLUMNS
-from starmart.sources.tables import fines_raw, table
+from starmart.sources.tables import landing, table
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def orphan_rows(spark: SparkSession, sf: str) -> DataFrame:
 # Rule tables over the raw fines: (before, after_sql, after_frame, n)
 # ---------------------------------------------------------------------------
 def _rule_table(spark: SparkSession, sf: str, column: str, sql_expr, frame_expr) -> DataFrame:
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     return raw.groupBy(
         F.col(column).alias("before"), sql_expr.alias("after_sql"), frame_expr.alias("after_frame")
     ).agg(F.count(F.lit(1)).cast("long").alias("n"))
@@ -202,7 +202,7 @@ def parse_km_both(spark, sf):
 
 
 def _field_rules(spark, sf, specs) -> DataFrame:
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     out = None
     for field, sql_e, frame_e in specs:
         g = raw.groupBy(
@@ -228,7 +228,7 @@ def parse_decimal_comma(spark, sf):
 
 
 def parse_date(spark, sf):
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     return raw.groupBy(
         F.col("data_infracao").alias("before"), P.iso_date("data_infracao").alias("after")
     ).agg(F.count(F.lit(1)).cast("long").alias("n"))
@@ -250,38 +250,38 @@ def holiday_flag(dim_tempo: DataFrame) -> DataFrame:
 # Profiling and data tests over the raw fines
 # ---------------------------------------------------------------------------
 def profile_nulls(spark, sf):
-    return prof.profile_nulls(fines_raw(spark, sf))
+    return prof.profile_nulls(landing(spark, sf))
 
 
 def profile_dates(spark, sf):
-    return prof.profile_dates(fines_raw(spark, sf), "data_infracao", year=2023)
+    return prof.profile_dates(landing(spark, sf), "data_infracao", year=2023)
 
 
 def profile_hours(spark, sf):
-    return prof.profile_hours(fines_raw(spark, sf), "hora_infracao")
+    return prof.profile_hours(landing(spark, sf), "hora_infracao")
 
 
 def profile_duplicates(spark, sf):
-    return prof.duplicate_count(fines_raw(spark, sf), "numero_auto")
+    return prof.duplicate_count(landing(spark, sf), "numero_auto")
 
 
 def profile_text(spark, sf):
-    return prof.describe_text(fines_raw(spark, sf), ["medicao_infracao", "medicao_considerada"])
+    return prof.describe_text(landing(spark, sf), ["medicao_infracao", "medicao_considerada"])
 
 
 PROFILED_CATEGORIES = ["uf_infracao", "uf_placa", "indicador_veiculo_estrangeiro", "indicador_abordagem", "assinatura_auto", "sentido_trafego"]
 
 
 def profile_values(spark, sf):
-    return prof.distinct_values(fines_raw(spark, sf), PROFILED_CATEGORIES)
+    return prof.distinct_values(landing(spark, sf), PROFILED_CATEGORIES)
 
 
 def profile_terms(spark, sf):
-    return prof.term_counts(fines_raw(spark, sf), "descricao_marca_veiculo", V.MISSING_TERMS)
+    return prof.term_counts(landing(spark, sf), "descricao_marca_veiculo", V.MISSING_TERMS)
 
 
 def test_not_null(spark, sf):
-    return qa.check_not_null(fines_raw(spark, sf), "numero_auto")
+    return qa.check_not_null(landing(spark, sf), "numero_auto")
 
 
 def test_unique(prepared: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def test_accepted(prepared: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def union_evolving(spark, sf):
     """Two loads with different column sets, unioned by name; absent columns are NULL."""
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     a = raw.select("numero_auto", "data_infracao", "uf_infracao", "km_infracao")
     b = raw.select("municipio", "numero_auto", "data_infracao", F.lit("x").alias("coluna_extra"))
     u = a.unionByName(b, allowMissingColumns=True)
@@ -307,14 +307,14 @@ def union_evolving(spark, sf):
 
 def append_then_distinct(spark, sf):
     """The same load appended twice, then whole-row duplicates removed."""
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     return raw.unionByName(raw).distinct()
 
 
 def profile_report(spark, sf):
     """The full profiling report of the raw fines as one long table."""
     return prof.profile(
-        fines_raw(spark, sf), date_col="data_infracao", year=2023, hour_col="hora_infracao", key_col="numero_auto",
+        landing(spark, sf), date_col="data_infracao", year=2023, hour_col="hora_infracao", key_col="numero_auto",
         text_cols=["medicao_infracao", "medicao_considerada"],
     )
 
@@ -333,7 +333,7 @@ def csv_roundtrip(spark, sf):
     from starmart.session import work_dir
     from starmart.sources.csv import read_raw, write_csv_batches
 
-    raw = fines_raw(spark, sf)
+    raw = landing(spark, sf)
     base = work_dir(spark, "csv_roundtrip")
     heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
     plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]

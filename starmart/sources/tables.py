@@ -8,6 +8,8 @@ and on the independent SQL engine used as the oracle.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = [
@@ -71,3 +73,24 @@ def fines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = FINES_RAW_SQL.replace("FROM lineitem JOIN part", "FROM {lineitem} JOIN {part}")
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"]
     return spark.sql(text, lineitem=spread(table(spark, sf_dir, "lineitem", cols)), part=table(spark, sf_dir, "part"))
+
+
+_LANDING: dict[tuple, DataFrame] = {}
+_LANDING_LOCK = threading.Lock()
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fines_raw`` written once per session as the raw landing table (Parquet in the shared folder).
+
+    Every later step reads the landed rows, as a warehouse reads its raw
+    table, instead of re-deriving them from lineitem and part.
+    """
+    from starmart.session import work_dir
+
+    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    with _LANDING_LOCK:
+        if key not in _LANDING:
+            path = work_dir(spark, "landing_raw")
+            fines_raw(spark, sf_dir).write.parquet(path)
+            _LANDING[key] = spark.read.parquet(path)
+        return _LANDING[key]
