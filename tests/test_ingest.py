@@ -167,3 +167,13 @@ def test_sniff_and_read_with_many_splits(spark, tmp_path):
         assert raw.filter(F.col("municipio") == "Município Ç").count() == 400
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_crlf_line_endings(spark, tmp_path):
+    base = tmp_path / "crlf"
+    os.makedirs(base / "2022")
+    with open(base / "2022" / "w.csv", "w", encoding="latin-1", newline="") as f:
+        f.write(";".join(HEADERS) + "\r\n" + ";".join(_row(9)[c] for c in RAW_COLUMNS) + "\r\n")
+    raw = read_raw(spark, str(base) + "/*/*.csv")
+    r = raw.first()
+    assert r["numero_auto"] == "A9" and r["qtd_infracoes"] == "1" and r["municipio"] == "Município Ç"
