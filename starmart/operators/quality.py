@@ -86,11 +86,16 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    unique_by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.test in ("not_null", "accepted_values"):
             by_model.setdefault(c.model, []).append(c)
+        elif c.test == "unique":
+            unique_by_model.setdefault(c.model, []).append(c)
         else:
             parts.append(failures(tables, c))
+    for model, cs in unique_by_model.items():
+        parts.append(_unique_batch(tables[model], cs))
     for model, cs in by_model.items():
         aggs = []
         for i, c in enumerate(cs):
@@ -110,6 +115,21 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     return out
 
 
+def _unique_batch(df: DataFrame, cs: list[Check]) -> DataFrame:
+    """All unique checks of one table in one scan: (column, value) pairs counted by one grouped aggregate."""
+    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast("string").alias("__v")) for i, c in enumerate(cs)]))
+    counts = df.select(pairs).filter(F.col("__v").isNotNull()).groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    dup = counts.filter(F.col("__n") > 1).groupBy("__c").agg(F.sum("__n").cast("long").alias("failures"))
+    names = F.create_map(*[x for i, c in enumerate(cs) for x in (F.lit(i), F.lit(c.column))])
+    every = df.sparkSession.createDataFrame([(i,) for i in range(len(cs))], "__c int")  # one row per check
+    return every.join(F.broadcast(dup), "__c", "left").select(
+        F.lit(cs[0].model).alias("model"),
+        F.element_at(names, F.col("__c")).alias("column_name"),
+        F.lit("unique").alias("test"),
+        F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures"),
+    )
+
+
 # The warehouse's declared tests, with column names as the models define them.
 STAR_CHECKS: list[Check] = [
     Check("prepared", "numero_auto", "not_null"),
