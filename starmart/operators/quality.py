@@ -87,15 +87,20 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     unique_by_model: dict[str, list[Check]] = {}
+    refs_by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.test in ("not_null", "accepted_values"):
             by_model.setdefault(c.model, []).append(c)
         elif c.test == "unique":
             unique_by_model.setdefault(c.model, []).append(c)
+        elif c.test == "relationships":
+            refs_by_model.setdefault(c.model, []).append(c)
         else:
             parts.append(failures(tables, c))
     for model, cs in unique_by_model.items():
         parts.append(_unique_batch(tables[model], cs))
+    for model, cs in refs_by_model.items():
+        parts.append(_references_batch(tables, cs))
     for model, cs in by_model.items():
         aggs = []
         for i, c in enumerate(cs):
@@ -130,6 +135,31 @@ def _unique_batch(df: DataFrame, cs: list[Check]) -> DataFrame:
     )
 
 
+def _references_batch(tables: dict[str, DataFrame], cs: list[Check]) -> DataFrame:
+    """All relationship checks of one child table in one scan.
+
+    Child keys are stacked as (check, key) and pre-aggregated to distinct
+    pairs with their row counts (a hot key collapses map-side), then one
+    anti join against the stacked parent keys leaves the orphans.
+    """
+    child = tables[cs[0].model]
+    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast("string").alias("__k")) for i, c in enumerate(cs)]))
+    keys = child.select(pairs).filter(F.col("__k").isNotNull()).groupBy("__c", "__k").agg(F.count(F.lit(1)).alias("__n"))
+    parent = None
+    for i, c in enumerate(cs):
+        p = tables[c.parent].select(F.lit(i).alias("__c"), F.col(c.parent_column or c.column).cast("string").alias("__k"))
+        parent = p if parent is None else parent.unionByName(p)
+    orphans = keys.join(parent.distinct(), ["__c", "__k"], "left_anti").groupBy("__c").agg(F.sum("__n").cast("long").alias("failures"))
+    names = F.create_map(*[x for i, c in enumerate(cs) for x in (F.lit(i), F.lit(c.column))])
+    every = child.sparkSession.createDataFrame([(i,) for i in range(len(cs))], "__c int")
+    return every.join(F.broadcast(orphans), "__c", "left").select(
+        F.lit(cs[0].model).alias("model"),
+        F.element_at(names, F.col("__c")).alias("column_name"),
+        F.lit("relationships").alias("test"),
+        F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures"),
+    )
+
+
 # The warehouse's declared tests, with column names as the models define them.
 STAR_CHECKS: list[Check] = [
     Check("prepared", "numero_auto", "not_null"),

@@ -140,3 +140,14 @@ def test_empty_input_flows_through(spark):
         assert star.fato_multa.count() == 0
         for name, fn in R.REPORTS.items():
             assert fn(star).count() >= 0, (rules, name)
+
+
+def test_check_suite_finds_orphans_and_duplicates(spark):
+    from starmart.operators.quality import Check, run_checks
+
+    parent = spark.createDataFrame([(1,), (2,)], "k long")
+    child = spark.createDataFrame([(1, 1), (1, 3), (3, 3), (None, 4)], "fk long, u long")
+    checks = [Check("c", "fk", "relationships", parent="p", parent_column="k"), Check("c", "u", "unique"),
+              Check("c", "fk", "not_null"), Check("c", "u", "accepted_values", values=[1, 3])]
+    got = {(r["column_name"], r["test"]): r["failures"] for r in run_checks({"c": child, "p": parent}, checks).collect()}
+    assert got == {("fk", "relationships"): 1, ("u", "unique"): 2, ("fk", "not_null"): 1, ("u", "accepted_values"): 1}
