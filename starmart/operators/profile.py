@@ -60,21 +60,27 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
 
 
 def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, count, unique, top, freq) per text column (G16); ``top`` ties go to the smallest value."""
-    out = None
-    for c in columns:
-        counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-        summary = counts.agg(
-            F.sum("__n").cast("long").alias("count"),
-            F.count(F.lit(1)).cast("long").alias("unique"),
-            F.max("__n").cast("long").alias("freq"),
-        )
-        # most frequent value, ties to the smallest: two scalar subqueries over the grouped counts
-        top_freq = counts.select(F.max("__n")).scalar()
-        top = counts.filter(F.col("__n") == top_freq).select(F.min(F.col(c).cast("string"))).scalar()
-        row = summary.select(F.lit(c).alias("column_name"), "count", "unique", top.alias("top"), "freq")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """(column_name, count, unique, top, freq) per text column (G16); ``top`` ties go to the smallest value.
+
+    One scan: the columns are stacked as (column, value) and counted by one
+    grouped aggregate; the summaries are further distributed aggregates over
+    those counts (no window, so no column's values gather in one task).
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("__v")) for c in columns]))
+    counts = df.select(pairs).filter(F.col("__v").isNotNull()).groupBy("column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    summary = counts.groupBy("column_name").agg(
+        F.sum("__n").cast("long").alias("count"),
+        F.count(F.lit(1)).cast("long").alias("unique"),
+        F.max("__n").cast("long").alias("freq"),
+    )
+    # one row per column: a bounded broadcast
+    tops = (
+        counts.join(F.broadcast(summary.select("column_name", "freq")), "column_name")
+        .filter(F.col("__n") == F.col("freq"))
+        .groupBy("column_name")
+        .agg(F.min("__v").alias("top"))
+    )
+    return summary.join(F.broadcast(tops), "column_name").select("column_name", "count", "unique", "top", "freq")
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
