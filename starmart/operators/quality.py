@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.joins import anti_join
 
@@ -120,9 +121,16 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     return out
 
 
+def _stack_type(dfs_cols: list[tuple[DataFrame, str]]):
+    """The common type of the stacked columns, or STRING when they differ."""
+    types = {df.schema[c].dataType for df, c in dfs_cols}
+    return types.pop() if len(types) == 1 else T.StringType()
+
+
 def _unique_batch(df: DataFrame, cs: list[Check]) -> DataFrame:
     """All unique checks of one table in one scan: (column, value) pairs counted by one grouped aggregate."""
-    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast("string").alias("__v")) for i, c in enumerate(cs)]))
+    st = _stack_type([(df, c.column) for c in cs])
+    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast(st).alias("__v")) for i, c in enumerate(cs)]))
     counts = df.select(pairs).filter(F.col("__v").isNotNull()).groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
     dup = counts.filter(F.col("__n") > 1).groupBy("__c").agg(F.sum("__n").cast("long").alias("failures"))
     names = F.create_map(*[x for i, c in enumerate(cs) for x in (F.lit(i), F.lit(c.column))])
@@ -143,11 +151,12 @@ def _references_batch(tables: dict[str, DataFrame], cs: list[Check]) -> DataFram
     anti join against the stacked parent keys leaves the orphans.
     """
     child = tables[cs[0].model]
-    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast("string").alias("__k")) for i, c in enumerate(cs)]))
+    st = _stack_type([(child, c.column) for c in cs] + [(tables[c.parent], c.parent_column or c.column) for c in cs])
+    pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c.column).cast(st).alias("__k")) for i, c in enumerate(cs)]))
     keys = child.select(pairs).filter(F.col("__k").isNotNull()).groupBy("__c", "__k").agg(F.count(F.lit(1)).alias("__n"))
     parent = None
     for i, c in enumerate(cs):
-        p = tables[c.parent].select(F.lit(i).alias("__c"), F.col(c.parent_column or c.column).cast("string").alias("__k"))
+        p = tables[c.parent].select(F.lit(i).alias("__c"), F.col(c.parent_column or c.column).cast(st).alias("__k"))
         parent = p if parent is None else parent.unionByName(p)
     orphans = keys.join(parent.distinct(), ["__c", "__k"], "left_anti").groupBy("__c").agg(F.sum("__n").cast("long").alias("failures"))
     names = F.create_map(*[x for i, c in enumerate(cs) for x in (F.lit(i), F.lit(c.column))])
