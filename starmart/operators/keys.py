@@ -85,14 +85,24 @@ def build_dimension(
     order: list[str] | None = None,
     first: int = 1,
     attrs_max: dict[str, str] | None = None,
+    first_seen: str | None = None,
 ) -> Keyed:
     """A dimension with a dense surrogate key.
 
     Without ``attrs_max``: the distinct rows of ``keys`` (G2).  With
     ``attrs_max={out_name: source_col}``: one row per ``keys`` value holding
     the maximum of each attribute (G3, binary string order).  Keys are
-    numbered in ``order`` (default: all key columns, making the order total).
+    numbered in ``order`` (default: all key columns, making the order total),
+    or, with ``first_seen=<orderable column>``, by each value's first
+    occurrence in that column's order.
     """
+    if first_seen:
+        # number the rows by their first occurrence (e.g. file order, then line order)
+        aggs = [F.min(first_seen).alias("__first")] + [F.max(src).alias(out) for out, src in (attrs_max or {}).items()]
+        base = df.groupBy(*keys).agg(*aggs)
+        keyed = assign_dense_keys(base, ["__first"], sk, first=first)
+        out_cols = [sk] + keys + list(attrs_max or {})
+        return Keyed(keyed.df.select(*out_cols), keyed.rows)
     if attrs_max:
         base = df.groupBy(*keys).agg(*[F.max(src).alias(out) for out, src in attrs_max.items()])
     else:

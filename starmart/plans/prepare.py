@@ -69,12 +69,17 @@ PREPARED_COLUMNS = [
 ]
 
 
-def _conform(raw: DataFrame) -> DataFrame:
-    """Project to the 25 raw columns (missing ones as NULL strings)."""
+POSITION = "source_position"
+
+
+def _conform(raw: DataFrame, keep_position: bool = False) -> DataFrame:
+    """Project to the 25 raw columns (missing ones as NULL strings); optionally keep the row position."""
     cols = []
     present = set(raw.columns)
     for c in RAW_COLUMNS:
         cols.append(F.col(c).cast("string").alias(c) if c in present else F.lit(None).cast("string").alias(c))
+    if keep_position and POSITION in present:
+        cols.append(F.col(POSITION))
     return raw.select(*cols)
 
 
@@ -114,7 +119,8 @@ def normalize_sql(raw: DataFrame) -> DataFrame:
 
 
 def normalize_frame(raw: DataFrame, holidays: str = "listed") -> DataFrame:
-    r = _conform(raw)
+    r = _conform(raw, keep_position=True)
+    pos = [F.col(POSITION)] if POSITION in r.columns else []
     d = P.iso_date("data_infracao")
     typed = r.select(
         F.col("numero_auto"),
@@ -141,13 +147,14 @@ def normalize_frame(raw: DataFrame, holidays: str = "listed") -> DataFrame:
         d.alias("data_infracao"),
         # the region is derived from the state before blanks are filled
         dec.region_for("uf_infracao", FRAME).alias("regiao_infracao"),
+        *pos,
     ).filter(F.col("numero_auto").isNotNull() & F.col("data_infracao").isNotNull())
     parts = cal.date_parts("data_infracao")
     return typed.select(
         *[F.col(c) for c in typed.columns],
         *[v.alias(k) for k, v in parts.items()],
         cal.is_holiday("data_infracao", holidays).alias("is_feriado"),
-    ).select(*PREPARED_COLUMNS, "is_feriado")
+    ).select(*PREPARED_COLUMNS, "is_feriado", *([POSITION] if pos else []))
 
 
 def normalize(raw: DataFrame, rules: str = SQL, holidays: str = "listed") -> DataFrame:

@@ -33,6 +33,7 @@ from starmart.schemas import (
     TIME_KEY,
     TIME_SK,
 )
+from starmart.plans.prepare import POSITION
 from starmart.session import work_dir
 
 DIMENSIONS = {
@@ -81,9 +82,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
-def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed"):
-    base = prepared.select(*TIME_KEY).filter(F.col("data_infracao").isNotNull()).distinct()
-    keyed = assign_dense_keys(base, TIME_KEY, TIME_SK, first=first)
+def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed", first_seen: str | None = None):
+    dated = prepared.filter(F.col("data_infracao").isNotNull())
+    if first_seen:
+        base = dated.groupBy(*TIME_KEY).agg(F.min(first_seen).alias("__first"))
+        keyed = assign_dense_keys(base, ["__first"], TIME_SK, first=first)
+    else:
+        keyed = assign_dense_keys(dated.select(*TIME_KEY).distinct(), TIME_KEY, TIME_SK, first=first)
     parts = cal.date_parts("data_infracao")
     df = keyed.df.select(
         TIME_SK,
@@ -112,13 +117,15 @@ def build_star(
 
     first = 1 if rules == "sql" else 0
     null_safe = rules == "frame"
+    # frame rules number keys by first occurrence when rows carry their file position
+    seen = POSITION if (rules == "frame" and POSITION in prepared.columns) else None
     if materialize_tables:
         # written once: five builds read it
         prepared = materialize(prepared, f"prepared_{rules}")
     lap("prepared")
 
     def loc_dim():
-        k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first)
+        k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first, first_seen=seen)
         return k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows
 
     def offence_dim():
@@ -127,11 +134,11 @@ def build_star(
         return k.df, k.rows
 
     def offender_dim():
-        k = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first)
+        k = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first, first_seen=seen)
         return k.df, k.rows
 
     builders = {
-        "dim_tempo": lambda: build_dim_time(prepared, first, holidays),
+        "dim_tempo": lambda: build_dim_time(prepared, first, holidays, seen),
         "dim_localizacao": loc_dim,
         "dim_infracao": offence_dim,
         "dim_infrator": offender_dim,

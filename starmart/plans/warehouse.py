@@ -26,7 +26,8 @@ def load_warehouse(
     multiline: bool = False,
 ) -> Star:
     """Ingest the files, clean them under ``rules``, build the star and (optionally) write it under ``target_dir``."""
-    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline)
+    # the frame rules number keys by first occurrence, so rows keep their file position
+    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline, with_position=(rules == "frame"))
     star = build_star(normalize(raw, rules, holidays), rules, holidays)
     if target_dir:
         write_star(star, target_dir)

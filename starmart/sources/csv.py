@@ -107,9 +107,15 @@ def read_raw(
     sep: str = ";",
     with_source: bool = True,
     multiline: bool = False,
+    with_position: bool = False,
 ) -> DataFrame:
     """Read delimited files with varying encodings and headers into RAW (+ ``source_file``).
 
+    ``with_position=True`` adds ``source_position``, a struct (file path,
+    split start, row id within the split) taken in the scan's own stage:
+    ordering by it gives file order, then line order inside each file, which
+    the frame rules use for first-seen key numbering.
+
     ``multiline=True`` accepts quoted fields that contain line breaks; each
     file is then read by one task (it cannot be split), so leave it off for
     large files without such fields.
@@ -139,6 +145,14 @@ def read_raw(
         cols = [F.coalesce(F.col(f"`{src}`"), F.lit("")).alias(dst) for src, dst in mapping.items()]
         if with_source:
             cols.append(F.col("_metadata.file_path").alias("source_file"))
+        if with_position:
+            cols.append(
+                F.struct(
+                    F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"),  # increases with the line order inside a split
+                ).alias("source_position")
+            )
         part = df.select(*cols)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
@@ -147,6 +161,8 @@ def read_raw(
     final = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
     if with_source:
         final.append(F.col("source_file"))
+    if with_position:
+        final.append(F.col("source_position"))
     return out.select(*final)
 
 

@@ -177,3 +177,25 @@ def test_crlf_line_endings(spark, tmp_path):
     raw = read_raw(spark, str(base) + "/*/*.csv")
     r = raw.first()
     assert r["numero_auto"] == "A9" and r["qtd_infracoes"] == "1" and r["municipio"] == "Município Ç"
+
+
+def test_frame_keys_follow_first_seen_file_order(spark, tmp_path):
+    from starmart.plans.warehouse import load_warehouse
+
+    base = tmp_path / "fs"
+    def rows(items):
+        out = []
+        for i, (mun, date) in enumerate(items):
+            r = _row(i)
+            r.update(municipio=mun, data_infracao=date, br_infracao="101", sentido_trafego="C")
+            out.append([r[c] for c in RAW_COLUMNS])
+        return out
+    _write(str(base / "2022" / "a.csv"), HEADERS, rows([("Z", "2022-03-01"), ("A", "2022-01-05"), ("Z", "2022-01-01")]))
+    _write(str(base / "2023" / "b.csv"), HEADERS, rows([("M", "2023-01-01"), ("A", "2021-12-31")]))
+    star = load_warehouse(spark, str(base) + "/*/*.csv", rules="frame")
+    loc = {r["municipio"]: r["id_localizacao_sk"] for r in star.dim_localizacao.collect()}
+    assert loc == {"Z": 0, "A": 1, "M": 2}
+    dates = [str(r["data_infracao"]) for r in star.dim_tempo.orderBy("id_tempo_sk").collect()]
+    assert dates == ["2022-03-01", "2022-01-05", "2022-01-01", "2023-01-01", "2021-12-31"]
+    sql = load_warehouse(spark, str(base) + "/*/*.csv", rules="sql")
+    assert {r["municipio"]: r["id_localizacao_sk"] for r in sql.dim_localizacao.collect()} == {"A": 1, "M": 2, "Z": 3}
