@@ -46,7 +46,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting a local one only if unset."""
+    """Return the shared checkpoint directory; only a local-mode session without one gets a private temp folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not shared by executors: a cluster must name one
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (written tables and key files go there)")
     key = id(sc)
     if key not in _LOCAL_DIRS:
         _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="starmart-ckpt-")
