@@ -17,7 +17,7 @@ from starmart.session import RECOMMENDED_CONF, ensure_checkpoint_dir
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="starmart")
-    ap.add_argument("inputs", help="file glob or folder of delimited files")
+    ap.add_argument("inputs", help="glob of the delimited files, e.g. '/data/fines/*/*.csv'")
     ap.add_argument("target", help="output folder")
     ap.add_argument("--rules", choices=["sql", "frame"], default="sql")
     ap.add_argument("--holidays", choices=["listed", "computed"], default="listed")
