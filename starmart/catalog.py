@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.functions import vocab as V
 from starmart.operators.quality import STAR_CHECKS, run_checks
 from starmart.plans import generic as G
 from starmart.plans import reports as R
@@ -66,7 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-YEARS = [2022, 2023, 2024]
+YEARS = V.REPORT_YEARS
 
 
 def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:

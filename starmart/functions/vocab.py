@@ -98,6 +98,7 @@ EXCESS_RANGE = (0, 150)        # sanity cut on excess speed, (low, high]
 OUTLIER_EXCESS = 200           # outlier listing threshold
 MIN_GROUP_ROWS = 100           # minimum group size in the vehicle profile
 HOUR_RANGE = (0, 2359)         # valid hhmm values
+REPORT_YEARS: list[int] = [2022, 2023, 2024]   # pivot columns; change from first to last
 REPORT_EXCLUDED_STATES: list[str] = ["N/I", "EX"]
 REPORT_EXCLUDED_LABELS: list[str] = ["-1", "Não informado", "N/I", "NÃO INFORMADO"]
 STACK_ORDER: list[str] = ["Norte", "Nordeste", "Centro-Oeste", "Sul", "Sudeste"]

@@ -371,7 +371,7 @@ def _star_with(ctes: str, select: str) -> str:
 
 
 ORACLE["report_q1"] = _star_with(Q1_G, "SELECT * FROM q1")
-_YEARS = sorted(V.MOVABLE_HOLIDAYS)
+_YEARS = V.REPORT_YEARS
 _pivot = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _YEARS)
 ORACLE["report_q1b"] = _star_with(
     Q1_G + f""", q1p AS (SELECT regiao, {_pivot} FROM q1 GROUP BY regiao)""",
@@ -686,7 +686,7 @@ def _suite_sql() -> str:
 
 ORACLE["test_suite"] = with_star(_suite_sql())
 
-_LY = [2022, 2023, 2024]
+_LY = V.REPORT_YEARS
 _lpiv = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _LY)
 _rcol = "CASE regiao " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in V.REGION_COLOURS.items()) + f" ELSE {q(V.DEFAULT_COLOUR)} END"
 ORACLE["labels_and_formats"] = _star_with(

@@ -139,7 +139,7 @@ def q1(star: Star) -> DataFrame:
 
 def q1b(star: Star, years: list[int] | None = None) -> DataFrame:
     """Region x year totals pivoted to one column per year, with the first->last year % change (1 decimal)."""
-    years = years or sorted(V.MOVABLE_HOLIDAYS)
+    years = years or V.REPORT_YEARS
     wide = pivot_change(q1(star), "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var_pct", scale=1)
     return wide.withColumnRenamed("var_pct", f"var_{str(years[0])[-2:]}_{str(years[-1])[-2:]}_pct")
 
