@@ -17,7 +17,7 @@ from starmart.session import RECOMMENDED_CONF, ensure_checkpoint_dir
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="starmart")
-    ap.add_argument("inputs", help="glob of the delimited files, e.g. '/data/fines/*/*.csv'")
+    ap.add_argument("inputs", help="a folder (every *.csv below it) or a glob, e.g. '/data/fines/*/*.csv'")
     ap.add_argument("target", help="output folder")
     ap.add_argument("--rules", choices=["sql", "frame"], default="sql")
     ap.add_argument("--holidays", choices=["listed", "computed"], default="listed")
@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    star = load_warehouse(spark, args.inputs, f"{args.target}/star", args.rules, args.holidays, args.sep, args.multiline)
+    folder = not any(ch in args.inputs for ch in "*?[")  # a folder: every *.csv below it
+    star = load_warehouse(spark, args.inputs, f"{args.target}/star", args.rules, args.holidays, args.sep, args.multiline, folder)
     write_reports(star, f"{args.target}/reports")
 
 

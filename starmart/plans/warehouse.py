@@ -24,10 +24,12 @@ def load_warehouse(
     holidays: str = "listed",
     sep: str = ";",
     multiline: bool = False,
+    recursive: bool = False,
 ) -> Star:
     """Ingest the files, clean them under ``rules``, build the star and (optionally) write it under ``target_dir``."""
     # the frame rules number keys by first occurrence, so rows keep their file position
-    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline, with_position=(rules == "frame"))
+    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline, with_position=(rules == "frame"),
+                   recursive=recursive)
     star = build_star(normalize(raw, rules, holidays), rules, holidays)
     if target_dir:
         write_star(star, target_dir)

@@ -83,9 +83,15 @@ class SniffedFile:
         return UTF8 if (self.valid_utf8 or self.header_has_replacement) else LATIN1
 
 
-def sniff_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(file_path, valid_utf8, header_has_replacement, header_line) per file, computed on the executors."""
-    lines = spark.read.text(paths).select(
+def sniff_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> DataFrame:
+    """(file_path, valid_utf8, header_has_replacement, header_line) per file, computed on the executors.
+
+    ``recursive=True`` takes every file matching ``pattern`` under the given folders.
+    """
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    lines = reader.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
     )
     # the first line of the split that starts at byte 0 is the header; ids grow in line order inside a split
@@ -96,8 +102,8 @@ def sniff_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     ).withColumn("header_has_replacement", F.col("header_line").contains(REPLACEMENT))
 
 
-def _file_list(spark: SparkSession, paths: list[str] | str) -> list[SniffedFile]:
-    rows = sniff_files(spark, paths).collect()  # one small row per file
+def _file_list(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> list[SniffedFile]:
+    rows = sniff_files(spark, paths, recursive, pattern).collect()  # one small row per file
     return [SniffedFile(r["file_path"], bool(r["valid_utf8"]), bool(r["header_has_replacement"]), r["header_line"] or "") for r in rows]
 
 
@@ -108,6 +114,8 @@ def read_raw(
     with_source: bool = True,
     multiline: bool = False,
     with_position: bool = False,
+    recursive: bool = False,
+    pattern: str = "*.csv",
 ) -> DataFrame:
     """Read delimited files with varying encodings and headers into RAW (+ ``source_file``).
 
@@ -120,7 +128,7 @@ def read_raw(
     file is then read by one task (it cannot be split), so leave it off for
     large files without such fields.
     """
-    files = _file_list(spark, paths)
+    files = _file_list(spark, paths, recursive, pattern)
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
     for f in files:
         groups[(f.encoding, f.header_line)].append(f.path)

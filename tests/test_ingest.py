@@ -199,3 +199,11 @@ def test_frame_keys_follow_first_seen_file_order(spark, tmp_path):
     assert dates == ["2022-03-01", "2022-01-05", "2022-01-01", "2023-01-01", "2021-12-31"]
     sql = load_warehouse(spark, str(base) + "/*/*.csv", rules="sql")
     assert {r["municipio"]: r["id_localizacao_sk"] for r in sql.dim_localizacao.collect()} == {"A": 1, "M": 2, "Z": 3}
+
+
+def test_recursive_folder_input(spark, tmp_path):
+    make_files(str(tmp_path / "tree"))
+    with open(tmp_path / "tree" / "2022" / "notes.txt", "w") as f:
+        f.write("not a data file\n")
+    raw = read_raw(spark, str(tmp_path / "tree"), recursive=True)
+    assert raw.count() == 9
