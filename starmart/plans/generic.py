@@ -337,7 +337,7 @@ def csv_roundtrip(spark, sf):
     base = work_dir(spark, "csv_roundtrip")
     heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
     plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]
-    half = F.col("numero_auto").isNull() | (F.abs(F.xxhash64("numero_auto")) % 2 == 0)
+    half = F.col("numero_auto").isNull() | (F.pmod(F.xxhash64("numero_auto"), F.lit(2)) == 0)
     write_csv_batches(raw.filter(half), f"{base}/2023", heads, files=2)
     rev = list(reversed(RAW_COLUMNS))
     write_csv_batches(raw.filter(~half).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1", files=2)
