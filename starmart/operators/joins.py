@@ -32,18 +32,20 @@ def estimated_bytes(df: DataFrame, rows: int) -> int:
     return rows * (16 + sum(_width(f.dataType) for f in df.schema.fields))
 
 
-def can_broadcast(df: DataFrame, rows: int | None) -> bool:
+def can_broadcast(df: DataFrame, rows: int | None, size_bytes: int | None = None) -> bool:
+    """True when ``rows`` (exact) and the size (measured ``size_bytes``, else estimated from the schema) pass the limits."""
     if rows is None:
         return False
     conf = df.sparkSession.conf
     max_bytes = int(conf.get("starmart.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
     max_rows = int(conf.get("starmart.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
-    return rows <= max_rows and estimated_bytes(df, rows) <= max_bytes
+    size = size_bytes if size_bytes is not None else estimated_bytes(df, rows)
+    return rows <= max_rows and size <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
+def maybe_broadcast(df: DataFrame, rows: int | None, size_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its checked size allows, else ``df`` unchanged."""
-    return F.broadcast(df) if can_broadcast(df, rows) else df
+    return F.broadcast(df) if can_broadcast(df, rows, size_bytes) else df
 
 
 def lookup_key(
@@ -54,6 +56,7 @@ def lookup_key(
     dim_rows: int | None = None,
     null_safe: bool = False,
     how: str = "left",
+    dim_bytes: int | None = None,
 ) -> DataFrame:
     """Attach ``dim[sk]`` to ``df`` by natural key ``on`` (J1-J6); the key columns of ``df`` are kept.
 
@@ -61,7 +64,7 @@ def lookup_key(
     delimited text key, so values containing the delimiter cannot collide.
     """
     d = dim.select(sk, *[F.col(k).alias(f"__k_{k}") for k in on])
-    d = maybe_broadcast(d, dim_rows)
+    d = maybe_broadcast(d, dim_rows, dim_bytes)
     cond = None
     for k in on:
         c = df[k].eqNullSafe(d[f"__k_{k}"]) if null_safe else (df[k] == d[f"__k_{k}"])

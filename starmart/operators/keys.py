@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.session import work_dir
 
@@ -30,10 +31,31 @@ _LOW_MASK = (1 << _LOW_BITS) - 1
 
 @dataclass
 class Keyed:
-    """A keyed table and its row count (known exactly, for size-checked broadcasts)."""
+    """A keyed table, its exact row count and its measured size in bytes (for size-checked broadcasts)."""
 
     df: DataFrame
     rows: int
+    bytes: int | None = None
+
+
+def _row_bytes(df: DataFrame, cols: list[str]) -> Column:
+    """In-memory width of one row: string/binary bytes as stored, 8-16 bytes per fixed-width value, 16 per row."""
+    parts = [F.lit(16)]
+    for f in df.schema.fields:
+        if f.name not in cols:
+            continue
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8)
+        elif isinstance(f.dataType, T.DecimalType):
+            parts.append(F.lit(16))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts.append(F.lit(128))
+        else:
+            parts.append(F.lit(8))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out + p
+    return out.cast("long")
 
 
 def _order_cols(order: list[str | Column], nulls_last: bool) -> list[Column]:
@@ -63,19 +85,21 @@ def assign_dense_keys(
     df.orderBy(*_order_cols(order, nulls_last)).withColumn("__mid", F.monotonically_increasing_id()).write.parquet(path)
     ordered = spark.read.parquet(path)
     pid = F.shiftright(F.col("__mid"), _LOW_BITS)
-    # one (partition, rows) pair per partition: bounded by the partition count, not by the data
-    counts = sorted((r[0], r[1]) for r in ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1))).collect())
-    offsets, running = [], 0
-    for p_id, n in counts:
+    # one (partition, rows, bytes) triple per partition: bounded by the partition count, not by the data
+    per_part = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)), F.sum(_row_bytes(ordered, cols)))
+    counts = sorted((r[0], r[1], r[2] or 0) for r in per_part.collect())
+    offsets, running, size = [], 0, 0
+    for p_id, n, b in counts:
         offsets.append((p_id, running))
         running += n
+        size += b
     total = running
     off_df = spark.createDataFrame(offsets, "__pid long, __off long")
     keyed = ordered.join(F.broadcast(off_df), pid == F.col("__pid"), "inner").select(
         (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW_MASK)) + F.lit(first)).cast("long").alias(sk),
         *[F.col(c) for c in cols],
     )
-    return Keyed(keyed, int(total))
+    return Keyed(keyed, int(total), int(size))
 
 
 def build_dimension(
@@ -102,11 +126,11 @@ def build_dimension(
         base = df.groupBy(*keys).agg(*aggs)
         keyed = assign_dense_keys(base, ["__first"], sk, first=first)
         out_cols = [sk] + keys + list(attrs_max or {})
-        return Keyed(keyed.df.select(*out_cols), keyed.rows)
+        return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes)
     if attrs_max:
         base = df.groupBy(*keys).agg(*[F.max(src).alias(out) for out, src in attrs_max.items()])
     else:
         base = df.select(*keys).distinct()
     keyed = assign_dense_keys(base, order or keys, sk, first=first)
     out_cols = [sk] + keys + list(attrs_max or {})
-    return Keyed(keyed.df.select(*out_cols), keyed.rows)
+    return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes)

@@ -58,18 +58,19 @@ class Star:
     rows: dict[str, int] = field(default_factory=dict)
     rules: str = "sql"
     prepared: DataFrame | None = None
+    sizes: dict[str, int] = field(default_factory=dict)  # measured bytes per dimension
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
     def small(self, name: str) -> bool:
-        return can_broadcast(self.table(name), self.rows.get(name))
+        return can_broadcast(self.table(name), self.rows.get(name), self.sizes.get(name))
 
     def dim(self, name: str, *cols: str) -> DataFrame:
         """Projection of a dimension (key first), broadcast-hinted when its checked size allows."""
         sk = DIMENSIONS[name]
         d = self.table(name).select(sk, *[c for c in cols if c != sk])
-        return maybe_broadcast(d, self.rows.get(name))
+        return maybe_broadcast(d, self.rows.get(name), self.sizes.get(name))
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -96,7 +97,8 @@ def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed"
         *[v.alias(k) for k, v in parts.items()],
         cal.is_holiday("data_infracao", holidays).alias("is_feriado"),
     )
-    return df, keyed.rows
+    # the calendar parts are added after numbering: about 48 more bytes per row
+    return df, keyed.rows, (keyed.bytes or 0) + 48 * keyed.rows
 
 
 def build_star(
@@ -126,16 +128,16 @@ def build_star(
 
     def loc_dim():
         k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first, first_seen=seen)
-        return k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows
+        return k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows, k.bytes
 
     def offence_dim():
         attrs = {"descricao_infracao": "descricao_abreviada_infracao", "enquadramento_infracao": "enquadramento_infracao"}
         k = build_dimension(prepared, OFFENCE_KEY, OFFENCE_SK, first=first, attrs_max=attrs)
-        return k.df, k.rows
+        return k.df, k.rows, k.bytes
 
     def offender_dim():
         k = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first, first_seen=seen)
-        return k.df, k.rows
+        return k.df, k.rows, k.bytes
 
     builders = {
         "dim_tempo": lambda: build_dim_time(prepared, first, holidays, seen),
@@ -147,24 +149,24 @@ def build_star(
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         futures = {name: pool.submit(_built, fn, name, materialize_tables, rules) for name, fn in builders.items()}
         built = {name: fut.result() for name, fut in futures.items()}
-    dim_tempo, n_t = built["dim_tempo"]
-    dim_loc, n_l = built["dim_localizacao"]
-    dim_off, n_o = built["dim_infracao"]
-    dim_ofr, n_v = built["dim_infrator"]
+    dim_tempo, n_t, b_t = built["dim_tempo"]
+    dim_loc, n_l, b_l = built["dim_localizacao"]
+    dim_off, n_o, b_o = built["dim_infracao"]
+    dim_ofr, n_v, b_v = built["dim_infrator"]
     lap("dimensions")
 
     lookups = [
-        (dim_tempo, TIME_KEY, TIME_SK, n_t),
-        (dim_loc, LOCATION_KEY, LOCATION_SK, n_l),
-        (dim_off, OFFENCE_KEY, OFFENCE_SK, n_o),
-        (dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v),
+        (dim_tempo, TIME_KEY, TIME_SK, n_t, b_t),
+        (dim_loc, LOCATION_KEY, LOCATION_SK, n_l, b_l),
+        (dim_off, OFFENCE_KEY, OFFENCE_SK, n_o, b_o),
+        (dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v, b_v),
     ]
     # broadcast lookups first (they pipeline into the scan); shuffle joins last and largest last,
     # so each shuffled fact row already carries narrow keys instead of the resolved text columns
-    lookups.sort(key=lambda t: (not can_broadcast(t[0], t[3]), t[3]))
+    lookups.sort(key=lambda t: (not can_broadcast(t[0], t[3], t[4]), t[3]))
     f = prepared
-    for dim, keys, sk, n in lookups:
-        f = lookup_key(f, dim, keys, sk, n, null_safe)
+    for dim, keys, sk, n, b in lookups:
+        f = lookup_key(f, dim, keys, sk, n, null_safe, dim_bytes=b)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
     fact = f.select(TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra)
     if materialize_tables:
@@ -174,15 +176,16 @@ def build_star(
     lap("fact")
 
     rows = {"dim_tempo": n_t, "dim_localizacao": n_l, "dim_infracao": n_o, "dim_infrator": n_v}
+    sizes = {"dim_tempo": b_t, "dim_localizacao": b_l, "dim_infracao": b_o, "dim_infrator": b_v}
     return Star(
         dim_tempo=dim_tempo, dim_localizacao=dim_loc, dim_infracao=dim_off, dim_infrator=dim_ofr, fato_multa=fact,
-        rows=rows, rules=rules, prepared=prepared,
+        rows=rows, rules=rules, prepared=prepared, sizes=sizes,
     )
 
 
 def _built(fn, name: str, write: bool, rules: str):
-    df, rows = fn()
-    return (materialize(df, f"{name}_{rules}") if write else df), rows
+    df, rows, size = fn()
+    return (materialize(df, f"{name}_{rules}") if write else df), rows, size
 
 
 def register_views(star: Star, prefix: str = "") -> list[str]:

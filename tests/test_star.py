@@ -151,3 +151,13 @@ def test_check_suite_finds_orphans_and_duplicates(spark):
               Check("c", "fk", "not_null"), Check("c", "u", "accepted_values", values=[1, 3])]
     got = {(r["column_name"], r["test"]): r["failures"] for r in run_checks({"c": child, "p": parent}, checks).collect()}
     assert got == {("fk", "relationships"): 1, ("u", "unique"): 2, ("fk", "not_null"): 1, ("u", "accepted_values"): 1}
+
+
+def test_measured_dimension_sizes(spark):
+    from starmart.operators.joins import estimated_bytes
+
+    star = star_for(spark, SF_SMALL, "sql")
+    for name, rows in star.rows.items():
+        size = star.sizes[name]
+        assert size >= 16 * rows  # at least the per-row overhead
+        assert size <= estimated_bytes(star.table(name), rows) * 4
