@@ -124,3 +124,22 @@ def test_holiday_calendar_and_changed_values(spark):
     df = spark.createDataFrame([("c",), ("C",), ("x",), ("c",)], "s string")
     got = {(r["before"], r["after"]): r["n"] for r in changed_values(df.withColumn("t", dec.direction("s", "sql")), "s", "t").collect()}
     assert got == {("c", "Crescente"): 2, ("C", "Crescente"): 1, ("x", "NÃO INFORMADO"): 1}
+
+
+def test_labels_and_formats(spark):
+    from starmart.functions import labels as L
+    from starmart.functions import vocab as V
+
+    df = spark.createDataFrame([(1234567, "Sudeste", 74550, "Transitar em velocidade superior à máxima permitida em até 20%", 12.34)],
+                               "n long, r string, code int, d string, v double")
+    r = df.select(
+        L.thousands("n").alias("t"), L.dot_thousands("n").alias("dt"), L.millions_label("n").alias("m"),
+        L.signed_percent("v").alias("p"), L.signed_percent(F.lit(-4.0)).alias("pn"), L.signed_percent(F.lit(0.0)).alias("p0"),
+        L.code_label("code", "d").alias("lab"), L.colour("r", V.REGION_COLOURS).alias("c"),
+        L.colour(F.lit("X"), V.REGION_COLOURS).alias("c2"), L.pair_label(F.lit("A"), F.lit("B")).alias("pl"),
+    ).first()
+    assert (r["t"], r["dt"], r["m"]) == ("1,234,567", "1.234.567", "1.2M")
+    assert (r["p"], r["pn"], r["p0"]) == ("+12.3%", "-4.0%", "0.0%")
+    text = "Transitar em velocidade superior à máxima permitida em até 20%"
+    assert r["lab"] == "[74550] " + text[:45] + "..."
+    assert (r["c"], r["c2"], r["pl"]) == ("#F44336", "#888", "A / B")
