@@ -20,8 +20,9 @@ Policies chosen where the published code would raise or is ill-defined:
 an impossible date (``2022-13-45``) becomes NULL and the row is dropped; a
 numeric overflow becomes the field default; in the frame rules a NULL
 (column missing from a file) is treated like a blank, never as the text
-``NAN``.  Every expression is a native Column, so the whole step compiles
-into one whole-stage-codegen projection.
+``NAN``.  Every expression is a native Column (generated JVM code, no
+Python per row).  Under the frame rules a ``source_position`` column, when
+the raw rows carry one, is kept for first-seen key numbering.
 """
 
 from __future__ import annotations
