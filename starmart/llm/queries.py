@@ -5,9 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
+from starmart.llm.packing import pack_documents
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(documents(spark, sf_dir))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +23,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
