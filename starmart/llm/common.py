@@ -73,3 +73,58 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
+
+_BASE = 0x9E6C63D0876A9A4B | 1  # odd, so it has an inverse modulo 2**64
+_BASE_INV = pow(_BASE, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2**64; the longest table asked for is kept up to 2**20 entries."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        table = np.full(max(n, 1 << 16), np.uint64(base), np.uint64)
+        table[0] = 1
+        with np.errstate(over="ignore"):
+            held = np.multiply.accumulate(table)
+        if len(held) <= 1 << 20:
+            _POWERS[base] = held
+    return held[:n]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1 << 19) -> np.ndarray:
+    """64-bit hash of each byte span [start, end) of ``data``; spans in order of start, work in slices of about ``most`` bytes."""
+    out = np.zeros(len(starts), np.uint64)
+    values = mix64(np.arange(256, dtype=np.uint64), 7)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + most)))
+        low, high = int(starts[i]), int(ends[i:j].max())
+        with np.errstate(over="ignore"):
+            prefix = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(values[data[low:high]] * powers(_BASE, high - low), out=prefix[1:])
+            s, e = starts[i:j] - low, ends[i:j] - low
+            out[i:j] = (prefix[e] - prefix[s]) * powers(_BASE_INV, high - low + 1)[s]
+        i = j
+    return mix64(out ^ mix64((ends - starts).astype(np.uint64), 3), 1)
+
+
+def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document numbers of the contract's words in the documents data[offs[i]:offs[i + 1]]."""
+    low, high = int(offs[0]), int(offs[-1])
+    b = data[low:high]
+    solid = ~((b == 0x20) | ((b >= 9) & (b <= 13)))
+    cut = np.zeros(len(b) + 1, bool)
+    cut[offs - low] = True
+    before = np.concatenate([[False], solid[:-1]]) if len(b) else solid
+    after = np.concatenate([solid[1:], [False]]) if len(b) else solid
+    starts = np.flatnonzero(solid & (~before | cut[:-1]))
+    ends = np.flatnonzero(solid & (~after | cut[1:])) + 1
+    doc = np.searchsorted(offs - low, starts, side="right") - 1
+    return starts + low, ends + low, doc
+
+
+def per_doc(flags: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Sums of ``flags`` between consecutive offsets."""
+    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return total[offs[1:]] - total[offs[:-1]]

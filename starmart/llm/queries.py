@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
+from starmart.llm.repetition import repetition_rules
+
+
+def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(documents(spark, sf_dir))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
