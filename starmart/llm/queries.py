@@ -11,6 +11,11 @@ from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
 from starmart.llm.repetition import repetition_rules
+from starmart.llm.simhash_vp import simhash_groups
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir), carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
