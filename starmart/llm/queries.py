@@ -12,12 +12,19 @@ from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
+from starmart.llm.toxicity_crf import learn, toxicity
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity(docs, model, carry=["doc_id"])
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir))
 
@@ -34,6 +41,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op6_toxicity": op6_toxicity,
     "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
