@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
+from starmart.llm.pii_bootstrap import find_pii
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
 from starmart.llm.toxicity_crf import learn, toxicity
@@ -19,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir), carry=["doc_id"]).drop("pii_spans")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -41,6 +46,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_pii": op3_pii,
     "op6_toxicity": op6_toxicity,
     "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
