@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.bpe_words import decode_documents, encode_documents
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
@@ -30,6 +31,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model, carry=["doc_id"])
 
 
+def op7_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decode_documents(encode_documents(documents(spark, sf_dir)))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir))
 
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_pii": op3_pii,
     "op6_toxicity": op6_toxicity,
+    "op7_bpe_words": op7_bpe_words,
     "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
