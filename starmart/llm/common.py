@@ -80,14 +80,14 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2**64; the longest table asked for is kept up to 2**20 entries."""
+    """base ** 0 .. base ** (n - 1) modulo 2**64; the longest table asked for is kept up to 2**21 entries."""
     held = _POWERS.get(base)
     if held is None or len(held) < n:
         table = np.full(max(n, 1 << 16), np.uint64(base), np.uint64)
         table[0] = 1
         with np.errstate(over="ignore"):
             held = np.multiply.accumulate(table)
-        if len(held) <= 1 << 20:
+        if len(held) <= 1 << 21:
             _POWERS[base] = held
     return held[:n]
 

@@ -14,6 +14,7 @@ from starmart.llm.packing import pack_documents
 from starmart.llm.pii_bootstrap import find_pii
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
+from starmart.llm.substring_lpf import remove_repeats
 from starmart.llm.toxicity_crf import learn, toxicity
 
 
@@ -21,6 +22,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir), carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_substring_lpf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir), carry=["doc_id"]).drop("pii_spans")
 
@@ -52,6 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substring_lpf": op2_substring_lpf,
     "op3_pii": op3_pii,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_words": op7_bpe_words,
