@@ -11,6 +11,7 @@ from starmart.llm.bpe_words import decode_documents, encode_documents
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
+from starmart.llm.paragraph_minhash import dedup_paragraphs
 from starmart.llm.pii_bootstrap import find_pii
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
@@ -31,6 +32,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir), carry=["doc_id"]).drop("pii_spans")
 
 
+def op5_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_paragraphs(documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring_lpf": op2_substring_lpf,
     "op3_pii": op3_pii,
+    "op5_paragraph_minhash": op5_paragraph_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_words": op7_bpe_words,
     "op8_repetition": op8_repetition,
