@@ -13,6 +13,8 @@ from starmart.llm.exact_mph import exact_dedup
 from starmart.llm.packing import pack_documents
 from starmart.llm.paragraph_minhash import dedup_paragraphs
 from starmart.llm.pii_bootstrap import find_pii
+from starmart.llm.quotes import link_quotations, with_quotes
+from starmart.llm.quotes_sql import LINKED, LINKED_RENDERED
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
 from starmart.llm.substring_lpf import remove_repeats
@@ -32,6 +34,19 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir), carry=["doc_id"]).drop("pii_spans")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(conversations(spark, sf_dir))
+
+
+def op4_quotation_linking_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the conversations with every message quoting earlier ones, since the table itself holds no quotes."""
+    return link_quotations(with_quotes(conversations(spark, sf_dir)))
+
+
 def op5_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_paragraphs(documents(spark, sf_dir))
 
@@ -65,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring_lpf": op2_substring_lpf,
     "op3_pii": op3_pii,
+    "op4_quotation_linking": op4_quotation_linking,
+    "op4_quotation_linking_rendered": op4_quotation_linking_rendered,
     "op5_paragraph_minhash": op5_paragraph_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_words": op7_bpe_words,
@@ -74,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_quotation_linking": LINKED,
+    "op4_quotation_linking_rendered": LINKED_RENDERED,
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
