@@ -7,9 +7,15 @@
   UTF-8 replacement characters: then a Latin-1 decode would show mojibake
   (``ï¿½``) and the file is read as UTF-8 with invalid bytes replaced.
 * **Header groups** (U1): a CSV scan binds columns by position, so files are
-  grouped by their exact header line and each group is one scan; the groups
-  are unioned by name.  Only per-file metadata (path, encoding, header) ever
-  reaches the driver.
+  grouped by their exact header line (the first non-blank line, as the CSV
+  reader takes it) and each group is one scan; the groups are unioned by
+  name.  Only per-file metadata (path, encoding, header) ever reaches the
+  driver; a header line longer than ``MAX_HEADER_CHARS`` is an error.
+* **Quoting**: fields may be quoted with ``"``; a doubled quote inside is one
+  quote and a backslash is an ordinary character.
+* **Malformed rows** (too many or too few fields) keep the fields that fit
+  and carry their whole line in ``registro_malformado`` on request;
+  ``malformed_per_file`` counts them.
 * **Header reconciliation** (P1-P5): header names are matched to the 25
   storage names ignoring case, surrounding blanks and accents; a U+FFFD in a
   corrupted header matches any one character; Latin-1 mojibake of UTF-8 is
@@ -27,12 +33,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.schemas import RAW_COLUMNS, RAW_COLUMNS_AND_HEADERS
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 REPLACEMENT = "�"
-MOJIBAKE_REPLACEMENT = "ï¿½"
+MALFORMED = "registro_malformado"
+MAX_HEADER_CHARS = 100_000
+QUOTING = {"quote": '"', "escape": '"'}  # a doubled quote is one quote; a backslash is itself
 
 
 def _fold(s: str) -> str:
@@ -94,16 +103,21 @@ def sniff_files(spark: SparkSession, paths: list[str] | str, recursive: bool = F
     lines = reader.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
     )
-    # the first line of the split that starts at byte 0 is the header; ids grow in line order inside a split
-    lines = lines.withColumn("__ord", F.when(F.col("block_start") == 0, F.monotonically_increasing_id()))
+    # the header is the first non-blank line; splits follow their start, and ids grow in line order inside a split
+    place = F.struct("block_start", F.monotonically_increasing_id())
+    lines = lines.withColumn("__ord", F.when(F.trim("value") != "", place))
+    cut = F.substring("value", 1, MAX_HEADER_CHARS + 1)  # never more than this of a line reaches the driver
     return lines.groupBy("file_path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("valid_utf8"),
-        F.min_by("value", "__ord").alias("header_line"),
+        F.min_by(cut, "__ord").alias("header_line"),
     ).withColumn("header_has_replacement", F.col("header_line").contains(REPLACEMENT))
 
 
 def _file_list(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> list[SniffedFile]:
     rows = sniff_files(spark, paths, recursive, pattern).collect()  # one small row per file
+    long_ = [r["file_path"] for r in rows if len(r["header_line"] or "") > MAX_HEADER_CHARS]
+    if long_:
+        raise ValueError(f"header longer than {MAX_HEADER_CHARS} characters in {long_[:5]}")
     return [SniffedFile(r["file_path"], bool(r["valid_utf8"]), bool(r["header_has_replacement"]), r["header_line"] or "") for r in rows]
 
 
@@ -116,9 +130,13 @@ def read_raw(
     with_position: bool = False,
     recursive: bool = False,
     pattern: str = "*.csv",
+    with_malformed: bool = False,
 ) -> DataFrame:
     """Read delimited files with varying encodings and headers into RAW (+ ``source_file``).
 
+    ``with_malformed=True`` adds ``registro_malformado``: the whole line of a
+    row whose field count differs from its header's, else NULL.
+
     ``with_position=True`` adds ``source_position``, a struct (file path,
     split start, row id within the split) taken in the scan's own stage:
     ordering by it gives file order, then line order inside each file, which
@@ -134,23 +152,31 @@ def read_raw(
         groups[(f.encoding, f.header_line)].append(f.path)
     out = None
     for (enc, _header), group_paths in sorted(groups.items()):
-        df = (
-            spark.read.option("sep", sep)
+        reader = (
+            spark.read.options(**QUOTING)
+            .option("sep", sep)
             .option("header", True)
             .option("encoding", enc)
-            .option("inferSchema", False)
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", not with_malformed and not multiline)  # a pruned parse does not count a row's fields
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .option("multiLine", multiline)
-            .csv(sorted(group_paths))
         )
+        header = reader.csv(sorted(group_paths)[0]).columns  # every file of the group has this header line
+        fields = [T.StructField(c, T.StringType()) for c in header]
+        if with_malformed:
+            fields.append(T.StructField(MALFORMED, T.StringType()))
+        df = reader.schema(T.StructType(fields)).csv(sorted(group_paths))
         mapping: dict[str, str] = {}
-        for c in df.columns:
+        for c in header:
             name = resolve_header(c)
             if name and name not in mapping.values():
                 mapping[c] = name
-        cols = [F.coalesce(F.col(f"`{src}`"), F.lit("")).alias(dst) for src, dst in mapping.items()]
+        cols = [F.coalesce(F.col("`" + src.replace("`", "``") + "`"), F.lit("")).alias(dst) for src, dst in mapping.items()]
+        if with_malformed:
+            cols.append(F.col(MALFORMED))
         if with_source:
             cols.append(F.col("_metadata.file_path").alias("source_file"))
         if with_position:
@@ -167,6 +193,8 @@ def read_raw(
         raise ValueError(f"no input files under {paths!r}")
     present = set(out.columns)
     final = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
+    if with_malformed:
+        final.append(F.col(MALFORMED))
     if with_source:
         final.append(F.col("source_file"))
     if with_position:
@@ -174,6 +202,13 @@ def read_raw(
     return out.select(*final)
 
 
+def malformed_per_file(raw: DataFrame, key: str = "numero_auto") -> DataFrame:
+    """(source_file, rows, malformed, with_key) of rows read with ``with_malformed`` and ``with_source``; with_key: a non-blank ``key``."""
+    return raw.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"), F.count_if(F.col(key) != "").alias("with_key")
+    )
+
+
 def source_year(file_col: str = "source_file") -> "F.Column":
     """The 4-digit year folder a file sits in (``.../2023/file.csv`` -> 2023), else NULL."""
     y = F.regexp_extract(F.col(file_col), r"/([0-9]{4})/[^/]*$", 1)
@@ -186,16 +221,15 @@ def first_file_columns(spark: SparkSession, paths: list[str] | str, sep: str = "
     if not files:
         return []
     f = files[0]
-    return spark.read.option("sep", sep).option("header", True).option("encoding", f.encoding).csv(f.path).columns
+    return spark.read.options(**QUOTING).option("sep", sep).option("header", True).option("encoding", f.encoding).csv(f.path).columns
 
 
-def write_csv_batches(df: DataFrame, path: str, headers: list[str], encoding: str = UTF8, sep: str = ";", files: int | None = None) -> None:
+def write_csv_batches(df: DataFrame, path: str, headers: list[str], encoding: str = UTF8, sep: str = ";") -> None:
     """Write ``df`` (columns in RAW order, any subset) as delimited text files with the given header names."""
     out = df.toDF(*headers)
-    if files:
-        out = out.repartition(files)
     (
         out.write.mode("overwrite")
+        .options(**QUOTING)
         .option("sep", sep)
         .option("header", True)
         .option("encoding", encoding)
