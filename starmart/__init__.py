@@ -9,7 +9,6 @@ Layers (all lazy DataFrame plans; nothing passes through the driver):
   attachment, data-quality checks, profiling, report metrics.
 * ``plans``     — composite flows: the two normalisation presets, the star
   build and the reports.
-* ``streaming`` — incremental (file-arrival) variant of the raw append load.
 """
 
 __version__ = "0.1.0"

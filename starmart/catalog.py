@@ -11,27 +11,35 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.functions import vocab as V
 from starmart.operators.quality import STAR_CHECKS, run_checks
 from starmart.plans import generic as G
 from starmart.plans import reports as R
 from starmart.plans.prepare import normalize
 from starmart.plans.star import Star, build_star
-from starmart.sources.tables import landing
+from starmart.sources.tables import forget_landing, landing
 
 _STARS: dict[tuple, Star] = {}
 _LOCK = threading.Lock()
 
 
-def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql", timings: dict | None = None) -> Star:
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"), rules)
+def star_for(spark: SparkSession, sf_dir: str, rules: str = "sql", timings: dict | None = None, view: str = "fines_raw") -> Star:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), rules, view)
     with _LOCK:  # queries submitted from several threads build a star once
         if key not in _STARS:
-            _STARS[key] = build_star(normalize(landing(spark, sf_dir), rules), rules, timings=timings)
+            _STARS[key] = build_star(normalize(landing(spark, sf_dir, view), rules), rules, timings=timings)
         return _STARS[key]
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop this session's stars and landing tables, with the folders they were written to."""
+    with _LOCK:
+        for key in [k for k in _STARS if k[0] == spark.sparkContext.applicationId]:
+            _STARS.pop(key).drop()
+    forget_landing(spark)
+
+
 def _star_table(name: str, rules: str = "sql") -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: star_for(spark, sf, rules).table(name)
 
@@ -58,7 +66,20 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_offender_frame"] = _star_table("dim_infrator", "frame")
     q["fact_null_safe"] = _star_table("fato_multa", "frame")
     q["test_suite"] = lambda spark, sf: _suite(star_for(spark, sf, "sql"), spark, sf)
-    q["labels_and_formats"] = lambda spark, sf: G.labels_and_formats(R.q1(star_for(spark, sf, "sql")), YEARS)
+    q["labels_and_formats"] = lambda spark, sf: _labels(star_for(spark, sf, "sql"))
+    # the published order of a report as a column, so that comparing rows also compares the order
+    for name, order in R.ORDERS.items():
+        q[f"{name}_ordered"] = (lambda fn, order: lambda spark, sf: G.ordered(fn(star_for(spark, sf, "sql")), order()))(R.REPORTS[name], order)
+    q["report_q1b_ordered"] = lambda spark, sf: _q1b_ordered(star_for(spark, sf, "sql"))
+    q["profile_nulls_ordered"] = lambda spark, sf: G.ordered(G.profile_nulls(spark, sf), [F.col("pct").desc(), "column_name"])
+    q["top_parts_ordered"] = lambda spark, sf: G.ordered(G.top_parts(spark, sf), G.top_parts_order())
+    q["report_q6_one_year"] = lambda spark, sf: R.q6(star_for(spark, sf, "sql"), 2023)
+    q["sql_over_views"] = lambda spark, sf: G.sql_over_views(star_for(spark, sf, "sql"))
+    # the same records over seven years, with numbers outside the usual ranges
+    q["prepared_frame_wide"] = lambda spark, sf: normalize(landing(spark, sf, "fines_wide"), "frame")
+    q["report_q1b_wide"] = lambda spark, sf: R.q1b(star_for(spark, sf, "sql", view="fines_wide"))
+    q["labels_and_formats_wide"] = lambda spark, sf: _labels(star_for(spark, sf, "sql", view="fines_wide"))
+    q["report_q4_frame_wide"] = lambda spark, sf: R.q4(star_for(spark, sf, "frame", view="fines_wide"))
     q["holiday_flag"] = lambda spark, sf: G.holiday_flag(star_for(spark, sf, "sql").dim_tempo)
     # data tests run on the materialised PREPARED table, as warehouse tests run on the model table
     q["test_unique"] = lambda spark, sf: G.test_unique(star_for(spark, sf, "sql").prepared)
@@ -67,7 +88,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-YEARS = V.REPORT_YEARS
+def _labels(star: Star) -> DataFrame:
+    return G.labels_and_formats(R.q1_rows(star), R.report_years(star))
+
+
+def _q1b_ordered(star: Star) -> DataFrame:
+    years = R.report_years(star)
+    return G.ordered(R.q1b(star, years), [F.col(str(years[-1])).desc_nulls_last(), "regiao"])
 
 
 def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:

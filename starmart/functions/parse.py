@@ -15,6 +15,7 @@ from starmart.functions.text import col_, py_strip
 
 SQL, FRAME = "sql", "frame"
 
+# The accepted texts of each field.
 INT_RE = r"^-?[0-9]+\z"
 DECIMAL_RE = r"^-?[0-9]*\.?[0-9]+\z"
 # A plain decimal number as a numeric-text converter accepts it: optional sign,
@@ -53,10 +54,10 @@ def numeric_text(c: Column | str) -> Column:
 
 
 def frame_int(c: Column | str, default: int) -> Column:
-    """Frame rules (F11): numeric text (``5.0`` and ``1e3`` accepted) truncated toward zero, else default."""
+    """Frame rules (F11): numeric text (``5.0`` and ``1e3`` accepted) truncated toward zero as 64 bits, else default."""
     d = numeric_text(c)
-    ok = d.isNotNull() & (F.abs(d) < F.lit(2.0**31))
-    return F.when(ok, d.cast("int")).otherwise(F.lit(default)).cast("int")
+    ok = d.isNotNull() & (F.abs(d) < F.lit(2.0**63))
+    return F.when(ok, d.cast("long")).otherwise(F.lit(default)).cast("long")
 
 
 def decimal_comma(c: Column | str, rules: str = SQL) -> Column:
@@ -101,3 +102,16 @@ def mixed_date(c: Column | str, formats: tuple[str, ...] = ("yyyy-MM-dd", "dd/MM
 def hour_number(c: Column | str) -> Column:
     """Profiling (F27): hour text -> DOUBLE or NULL when not numeric."""
     return numeric_text(c)
+
+
+def out_of_range(c: Column | str, field: str, rules: str = SQL) -> Column:
+    """True where well-formed numeric text takes the field's default only because its type cannot hold it."""
+    v = col_(c)
+    if field == "decimal":
+        if rules != SQL:
+            return F.lit(False)
+        v = F.replace(v, F.lit(","), F.lit("."))
+        return F.coalesce(v.rlike(DECIMAL_RE) & v.try_cast(DEC).isNull(), F.lit(False))
+    if rules == SQL:
+        return F.coalesce(v.rlike(INT_RE) & v.try_cast("int").isNull(), F.lit(False))
+    return F.coalesce(F.abs(numeric_text(v)) >= F.lit(2.0**63), F.lit(False))

@@ -51,11 +51,20 @@ def to_cents(x: Column) -> Column:
     return (x * 100).cast("decimal(38,0)")
 
 
+#: DOUBLE values of this magnitude or more (also infinite ones) have no exact 6-digit units.
+EXACT_BELOW = 1e15
+
+
 def to_units(x: Column, digits: int) -> Column:
     """``x`` as an integer count of 10^-digits units (a DOUBLE is rounded half-up at that digit)."""
     return (x * (10**digits)).cast("decimal(38,0)")
 
 
+def to_units_or_null(x: Column, digits: int) -> Column:
+    """``to_units`` of a DOUBLE below ``EXACT_BELOW`` in magnitude, else NULL (never an error)."""
+    return F.when(F.abs(x) < F.lit(EXACT_BELOW), to_units(x, digits))
+
+
 def mean_of_units(sum_units: Column, count: Column, digits: int, scale: int = 2) -> Column:
     """Mean of values given their sum in 10^-digits units, rounded half away from zero to ``scale`` decimals."""
     return round_ratio(sum_units, count * (10**digits), scale)

@@ -29,6 +29,8 @@ NOT_INFORMED_SPECIES_BLANK = "Não Informado"  # SQL rule set, blank species
 # Terms that mean "not informed" (compared after trim + upper).
 # ---------------------------------------------------------------------------
 MISSING_TERMS: list[str] = ["'-1", "-1", "NA", "NAO INFORMADO", "NÃO ENCONTRADO", "NÃO INFORMADO"]
+# Terms counted by the inspection of vehicle makes.
+INSPECTED_TERMS: list[str] = ["-1", "NA", "NAO INFORMADO", "NÃO ENCONTRADO", "NÃO INFORMADO"]
 # The SQL rule set also treats N/I as missing for species.
 MISSING_TERMS_SPECIES_SQL: list[str] = MISSING_TERMS + ["N/I"]
 # The SQL rule for make lists a mis-cased spelling that upper() never yields.
@@ -98,7 +100,6 @@ EXCESS_RANGE = (0, 150)        # sanity cut on excess speed, (low, high]
 OUTLIER_EXCESS = 200           # outlier listing threshold
 MIN_GROUP_ROWS = 100           # minimum group size in the vehicle profile
 HOUR_RANGE = (0, 2359)         # valid hhmm values
-REPORT_YEARS: list[int] = [2022, 2023, 2024]   # pivot columns; change from first to last
 REPORT_EXCLUDED_STATES: list[str] = ["N/I", "EX"]
 REPORT_EXCLUDED_LABELS: list[str] = ["-1", "Não informado", "N/I", "NÃO INFORMADO"]
 STACK_ORDER: list[str] = ["Norte", "Nordeste", "Centro-Oeste", "Sul", "Sudeste"]

@@ -36,6 +36,7 @@ class Keyed:
     df: DataFrame
     rows: int
     bytes: int | None = None
+    path: str | None = None  # the folder the numbered rows were written to
 
 
 def _row_bytes(df: DataFrame, cols: list[str]) -> Column:
@@ -99,7 +100,13 @@ def assign_dense_keys(
         (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW_MASK)) + F.lit(first)).cast("long").alias(sk),
         *[F.col(c) for c in cols],
     )
-    return Keyed(keyed, int(total), int(size))
+    return Keyed(keyed, int(total), int(size), path)
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Exact rows and in-memory bytes of a table, in one aggregate."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df, df.columns))).first()
+    return int(rows), int(size or 0)
 
 
 def build_dimension(
@@ -126,11 +133,11 @@ def build_dimension(
         base = df.groupBy(*keys).agg(*aggs)
         keyed = assign_dense_keys(base, ["__first"], sk, first=first)
         out_cols = [sk] + keys + list(attrs_max or {})
-        return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes)
+        return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes, keyed.path)
     if attrs_max:
         base = df.groupBy(*keys).agg(*[F.max(src).alias(out) for out, src in attrs_max.items()])
     else:
         base = df.select(*keys).distinct()
     keyed = assign_dense_keys(base, order or keys, sk, first=first)
     out_cols = [sk] + keys + list(attrs_max or {})
-    return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes)
+    return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes, keyed.path)

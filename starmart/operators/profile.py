@@ -8,7 +8,7 @@ rows leave the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import vocab as V
@@ -28,17 +28,19 @@ def profile_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n_{i}").cast("long").alias("nulls")) for i, c in enumerate(cols)])
     )
     long = agg.select("__rows", stack)
-    return long.filter(F.col("nulls") > 0).select(
+    out = long.filter(F.col("nulls") > 0).select(
         "column_name", "nulls", round_percent(F.col("nulls"), F.col("__rows"), 2).alias("pct")
     )
+    return out.orderBy(F.col("pct").desc(), "column_name")
 
 
-def profile_dates(df: DataFrame, column: str, year: int | None = None, formats: tuple[str, ...] | None = None) -> DataFrame:
+def profile_dates(df: DataFrame, column: str, year: int | Column | None = None, formats: tuple[str, ...] | None = None) -> DataFrame:
     """(metric, value): dates that are invalid or NULL, and valid dates outside ``year``."""
     d = mixed_date(column, formats) if formats else mixed_date(column)
     aggs = [F.count_if(d.isNull()).cast("long").alias("invalid_or_null")]
     if year is not None:
-        aggs.append(F.count_if(d.isNotNull() & (F.year(d) != F.lit(year))).cast("long").alias("outside_year"))
+        want = year if isinstance(year, Column) else F.lit(year)
+        aggs.append(F.count_if(d.isNotNull() & (F.year(d) != want)).cast("long").alias("outside_year"))
     return _metrics(df.agg(*aggs))
 
 
@@ -114,17 +116,28 @@ def _metrics(one_row: DataFrame) -> DataFrame:
 def profile(
     df: DataFrame,
     date_col: str | None = None,
-    year: int | None = None,
+    year: int | Column | None = None,
     hour_col: str | None = None,
     key_col: str | None = None,
     text_cols: list[str] | None = None,
+    value_cols: list[str] | None = None,
+    sample_cols: list[str] | None = None,
+    by: str | None = None,
+    date_samples: int = 5,
+    row_samples: int = 50,
 ) -> DataFrame:
-    """All profiling sections as one long table (section, column_name, metric, value as text).
-
-    Null counts, date and hour validity come from one aggregate pass over
-    ``df``; duplicates and text summaries are one grouped aggregate each.
+    """All profiling sections as one long table ([by,] section, column_name, metric, value as text).
+
+    ``by``: a column (e.g. the load year) whose values are profiled apart;
+    ``year``: the year dates should have, a number or a column of ``df``.
+    Null counts, date and hour validity come from one aggregate pass.
+    Duplicates, text summaries and distinct values share a second pass: the
+    columns are stacked as (column, value) and counted by one grouped
+    aggregate.  Samples are the first rows in key order, so they are the same
+    in every run; only the first rows of each map task are shuffled for them.
     """
-    cols = df.columns
+    group = [by] if by else []
+    cols = [c for c in df.columns if c != by]
     aggs = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(cols)]
     rows = []
     for i, c in enumerate(cols):
@@ -137,24 +150,46 @@ def profile(
         aggs.append(F.count_if(d.isNull()).alias("d_bad"))
         rows.append((F.lit(True), "dates", date_col, "invalid_or_null", F.col("d_bad").cast("string")))
         if year is not None:
-            aggs.append(F.count_if(d.isNotNull() & (F.year(d) != F.lit(year))).alias("d_out"))
+            want = year if isinstance(year, Column) else F.lit(year)
+            aggs.append(F.count_if(d.isNotNull() & (F.year(d) != want)).alias("d_out"))
             rows.append((F.lit(True), "dates", date_col, "outside_year", F.col("d_out").cast("string")))
     if hour_col:
         h = hour_number(hour_col)
         aggs += [F.count_if(h.isNull()).alias("h_bad"), F.count_if((h < V.HOUR_RANGE[0]) | (h > V.HOUR_RANGE[1])).alias("h_out")]
         rows.append((F.lit(True), "hours", hour_col, "not_numeric", F.col("h_bad").cast("string")))
         rows.append((F.lit(True), "hours", hour_col, "out_of_range", F.col("h_out").cast("string")))
-    one = df.agg(*aggs)
+    one = df.groupBy(*group).agg(*aggs)
     structs = F.array(*[
         F.struct(keep.alias("keep"), F.lit(sec).alias("section"), F.lit(c).alias("column_name"), F.lit(m).alias("metric"), v.alias("value"))
         for keep, sec, c, m, v in rows
     ])
-    out = one.select(F.inline(structs)).filter("keep").drop("keep")
-    if key_col:
-        out = out.unionByName(duplicate_count(df, key_col).select(
-            F.lit("duplicates").alias("section"), F.lit(key_col).alias("column_name"), "metric", F.col("value").cast("string")))
-    if text_cols:
-        d = describe_text(df, text_cols)
-        stack = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")) for m in ("count", "unique", "top", "freq")])
-        out = out.unionByName(d.select(F.lit("describe").alias("section"), "column_name", F.inline(stack)))
+    out = one.select(*group, F.inline(structs)).filter("keep").drop("keep")
+
+    roles = [("duplicates", key_col)] if key_col else []
+    roles += [("describe", c) for c in text_cols or []] + [("values", c) for c in value_cols or []]
+    if roles:
+        pairs = F.array(*[F.struct(F.lit(r).alias("section"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("__v")) for r, c in roles])
+        counts = df.select(*group, F.inline(pairs)).groupBy(*group, "section", "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
+        known = F.col("__v").isNotNull()
+        # the most frequent value, ties to the smallest: the largest (count, then least value) pair, without a window
+        best = counts.groupBy(*group, "section", "column_name").agg(
+            F.sum(F.col("__n") - 1).alias("again"), F.sum(F.when(known, F.col("__n"))).alias("count"), F.count("__v").alias("unique"),
+            F.max(F.when(known, F.col("__n"))).alias("freq"),
+            F.min_by("__v", F.when(known, F.struct(-F.col("__n"), F.col("__v")))).alias("top"),
+        )
+        metrics = F.array(*[
+            F.struct((F.col("section") == sec).alias("keep"), F.lit(m).alias("metric"), F.col(c).cast("string").alias("value"))
+            for sec, m, c in (("duplicates", "duplicated_keys", "again"), *[("describe", m, m) for m in ("count", "unique", "top", "freq")])
+        ])
+        told = best.select(*group, "section", "column_name", F.inline(metrics)).filter("keep").drop("keep")
+        values = counts.filter((F.col("section") == "values") & known).select(*group, "section", "column_name", F.lit("value").alias("metric"), F.col("__v").alias("value"))
+        out = out.unionByName(told).unionByName(values)
+    if sample_cols and key_col:
+        order = Window.partitionBy(*group).orderBy(F.col(key_col).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in cols if c != key_col])
+        first = df.select(*group, *cols, F.row_number().over(order).alias("__i")).filter(F.col("__i") <= max(date_samples, row_samples))
+        picks = [(date_col, mixed_date(date_col).cast("string"), date_samples)] if date_col else []
+        picks += [(c, F.col(c).cast("string"), row_samples) for c in sample_cols]
+        parts = F.array(*[F.struct((F.col("__i") <= n).alias("keep"), F.lit("sample").alias("section"), F.lit(c).alias("column_name"),
+                                   F.format_string("%03d", F.col("__i")).alias("metric"), v.alias("value")) for c, v, n in picks])
+        out = out.unionByName(first.select(*group, F.inline(parts)).filter("keep").drop("keep"))
     return out

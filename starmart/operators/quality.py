@@ -170,6 +170,7 @@ def _references_batch(tables: dict[str, DataFrame], cs: list[Check]) -> DataFram
 
 
 # The warehouse's declared tests, with column names as the models define them.
+# The declared tests of the star.
 STAR_CHECKS: list[Check] = [
     Check("prepared", "numero_auto", "not_null"),
     Check("prepared", "numero_auto", "unique"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from starmart.functions import vocab as V
 from starmart.functions.text import PY_WHITESPACE
-from starmart.sources.tables import FINES_RAW_SQL
+from starmart.sources.tables import FINES_RAW_SQL, FINES_WIDE_SQL
 
 NI = V.NOT_INFORMED
 
@@ -162,7 +162,7 @@ def _numtext(expr: str) -> str:
 
 def _frame_int(c: str, default: int) -> str:
     d = _numtext(c)
-    return f"CAST(CASE WHEN abs({d}) < 2147483648 THEN trunc({d}) ELSE {default} END AS INTEGER)"
+    return f"CAST(CASE WHEN abs({d}) < 9223372036854775808.0 THEN trunc({d}) ELSE {default} END AS BIGINT)"
 
 
 def _blank(c: str) -> str:
@@ -344,6 +344,9 @@ def units(x: str, digits: int = 2) -> str:
 
 def mean2(x: str, cond: str | None = None, digits: int = 2) -> str:
     v = x if cond is None else f"CASE WHEN {cond} THEN {x} END"
+    if digits == 6:  # DOUBLE: no exact mean for a group with a value of 1e15 or more
+        exact = f"CAST(CASE WHEN abs({v}) < 1e15 THEN ({v}) * 1000000 END AS HUGEINT)"
+        return f"CASE WHEN MAX(abs({v})) < 1e15 THEN {rr(f'SUM({exact})', f'(COUNT({v}) * 1000000)', 2)} END"
     return rr(f"SUM({units(v, digits)})", f"(COUNT({v}) * {10 ** digits})", 2)
 
 
@@ -371,7 +374,7 @@ def _star_with(ctes: str, select: str) -> str:
 
 
 ORACLE["report_q1"] = _star_with(Q1_G, "SELECT * FROM q1")
-_YEARS = V.REPORT_YEARS
+_YEARS = [2022, 2023, 2024]  # the years of fines_raw
 _pivot = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _YEARS)
 ORACLE["report_q1b"] = _star_with(
     Q1_G + f""", q1p AS (SELECT regiao, {_pivot} FROM q1 GROUP BY regiao)""",
@@ -596,6 +599,7 @@ ORACLE["holiday_flag"] = with_prepared(
 # Profiling and data tests
 # ---------------------------------------------------------------------------
 from starmart.schemas import RAW_COLUMNS as _RAW  # noqa: E402
+from starmart.schemas import RAW_COLUMNS_AND_HEADERS as HEADERS  # noqa: E402
 
 _nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(_RAW))
 ORACLE["profile_nulls"] = (
@@ -608,10 +612,11 @@ ORACLE["profile_nulls"] = (
 _MIXED = " , ".join(
     f"try_strptime(data_infracao, {q(f)})" for f in ("%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d", "%d-%m-%Y")
 )
+_LOAD = "CAST(2022 + coalesce(CAST(substr(numero_auto, 2, 8) AS INT), 0) % 3 AS INT)"
 ORACLE["profile_dates"] = (
-    f"WITH {FINES_RAW_CTE}, d AS (SELECT CAST(coalesce({_MIXED}) AS DATE) AS d FROM fines_raw)\n"
+    f"WITH {FINES_RAW_CTE}, d AS (SELECT CAST(coalesce({_MIXED}) AS DATE) AS d, {_LOAD} AS ano FROM fines_raw)\n"
     "SELECT 'invalid_or_null' AS metric, COUNT(*) FILTER (WHERE d IS NULL) AS value FROM d UNION ALL "
-    "SELECT 'outside_year', COUNT(*) FILTER (WHERE d IS NOT NULL AND year(d) <> 2023) FROM d"
+    "SELECT 'outside_year', COUNT(*) FILTER (WHERE d IS NOT NULL AND year(d) <> ano) FROM d"
 )
 ORACLE["profile_hours"] = (
     f"WITH {FINES_RAW_CTE}, h AS (SELECT {_numtext('hora_infracao')} AS h FROM fines_raw)\n"
@@ -640,7 +645,7 @@ ORACLE["profile_values"] = with_raw(
     + ") WHERE value IS NOT NULL"
 )
 ORACLE["profile_terms"] = with_raw(
-    f"SELECT {_u(_mk)} AS value, COUNT(*) AS n FROM fines_raw WHERE {_u(_mk)} IN {lst(V.MISSING_TERMS)} GROUP BY 1"
+    f"SELECT {_u(_mk)} AS value, COUNT(*) AS n FROM fines_raw WHERE {_u(_mk)} IN ('-1', 'NA', 'NAO INFORMADO', 'NÃO ENCONTRADO', 'NÃO INFORMADO') GROUP BY 1"
 )
 ORACLE["test_not_null"] = with_raw("SELECT * FROM fines_raw WHERE numero_auto IS NULL")
 ORACLE["test_unique"] = with_prepared(
@@ -648,7 +653,7 @@ ORACLE["test_unique"] = with_prepared(
 )
 ORACLE["test_accepted"] = with_prepared(
     "SELECT indicador_veiculo_estrangeiro, COUNT(*) AS n_records FROM prepared "
-    "WHERE indicador_veiculo_estrangeiro IS NOT NULL AND indicador_veiculo_estrangeiro NOT IN ('S', 'N') GROUP BY 1"
+    "WHERE indicador_veiculo_estrangeiro IS NOT NULL AND indicador_veiculo_estrangeiro NOT IN ('S', 'N', 'N/I') GROUP BY 1"
 )
 ORACLE["union_evolving"] = with_raw(
     "SELECT numero_auto, data_infracao, uf_infracao, km_infracao, CAST(NULL AS VARCHAR) AS municipio FROM fines_raw UNION ALL "
@@ -686,7 +691,7 @@ def _suite_sql() -> str:
 
 ORACLE["test_suite"] = with_star(_suite_sql())
 
-_LY = V.REPORT_YEARS
+_LY = _YEARS
 _lpiv = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _LY)
 _rcol = "CASE regiao " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in V.REGION_COLOURS.items()) + f" ELSE {q(V.DEFAULT_COLOUR)} END"
 ORACLE["labels_and_formats"] = _star_with(
@@ -735,32 +740,32 @@ ORACLE["fact_null_safe"] = with_frame_star(
 
 
 def _profile_report_sql() -> str:
+    """Per load year: every section of the profile."""
+    y = "ano_carga"
     nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(_RAW))
     rows = []
     for i, c in enumerate(_RAW):
-        rows.append(f"SELECT 'nulls' AS section, {q(c)} AS column_name, 'nulls' AS metric, CAST(n{i} AS VARCHAR) AS value FROM a WHERE n{i} > 0")
-        rows.append(f"SELECT 'nulls', {q(c)}, 'pct', CAST({rr(f'n{i} * 100', 'total_rows', 2)} AS VARCHAR) FROM a WHERE n{i} > 0")
-    rows.append(
-        "SELECT 'dates', 'data_infracao', 'invalid_or_null', CAST(COUNT(*) FILTER (WHERE d IS NULL) AS VARCHAR) FROM d"
-    )
-    rows.append(
-        "SELECT 'dates', 'data_infracao', 'outside_year', CAST(COUNT(*) FILTER (WHERE d IS NOT NULL AND year(d) <> 2023) AS VARCHAR) FROM d"
-    )
-    rows.append("SELECT 'hours', 'hora_infracao', 'not_numeric', CAST(COUNT(*) FILTER (WHERE h IS NULL) AS VARCHAR) FROM h")
-    rows.append(
-        f"SELECT 'hours', 'hora_infracao', 'out_of_range', CAST(COUNT(*) FILTER (WHERE h < {V.HOUR_RANGE[0]} OR h > {V.HOUR_RANGE[1]}) AS VARCHAR) FROM h"
-    )
-    rows.append(
-        "SELECT 'duplicates', 'numero_auto', 'duplicated_keys', CAST(coalesce(SUM(n - 1), 0) AS VARCHAR) "
-        "FROM (SELECT numero_auto, COUNT(*) AS n FROM fines_raw GROUP BY 1)"
-    )
+        rows.append(f"SELECT {y}, 'nulls' AS section, {q(c)} AS column_name, 'nulls' AS metric, CAST(n{i} AS VARCHAR) AS value FROM a WHERE n{i} > 0")
+        rows.append(f"SELECT {y}, 'nulls', {q(c)}, 'pct', CAST({rr(f'n{i} * 100', 'total_rows', 2)} AS VARCHAR) FROM a WHERE n{i} > 0")
+    one = lambda section, col, metric, cond: f"SELECT {y}, {q(section)}, {q(col)}, {q(metric)}, CAST(COUNT(*) FILTER (WHERE {cond}) AS VARCHAR) FROM r GROUP BY 1"
+    rows += [
+        one("dates", "data_infracao", "invalid_or_null", "d IS NULL"), one("dates", "data_infracao", "outside_year", f"d IS NOT NULL AND year(d) <> {y}"),
+        one("hours", "hora_infracao", "not_numeric", "h IS NULL"), one("hours", "hora_infracao", "out_of_range", f"h < {V.HOUR_RANGE[0]} OR h > {V.HOUR_RANGE[1]}"),
+        f"SELECT {y}, 'duplicates', 'numero_auto', 'duplicated_keys', CAST(SUM(n - 1) AS VARCHAR) FROM (SELECT {y}, numero_auto, COUNT(*) AS n FROM r GROUP BY 1, 2) GROUP BY 1",
+    ]
     for c in ("medicao_infracao", "medicao_considerada"):
-        for m in ("count", "unique", "top", "freq"):
-            rows.append(f'SELECT \'describe\', column_name, {q(m)}, CAST("{m}" AS VARCHAR) FROM {_describe(c)}')
+        counts = f"(SELECT {y}, {c} AS v, COUNT(*) AS n FROM r WHERE {c} IS NOT NULL GROUP BY 1, 2)"
+        for m, e in (("count", "SUM(n)"), ("unique", "COUNT(*)"), ("freq", "MAX(n)"), ("top", "arg_min(v, {'a': -n, 'b': v})")):
+            rows.append(f"SELECT {y}, 'describe', {q(c)}, {q(m)}, CAST({e} AS VARCHAR) FROM {counts} GROUP BY 1")
+    for c in _CATS:
+        rows.append(f"SELECT DISTINCT {y}, 'values', {q(c)}, 'value', {c} FROM r WHERE {c} IS NOT NULL")
+    order = ", ".join(f"{c} NULLS LAST" for c in ["numero_auto", *[c for c in _RAW if c != "numero_auto"]])
+    for c, e, n in (("data_infracao", "CAST(d AS VARCHAR)", 5), *[(c, c, 50) for c in ("numero_auto", "medicao_infracao", "medicao_considerada")]):
+        rows.append(f"SELECT {y}, 'sample', {q(c)}, printf('%03d', i), {e} FROM s WHERE i <= {n}")
     return (
-        f"WITH {FINES_RAW_CTE}, a AS (SELECT COUNT(*) AS total_rows, {nulls} FROM fines_raw), "
-        f"d AS (SELECT CAST(coalesce({_MIXED}) AS DATE) AS d FROM fines_raw), "
-        f"h AS (SELECT {_numtext('hora_infracao')} AS h FROM fines_raw)\n" + " UNION ALL ".join(rows)
+        f"WITH {FINES_RAW_CTE}, r AS (SELECT *, {_LOAD} AS {y}, CAST(coalesce({_MIXED}) AS DATE) AS d, {_numtext('hora_infracao')} AS h FROM fines_raw), "
+        f"a AS (SELECT {y}, COUNT(*) AS total_rows, {nulls} FROM r GROUP BY 1), "
+        f"s AS (SELECT *, row_number() OVER (PARTITION BY {y} ORDER BY {order}) AS i FROM r)\n" + " UNION ALL ".join(rows)
     )
 
 
@@ -835,3 +840,102 @@ ORACLE["report_q4b_frame"] = _frame_star_with(
     f"SELECT codigo_infracao, '[' || CAST(codigo_infracao AS VARCHAR) || '] ' || substr(descricao_infracao, 1, {V.LABEL_PREFIX_CHARS}) || '...' AS label, "
     "total_autuacoes FROM q4 ORDER BY total_autuacoes DESC, codigo_infracao, descricao_infracao LIMIT 10",
 )
+
+
+# ---------------------------------------------------------------------------
+# Published order as a column
+# ---------------------------------------------------------------------------
+def _ordered(sql: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS ordem FROM ({sql})"
+
+
+_ORDER = {
+    "report_q1": "regiao, ano, uf_infracao",
+    "report_q1b": '"2024" DESC NULLS LAST, regiao',
+    "report_q2": "media_excesso_kmh DESC NULLS LAST, especie_veiculo, tipo_veiculo, estrangeiro",
+    "report_q5": "is_feriado DESC, total_multas DESC, dia_semana",
+    "report_q6": "ano DESC, trimestre DESC, total_multas DESC, uf_infracao",
+    "report_q7": "total_multas DESC, descricao_especie_veiculo, descricao_tipo_veiculo, indicador_abordagem, indicador_veiculo_estrangeiro",
+    "profile_nulls": "pct DESC, column_name",
+    "top_parts": "total_qty DESC, p_partkey",
+}
+for _name, _by in _ORDER.items():
+    ORACLE[f"{_name}_ordered"] = _ordered(ORACLE[_name], _by)
+
+
+# ---------------------------------------------------------------------------
+# Seven years and numbers outside the usual ranges
+# ---------------------------------------------------------------------------
+def _wide(sql: str) -> str:
+    return sql.replace(FINES_RAW_SQL, FINES_WIDE_SQL)
+
+
+_WY = list(range(2020, 2027))
+_wpivot = ", ".join(f'CAST(SUM(CASE WHEN ano = {y} THEN total_infracoes END) AS BIGINT) AS "{y}"' for y in _WY)
+_wchange = rr('("2026" - "2020") * 100', '"2020"', 1)
+ORACLE["prepared_frame_wide"] = _wide(ORACLE["prepared_frame"])
+ORACLE["report_q4_frame_wide"] = _wide(ORACLE["report_q4_frame"])
+ORACLE["report_q1b_wide"] = _wide(_star_with(Q1_G + f", q1p AS (SELECT regiao, {_wpivot} FROM q1 GROUP BY regiao)", f"SELECT *, {_wchange} AS var_20_26_pct FROM q1p"))
+ORACLE["labels_and_formats_wide"] = _wide(_star_with(
+    Q1_G + f", lp AS (SELECT regiao, {_wpivot} FROM q1 GROUP BY regiao), lv AS (SELECT *, CAST({_wchange} AS DECIMAL(20,1)) AS v FROM lp)",
+    "SELECT regiao, format('{:,}', \"2026\") AS total_ultimo_ano, replace(format('{:,}', \"2026\"), ',', '.') AS total_ultimo_ano_br, "
+    f"CAST({rr('\"2026\"', '1000000', 1)} AS VARCHAR) || 'M' AS total_milhoes, "
+    "CASE WHEN v > 0 THEN '+' || CAST(v AS VARCHAR) || '%' ELSE CAST(v AS VARCHAR) || '%' END AS variacao, "
+    f"{_rcol} AS cor FROM lv",
+))
+
+
+def _replaced_sql() -> str:
+    whole = lambda c: f"regexp_full_match({c}, '-?[0-9]+') AND TRY_CAST({c} AS INTEGER) IS NULL"
+    cents = lambda c: f"regexp_full_match(replace({c}, ',', '.'), {_NUM_DEC}) AND TRY_CAST(replace({c}, ',', '.') AS DECIMAL(10,2)) IS NULL"
+    big = lambda c: f"abs({_numtext(c)}) >= 9223372036854775808.0"
+    cases = [("sql", c, whole(c)) for c in ("codigo_infracao", "km_infracao", "qtd_infracoes", "hora_infracao")]
+    cases += [("sql", c, cents(c)) for c in ("medicao_considerada", "excesso_verificado")]
+    cases += [("frame", c, big(c)) for c in ("codigo_infracao", "qtd_infracoes")]
+    return _wide(with_raw(" UNION ALL ".join(f"SELECT {q(r)} AS rules, {q(c)} AS field, COUNT(*) FILTER (WHERE {e}) AS n FROM fines_raw" for r, c, e in cases)))
+
+
+ORACLE["profile_replaced"] = _replaced_sql()
+_INSPECTED = ("descricao_especie_veiculo", "descricao_tipo_veiculo", "descricao_marca_veiculo", "fim_vigencia_infracao")
+ORACLE["inspect_values"] = with_raw(" UNION ALL ".join(f"SELECT DISTINCT {_LOAD} AS ano_carga, {q(c)} AS column_name, {c} AS value FROM fines_raw" for c in _INSPECTED))
+ORACLE["report_q6_one_year"] = _star_with(
+    f"q6 AS (SELECT l.uf_infracao, t.ano, t.trimestre, COUNT(f.numero_auto) AS total_multas FROM {FT} {FL} WHERE t.ano = 2023 GROUP BY 1, 2, 3)",
+    "SELECT *, total_multas - LAG(total_multas) OVER (PARTITION BY uf_infracao ORDER BY ano, trimestre) AS variacao_trimestre_anterior FROM q6",
+)
+ORACLE["sql_over_views"] = with_star(
+    f"SELECT t.ano, l.uf_infracao, COUNT(*) AS autos, CAST(SUM(f.qtd_infracoes) AS BIGINT) AS infracoes FROM {FT} {FL} GROUP BY 1, 2"
+)
+
+# ---------------------------------------------------------------------------
+# Files, sinks, keys, references
+# ---------------------------------------------------------------------------
+ORACLE["csv_quoting"] = r"""
+SELECT 'Q' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS numero_auto,
+  CASE l_linenumber % 7 WHEN 0 THEN 'C:\' WHEN 1 THEN 'S "X" Y' WHEN 2 THEN 'a;b;c' WHEN 3 THEN '"' WHEN 4 THEN '\"\;' WHEN 5 THEN '  ' ELSE 'São João' END AS municipio,
+  p_name AS descricao_modelo_veiculo, CASE WHEN l_suppkey % 2 = 0 THEN 'SP' ELSE '' END AS uf_infracao
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+ORACLE["csv_malformed"] = "SELECT COUNT(*) AS linhas, COUNT(*) FILTER (WHERE l_orderkey % 10 < 2) AS malformadas, COUNT(*) AS com_numero FROM lineitem"
+ORACLE["encoding_fallback"] = (
+    "SELECT 'E' || CAST(s_suppkey AS VARCHAR) AS numero_auto, 'Ação' AS municipio, 'latin' AS arquivo FROM supplier UNION ALL "
+    "SELECT 'E' || CAST(s_suppkey AS VARCHAR), 'A' || chr(65533) || chr(65533) || 'o', 'replaced' FROM supplier"
+)
+# rows_per_load has no SQL: which half a row goes to is a hash; tests/test_files.py adds the totals up
+ORACLE["first_file_header"] = "SELECT * FROM (VALUES " + ", ".join(f"({i}, {q(h)})" for i, (_, h) in enumerate(HEADERS, 1)) + ") t(posicao, coluna)"
+ORACLE["sink_partitions"] = """
+WITH o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders),
+t AS (SELECT * FROM o WHERE ano <> 1997 UNION ALL SELECT * FROM o WHERE ano = 1997 AND o_orderkey % 2 = 0 UNION ALL SELECT * FROM o WHERE ano = 1998)
+SELECT ano, COUNT(*) AS linhas, COUNT(DISTINCT o_orderkey) AS pedidos FROM t GROUP BY 1"""
+ORACLE["sink_raw_table"] = with_raw("SELECT DISTINCT * FROM fines_raw")
+ORACLE["first_seen_keys"] = """
+SELECT row_number() OVER (ORDER BY d, k, o_custkey) - 1 AS id_cliente_sk, o_custkey
+FROM (SELECT o_custkey, min(o_orderdate) AS d, arg_min(o_orderkey, {'a': o_orderdate, 'b': o_orderkey}) AS k FROM orders GROUP BY 1)"""
+ORACLE["orphan_rows_shifted"] = """
+WITH m AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)
+SELECT o_orderkey, o_custkey FROM m WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)"""
+ORACLE["test_relationships"] = """
+WITH c AS (SELECT o_orderstatus, CASE WHEN o_custkey % 5 = 0 THEN -o_custkey WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders)
+SELECT 'pedidos' AS model, 'o_custkey' AS column_name, 'relationships' AS test, COUNT(*) AS failures FROM c WHERE o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+UNION ALL SELECT 'pedidos', 'o_custkey', 'not_null', COUNT(*) FROM c WHERE o_custkey IS NULL
+UNION ALL SELECT 'pedidos', 'o_orderstatus', 'accepted_values', COUNT(*) FROM c WHERE o_orderstatus NOT IN ('F', 'O')
+UNION ALL SELECT 'clientes', 'c_custkey', 'unique', CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT c_custkey, COUNT(*) AS n FROM customer GROUP BY 1 HAVING COUNT(*) > 1)"""

@@ -9,6 +9,9 @@ after an exact row count.
 
 from __future__ import annotations
 
+import threading
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +25,18 @@ from starmart.functions.text import null_default
 from starmart.operators import profile as prof
 from starmart.operators import quality as qa
 from starmart.operators.joins import anti_join, maybe_broadcast, semi_join
+from starmart.operators.keys import assign_dense_keys, build_dimension, measured
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
-from starmart.schemas import RAW_COLUMNS
+from starmart.schemas import RAW_COLUMNS, RAW_COLUMNS_AND_HEADERS
+from starmart.session import work_dir
+from starmart.sources.csv import MALFORMED, first_file_columns, malformed_per_file, read_raw, source_year, write_csv_batches
+from starmart.sources.sinks import append_table, create_raw_table, write_table
 from starmart.sources.tables import landing, table
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """Broadcast ``df`` if its exact row count passes the size check (a metadata count on a plain scan)."""
-    return maybe_broadcast(df, df.count())
+    """Broadcast ``df`` if its measured rows and bytes pass the size check."""
+    return maybe_broadcast(df, *measured(df))
 
 
 # ---------------------------------------------------------------------------
@@ -79,7 +86,17 @@ def top_parts(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
     top = top_k(li, [F.col("total_qty").desc(), "l_partkey"], k)
     part = table(spark, sf, "part", ["p_partkey", "p_name"])
     # names are attached after the limit: the broadcast side holds exactly k rows
-    return part.join(F.broadcast(top), F.col("p_partkey") == F.col("l_partkey")).select("p_partkey", "p_name", "total_qty")
+    named = part.join(F.broadcast(top), F.col("p_partkey") == F.col("l_partkey")).select("p_partkey", "p_name", "total_qty")
+    return named.orderBy(*top_parts_order())
+
+
+def top_parts_order():
+    return [F.col("total_qty").desc(), F.col("p_partkey")]
+
+
+def ordered(df: DataFrame, order: list) -> DataFrame:
+    """``df`` with its row numbers in ``order`` as the column ``ordem``."""
+    return assign_dense_keys(df, order, "ordem").df
 
 
 def rank_brands(spark: SparkSession, sf: str, k: int = 10) -> DataFrame:
@@ -202,15 +219,13 @@ def parse_km_both(spark, sf):
 
 
 def _field_rules(spark, sf, specs) -> DataFrame:
-    raw = landing(spark, sf)
-    out = None
-    for field, sql_e, frame_e in specs:
-        g = raw.groupBy(
-            F.lit(field).alias("field"), F.col(field).alias("before"),
-            sql_e.cast("string").alias("after_sql"), frame_e.cast("string").alias("after_frame"),
-        ).agg(F.count(F.lit(1)).cast("long").alias("n"))
-        out = g if out is None else out.unionByName(g)
-    return out
+    """(field, before, after_sql, after_frame, n) of several fields in one scan and one grouped aggregate."""
+    text = lambda e: e.cast("string")
+    rows = F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).alias("before"), text(sql_e).alias("after_sql"), text(frame_e).alias("after_frame"))
+        for f, sql_e, frame_e in specs
+    ])
+    return landing(spark, sf).select(F.inline(rows)).groupBy("field", "before", "after_sql", "after_frame").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
 def parse_ints(spark, sf):
@@ -254,7 +269,15 @@ def profile_nulls(spark, sf):
 
 
 def profile_dates(spark, sf):
-    return prof.profile_dates(landing(spark, sf), "data_infracao", year=2023)
+    return prof.profile_dates(landing(spark, sf).withColumn("ano_carga", load_year()), "data_infracao", year=F.col("ano_carga"))
+
+
+def load_year():
+    """The year whose load a raw record came with; the derived records are dealt over three loads by their number."""
+    return F.expr(LOAD_YEAR_SQL)
+
+
+LOAD_YEAR_SQL = "CAST(2022 + coalesce(CAST(substr(numero_auto, 2, 8) AS INT), 0) % 3 AS INT)"
 
 
 def profile_hours(spark, sf):
@@ -277,7 +300,26 @@ def profile_values(spark, sf):
 
 
 def profile_terms(spark, sf):
-    return prof.term_counts(landing(spark, sf), "descricao_marca_veiculo", V.MISSING_TERMS)
+    return prof.term_counts(landing(spark, sf), "descricao_marca_veiculo", V.INSPECTED_TERMS)
+
+
+INSPECTED = ["descricao_especie_veiculo", "descricao_tipo_veiculo", "descricao_marca_veiculo", "fim_vigencia_infracao"]
+
+
+def inspect_values(spark, sf):
+    """Distinct values of the inspected vehicle columns and of the end of validity, per load year."""
+    raw = landing(spark, sf).select(load_year().alias("ano_carga"), *INSPECTED)
+    stack = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in INSPECTED]))
+    return raw.select("ano_carga", stack).distinct()
+
+
+def profile_replaced(spark, sf):
+    """Numbers that take a field's default only because its type cannot hold them, counted per rule set and field."""
+    fields = [("codigo_infracao", "int"), ("km_infracao", "int"), ("qtd_infracoes", "int"), ("hora_infracao", "int"), ("medicao_considerada", "decimal"), ("excesso_verificado", "decimal")]
+    cases = [(rules, f, kind) for rules in ("sql", "frame") for f, kind in fields if rules == "sql" or f in ("codigo_infracao", "qtd_infracoes")]
+    one = landing(spark, sf, "fines_wide").agg(*[F.count_if(P.out_of_range(f, kind, rules)).alias(f"{rules}_{f}") for rules, f, kind in cases])
+    rows = F.array(*[F.struct(F.lit(rules).alias("rules"), F.lit(f).alias("field"), F.col(f"{rules}_{f}").cast("long").alias("n")) for rules, f, _ in cases])
+    return one.select(F.inline(rows))
 
 
 def test_not_null(spark, sf):
@@ -289,7 +331,7 @@ def test_unique(prepared: DataFrame) -> DataFrame:
 
 
 def test_accepted(prepared: DataFrame) -> DataFrame:
-    return qa.check_accepted(prepared, "indicador_veiculo_estrangeiro", ["S", "N"])
+    return qa.check_accepted(prepared, "indicador_veiculo_estrangeiro", ["S", "N", "N/I"])
 
 
 # ---------------------------------------------------------------------------
@@ -312,36 +354,218 @@ def append_then_distinct(spark, sf):
 
 
 def profile_report(spark, sf):
-    """The full profiling report of the raw fines as one long table."""
+    """The full profiling report of the raw fines, one per load year, as one long table."""
     return prof.profile(
-        landing(spark, sf), date_col="data_infracao", year=2023, hour_col="hora_infracao", key_col="numero_auto",
-        text_cols=["medicao_infracao", "medicao_considerada"],
+        landing(spark, sf).withColumn("ano_carga", load_year()), date_col="data_infracao", year=F.col("ano_carga"), hour_col="hora_infracao",
+        key_col="numero_auto", text_cols=["medicao_infracao", "medicao_considerada"], value_cols=PROFILED_CATEGORIES,
+        sample_cols=["numero_auto", "medicao_infracao", "medicao_considerada"], by="ano_carga",
     )
 
 
+# ---------------------------------------------------------------------------
+# Files: written once per session and input folder, read back
+# ---------------------------------------------------------------------------
+_FILES: dict[tuple, str] = {}
+_FILES_LOCK = threading.Lock()
+
+
+def _written(spark: SparkSession, sf: str, name: str, write) -> str:
+    """The folder ``write(folder)`` filled, made once per session and input."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    with _FILES_LOCK:
+        if key not in _FILES:
+            base = work_dir(spark, name)
+            write(base)
+            _FILES[key] = base
+        return _FILES[key]
+
+
+def _half():
+    return F.col("numero_auto").isNull() | (F.pmod(F.xxhash64("numero_auto"), F.lit(2)) == 0)
+
+
+def _two_layouts(spark: SparkSession, sf: str) -> str:
+    """Half the raw fines as UTF-8 files with the accented source headers (folder 2023), half as ISO-8859-1 files with
+    unaccented headers in reverse order (folder 2024)."""
+    heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
+    plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]
+    rev = list(reversed(RAW_COLUMNS))
+
+    def write(base: str) -> None:
+        raw = landing(spark, sf)
+        write_csv_batches(raw.filter(_half()), f"{base}/2023", heads)
+        write_csv_batches(raw.filter(~_half()).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1")
+
+    return _written(spark, sf, "csv_two_layouts", write)
+
+
 def csv_roundtrip(spark, sf):
     """Raw fines written as delimited files in two layouts, then ingested back.
 
-    Half the rows go to UTF-8 files with the accented source headers, half to
-    ISO-8859-1 files with unaccented headers in reverse column order; the
-    ingest must sniff both encodings, reconcile both headers and union them.
-    Blank and NULL fields both come back as '' (a text file keeps no NULLs).
+    The ingest must sniff both encodings, reconcile both headers and union
+    them.  Blank and NULL fields both come back as '' (a text file keeps no
+    NULLs).
     """
-    import unicodedata
+    return read_raw(spark, f"{_two_layouts(spark, sf)}/*/*.csv", with_source=False)
+
 
-    from starmart.schemas import RAW_COLUMNS_AND_HEADERS
-    from starmart.session import work_dir
-    from starmart.sources.csv import read_raw, write_csv_batches
+def rows_per_load(spark, sf):
+    """Row totals per load folder, summed from the totals per file."""
+    raw = read_raw(spark, f"{_two_layouts(spark, sf)}/*/*.csv")
+    files = prof.rows_per_source(raw)
+    return files.groupBy(source_year().alias("ano")).agg(F.sum("rows").cast("long").alias("linhas"))
 
+
+def first_file_header(spark, sf):
+    """Header names of the first file in name order."""
+    names = first_file_columns(spark, f"{_two_layouts(spark, sf)}/*/*.csv")
+    return spark.createDataFrame(list(enumerate(names, 1)), "posicao int, coluna string")
+
+
+QUOTED_HEADERS = ["Número do Auto", "Município", "Descrição Modelo Veículo", "UF Infração"]
+#: municipio of the quoting records: backslash before a separator, quotes, separators, blanks, only quotes.
+QUOTED_SQL = """
+SELECT 'Q' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS numero_auto,
+  CASE CAST(l_linenumber % 7 AS INT) WHEN 0 THEN concat('C:', chr(92)) WHEN 1 THEN 'S "X" Y' WHEN 2 THEN 'a;b;c' WHEN 3 THEN '"' WHEN 4 THEN concat(chr(92), '"', chr(92), ';')
+    WHEN 5 THEN '  ' ELSE 'São João' END AS municipio,
+  p_name AS descricao_modelo_veiculo, CASE WHEN l_suppkey % 2 = 0 THEN 'SP' ELSE '' END AS uf_infracao
+FROM lineitem JOIN part ON l_partkey = p_partkey
+"""
+
+
+def csv_quoting(spark, sf):
+    """Values with quotes, backslashes and separators, in files of two layouts, some of which begin with blank lines.
+
+    Half the records go through the library's writer; the other half are
+    written as plain lines, columns reversed, below two blank lines and the
+    header, so that files which share their first line differ in layout.
+    """
+
+    def write(base: str) -> None:
+        text = QUOTED_SQL.replace("FROM lineitem JOIN part", "FROM {lineitem} JOIN {part}")
+        rows = spark.sql(text, lineitem=table(spark, sf, "lineitem"), part=table(spark, sf, "part"))
+        write_csv_batches(rows.filter(_half()), f"{base}/a", QUOTED_HEADERS)
+        cell = lambda c: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+        n = spark.conf.get("spark.sql.shuffle.partitions")
+        for layout, cols, heads in (("b", list(reversed(rows.columns)), list(reversed(QUOTED_HEADERS))), ("c", rows.columns, QUOTED_HEADERS)):
+            mine = rows.filter(~_half() & (F.pmod(F.xxhash64("numero_auto"), F.lit(4)) == (1 if layout == "b" else 3)))
+            body = mine.select(F.pmod(F.xxhash64("numero_auto", F.lit(7)), F.lit(int(n))).alias("p"), F.lit(3).alias("o"), F.concat_ws(";", *[cell(c) for c in cols]).alias("value"))
+            top = body.select("p").distinct().select("p", F.inline(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("value")) for o, v in ((0, ""), (1, "  "), (2, ";".join(heads)))])))
+            lines = body.unionByName(top.select("p", "o", "value")).repartition("p").sortWithinPartitions("p", "o")
+            lines.select("p", "value").write.partitionBy("p").option("compression", "none").text(f"{base}/{layout}")
+
+    base = _written(spark, sf, "csv_quoting", write)
+    paths = [f"{base}/a/*.csv", f"{base}/b/*/*.txt", f"{base}/c/*/*.txt"]
+    raw = read_raw(spark, paths, with_source=False, with_malformed=True)
+    return raw.filter(F.col(MALFORMED).isNull()).select("numero_auto", "municipio", "descricao_modelo_veiculo", "uf_infracao")
+
+
+def csv_malformed(spark, sf):
+    """Records with a field too many or too few keep what fits and are counted per load."""
+
+    def write(base: str) -> None:
+        li = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"])
+        cells = F.concat_ws(";", F.concat(F.lit("M"), F.col("l_orderkey").cast("string")), F.lit("SP"))
+        bad = F.col("l_orderkey") % 10
+        line = F.when(bad == 0, F.concat(cells, F.lit(";x;y"))).when(bad == 1, F.col("l_orderkey").cast("string")).otherwise(cells)
+        n = spark.conf.get("spark.sql.shuffle.partitions")
+        body = li.select(F.pmod(F.col("l_orderkey"), F.lit(int(n))).alias("p"), F.lit(1).alias("o"), line.alias("value"))
+        top = body.select("p").distinct().select("p", F.lit(0).alias("o"), F.lit("Número do Auto;UF Infração").alias("value"))
+        body.unionByName(top).repartition("p").sortWithinPartitions("p", "o").select("p", "value").write.partitionBy("p").text(f"{base}/2023")
+
+    raw = read_raw(spark, f"{_written(spark, sf, 'csv_malformed', write)}/2023/*/*.txt", with_malformed=True)
+    return malformed_per_file(raw, "numero_auto").agg(
+        F.sum("rows").cast("long").alias("linhas"), F.sum("malformed").cast("long").alias("malformadas"), F.sum("with_key").cast("long").alias("com_numero")
+    )
+
+
+def encoding_fallback(spark, sf):
+    """A Latin-1 file is read as such; one whose header holds replacement characters is read as UTF-8 with bad bytes replaced."""
+
+    def write(base: str) -> None:
+        supplier = table(spark, sf, "supplier", ["s_suppkey"]).select(F.concat(F.lit("E"), F.col("s_suppkey").cast("string")).alias("a"), F.lit("Ação").alias("b"))
+        write_csv_batches(supplier, f"{base}/latin", ["Número do Auto", "Município"], encoding="ISO-8859-1")
+        # the same bytes below a header that was once decoded with replacement characters
+        n = F.pmod(F.xxhash64("a"), F.lit(4))
+        latin = F.encode(F.concat_ws(";", "a", "b"), "ISO-8859-1")
+        head = F.encode(F.lit("N\ufffdmero do Auto;Munic\ufffdpio"), "UTF-8")
+        body = supplier.select(n.alias("p"), F.lit(1).alias("o"), latin.alias("line"))
+        top = body.select("p").distinct().select("p", F.lit(0).alias("o"), head.alias("line"))
+        lines = body.unionByName(top).repartition("p").sortWithinPartitions("p", "o")
+        # a text file of raw bytes: the text writer takes the bytes of a string as they are
+        lines.select("p", F.col("line").cast("string").alias("value")).write.partitionBy("p").text(f"{base}/replaced")
+
+    base = _written(spark, sf, "csv_encodings", write)
+    latin = read_raw(spark, f"{base}/latin/*.csv", with_source=False).select("numero_auto", "municipio", F.lit("latin").alias("arquivo"))
+    other = read_raw(spark, f"{base}/replaced/*/*.txt", with_source=False).select("numero_auto", "municipio", F.lit("replaced").alias("arquivo"))
+    return latin.unionByName(other)
+
+
+def sink_partitions(spark, sf):
+    """A partitioned table after a load, the same load again for one year, and an append; rows per year."""
+
+    def write(base: str) -> None:
+        orders = table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]).select("o_orderkey", F.year("o_orderdate").alias("ano"))
+        write_table(orders, path=base, partition_by=["ano"])
+        again = orders.filter((F.col("ano") == 1997) & (F.col("o_orderkey") % 2 == 0))
+        write_table(again, path=base, mode="overwrite_partitions", partition_by=["ano"])
+        append_table(orders.filter(F.col("ano") == 1998), path=base, partition_by=["ano"])
+
+    base = _written(spark, sf, "sink_partitions", write)
+    return spark.read.parquet(base).groupBy("ano").agg(F.count(F.lit(1)).cast("long").alias("linhas"), F.countDistinct("o_orderkey").cast("long").alias("pedidos"))
+
+
+def sink_raw_table(spark, sf):
+    """The raw landing table created if absent (twice), appended to twice and made distinct."""
     raw = landing(spark, sf)
-    base = work_dir(spark, "csv_roundtrip")
-    heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
-    plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]
-    half = F.col("numero_auto").isNull() | (F.pmod(F.xxhash64("numero_auto"), F.lit(2)) == 0)
-    write_csv_batches(raw.filter(half), f"{base}/2023", heads, files=2)
-    rev = list(reversed(RAW_COLUMNS))
-    write_csv_batches(raw.filter(~half).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1", files=2)
-    return read_raw(spark, f"{base}/*/*.csv", with_source=False)
+
+    def write(base: str) -> None:
+        name = "raw_" + base.rsplit("-", 1)[-1]
+        for _ in range(2):
+            create_raw_table(spark, name, base)
+        for _ in range(2):
+            append_table(raw, path=base)
+        spark.sql(f"DROP TABLE {name}")
+
+    return spark.read.schema(raw.schema).parquet(_written(spark, sf, "sink_raw_table", write)).distinct()
+
+
+def sql_over_views(star) -> DataFrame:
+    """Yearly volume per state in SQL over the star's views."""
+    spark = star.dim_tempo.sparkSession
+    tables = {n: star.table(n) for n in ("fato_multa", "dim_tempo", "dim_localizacao")}
+    return spark.sql(
+        "SELECT t.ano, l.uf_infracao, COUNT(*) AS autos, CAST(SUM(f.qtd_infracoes) AS BIGINT) AS infracoes FROM {fato_multa} f "
+        "JOIN {dim_tempo} t ON t.id_tempo_sk = f.id_tempo_sk JOIN {dim_localizacao} l ON l.id_localizacao_sk = f.id_localizacao_sk GROUP BY t.ano, l.uf_infracao",
+        **tables,
+    )
+
+
+def first_seen_keys(spark, sf):
+    """Customers numbered by their first order, as rows in file order would be."""
+    orders = table(spark, sf, "orders", ["o_custkey", "o_orderkey", "o_orderdate"]).withColumn("lugar", F.struct("o_orderdate", "o_orderkey", "o_custkey"))
+    return build_dimension(orders, ["o_custkey"], "id_cliente_sk", first=0, first_seen="lugar").df
+
+
+def orphan_rows_shifted(spark, sf):
+    """Orders whose customer is missing, after every fifth customer key is moved out of the table."""
+    orders = table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    moved = orders.withColumn("o_custkey", F.when(F.col("o_custkey") % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
+    return anti_join(moved, table(spark, sf, "customer", ["c_custkey"]), "o_custkey", "c_custkey")
+
+
+def test_relationships(spark, sf):
+    """The data tests on a child table with orphans, blanks and an unlisted value."""
+    orders = table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    key = F.when(F.col("o_custkey") % 5 == 0, -F.col("o_custkey")).when(F.col("o_custkey") % 7 == 0, None).otherwise(F.col("o_custkey"))
+    child = orders.withColumn("o_custkey", key)
+    checks = [
+        qa.Check("pedidos", "o_custkey", "relationships", parent="clientes", parent_column="c_custkey"),
+        qa.Check("pedidos", "o_custkey", "not_null"),
+        qa.Check("pedidos", "o_orderstatus", "accepted_values", values=["F", "O"]),
+        qa.Check("clientes", "c_custkey", "unique"),
+    ]
+    return qa.run_checks({"pedidos": child, "clientes": table(spark, sf, "customer", ["c_custkey"])}, checks)
 
 
 def labels_and_formats(star_q1: DataFrame, years: list[int]) -> DataFrame:
@@ -393,5 +617,17 @@ GENERIC = {
     "union_evolving": union_evolving,
     "profile_report": profile_report,
     "csv_roundtrip": csv_roundtrip,
+    "csv_quoting": csv_quoting,
+    "csv_malformed": csv_malformed,
+    "encoding_fallback": encoding_fallback,
+    "rows_per_load": rows_per_load,
+    "first_file_header": first_file_header,
+    "sink_partitions": sink_partitions,
+    "sink_raw_table": sink_raw_table,
+    "first_seen_keys": first_seen_keys,
+    "orphan_rows_shifted": orphan_rows_shifted,
+    "test_relationships": test_relationships,
+    "inspect_values": inspect_values,
+    "profile_replaced": profile_replaced,
     "append_then_distinct": append_then_distinct,
 }

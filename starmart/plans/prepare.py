@@ -34,42 +34,10 @@ from starmart.functions import calendar as cal
 from starmart.functions import decode as dec
 from starmart.functions import parse as P
 from starmart.functions.text import blank_default, null_default
-from starmart.schemas import RAW_COLUMNS
+from starmart.schemas import PREPARED_COLUMNS, RAW_COLUMNS
 
 SQL, FRAME = "sql", "frame"
 
-PREPARED_COLUMNS = [
-    "numero_auto",
-    "uf_infracao",
-    "municipio",
-    "indicador_abordagem",
-    "br_infracao",
-    "assinatura_auto",
-    "sentido_trafego",
-    "indicador_veiculo_estrangeiro",
-    "uf_placa",
-    "descricao_especie_veiculo",
-    "descricao_tipo_veiculo",
-    "descricao_marca_veiculo",
-    "descricao_modelo_veiculo",
-    "descricao_abreviada_infracao",
-    "enquadramento_infracao",
-    "codigo_infracao",
-    "km_infracao",
-    "qtd_infracoes",
-    "hora_infracao",
-    "medicao_considerada",
-    "excesso_verificado",
-    "data_infracao",
-    "dia",
-    "mes",
-    "ano",
-    "trimestre",
-    "dia_semana",
-    "regiao_infracao",
-]
-
-
 POSITION = "source_position"
 
 

@@ -8,21 +8,21 @@ large to broadcast the fact is first pre-aggregated on that dimension's key
 (map-side combine collapses hot keys), so only one row per key and group
 crosses the shuffle join.  Means and percentages are computed from exact
 integer sums and rounded half away from zero (``functions.rounding``).
-Orderings end with enough keys to make limits deterministic.
+Reports come in their published order, made total by the group keys (``ORDERS``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions import vocab as V
 from starmart.functions.decode import region
 from starmart.functions.labels import code_label, colour, millions, pair_label
-from starmart.functions.rounding import mean_of_units, to_units
+from starmart.functions.rounding import EXACT_BELOW, mean_of_units, to_units, to_units_or_null
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
 from starmart.plans.star import DIMENSIONS, Star
 
@@ -63,7 +63,7 @@ def star_rollup(
     an existence test (left-semi join).
     """
     dim_filters = dim_filters or {}
-    f = star.fato_multa
+    f = star.facts()
     if fact_filter is not None:
         f = f.filter(fact_filter)
     for name in exists or []:
@@ -104,11 +104,18 @@ def _mean_measures(star: Star, col: str, prefix: str, nonzero: bool = False) ->
     x = F.col(col)
     if nonzero:
         x = F.when(x != 0, x)
-    return [Measure(f"{prefix}_sum", "sum", to_units(x, _digits(star, col))), Measure(f"{prefix}_n", "count", x)]
+    exact = isinstance(star.fato_multa.schema[col].dataType, T.DecimalType)
+    units = to_units(x, _digits(star, col)) if exact else to_units_or_null(x, _digits(star, col))
+    out = [Measure(f"{prefix}_sum", "sum", units), Measure(f"{prefix}_n", "count", x)]
+    return out if exact else [*out, Measure(f"{prefix}_top", "max", F.abs(x))]
 
 
 def _mean(star: Star, prefix: str, col: str = "excesso_verificado") -> Column:
-    return mean_of_units(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n"), _digits(star, col))
+    """Exact mean; NULL for a DOUBLE group that holds a value too large for exact units (``EXACT_BELOW``)."""
+    mean = mean_of_units(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n"), _digits(star, col))
+    if isinstance(star.fato_multa.schema[col].dataType, T.DecimalType):
+        return mean
+    return F.when(F.col(f"{prefix}_top") < F.lit(EXACT_BELOW), mean)
 
 
 def _as_measure(star: Star, name: str, col: str = "excesso_verificado") -> Column:
@@ -119,7 +126,7 @@ def _as_measure(star: Star, name: str, col: str = "excesso_verificado") -> Colum
 # ---------------------------------------------------------------------------
 # Q1 — yearly volume per state, region label, % change vs previous year
 # ---------------------------------------------------------------------------
-def q1(star: Star) -> DataFrame:
+def q1_rows(star: Star) -> DataFrame:
     g = star_rollup(
         star,
         {"dim_tempo": ["ano"], "dim_localizacao": ["uf_infracao"]},
@@ -137,16 +144,32 @@ def q1(star: Star) -> DataFrame:
     )
 
 
+def q1(star: Star) -> DataFrame:
+    return q1_rows(star).orderBy(*q1_order())
+
+
+def q1_order() -> list[Column]:
+    return [F.col("regiao"), F.col("ano"), F.col("uf_infracao")]
+
+
+def report_years(star: Star) -> list[int]:
+    """The years that Q1 has rows for (one small aggregate; a handful of values)."""
+    return sorted(r["ano"] for r in q1_rows(star).select("ano").distinct().collect())
+
+
 def q1b(star: Star, years: list[int] | None = None) -> DataFrame:
-    """Region x year totals pivoted to one column per year, with the first->last year % change (1 decimal)."""
-    years = years or V.REPORT_YEARS
-    wide = pivot_change(q1(star), "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var_pct", scale=1)
-    return wide.withColumnRenamed("var_pct", f"var_{str(years[0])[-2:]}_{str(years[-1])[-2:]}_pct")
+    """Region x year totals, one column per year present, with the first->last year % change (1 decimal), last year's largest first."""
+    years = years or report_years(star)
+    if not years:
+        return q1_rows(star).select("regiao").distinct()
+    wide = pivot_change(q1_rows(star), "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var_pct", scale=1)
+    wide = wide.withColumnRenamed("var_pct", f"var_{str(years[0])[-2:]}_{str(years[-1])[-2:]}_pct")
+    return wide.orderBy(F.col(str(years[-1])).desc_nulls_last(), "regiao")
 
 
 def q1c(star: Star) -> DataFrame:
     """Stacked composition: per year and region, the total in millions and the base of its bar segment."""
-    by_region = q1(star).groupBy("ano", "regiao").agg(F.sum("total_infracoes").alias("total_infracoes"))
+    by_region = q1_rows(star).groupBy("ano", "regiao").agg(F.sum("total_infracoes").alias("total_infracoes"))
     s = stack_base(by_region, ["ano"], "regiao", V.STACK_ORDER, "total_infracoes", out="base")
     return s.select("ano", "regiao", millions("total_infracoes").alias("total_infracoes_m"), millions("base").alias("base_m"))
 
@@ -155,6 +178,10 @@ def q1c(star: Star) -> DataFrame:
 # Q2 — mean / max excess speed by vehicle profile
 # ---------------------------------------------------------------------------
 def q2(star: Star) -> DataFrame:
+    return q2_rows(star).orderBy(*q2_order())
+
+
+def q2_rows(star: Star) -> DataFrame:
     lo, hi = V.EXCESS_RANGE
     ex = F.col("excesso_verificado")
     g = star_rollup(
@@ -183,7 +210,7 @@ def q2_order() -> list[Column]:
 
 def q2b(star: Star, k: int = 15) -> DataFrame:
     """Top ``k`` profiles by mean excess with a chart label and a colour by foreign flag."""
-    top = top_k(q2(star), q2_order(), k)
+    top = top_k(q2_rows(star), q2_order(), k)
     return top.withColumn("label", pair_label("especie_veiculo", "tipo_veiculo")).withColumn(
         "cor", colour("estrangeiro", V.FOREIGN_COLOURS)
     )
@@ -193,12 +220,17 @@ def q2b(star: Star, k: int = 15) -> DataFrame:
 # Q3 — outliers
 # ---------------------------------------------------------------------------
 def q3(star: Star, threshold: int = V.OUTLIER_EXCESS, k: int = 20) -> DataFrame:
-    f = star.fato_multa.filter(F.col("excesso_verificado") > threshold).select(
-        "id_infrator_sk", F.col("excesso_verificado").alias("excesso_kmh")
-    )
-    j = f.join(star.dim("dim_infrator", "descricao_especie_veiculo", "descricao_tipo_veiculo"), "id_infrator_sk")
-    rows = j.select("descricao_especie_veiculo", "descricao_tipo_veiculo", "excesso_kmh")
-    return top_k(rows, [F.col("excesso_kmh").desc(), "descricao_especie_veiculo", "descricao_tipo_veiculo"], k)
+    """The ``k`` largest excesses with their vehicle; only the rows that can be among them are joined."""
+    by_vehicle = star.facts().filter(F.col("excesso_verificado") > threshold).groupBy("id_infrator_sk", F.col("excesso_verificado").alias("excesso_kmh"))
+    g = by_vehicle.agg(F.count(F.lit(1)).alias("n"))
+    # the k largest distinct values (k rows at most); the smallest one needed still has fewer than k rows above it
+    levels = g.groupBy("excesso_kmh").agg(F.sum("n").alias("n")).orderBy(F.col("excesso_kmh").desc()).limit(k)
+    above = F.sum("n").over(Window.orderBy(F.col("excesso_kmh").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    cut = levels.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < k).select(F.min("excesso_kmh")).scalar()
+    vehicles = star.dim("dim_infrator", "descricao_especie_veiculo", "descricao_tipo_veiculo")
+    rows = g.filter(F.col("excesso_kmh") >= cut).join(vehicles, "id_infrator_sk")
+    rows = rows.select("descricao_especie_veiculo", "descricao_tipo_veiculo", "excesso_kmh", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    return top_k(rows.drop("col"), [F.col("excesso_kmh").desc(), "descricao_especie_veiculo", "descricao_tipo_veiculo"], k)
 
 
 # ---------------------------------------------------------------------------
@@ -253,31 +285,48 @@ def q5(star: Star) -> DataFrame:
         "dia_semana",
         F.col("total_multas").cast("long").alias("total_multas"),
         _mean(star, "ex").alias("media_excesso_velocidade_kmh"),
-    )
+    ).orderBy(*q5_order())
+
+
+def q5_order() -> list[Column]:
+    return [F.col("is_feriado").desc(), F.col("total_multas").desc(), F.col("dia_semana")]
 
 
 # ---------------------------------------------------------------------------
 # Q6 — state x year x quarter with change vs previous quarter
 # ---------------------------------------------------------------------------
-def q6(star: Star) -> DataFrame:
+def q6(star: Star, year: int | None = None) -> DataFrame:
+    """``year`` reads that year's fact partition only (its first quarter then has no previous one)."""
     g = star_rollup(
         star,
         {"dim_localizacao": ["uf_infracao"], "dim_tempo": ["ano", "trimestre"]},
         [Measure("total_multas", "count", F.col("numero_auto"))],
+        fact_filter=None if year is None else star.in_year(year),
+        dim_filters=None if year is None else {"dim_tempo": F.col("ano") == year},
     )
     g = g.withColumn("total_multas", F.col("total_multas").cast("long"))
     g = change_vs_previous(g, ["uf_infracao"], ["ano", "trimestre"], "total_multas", "variacao_trimestre_anterior", kind="abs")
-    return g.select("uf_infracao", "ano", "trimestre", "total_multas", "variacao_trimestre_anterior")
+    return g.select("uf_infracao", "ano", "trimestre", "total_multas", "variacao_trimestre_anterior").orderBy(*q6_order())
+
+
+def q6_order() -> list[Column]:
+    return [F.col("ano").desc(), F.col("trimestre").desc(), F.col("total_multas").desc(), F.col("uf_infracao")]
 
 
 # ---------------------------------------------------------------------------
 # Q7 — vehicle profile with share of total
 # ---------------------------------------------------------------------------
+Q7_COLUMNS = ["descricao_especie_veiculo", "descricao_tipo_veiculo", "indicador_abordagem", "indicador_veiculo_estrangeiro"]
+
+
 def q7(star: Star) -> DataFrame:
-    cols = ["descricao_especie_veiculo", "descricao_tipo_veiculo", "indicador_abordagem", "indicador_veiculo_estrangeiro"]
-    g = star_rollup(star, {"dim_infrator": cols}, [Measure("total_multas", "count", F.col("numero_auto"))])
+    g = star_rollup(star, {"dim_infrator": Q7_COLUMNS}, [Measure("total_multas", "count", F.col("numero_auto"))])
     g = g.withColumn("total_multas", F.col("total_multas").cast("long"))
-    return share_of_total(g, "total_multas").select(*cols, "total_multas", "pct_do_total")
+    return share_of_total(g, "total_multas").select(*Q7_COLUMNS, "total_multas", "pct_do_total").orderBy(*q7_order())
+
+
+def q7_order() -> list[Column]:
+    return [F.col("total_multas").desc(), *[F.col(c) for c in Q7_COLUMNS]]
 
 
 # ---------------------------------------------------------------------------
@@ -321,3 +370,12 @@ REPORTS = {
     "report_q8": q8,
     "report_q9": q9,
 }
+
+#: Published order of the reports that are not limits or rankings already.
+ORDERS = {
+    "report_q1": q1_order,
+    "report_q2": q2_order,
+    "report_q5": q5_order,
+    "report_q6": q6_order,
+    "report_q7": q7_order,
+}

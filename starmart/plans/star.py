@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import calendar as cal
 from starmart.operators.joins import can_broadcast, lookup_key, maybe_broadcast
-from starmart.operators.keys import assign_dense_keys, build_dimension
+from starmart.operators.keys import Keyed, assign_dense_keys, build_dimension, measured
 from starmart.schemas import (
     FACT_EXTRA_SQL,
     FACT_MEASURES,
@@ -34,7 +34,7 @@ from starmart.schemas import (
     TIME_SK,
 )
 from starmart.plans.prepare import POSITION
-from starmart.session import work_dir
+from starmart.session import drop_work, work_dir
 
 DIMENSIONS = {
     "dim_tempo": TIME_SK,
@@ -42,6 +42,7 @@ DIMENSIONS = {
     "dim_infracao": OFFENCE_SK,
     "dim_infrator": OFFENDER_SK,
 }
+FACT_YEAR = "ano_fato"  # partition column of the written fact; reports take the year itself from the time dimension
 LOCATION_ORDER = ["uf_infracao", "municipio", "br_infracao", "km_infracao", "regiao_infracao", "sentido_trafego"]
 LOCATION_COLUMNS = ["uf_infracao", "br_infracao", "km_infracao", "municipio", "regiao_infracao", "sentido_trafego"]
 
@@ -59,6 +60,21 @@ class Star:
     rules: str = "sql"
     prepared: DataFrame | None = None
     sizes: dict[str, int] = field(default_factory=dict)  # measured bytes per dimension
+    fato_ano: DataFrame | None = None  # the fact with its partition column, the year
+    folders: list[str] = field(default_factory=list)  # written by the build, in the shared work folder
+
+    def facts(self) -> DataFrame:
+        """The fact for reports: with the year it is partitioned by, where it has one."""
+        return self.fato_ano if self.fato_ano is not None else self.fato_multa
+
+    def in_year(self, year: int):
+        """Predicate that reads one year's partition of ``facts()`` (always true where the fact has no year)."""
+        return F.col(FACT_YEAR) == year if FACT_YEAR in self.facts().columns else F.lit(True)
+
+    def drop(self) -> None:
+        """Remove the folders the build wrote; the tables of this star cannot be read afterwards."""
+        drop_work(self.dim_tempo.sparkSession, *self.folders)
+        self.folders.clear()
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -73,14 +89,24 @@ class Star:
         return maybe_broadcast(d, self.rows.get(name), self.sizes.get(name))
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back (lineage cut, survives executor loss)."""
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, folders: list[str] | None = None,
+                sort_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back (lineage cut, survives executor loss).
+
+    A partitioned write is rebalanced on the partition columns first, so tasks x values does not make small files
+    and one large value is still split over tasks.  ``folders`` collects the path.
+    """
     path = work_dir(df.sparkSession, name)
-    w = df.write.mode("overwrite")
+    if folders is not None:
+        folders.append(path)
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    if sort_by:
+        out = out.sortWithinPartitions(*(partition_by or []), *sort_by)
+    w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed", first_seen: str | None = None):
@@ -98,7 +124,7 @@ def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed"
         cal.is_holiday("data_infracao", holidays).alias("is_feriado"),
     )
     # the calendar parts are added after numbering: about 48 more bytes per row
-    return df, keyed.rows, (keyed.bytes or 0) + 48 * keyed.rows
+    return Keyed(df, keyed.rows, (keyed.bytes or 0) + 48 * keyed.rows, keyed.path)
 
 
 def build_star(
@@ -121,23 +147,22 @@ def build_star(
     null_safe = rules == "frame"
     # frame rules number keys by first occurrence when rows carry their file position
     seen = POSITION if (rules == "frame" and POSITION in prepared.columns) else None
+    folders: list[str] = []
     if materialize_tables:
-        # written once: five builds read it
-        prepared = materialize(prepared, f"prepared_{rules}")
+        # written once: five builds read it, and one-year work reads its year only
+        prepared = materialize(prepared, f"prepared_{rules}", ["ano"], folders)
     lap("prepared")
 
     def loc_dim():
         k = build_dimension(prepared, LOCATION_KEY, LOCATION_SK, order=LOCATION_ORDER, first=first, first_seen=seen)
-        return k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows, k.bytes
+        return Keyed(k.df.select(LOCATION_SK, *LOCATION_COLUMNS), k.rows, k.bytes, k.path)
 
     def offence_dim():
         attrs = {"descricao_infracao": "descricao_abreviada_infracao", "enquadramento_infracao": "enquadramento_infracao"}
-        k = build_dimension(prepared, OFFENCE_KEY, OFFENCE_SK, first=first, attrs_max=attrs)
-        return k.df, k.rows, k.bytes
+        return build_dimension(prepared, OFFENCE_KEY, OFFENCE_SK, first=first, attrs_max=attrs)
 
     def offender_dim():
-        k = build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first, first_seen=seen)
-        return k.df, k.rows, k.bytes
+        return build_dimension(prepared, OFFENDER_KEY, OFFENDER_SK, first=first, first_seen=seen)
 
     builders = {
         "dim_tempo": lambda: build_dim_time(prepared, first, holidays, seen),
@@ -145,22 +170,19 @@ def build_star(
         "dim_infracao": offence_dim,
         "dim_infrator": offender_dim,
     }
-    # the four dimensions are independent job chains: submit them together
+    # the four dimensions are independent job chains: submit them together.  Each is written once, by the key
+    # assignment; its table is that file joined to the small offsets of the file's partitions.
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {name: pool.submit(_built, fn, name, materialize_tables, rules) for name, fn in builders.items()}
+        futures = {name: pool.submit(fn) for name, fn in builders.items()}
         built = {name: fut.result() for name, fut in futures.items()}
-    dim_tempo, n_t, b_t = built["dim_tempo"]
-    dim_loc, n_l, b_l = built["dim_localizacao"]
-    dim_off, n_o, b_o = built["dim_infracao"]
-    dim_ofr, n_v, b_v = built["dim_infrator"]
+    folders += [k.path for k in built.values()]
+    rows = {name: k.rows for name, k in built.items()}
+    sizes = {name: k.bytes for name, k in built.items()}
+    dims = {name: k.df for name, k in built.items()}
     lap("dimensions")
 
-    lookups = [
-        (dim_tempo, TIME_KEY, TIME_SK, n_t, b_t),
-        (dim_loc, LOCATION_KEY, LOCATION_SK, n_l, b_l),
-        (dim_off, OFFENCE_KEY, OFFENCE_SK, n_o, b_o),
-        (dim_ofr, OFFENDER_KEY, OFFENDER_SK, n_v, b_v),
-    ]
+    keys_of = {"dim_tempo": TIME_KEY, "dim_localizacao": LOCATION_KEY, "dim_infracao": OFFENCE_KEY, "dim_infrator": OFFENDER_KEY}
+    lookups = [(dims[n], keys_of[n], DIMENSIONS[n], rows[n], sizes[n]) for n in DIMENSIONS]
     # broadcast lookups first (they pipeline into the scan); shuffle joins last and largest last,
     # so each shuffled fact row already carries narrow keys instead of the resolved text columns
     lookups.sort(key=lambda t: (not can_broadcast(t[0], t[3], t[4]), t[3]))
@@ -168,26 +190,19 @@ def build_star(
     for dim, keys, sk, n, b in lookups:
         f = lookup_key(f, dim, keys, sk, n, null_safe, dim_bytes=b)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
-    fact = f.select(TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra)
+    published = [TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra]
+    fact = f.select(*published, F.col("ano").alias(FACT_YEAR))
     if materialize_tables:
-        # clustered by the time key inside each file (no shuffle): row-group statistics then let
-        # runtime filters from a selective time-dimension predicate skip row groups
-        fact = materialize(fact.sortWithinPartitions(TIME_SK), f"fato_multa_{rules}")
+        # one folder per year, clustered by the time key inside each file: a year is read by itself, and row-group
+        # statistics let runtime filters from a selective time predicate skip more
+        fact = materialize(fact, f"fato_multa_{rules}", [FACT_YEAR], folders, sort_by=[TIME_SK])
     lap("fact")
 
-    rows = {"dim_tempo": n_t, "dim_localizacao": n_l, "dim_infracao": n_o, "dim_infrator": n_v}
-    sizes = {"dim_tempo": b_t, "dim_localizacao": b_l, "dim_infracao": b_o, "dim_infrator": b_v}
     return Star(
-        dim_tempo=dim_tempo, dim_localizacao=dim_loc, dim_infracao=dim_off, dim_infrator=dim_ofr, fato_multa=fact,
-        rows=rows, rules=rules, prepared=prepared, sizes=sizes,
+        **dims, fato_multa=fact.select(*published), fato_ano=fact, rows=rows, rules=rules, prepared=prepared, sizes=sizes, folders=folders,
     )
 
 
-def _built(fn, name: str, write: bool, rules: str):
-    df, rows, size = fn()
-    return (materialize(df, f"{name}_{rules}") if write else df), rows, size
-
-
 def register_views(star: Star, prefix: str = "") -> list[str]:
     """Expose the star (and PREPARED) as temporary views for SQL users."""
     names = []
@@ -216,7 +231,7 @@ def write_star(star: Star, target_dir: str) -> dict[str, str]:
 
 
 def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "sql") -> Star:
-    """Open a star written by ``write_star``; dimension sizes are re-counted (Parquet metadata counts)."""
+    """Open a star written by ``write_star``; rows and bytes of each dimension are measured again."""
     tables = {k: spark.read.parquet(p) for k, p in paths.items() if k in TABLES}
-    rows = {k: tables[k].count() for k in DIMENSIONS}
-    return Star(rules=rules, rows=rows, **tables)
+    found = {k: measured(tables[k]) for k in DIMENSIONS}
+    return Star(rules=rules, rows={k: n for k, (n, _) in found.items()}, sizes={k: b for k, (_, b) in found.items()}, **tables)

@@ -43,6 +43,40 @@ RAW_COLUMNS_AND_HEADERS: list[tuple[str, str]] = [
 RAW_COLUMNS: list[str] = [name for name, _ in RAW_COLUMNS_AND_HEADERS]
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
+# ---------------------------------------------------------------------------
+# Columns of the cleaned table, in published order.
+# ---------------------------------------------------------------------------
+PREPARED_COLUMNS = [
+    "numero_auto",
+    "uf_infracao",
+    "municipio",
+    "indicador_abordagem",
+    "br_infracao",
+    "assinatura_auto",
+    "sentido_trafego",
+    "indicador_veiculo_estrangeiro",
+    "uf_placa",
+    "descricao_especie_veiculo",
+    "descricao_tipo_veiculo",
+    "descricao_marca_veiculo",
+    "descricao_modelo_veiculo",
+    "descricao_abreviada_infracao",
+    "enquadramento_infracao",
+    "codigo_infracao",
+    "km_infracao",
+    "qtd_infracoes",
+    "hora_infracao",
+    "medicao_considerada",
+    "excesso_verificado",
+    "data_infracao",
+    "dia",
+    "mes",
+    "ano",
+    "trimestre",
+    "dia_semana",
+    "regiao_infracao",
+]
+
 # Columns of each dimension's natural key, in key order.
 TIME_KEY = ["data_infracao"]
 LOCATION_KEY = ["uf_infracao", "br_infracao", "km_infracao", "municipio", "regiao_infracao", "sentido_trafego"]

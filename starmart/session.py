@@ -12,7 +12,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}  # by application id
 
 # Settings the library is tuned for; set them on a cluster session too.
 RECOMMENDED_CONF: dict[str, str] = {
@@ -21,7 +21,8 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The cleaning projections generate methods over 8000 bytes of bytecode, which the JVM
     # will not JIT-compile; at this limit Spark falls back to per-expression code for those
-    # stages only, which runs about twice as fast here.
+    # stages only, which runs about twice as fast here.  Neighbouring projections are merged by
+    # the optimizer, so writing the cleaning as two of them changes nothing.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -36,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local inputs are single files, read by one task; a cluster's many files need no dealing out
+        .config("starmart.landing.partitions", os.environ.get("STARMART_LANDING_PARTITIONS", "16"))
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
@@ -58,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         # a machine-local folder is not shared by executors: a cluster must name one
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (written tables and key files go there)")
-    key = id(sc)
+    key = sc.applicationId
     if key not in _LOCAL_DIRS:
         _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="starmart-ckpt-")
     sc.setCheckpointDir(_LOCAL_DIRS[key])
@@ -71,3 +74,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_work(spark: SparkSession, *paths: str) -> None:
+    """Remove folders that ``work_dir`` named, through the file system that holds them."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/"
+    for path in paths:
+        if not path.startswith(base):
+            raise ValueError(f"{path} is not a work folder of this session")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -49,6 +49,16 @@ SELECT
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
+# The same records over seven years, with numbers outside the usual ranges.
+FINES_WIDE_SQL = (
+    FINES_RAW_SQL.replace("DATE '2022-01-01' + CAST((l_orderkey * 7 + l_linenumber * 131) % 1096", "DATE '2020-01-01' + CAST((l_orderkey * 7 + l_linenumber * 131) % 2557")
+    .replace("WHEN l_partkey % 41 = 1 THEN '5.0'", "WHEN l_partkey % 41 = 1 THEN '5.0' WHEN l_partkey % 41 = 2 THEN '3000000000'")
+    .replace("WHEN l_orderkey % 1009 = 3 THEN '900000'",
+             "WHEN l_orderkey % 1009 = 3 THEN '900000' WHEN l_orderkey % 1009 = 5 THEN '1e300' WHEN l_orderkey % 1009 = 6 THEN '1e400' WHEN l_orderkey % 1009 = 7 THEN '123456789012'")
+    .replace("WHEN l_orderkey % 17 = 1 THEN ''", "WHEN l_orderkey % 17 = 1 THEN '' WHEN l_orderkey % 1009 = 8 THEN '5000000000'")
+)
+VIEWS = {"fines_raw": FINES_RAW_SQL, "fines_wide": FINES_WIDE_SQL}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan of one driver table, optionally with an explicit projection."""
@@ -56,41 +66,48 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's default parallelism when it comes from fewer files than cores.
+def fines_raw(spark: SparkSession, sf_dir: str, view: str = "fines_raw", partitions: int | None = None) -> DataFrame:
+    """The dirty raw-fines view over ``lineitem`` JOIN ``part`` (25 STRING columns).
 
-    A small input stored as one file with one row group is read by a single
-    task; CPU-heavy row-wise work after it would then run on one core.  A
-    large input (many files) is returned unchanged, so no shuffle is added
-    where the scan is already parallel.
+    ``partitions``: deal the lineitem rows out over so many tasks first, for an
+    input kept in a few files with one row group each; by default the scan's
+    own split is used.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if len(df.inputFiles()) < par else df
-
+    text = VIEWS[view].replace("FROM lineitem JOIN part", "FROM {lineitem} JOIN {part}")
+    lineitem = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"])
+    if partitions:
+        lineitem = lineitem.repartition(partitions)
+    return spark.sql(text, lineitem=lineitem, part=table(spark, sf_dir, "part"))
 
-def fines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty raw-fines view over ``lineitem`` JOIN ``part`` (25 STRING columns)."""
-    text = FINES_RAW_SQL.replace("FROM lineitem JOIN part", "FROM {lineitem} JOIN {part}")
-    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"]
-    return spark.sql(text, lineitem=spread(table(spark, sf_dir, "lineitem", cols)), part=table(spark, sf_dir, "part"))
 
-
-_LANDING: dict[tuple, DataFrame] = {}
+_LANDING: dict[tuple, tuple[str, DataFrame]] = {}
 _LANDING_LOCK = threading.Lock()
 
 
-def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fines_raw`` written once per session as the raw landing table (Parquet in the shared folder).
+def landing(spark: SparkSession, sf_dir: str, view: str = "fines_raw") -> DataFrame:
+    """A raw view written once per session as the raw landing table (Parquet in the shared folder).
 
     Every later step reads the landed rows, as a warehouse reads its raw
-    table, instead of re-deriving them from lineitem and part.
+    table, instead of re-deriving them from lineitem and part.  The session
+    setting ``starmart.landing.partitions`` is ``fines_raw``'s ``partitions``.
     """
     from starmart.session import work_dir
 
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), view)
     with _LANDING_LOCK:
         if key not in _LANDING:
-            path = work_dir(spark, "landing_raw")
-            fines_raw(spark, sf_dir).write.parquet(path)
-            _LANDING[key] = spark.read.parquet(path)
-        return _LANDING[key]
+            path = work_dir(spark, f"landing_{view}")
+            partitions = spark.conf.get("starmart.landing.partitions", None)
+            fines_raw(spark, sf_dir, view, int(partitions) if partitions else None).write.parquet(path)
+            _LANDING[key] = (path, spark.read.parquet(path))
+        return _LANDING[key][1]
+
+
+def forget_landing(spark: SparkSession) -> None:
+    """Drop this session's landing tables."""
+    from starmart.session import drop_work
+
+    app = spark.sparkContext.applicationId
+    with _LANDING_LOCK:
+        for key in [k for k in _LANDING if k[0] == app]:
+            drop_work(spark, _LANDING.pop(key)[0])
