@@ -29,6 +29,7 @@ SIMILARITY = 0.8  # fixed value of the contract
 MIN_WORDS = 20  # shorter lines are headings and formulas: never removed
 RECALL = 0.999
 MOST_BANDS = 12
+LEADERS = 3  # rounds of clustering before the paragraphs left over are compared with each other
 BLOCK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # null doc_ids come last
 
@@ -185,12 +186,28 @@ def similar_links(bands: DataFrame, sets_of, similarity: float = SIMILARITY) ->
     mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
     pairs = members.where("pid != leader").select("pid", "leader").distinct().join(mine, "pid").join(theirs, "leader")
     tested = staged(pairs.select("pid", "leader", _similar(F.col("x"), F.col("y"), similarity).alias("ok")), "para-tested")
-    apart = members.join(tested.where("not ok"), ["pid", "leader"], "left_semi").select("band", F.col("pid").alias("a"))
-    around = members.where("pid != leader").select("band", F.col("pid").alias("b")).join(apart.select("band").distinct(), "band", "left_semi")
-    left = apart.join(mine.withColumnRenamed("pid", "a"), "a")
-    right = around.join(mine.select(F.col("pid").alias("b"), F.col("x").alias("y")), "b")
-    more = left.join(right, (left.band == right.band) & (F.col("a") != F.col("b")) & _similar(F.col("x"), F.col("y"), similarity)).select("a", "b")
-    return tested.where("ok").select(F.col("pid").alias("a"), F.col("leader").alias("b")).unionByName(more)
+    links = tested.where("ok").select(F.col("pid").alias("a"), F.col("leader").alias("b"))
+
+    # buckets that hold a paragraph unlike their smallest one: absorb clusters leader by leader
+    unlike = members.where("pid != leader").join(tested.where("not ok").select("pid", "leader"), ["pid", "leader"], "left_semi").select("band").distinct()
+    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"], "left").join(mine, "pid")
+    rows = staged(rows.select("band", "pid", "leader", "x", F.coalesce("ok", F.lit(True)).alias("ok")), "para-crowded")
+    in_cluster = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & _similar(F.col("x"), F.col("y"), similarity)
+    for _ in range(LEADERS):
+        near, far = rows.where("ok").select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y")), rows.where("not ok")
+        # one link to a cluster joins the whole cluster: a semi join, never a row per pair
+        to = far.join(near, in_cluster, "left_semi")
+        links = links.unionByName(to.select(F.col("pid").alias("a"), F.col("leader").alias("b")))
+        heads = far.groupBy("band").agg(F.min("pid").alias("leader"))
+        next_ = far.select("band", "pid", "x").join(heads, "band").join(theirs, "leader")
+        rows = staged(next_.select("band", "pid", "leader", "x", _similar(F.col("x"), F.col("y"), similarity).alias("ok")), "para-crowded")
+        links = links.unionByName(rows.where("ok and pid != leader").select(F.col("pid").alias("a"), F.col("leader").alias("b")))
+    near, far = rows.where("ok").select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y")), rows.where("not ok")
+    to = far.join(near, in_cluster, "left_semi")
+    links = links.unionByName(to.select(F.col("pid").alias("a"), F.col("leader").alias("b")))
+    left, right = far.select("band", F.col("pid").alias("a"), "x"), far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"))
+    rest = left.join(right, (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & _similar(F.col("x"), F.col("y"), similarity))
+    return links.unionByName(rest.select("a", "b"))
 
 
 def _cutter(min_words: int):
