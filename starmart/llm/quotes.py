@@ -55,16 +55,21 @@ def _previous(nodes: DataFrame) -> DataFrame:
 
 
 def reply_trees(parents: DataFrame) -> DataFrame:
-    """(ck, tk, parent) -> (ck, tk, parent, root, depth); a parent is always an earlier node of its conversation."""
-    now = parents.select("ck", "tk", "parent", F.coalesce("parent", "tk").alias("root"), F.col("parent").isNotNull().cast("long").alias("depth"))
-    now = staged(now, "quote-trees")
+    """(ck, tk, parent) -> (ck, tk, parent, root, depth); a parent is always an earlier node of its conversation.
+
+    Each round doubles how far a node sees; a node leaves the rounds once it sees its root, so
+    short conversations cost few rows and only the deepest trees take part to the end.
+    """
+    start = parents.select("ck", "tk", "parent", F.coalesce("parent", "tk").alias("root"), F.col("parent").isNotNull().cast("long").alias("depth"), F.col("parent").isNull().alias("done"))
+    start = staged(start, "quote-trees")
+    settled, open_ = start.where("done"), start.where("not done")
     for _ in range(MOST_ROUNDS):
-        up = now.select("ck", F.col("tk").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        moved = now.join(up, ["ck", "root"]).select("ck", "tk", "parent", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved"))
-        moved = staged(moved, "quote-trees")
-        now = moved.drop("moved")
-        if moved.where("moved").limit(1).count() == 0:
-            return now
+        if open_.limit(1).count() == 0:
+            return settled.drop("done")
+        up = settled.unionByName(open_).select("ck", F.col("tk").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"), F.col("done").alias("known"))
+        seen = open_.join(up, ["ck", "root"]).select("ck", "tk", "parent", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("known").alias("done"))
+        seen = staged(seen, "quote-trees")
+        settled, open_ = settled.unionByName(seen.where("done")), seen.where("not done")
     raise RuntimeError("reply trees did not settle")
 
 
