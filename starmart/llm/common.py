@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import maybe_broadcast
 from starmart.session import work_dir
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: a word of the contracts
@@ -30,6 +31,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand texts to Python 1,000 rows at a time, unless the cluster's configuration names a size.
+
+    With Spark's default of 10,000 rows a batch of documents takes tens of MB in the JVM and again
+    in each Python worker.  The setting holds for the session.
+    """
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(ROWS_PER_BATCH))
+
+
+def with_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``rows`` (row, doc, ...) with the columns of the narrow table ``decisions`` (row, ...; one per row).
+
+    Decisions are broadcast if their measured size allows, so that texts are not shuffled for a
+    few bytes each; else both sides are.
+    """
+    held = staged(decisions, "decisions")
+    n = held.count()
+    return rows.join(maybe_broadcast(held, n, 256 * n), "row")  # a verdict is a few ids and at most one hex digest
+
+
 def text_or_empty(name: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

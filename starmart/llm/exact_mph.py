@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import SPACE, mix64, staged, text_or_empty
+from starmart.llm.common import SPACE, mix64, staged, text_or_empty, with_decisions
 
 SHARD_ROWS = 50_000  # digests a shard of the index holds on average
 GAMMA = 1.5  # slots tried per key and level
@@ -163,6 +163,9 @@ def exact_dedup(docs: DataFrame, carry: list[str] | None = None, history_share:
     found = lookup(index, distinct_digests(keys.where(~old)), shards)
     both = history.withColumn("member", F.lit(True)).unionByName(found)
     groups = both.groupBy("digest").agg(F.min(F.struct("null_id", "id", "row")).alias("w"), F.sum("n").alias("group_size"), F.max("member").alias("from_history"))
-    out = rows.select("doc", "digest", "row").join(groups, "digest")
     keep = F.when(~F.col("w.null_id"), F.col("w.id")).alias("keep_id")
-    return out.select("doc.*", keep, "group_size", (F.col("row") == F.col("w.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "from_history")
+    verdict = [keep, "group_size", (F.col("row") == F.col("w.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "from_history"]
+    if carry == ["doc_id"]:
+        return rows.join(groups, "digest").select("doc.*", *verdict)
+    decisions = rows.select("digest", "row").join(groups, "digest").select("row", F.struct(*verdict).alias("verdict"))
+    return with_decisions(rows.select("row", "doc"), decisions).select("doc.*", "verdict.*")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import text_or_empty
+from starmart.llm.common import text_batches, text_or_empty
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 2048
@@ -196,5 +196,6 @@ def pack_documents(docs: DataFrame, vocab: str = VOCAB, window: int = WINDOW, ch
     the end id alone.  Rows that repeat a doc_id are packed each on its own; null ids stay
     null; other columns of ``docs`` are not read.  Empty tables give no rows.
     """
+    text_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return plain.mapInArrow(_packer(vocab, window, chunk_tokens), OUT_SCHEMA)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, powers, span_hashes, staged, text_or_empty, word_spans
+from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, powers, span_hashes, staged, text_batches, text_or_empty, word_spans
 from starmart.llm.components import components
 from starmart.operators.joins import maybe_broadcast
 
@@ -236,6 +236,7 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: fl
     keep or lose the same lines.  Null doc_ids come last; null texts are empty; empty tables give
     no rows; other columns are not read.
     """
+    text_batches(docs.sparkSession)
     bands, rows = tune(similarity, recall)
     text = text_or_empty()
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import blocks, staged, text_or_empty
+from starmart.llm.common import blocks, staged, text_batches, text_or_empty
+from starmart.operators.joins import can_broadcast
 
 KINDS = ("email", "ip", "card", "phone")  # fixed value: the contract's order
 ROUNDS = 3
@@ -135,24 +136,97 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-_SEEN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("seed", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
 _SPAN_DDL = "array<struct<start:bigint,kind:int,end:bigint>>"
-_SEEN_DDL = "array<struct<start:bigint,kind:int,end:bigint,seed:boolean,value:string,patterns:array<string>>>"
+_SEEN = pa.schema([("kind", pa.int32()), ("seed", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
+_SEEN_DDL = "kind int, seed boolean, value string, patterns array<string>"
+_PLACE = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("value", pa.string())])
+_PLACE_DDL = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _others(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    return other_identifiers(text, spans) if _DIGIT.search(text) or "@" in text or "(at)" in text or "[at]" in text else []
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every base entity (a seed) and every other identifier-like string, with its patterns."""
+    for block in blocks(batches, "text", BLOCK_BYTES):
+        out: list[tuple] = []
+        for text in block.column("text"):
+            text = text.as_py()
+            spans = base_spans(text)
+            for group, seed in ((spans, True), (_others(text, spans), False)):
+                for s, k, e in group:
+                    out.append((k, seed, value(text, s, e), patterns(text, s, e)))
+                    if len(out) == 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SEEN.types, strict=True)], schema=_SEEN)
+                        out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _SEEN.types, strict=True)], schema=_SEEN)
+
+
+def _all_spans(text: str, known: set) -> tuple[list, list]:
+    """Base spans, and base and accepted ones together."""
+    spans = base_spans(text)
+    added = [(s, k, e) for s, k, e in _others(text, spans) if k >= 0 and (value(text, s, e), k) in known] if known else []
+    return spans, sorted([*spans, *added]) if added else spans
+
+
+def _structs(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"start": s, "kind": k, "end": e} for s, k, e in spans]
+
+
+def _replaced(block: pa.RecordBatch, column: str, new: dict[str, pa.Array]) -> pa.RecordBatch:
+    """``block`` without ``column`` and with the ``new`` ones at the end."""
+    cols = {n: c for n, c in zip(block.schema.names, block.columns, strict=True) if n != column} | new
+    return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+
+def _marker(shared):
+    """Adds base and all spans, given the broadcast set of accepted (value, kind)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "find_text", BLOCK_BYTES):
+            base, found = [], []
+            for text in block.column("find_text"):
+                a, b = _all_spans(text.as_py(), shared.value)
+                base.append(_structs(a))
+                found.append(_structs(b))
+            yield _replaced(block, "find_text", {"base": pa.array(base, pa.list_(_SPAN)), "found": pa.array(found, pa.list_(_SPAN))})
+
+    return run
+
+
+def _placer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds base spans and the other identifier-like strings with their places and values, for a join with the accepted ones."""
     for block in blocks(batches, "find_text", BLOCK_BYTES):
-        base, seen = [], []
+        base, other = [], []
         for text in block.column("find_text"):
             text = text.as_py()
             spans = base_spans(text)
-            others = other_identifiers(text, spans) if _DIGIT.search(text) or "@" in text or "(at)" in text or "[at]" in text else []
-            base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-            seen.append([{"start": s, "kind": k, "end": e, "seed": seed, "value": text[s:e].lower()[:200], "patterns": patterns(text, s, e)}
-                         for group, seed in ((spans, True), (others, False)) for s, k, e in group])
-        i = block.schema.get_field_index("find_text")
-        cols = [c for j, c in enumerate(block.columns) if j != i] + [pa.array(base, pa.list_(_SPAN)), pa.array(seen, pa.list_(_SEEN))]
-        yield pa.RecordBatch.from_arrays(cols, names=[n for n in block.schema.names if n != "find_text"] + ["base", "seen"])
+            base.append(_structs(spans))
+            other.append([{"start": s, "kind": k, "end": e, "value": value(text, s, e)} for s, k, e in _others(text, spans) if k >= 0])
+        yield _replaced(block, "find_text", {"base": pa.array(base, pa.list_(_SPAN)), "other": pa.array(other, pa.list_(_PLACE))})
+
+
+def _masker(shared):
+    """Masks the column text in place, given the broadcast set of accepted (value, kind)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            out = []
+            for text in block.column("text"):
+                text = text.as_py()
+                spans = [] if text is None else _all_spans(text, shared.value)[1]
+                out.append(_mask(text, spans) if spans else text)
+            yield _replaced(block, "text", {"text": pa.array(out, pa.string())})
+
+    return run
+
+
+def value(text: str, start: int, end: int) -> str:
+    """An instance of the graph: the string in lower case; long ones by their start and length."""
+    found = text[start:end].lower()
+    return found if len(found) <= 200 else f"{found[:200]}#{len(found)}"
 
 
 def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
@@ -188,52 +262,63 @@ def _equals(n: int):
     return lambda x: x == n
 
 
+def _accepted(docs: DataFrame, rounds: int, accept: float):
+    """The accepted instances as a table and, where their measured size allows, as a broadcast set of (value, kind)."""
+    text_batches(docs.sparkSession)
+    seen = staged(docs.select(text_or_empty().alias("text")).mapInArrow(_occurrences, _SEEN_DDL), "pii-seen")
+    accepted = discover(seen, rounds, accept).drop("score")
+    n, size = accepted.agg(F.count(F.lit(1)), F.sum(F.octet_length("value"))).first()
+    if not can_broadcast(accepted, n, 100 * n + (size or 0)):
+        return accepted, None
+    return accepted, docs.sparkSession.sparkContext.broadcast({(r["value"], r["kind"]) for r in accepted.collect()})
+
+
 def find_pii(docs: DataFrame, carry: list[str] | None = None, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
     """Every row of ``docs`` with the columns ``carry`` (default: all) and: n_email, n_ip, n_card, n_phone, base_sha256, spans, pii_spans.
 
     The four counts and base_sha256 are of the base patterns; ``spans`` lists base and added spans
     as kind:start:end (code points, end exclusive) by start, then kind; ``pii_spans`` holds the same
-    as structs (start, kind number, end).  Null texts are empty.  Rows are told apart by their
-    place in the input, so repeated or null doc_ids are fine.  Empty tables give no rows; columns
+    as structs (start, kind number, end).  Null texts are empty.  Each row is
+    marked on its own, so repeated or null doc_ids are fine.  Empty tables give no rows; columns
     of ``docs`` named like an added column are replaced by it.
     """
     counts = [f"n_{k}" for k in KINDS]
     added = [*counts, "base_sha256", "spans", "pii_spans"]
     carry = [c for c in (carry if carry is not None else docs.columns) if c not in added]
     doc = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("none"))
-    plain = docs.select(doc.alias("doc"), F.monotonically_increasing_id().alias("row"), text_or_empty().alias("find_text"))
-    kept = plain.drop("find_text").schema.simpleString()[len("struct<"):-1]
-    rows = staged(plain.mapInArrow(_scan, f"{kept},base:{_SPAN_DDL},seen:{_SEEN_DDL}"), "pii-rows")
-    seen = rows.select("row", F.explode("seen").alias("x")).select("row", "x.*")
-    accepted = discover(seen.drop("row"), rounds, accept).drop("score")
-    more = seen.where("not seed and kind >= 0").join(accepted, ["value", "kind"]).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
-    out = rows.join(more, "row", "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPAN_DDL))))
+    plain = docs.select(doc.alias("doc"), text_or_empty().alias("find_text"))
+    accepted, known = _accepted(docs, rounds, accept)
+    if known is not None:
+        kept = plain.drop("find_text").schema.simpleString()[len("struct<"):-1]
+        out = plain.mapInArrow(_marker(known), f"{kept},base:{_SPAN_DDL},found:{_SPAN_DDL}")
+    else:
+        rows = plain.withColumn("row", F.monotonically_increasing_id())
+        kept = rows.drop("find_text").schema.simpleString()[len("struct<"):-1]
+        rows = staged(rows.mapInArrow(_placer, f"{kept},base:{_SPAN_DDL},other:{_PLACE_DDL}"), "pii-rows")
+        hits = rows.select("row", F.explode("other").alias("x")).select("row", "x.*").join(accepted, ["value", "kind"])
+        more = hits.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+        both = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPAN_DDL))))
+        out = rows.join(more, "row", "left").select("doc", "base", both.alias("found"))
     of_kind = F.transform("base", lambda s: s["kind"])
     n = [F.size(F.filter(of_kind, _equals(i))).cast("long").alias(c) for i, c in enumerate(counts)]
-    out = out.select("doc", *n, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), spans.alias("pii_spans"))
+    out = out.select("doc", *n, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), F.col("found").alias("pii_spans"))
     return out.select("doc.*", *counts, "base_sha256", _joined(F.col("pii_spans")).alias("spans"), "pii_spans")
 
 
-def _mask(text: str, spans: list[dict]) -> str:
+def _mask(text: str, spans: list[tuple[int, int, int]]) -> str:
     out, done = [], 0
-    for s in spans:
-        if s["start"] >= done:
-            out += [text[done:s["start"]], f"[{KINDS[s['kind']].upper()}]"]
-        done = max(done, s["end"])
+    for start, kind, end in spans:
+        if start >= done:
+            out += [text[done:start], f"[{KINDS[kind].upper()}]"]
+        done = max(done, end)
     return "".join([*out, text[done:]])
 
 
-def _masker(names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            spans = batch.column(at["pii_spans"]).to_pylist()
-            masked = [t.as_py() if not s else _mask(t.as_py(), s) for t, s in zip(batch.column(at["text"]), spans, strict=True)]
-            cols = [pa.array(masked, pa.string()) if n == "text" else batch.column(at[n]) for n in names]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return run
+def _mask_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in blocks(batches, "text", BLOCK_BYTES):
+        pairs = zip(block.column("text").to_pylist(), block.column("pii_spans").to_pylist(), strict=True)
+        out = [_mask(t, [(x["start"], x["kind"], x["end"]) for x in spans]) if t is not None and spans else t for t, spans in pairs]
+        yield _replaced(_replaced(block, "pii_spans", {}), "text", {"text": pa.array(out, pa.string())})
 
 
 def redact(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
@@ -241,16 +326,17 @@ def redact(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> Dat
 
     Overlapping spans become one mask, named after the first.  Null texts stay null.
     """
-    found = find_pii(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], "text"), rounds=rounds, accept=accept)
-    inner = [f"c{i}" for i in range(len(docs.columns))]
-    t = inner[docs.columns.index("text")]
-    part = found.select(*[F.col(c) for c in inner if c != t], "text", "pii_spans")
-    names = [c for c in inner if c != t] + ["text"]
-    ddl = part.select(*names).schema.simpleString()[len("struct<"):-1]
-    masked = part.mapInArrow(_masker(names), ddl)
-    cols = [F.col("text") if c == t else F.col(c) for c in inner]
-    out = masked.select(*[c.alias(n) for c, n in zip(cols, docs.columns, strict=True)])
+    others = [c for c in docs.columns if c != "text"]
+    renamed = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]
+    plain = docs.select(*renamed, F.col("text").cast("string").alias("text"))
+    ddl = plain.schema.simpleString()[len("struct<"):-1]
+    _, known = _accepted(docs, rounds, accept)
+    if known is not None:
+        masked = plain.mapInArrow(_masker(known), ddl)
+    else:
+        masked = find_pii(plain, rounds=rounds, accept=accept).select(*plain.columns, "pii_spans").mapInArrow(_mask_found, ddl)
+    out = masked.select(*[F.col("text") if c == "text" else F.col(f"c{others.index(c)}").alias(c) for c in docs.columns])
     if "n_chars" in docs.columns:
-        was, now = F.col("n_chars"), F.char_length("text")
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), was).otherwise(now.cast(docs.schema["n_chars"].dataType)))
+        now = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(now))
     return out.select(*docs.columns)

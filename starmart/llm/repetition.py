@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, per_doc, powers, span_hashes, text_or_empty, word_spans
+from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, per_doc, powers, span_hashes, text_batches, text_or_empty, word_spans
 
 BLOCK_BYTES = 2 << 20
 SYMBOLS = "#*$%&|<>"  # fixed value
@@ -134,5 +134,6 @@ def repetition_rules(docs: DataFrame) -> DataFrame:
     its own; null ids stay null; other columns are not read; empty tables give no rows.
     Nothing is shuffled: a block of documents is measured where it was read.
     """
+    text_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return plain.mapInArrow(_measure_all, OUT_SCHEMA)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import blocks, data_bytes, offsets, staged, text_or_empty
+from starmart.llm.common import blocks, data_bytes, offsets, staged, text_batches, text_or_empty, with_decisions
 from starmart.llm.components import components
 
 SHINGLE_WORDS = 3  # fixed value of the contract
@@ -256,6 +256,7 @@ def simhash_groups(docs: DataFrame, carry: list[str] | None = None, words: int =
     wordless texts have fingerprint zero, which is linked like any other.  Empty tables give no
     rows; columns of ``docs`` named like an added column are replaced by it.
     """
+    text_batches(docs.sparkSession)
     added = ["fingerprint", "component_id", "kept"]
     carry = [c for c in (carry if carry is not None else docs.columns) if c not in added]
     doc = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("none"))
@@ -268,6 +269,9 @@ def simhash_groups(docs: DataFrame, carry: list[str] | None = None, words: int =
     linked = distinct.join(found, distinct.fp == found.node, "left").select("fp", "w", F.coalesce("root", "fp").alias("root"))
     winner = linked.groupBy("root").agg(F.min("w").alias("w"))
     of_fp = linked.select("fp", "root").join(winner, "root").select("fp", "w")
-    out = rows.join(of_fp, "fp")
     mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return out.select("doc.*", mark.alias("fingerprint"), F.col("w.id").alias("component_id"), (F.col("row") == F.col("w.row")).alias("kept"))
+    verdict = [mark.alias("fingerprint"), F.col("w.id").alias("component_id"), (F.col("row") == F.col("w.row")).alias("kept")]
+    if carry == ["doc_id"]:
+        return rows.join(of_fp, "fp").select("doc.*", *verdict)
+    decisions = rows.select("fp", "row").join(of_fp, "fp").select("row", F.struct(*verdict).alias("verdict"))
+    return with_decisions(rows.select("row", "doc"), decisions).select("doc.*", "verdict.*")

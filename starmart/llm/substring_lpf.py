@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, powers, staged, text_or_empty
+from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, powers, staged, text_batches, text_or_empty
 from starmart.operators.joins import maybe_broadcast
 
 LENGTH = 100  # fixed value of the contract
@@ -349,6 +349,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     doc_ids count as one id after all others.  Null texts are empty.  Empty tables give no rows;
     other columns are not read.
     """
+    text_batches(docs.sparkSession)
     if not 8 <= gram <= length <= 250:
         raise ValueError("8 <= gram <= length <= 250")
     text = text_or_empty()

@@ -90,3 +90,16 @@ def test_redact(spark):
 def test_empty_table_and_clashing_columns(spark):
     assert find_pii(spark.createDataFrame([], SCHEMA)).count() == 0
     assert find_pii(docs(spark, AWKWARD).selectExpr("*", "1 as seen", "2 as base", "3 as spans", "4 as more", "5 as doc")).count() == len(AWKWARD)
+
+
+def test_many_accepted_strings_take_the_joined_path(spark):
+    rows = [*AWKWARD, *planted(30)]
+    columns = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    small = sorted(map(repr, find_pii(docs(spark, rows)).select(columns).collect()))
+    masked = sorted(map(repr, redact(docs(spark, rows)).collect()))
+    spark.conf.set("starmart.broadcast.maxRows", "0")
+    try:
+        assert sorted(map(repr, find_pii(docs(spark, rows)).select(columns).collect())) == small
+        assert sorted(map(repr, redact(docs(spark, rows)).collect())) == masked
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
