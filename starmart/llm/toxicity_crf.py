@@ -23,15 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import blocks, data_bytes, mix64, offsets, span_hashes, text_or_empty
+from starmart.llm.common import blocks, data_bytes, mix64, offsets, span_hashes, text_batches, text_or_empty
 
 TRAIN_TOXIC = 700  # labelled toxic rows learned from, at most
-TRAIN_CLEAN = 1500  # labelled clean rows learned from, at most
+TRAIN_CLEAN = 1200  # labelled clean rows learned from, at most
+TRAIN_CHARS = 200_000  # longer texts are scored like any other but not learned from
 PREFIXES = (3, 4, 5, 6)  # code points
 ROUNDS = 25
 WINDOW = 48  # words a training sequence holds
 THRESHOLD = 0.7  # fixed value of the contract
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 HELD_OUT = 1  # fixed value of the contract: remainder of crc32(doc_id) by 3
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -207,32 +208,37 @@ def train(toxic: list[bytes], clean: list[bytes], rounds: int = ROUNDS) -> Model
     if not toxic:
         return empty
     texts, n_tox, n_clean = toxic + clean, len(toxic), len(clean)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    _, _, doc, feats = tokens(data, offs)
+    docs_, feats_ = [], []
+    for i in range(0, len(texts), 50):  # few texts at a time: the byte arrays of the sample together would be large
+        part = texts[i:i + 50]
+        _, _, d, f = tokens(np.frombuffer(b"".join(part), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in part])]))
+        docs_.append(d + i)
+        feats_.append(f)
+    doc, feats = np.concatenate(docs_), np.concatenate(feats_)
+    del docs_, feats_
     if not (doc < n_tox).any():
         return empty
 
     width = feats.shape[1]
     support = max(2, round(0.003 * n_tox))
     keys, at = np.unique(feats[doc < n_tox], return_inverse=True)
-    pair = np.unique(np.stack([np.repeat(doc[doc < n_tox], width), at.ravel()], axis=1), axis=0)
-    df_tox = np.bincount(pair[:, 1], minlength=len(keys))
+    pair = np.unique(np.repeat(doc[doc < n_tox], width) * len(keys) + at.ravel())  # (document, feature) once each
+    df_tox = np.bincount(pair % len(keys), minlength=len(keys))
     keys, df_tox = keys[df_tox >= support], df_tox[df_tox >= support]
     del at, pair
     pos = np.minimum(np.searchsorted(keys, feats), max(len(keys) - 1, 0)).astype(np.int32) if len(keys) else np.zeros(feats.shape, np.int32)
     known = keys[pos] == feats if len(keys) else np.zeros(feats.shape, bool)
     in_clean = (doc >= n_tox)[:, None] & known
     rows, cols = np.nonzero(in_clean)
-    pair = np.unique(np.stack([doc[rows], pos[rows, cols]], axis=1), axis=0) if len(rows) else np.zeros((0, 2), np.int64)
-    df_clean = np.bincount(pair[:, 1], minlength=len(keys))
+    pair = np.unique(doc[rows] * len(keys) + pos[rows, cols]) if len(rows) else np.zeros(0, np.int64)
+    df_clean = np.bincount(pair % max(1, len(keys)), minlength=len(keys))
+    del pair, rows, cols, in_clean
     odds = np.log((df_tox + 0.5) / (n_tox + 1)) - np.log((df_clean + 0.5) / (n_clean + 1))
     # a leaf of evidence must be common among toxic documents and (nearly) absent from clean ones
     telling = (df_tox >= max(3, round(0.01 * n_tox))) & (odds >= 2.5)
     if not telling.any():
         telling = odds >= 1.5
-    best = np.where(known, np.where(telling[pos], odds[pos], -np.inf), -np.inf).max(axis=1) if len(keys) else np.full(len(doc), -np.inf)
-    label = np.isfinite(best) & (doc < n_tox)
+    label = (known & telling[pos]).any(axis=1) & (doc < n_tox) if len(keys) else np.zeros(len(doc), bool)
 
     active = odds >= 1.5
     new = np.cumsum(active) - 1
@@ -266,7 +272,7 @@ def train(toxic: list[bytes], clean: list[bytes], rounds: int = ROUNDS) -> Model
     scale = 1.0 / max(1.0, label.sum())
     flat = np.zeros(2)
     turn = int(useful.sum())
-    slices = [(i, min(i + 8000, stop)) for start, stop in ((0, turn), (turn, len(at))) for i in range(start, stop, 8000)]
+    slices = [(i, min(i + 2000, stop)) for start, stop in ((0, turn), (turn, len(at))) for i in range(start, stop, 2000)]
     for _ in range(rounds):
         grad, grad_b, expect = -1e-3 * w, 0.0, np.zeros((2, 2))
         for i, j in slices:  # windows of one weight each, few at a time to keep memory flat
@@ -303,9 +309,6 @@ def train(toxic: list[bytes], clean: list[bytes], rounds: int = ROUNDS) -> Model
     return model
 
 
-OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("n_toxic", pa.int64()), ("spans", pa.string())])
-
-
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -340,12 +343,13 @@ def _remainder(col: str = "doc_id"):
 def learn(docs: DataFrame, labels: DataFrame, most_toxic: int = TRAIN_TOXIC, most_clean: int = TRAIN_CLEAN) -> Model:
     """Train on labelled rows that are not held out: at most so many of either label, chosen by a hash of doc_id."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    known = known.where(_remainder() != HELD_OUT)
+    known = known.where(_remainder() != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     pick = lambda y, n: known.where(F.col("toxic") == y).orderBy(*order).limit(n)
     ids = F.broadcast(pick(1, most_toxic).unionByName(pick(0, most_clean)))  # a few thousand ids, by the limits above
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = own.join(ids, "doc_id").orderBy("doc_id", "text").collect()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where(F.length("text") <= TRAIN_CHARS)
+    # one text per id, however many rows repeat it
+    rows = own.join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()
     return train([r.text.encode() for r in rows if r.toxic == 1], [r.text.encode() for r in rows if r.toxic == 0])
 
 
@@ -356,6 +360,7 @@ def toxicity(docs: DataFrame, model: Model, carry: list[str] | None = None, thre
     texts get the score of a text without evidence; a null doc_id is not held out.  Empty tables
     give no rows; columns of ``docs`` named like an added column are replaced by it.
     """
+    text_batches(docs.sparkSession)
     added = ["held_out", "score", "predicted", "n_toxic", "toxic_spans"]
     carry = [c for c in (carry if carry is not None else docs.columns) if c not in added]
     doc = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).alias("none"))
