@@ -106,7 +106,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)  # an empty partitioned write has no file to infer from
 
 
 def build_dim_time(prepared: DataFrame, first: int = 1, holidays: str = "listed", first_seen: str | None = None):

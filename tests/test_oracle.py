@@ -10,6 +10,7 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
+from starmart.catalog import registry
 from starmart.sources.tables import TABLES
 
 
@@ -48,8 +49,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, res.fetchall())
 
 
-def test_every_query_has_oracle():
-    assert set(queries()) == set(ORACLE)
+def test_every_warehouse_query_but_one_has_an_oracle():
+    # rows_per_load deals rows to two folders by a hash that the other engine does not have
+    assert set(registry()) - set(ORACLE) == {"rows_per_load"}
+    assert set(ORACLE) <= set(queries())
 
 
 def test_entry(spark):

@@ -71,7 +71,7 @@ def test_numbers(spark):
     assert run(spark, km, lambda c: P.km(c, "frame")) == [12.0, 12.5, 12.5, 0.0, 0.0, 0.0, 0.0, 7.0]
     ints = ["5", "5.0", "x", "", None, "99999999999", "1e3", "-2"]
     assert run(spark, ints, lambda c: P.guarded_int(c, 1)) == [5, 1, 1, 1, 1, 1, 1, -2]
-    assert run(spark, ints, lambda c: P.frame_int(c, 1)) == [5, 5, 1, 1, 1, 1, 1000, -2]
+    assert run(spark, ints, lambda c: P.frame_int(c, 1)) == [5, 5, 1, 1, 1, 99999999999, 1000, -2]
     hours = [None, "x", "-1", "2400", "1330"]
     assert run(spark, hours, P.guarded_hour) == [None, 0, -1, 2400, 1330]
 

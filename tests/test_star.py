@@ -100,7 +100,8 @@ def test_large_dimension_path_gives_same_reports(spark):
             df = fn(star)
             if name == "report_q7":
                 plan = df._jdf.queryExecution().executedPlan().toString()
-                assert "BroadcastHashJoin" not in plan
+                # a dimension's own partition offsets are broadcast (a row per partition); dimensions are not
+                assert all("__pid" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
             assert sorted(map(tuple, df.collect())) == expected[name], name
     finally:
         spark.conf.unset("starmart.broadcast.maxRows")
