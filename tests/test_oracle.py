@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
 from starmart.catalog import registry
 from starmart.sources.tables import TABLES

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from starmart.catalog import star_for
 from starmart.operators.keys import assign_dense_keys
 from starmart.operators.quality import STAR_CHECKS, run_checks
