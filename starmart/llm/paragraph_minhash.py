@@ -1,7 +1,7 @@
 """Substring dedup: near-copies of paragraphs by MinHash banding, exact verification and components.
 
-A paragraph is a line with at least ``MIN_WORDS`` words; its set of five-word shingles is hashed
-to 64 bits each.  Equal paragraphs collapse first (a grouped minimum), so copies cost one row.
+A paragraph is a line that holds a word; its set of five-word shingles is hashed to 64 bits
+each, and a line under five words is one shingle, so it is like only lines of the same words.  Equal paragraphs collapse first (a grouped minimum), so copies cost one row.
 Bands are tuned for recall: of the splits within ``MOST_BANDS`` bands that find a pair at the
 threshold with ``RECALL`` or more, the one with the most rows a band, hence the fewest chance
 collisions.  Distinct paragraphs that collide in a band are verified by the exact Jaccard of
@@ -26,7 +26,7 @@ from starmart.operators.joins import maybe_broadcast
 
 SHINGLE_WORDS = 5  # fixed value of the contract
 SIMILARITY = 0.8  # fixed value of the contract
-MIN_WORDS = 20  # shorter lines are headings and formulas: never removed
+MIN_WORDS = 1  # every line that holds a word takes part
 RECALL = 0.999
 MOST_BANDS = 12
 LEADERS = 3  # rounds of clustering before the paragraphs left over are compared with each other

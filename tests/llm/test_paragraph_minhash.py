@@ -73,6 +73,16 @@ def test_matches_all_pairs(spark, min_words):
         assert got[i].kept_text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want)
 
 
+def test_short_lines_take_part(spark):
+    rng = random.Random(5)
+    seeds = [[f"w{rng.randint(0, 400)}" for _ in range(n)] for n in (1, 2, 4, 5, 6, 9, 12, 15, 17, 19)]
+    rows = [(i, "\n".join([" ".join(s) for s in rng.sample(seeds, 3)] + [edited(rng, rng.choice(seeds[7:]), 1), f"own{i}", ""])) for i in range(60)]
+    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows)).collect()}
+    want = brute(rows, 1)
+    assert sum(map(len, want)) > 150
+    assert [got[i].removed_lines for i, _ in rows] == want
+
+
 def test_awkward_rows(spark):
     rows = [*AWKWARD, (30, "x\n" + PROSE.upper() + "\nend"), (31, PROSE + "\n" + PROSE)]
     got = M.dedup_paragraphs(docs(spark, rows)).collect()
