@@ -8,6 +8,8 @@ end of a chunk are opened again: their pieces are placed once more with the next
 
 Ids come from the ``tokenizers`` vocabulary file.  They are computed by tiktoken over the same
 ranks (several times faster, equal ids: tests compare both libraries over every code point).
+Strings that the file lists as added tokens get their own ids, as that library gives them by
+default; the text between them is encoded piece by piece.
 """
 
 from __future__ import annotations
@@ -61,7 +63,7 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 
 def encode(enc: tiktoken.Encoding, text: str) -> np.ndarray:
-    """Ids of one text as uint32; special-token strings are ordinary text."""
+    """Ids of one text as uint32; added-token strings are ordinary text (see encode_document)."""
     if LONG_SPACE.search(text):
         ids: list[int] = []
         for piece in regex.findall(public_tokenizers.PATTERN, text):
@@ -70,6 +72,28 @@ def encode(enc: tiktoken.Encoding, text: str) -> np.ndarray:
     return np.asarray(enc.encode_to_numpy(text, disallowed_special=()), np.uint32)
 
 
+@functools.lru_cache(maxsize=2)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """The added tokens of a tokenizers JSON file: a pattern that finds them, longest first at a place, and their ids."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens") or []
+    for t in tokens:
+        if any(t.get(option) for option in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added token {t['content']!r} takes more than its own characters into account")
+    ids = {t["content"]: t["id"] for t in tokens}
+    longest = sorted(ids, key=len, reverse=True)
+    return (re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None), ids
+
+
+def encode_document(path: str, text: str) -> np.ndarray:
+    """Ids of one text as uint32, added tokens as their own ids: the library's encode without a post-processor."""
+    enc, (found, ids) = encoder(path), added_tokens(path)
+    if found is None or not found.search(text):
+        return encode(enc, text)
+    parts = [np.array([ids[x]], np.uint32) if i % 2 else encode(enc, x) for i, x in enumerate(found.split(text)) if x]
+    return np.concatenate(parts)
+
+
 class OpenWindows:
     """Open windows by remaining capacity; a segment tree finds the tightest one that fits."""
 
@@ -129,7 +153,6 @@ OUT_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long,
 
 def _packer(path: str, window: int, chunk_tokens: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         first = TaskContext.get().partitionId() << 40
         made = 0
 
@@ -161,7 +184,7 @@ def _packer(path: str, window: int, chunk_tokens: int):
         for batch in batches:
             full = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.append(encode(enc, text.as_py()), np.uint32(END_ID))
+                ids = np.append(encode_document(path, text.as_py()), np.uint32(END_ID))
                 n = len(ids)
                 cut = n - n % window
                 full += [(doc_id, s, ids[s:s + window], n) for s in range(0, cut, window)]
@@ -192,7 +215,8 @@ def pack_documents(docs: DataFrame, vocab: str = VOCAB, window: int = WINDOW, ch
     """Pieces of all documents, placed in sequences of at most ``window`` ids.
 
     One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens
-    (of the whole document, end id included), sequence_id, offset.  Null and empty texts are
+    (of the whole document, end id included), sequence_id, offset.  Added tokens of ``vocab`` that
+    stand in a text get their ids.  Null and empty texts are
     the end id alone.  Rows that repeat a doc_id are packed each on its own; null ids stay
     null; other columns of ``docs`` are not read.  Empty tables give no rows.
     """

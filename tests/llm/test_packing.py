@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from starmart.llm.packing import VOCAB, best_fit_decreasing, encode, encoder, pack_documents
+from starmart.llm.packing import VOCAB, best_fit_decreasing, encode, encode_document, encoder, pack_documents
 from cases import AWKWARD, SCHEMA, docs
 
 
@@ -26,6 +26,17 @@ def test_ids_equal_the_tokenizers_library(hf):
         assert encode(enc, text).tolist() == want.ids
 
 
+def test_added_tokens_as_the_library_gives_them_by_default(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end} it's", f"x  {end}  y", end, end * 3, f"a {end[:-1]}", f"{end[:5]}{end}{end[5:]}", f"word \n{end}\n", f"{end}{' ' * 30_000}x {end} 日本語", f"{' ' * 5000}{end}", ""]
+    for text in texts:
+        assert encode_document(VOCAB, text).tolist() == plain.encode(text, add_special_tokens=False).ids, text[:40]
+    got = {r.doc_id: r for r in pack_documents(docs(spark, list(enumerate(texts[:7])))).collect()}
+    for i, text in enumerate(texts[:7]):
+        assert np.frombuffer(got[i].ids, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_best_fit_against_a_plain_search():
     rng = random.Random(1)
     for _ in range(60):
