@@ -238,7 +238,8 @@ def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> D
     """
     edges = seen.select("value", "kind", "seed", F.explode(F.array_distinct("patterns")).alias("pattern"))
     edges = staged(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.max("kind").alias("kind")), "pii-edges")
-    known = edges.where("seed").select("value", "kind").groupBy("value").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
+    seeds = edges.where("seed").select("value", "kind").groupBy("value").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
+    seeds = known = staged(seeds, "pii-seeds")
     spread = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("held"))
     open_ = edges.where("not seed and kind >= 0").select("value", "kind", "pattern")
     accepted = None
@@ -249,7 +250,7 @@ def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> D
         wrong = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         new = open_.join(trust, ["pattern", "kind"]).groupBy("value", "kind").agg((1 - wrong).alias("score")).where(F.col("score") >= accept)
         accepted = staged(new, "pii-round")
-        known = known.where("score = 1.0").unionByName(accepted)
+        known = seeds.unionByName(accepted.join(seeds, "value", "left_anti"))  # a score can be 1.0 too: every value once
     return accepted
 
 

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from starmart.llm.pii_bootstrap import KINDS, base_spans, find_pii, luhn, redact
+from starmart.llm.pii_bootstrap import KINDS, base_spans, discover, find_pii, luhn, redact
 from cases import AWKWARD, SCHEMA, docs
 
 PLAIN = {  # the contract's patterns as they stand
@@ -72,6 +72,15 @@ def test_unseen_identifiers_are_found_by_their_context(spark):
     assert all(got[i].spans == joined(plain_spans(t)) for i, t in rows if i < 900)
 
 
+def test_instances_of_many_trusted_patterns_count_once(spark):
+    trusted = [f"t{i}" for i in range(14)]
+    rows = [(0, True, f"s{i}@x.yz", trusted) for i in range(60)]  # confidence about 0.96: 14 of them leave a score of exactly 1.0
+    rows += [(0, False, "a@one", [*trusted, "p"]), (0, False, "b@two", [*trusted, "p"]), (0, False, "c@three", ["p"])]
+    seen = spark.createDataFrame(rows, "kind int, seed boolean, value string, patterns array<string>")
+    got = {r.value: r.score for r in discover(seen).collect()}
+    assert got == {"a@one": 1.0, "b@two": 1.0}  # p holds two known instances, less than LEAST_SEEDS
+
+
 def test_copies_of_one_text_are_one_instance(spark):
     rows = [(i, "please send mail to a@b.cd and wait") for i in range(50)] + [(99, "please send mail to root@localhost and wait")]
     assert [r.spans for r in find_pii(docs(spark, rows)).where("doc_id = 99").collect()] == [""]
