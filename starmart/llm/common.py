@@ -20,14 +20,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder (spark.checkpoint.dir) and read it back.
 
     Cuts the lineage at a table that every executor and the driver can read, so a lost
     executor costs a re-read and never a different result.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

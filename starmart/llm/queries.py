@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from starmart.llm.bpe_words import decode_documents, encode_documents
 from starmart.llm.common import documents
 from starmart.llm.exact_mph import exact_dedup
+from starmart.llm.matched_packing import pack_matched
+from starmart.llm.merkle_manifest import merkle_manifest
+from starmart.llm.merkle_sql import MANIFEST
 from starmart.llm.packing import pack_documents
 from starmart.llm.paragraph_minhash import dedup_paragraphs
 from starmart.llm.pii_bootstrap import find_pii
@@ -18,6 +21,7 @@ from starmart.llm.quotes_sql import LINKED, LINKED_RENDERED
 from starmart.llm.repetition import repetition_rules
 from starmart.llm.simhash_vp import simhash_groups
 from starmart.llm.substring_lpf import remove_repeats
+from starmart.llm.token_alignment import align_tokens
 from starmart.llm.toxicity_crf import learn, toxicity
 
 
@@ -76,6 +80,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_matched_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_matched(documents(spark, sf_dir))
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    out = merkle_manifest(documents(spark, sf_dir), tampered, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(documents(spark, sf_dir))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring_lpf": op2_substring_lpf,
@@ -88,11 +107,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repetition": op8_repetition,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_matched_packing": op11_matched_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
     "op4_quotation_linking": LINKED,
     "op4_quotation_linking_rendered": LINKED_RENDERED,
+    "op12_merkle_manifest": MANIFEST,
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
