@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starmart.operators.quality import STAR_CHECKS, run_checks
 from starmart.plans import generic as G
 from starmart.plans import reports as R
+from starmart.plans import upkeep as U
 from starmart.plans.prepare import normalize
 from starmart.plans.star import Star, build_star
 from starmart.sources.tables import forget_landing, landing
@@ -85,6 +86,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["test_unique"] = lambda spark, sf: G.test_unique(star_for(spark, sf, "sql").prepared)
     q["test_accepted"] = lambda spark, sf: G.test_accepted(star_for(spark, sf, "sql").prepared)
     q.update(G.GENERIC)
+    # the two rule sets against each other
+    for name, fn in (("reconcile_rules", U.reconcile_rules), ("reconcile_columns", U.reconcile_columns), ("reconcile_classes", U.reconcile_classes)):
+        q[name] = (lambda fn: lambda spark, sf: fn(star_for(spark, sf, "sql").prepared, star_for(spark, sf, "frame").prepared))(fn)
+    q["report_bucketed"] = lambda spark, sf: U.report_bucketed(spark, sf, star_for(spark, sf, "sql"))
+    q.update(U.FLOWS)
     return q
 
 

@@ -141,3 +141,30 @@ def build_dimension(
     keyed = assign_dense_keys(base, order or keys, sk, first=first)
     out_cols = [sk] + keys + list(attrs_max or {})
     return Keyed(keyed.df.select(*out_cols), keyed.rows, keyed.bytes, keyed.path)
+
+
+def extend_keys(
+    known: DataFrame,
+    rows: DataFrame,
+    keys: list[str],
+    sk: str,
+    order: list[str] | None = None,
+    attrs_max: dict[str, str] | None = None,
+    first: int = 1,
+) -> Keyed:
+    """The dimension rows that ``rows`` add to ``known`` (W1, U3): natural keys it lacks, numbered on from its last key.
+
+    Keys already given never change, whatever order the new values would have had among the old ones.  NULL matches
+    NULL.  With ``attrs_max`` a new key takes the maxima of its attributes; the attributes of a known key stay as first
+    loaded.  An empty ``known`` starts at ``first``.
+    """
+    have = known.select(*[F.col(k).alias(f"__known_{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__known_{k}"))
+    # whole rows, not distinct ones, would also do: distinct keys cross the shuffle once
+    fresh = rows.groupBy(*keys).agg(*[F.max(src).alias(out) for out, src in attrs_max.items()]) if attrs_max else rows.select(*keys).distinct()
+    fresh = fresh.join(have, cond, "left_anti")
+    last = known.agg(F.max(sk)).first()[0]
+    keyed = assign_dense_keys(fresh, order or keys, sk, first=first if last is None else last + 1)
+    return Keyed(keyed.df.select(sk, *keys, *(attrs_max or {})), keyed.rows, keyed.bytes, keyed.path)

@@ -939,3 +939,85 @@ SELECT 'pedidos' AS model, 'o_custkey' AS column_name, 'relationships' AS test,
 UNION ALL SELECT 'pedidos', 'o_custkey', 'not_null', COUNT(*) FROM c WHERE o_custkey IS NULL
 UNION ALL SELECT 'pedidos', 'o_orderstatus', 'accepted_values', COUNT(*) FROM c WHERE o_orderstatus NOT IN ('F', 'O')
 UNION ALL SELECT 'clientes', 'c_custkey', 'unique', CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT c_custkey, COUNT(*) AS n FROM customer GROUP BY 1 HAVING COUNT(*) > 1)"""
+
+
+# ---------------------------------------------------------------------------
+# Upkeep: reconciliation, severity, rejects, loads, appended and bucketed stars
+# ---------------------------------------------------------------------------
+_COMPARED = [
+    "uf_infracao", "municipio", "indicador_abordagem", "br_infracao", "assinatura_auto", "sentido_trafego", "indicador_veiculo_estrangeiro", "uf_placa",
+    "descricao_especie_veiculo", "descricao_tipo_veiculo", "descricao_marca_veiculo", "descricao_modelo_veiculo", "descricao_abreviada_infracao",
+    "enquadramento_infracao", "codigo_infracao", "km_infracao", "qtd_infracoes", "hora_infracao", "medicao_considerada", "excesso_verificado",
+    "data_infracao", "dia", "mes", "ano", "trimestre", "dia_semana", "regiao_infracao",
+]
+_WIDER = {"km_infracao": "DOUBLE", "medicao_considerada": "DOUBLE", "excesso_verificado": "DOUBLE", "codigo_infracao": "BIGINT", "qtd_infracoes": "BIGINT", "hora_infracao": "VARCHAR"}
+
+
+def _side(name: str, prepared: str) -> str:
+    cols = ", ".join(f"CAST({c} AS {_WIDER[c]}) AS {c}" if c in _WIDER else c for c in _COMPARED)
+    order = ", ".join(f"{c} NULLS LAST" for c in _COMPARED)
+    return f"{name}0 AS (SELECT numero_auto, {cols} FROM ({prepared})), {name} AS (SELECT *, row_number() OVER (PARTITION BY numero_auto ORDER BY {order}) AS place FROM {name}0)"
+
+
+_PAIRED = f"""WITH {_side('l', ORACLE['prepared_sql'])}, {_side('r', ORACLE['prepared_frame'])}, j AS (
+  SELECT coalesce(l.numero_auto, r.numero_auto) AS numero_auto, coalesce(l.place, r.place) AS place, l.place AS lp, r.place AS rp,
+    {', '.join(f'l.{c} AS l_{c}, r.{c} AS r_{c}' for c in _COMPARED)}
+  FROM l FULL OUTER JOIN r ON l.numero_auto = r.numero_auto AND l.place = r.place
+), c AS (
+  SELECT *, CASE WHEN lp IS NULL OR rp IS NULL THEN '' ELSE concat_ws(',', {', '.join(f"CASE WHEN l_{c} IS DISTINCT FROM r_{c} THEN {q(c)} END" for c in _COMPARED)}) END AS differs FROM j
+), k AS (
+  SELECT *, CASE WHEN rp IS NULL THEN 'left_only' WHEN lp IS NULL THEN 'right_only' WHEN differs <> '' THEN 'different' ELSE 'equal' END AS class FROM c
+)
+"""
+ORACLE["reconcile_rules"] = _PAIRED + "SELECT numero_auto, place, class, differs FROM k WHERE class <> 'equal'"
+ORACLE["reconcile_classes"] = _PAIRED + "SELECT class, COUNT(*) AS rows FROM k GROUP BY class"
+ORACLE["reconcile_columns"] = _PAIRED + " UNION ALL ".join(
+    f"SELECT {q(c)} AS column_name, COUNT(*) AS paired, COUNT(*) FILTER (WHERE l_{c} IS DISTINCT FROM r_{c}) AS different, "
+    f"COUNT(*) FILTER (WHERE l_{c} IS NULL AND r_{c} IS NOT NULL) AS left_null, COUNT(*) FILTER (WHERE r_{c} IS NULL AND l_{c} IS NOT NULL) AS right_null "
+    "FROM k WHERE class IN ('equal', 'different')"
+    for c in _COMPARED
+)
+
+ORACLE["severity_lookup"] = f"""
+WITH {FINES_RAW_CTE}, rules AS (
+  SELECT upper(CAST(160 + p_partkey % 90 AS VARCHAR) || CASE WHEN p_size % 5 = 0 THEN ', i' WHEN p_size % 5 = 1 THEN ', II' ELSE '' END) AS prefixo,
+    min(CASE CAST((p_partkey + p_size) % 4 AS INT) WHEN 0 THEN 'Gravíssima' WHEN 1 THEN 'Grave' WHEN 2 THEN 'Média' ELSE 'Leve' END) AS gravidade
+  FROM part WHERE p_partkey % 90 < 70 AND p_size % 7 = 0 GROUP BY 1
+), texts AS (SELECT enquadramento_infracao AS t, COUNT(*) AS linhas FROM fines_raw GROUP BY 1), hits AS (
+  SELECT t, arg_max(gravidade, length(prefixo)) AS gravidade FROM texts JOIN rules ON starts_with(upper(trim(t)), prefixo)
+    AND NOT regexp_matches(substr(upper(trim(t)), length(prefixo) + 1, 1), '[\\p{{L}}\\p{{N}}]') GROUP BY t
+)
+SELECT t AS enquadramento_infracao, coalesce(gravidade, 'Não classificada') AS gravidade, linhas FROM texts LEFT JOIN hits USING (t)
+"""
+
+_REASONS = [
+    ("sem_numero", "numero_auto IS NULL"),
+    ("data_invalida", f"(CASE WHEN regexp_full_match(data_infracao, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST(data_infracao AS DATE) END) IS NULL"),
+    ("excesso_verificado_fora_do_limite", f"NOT ({_guarded_dec('excesso_verificado')} BETWEEN 0 AND 150)"),
+    ("hora_infracao_fora_do_limite", f"NOT (CASE WHEN regexp_full_match(hora_infracao, {_NUM_INT}) THEN coalesce(TRY_CAST(hora_infracao AS INTEGER), 0) ELSE 0 END BETWEEN 0 AND 2359)"),
+]
+_WHY = "concat_ws(',', " + ", ".join(f"CASE WHEN coalesce({cond}, FALSE) THEN {q(k)} END" for k, cond in _REASONS) + ")"
+_ROUTED = f"routed AS (SELECT *, {_WHY} AS motivos FROM (SELECT DISTINCT * FROM fines_raw))"
+ORACLE["rejects_sql"] = with_raw(f"SELECT * FROM (SELECT *, {_WHY} AS motivos FROM (SELECT DISTINCT * FROM fines_raw)) WHERE motivos <> ''")
+ORACLE["clean_sane_sql"] = with_prepared("SELECT * FROM prepared WHERE excesso_verificado BETWEEN 0 AND 150 AND (hora_infracao IS NULL OR hora_infracao BETWEEN 0 AND 2359)")
+ORACLE["routing_totals"] = f"WITH {FINES_RAW_CTE}, {_ROUTED} " + " UNION ALL ".join(
+    f"SELECT {q(k)} AS total, COUNT(*) FILTER (WHERE {cond}) AS linhas FROM routed"
+    for k, cond in [("entrada", "TRUE"), ("limpas", "motivos = ''"), ("rejeitadas", "motivos <> ''"), *[(k, f"coalesce({c}, FALSE)") for k, c in _REASONS]]
+)
+
+_LOADED = "CASE WHEN numero_auto IS NULL OR CAST(substr(numero_auto, 2, 8) AS INTEGER) % 2 = 0 THEN 2023 ELSE 2024 END"
+ORACLE["rows_per_load"] = with_raw(f"SELECT CAST({_LOADED} AS INTEGER) AS ano, COUNT(*) AS linhas FROM fines_raw GROUP BY 1")
+ORACLE["totals_per_load"] = ORACLE["rows_per_load"]
+ORACLE["append_twice"] = with_raw(f"SELECT CAST({_LOADED} AS INTEGER) AS ano, COUNT(*) AS linhas, CAST(1 AS BIGINT) AS cargas FROM fines_raw GROUP BY 1")
+
+_LOC = ["uf_infracao", "municipio", "br_infracao", "km_infracao", "regiao_infracao", "sentido_trafego"]
+ORACLE["dim_location_appended"] = with_prepared(f"""
+SELECT row_number() OVER (ORDER BY primeira, {', '.join(f'{c} NULLS LAST' for c in _LOC)}) AS id_localizacao_sk, uf_infracao, br_infracao, km_infracao, municipio, regiao_infracao, sentido_trafego
+FROM (SELECT {', '.join(_LOC)}, min(CASE WHEN ano < 2024 THEN 0 ELSE 1 END) AS primeira FROM prepared GROUP BY {', '.join(_LOC)})""")
+ORACLE["fact_appended"] = with_prepared(
+    "SELECT ano, uf_infracao, codigo_infracao, descricao_tipo_veiculo, COUNT(*) AS autos, CAST(SUM(qtd_infracoes) AS BIGINT) AS infracoes FROM prepared GROUP BY 1, 2, 3, 4"
+)
+ORACLE["report_bucketed"] = with_star(
+    "SELECT descricao_especie_veiculo, descricao_tipo_veiculo, descricao_marca_veiculo, COUNT(*) AS autos, CAST(SUM(qtd_infracoes) AS BIGINT) AS infracoes "
+    "FROM fato_multa JOIN dim_infrator USING (id_infrator_sk) GROUP BY 1, 2, 3"
+)

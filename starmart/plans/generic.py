@@ -30,6 +30,7 @@ from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by
 from starmart.schemas import RAW_COLUMNS, RAW_COLUMNS_AND_HEADERS
 from starmart.session import work_dir
 from starmart.sources.csv import MALFORMED, first_file_columns, malformed_per_file, read_raw, source_year, write_csv_batches
+from starmart.sources.ingest import read_once
 from starmart.sources.sinks import append_table, create_raw_table, write_table
 from starmart.sources.tables import landing, table
 
@@ -384,8 +385,12 @@ def _half():
     return F.col("numero_auto").isNull() | (F.pmod(F.xxhash64("numero_auto"), F.lit(2)) == 0)
 
 
+def _even():
+    return F.col("numero_auto").isNull() | (F.substring("numero_auto", 2, 8).cast("int") % 2 == 0)
+
+
 def _two_layouts(spark: SparkSession, sf: str) -> str:
-    """Half the raw fines as UTF-8 files with the accented source headers (folder 2023), half as ISO-8859-1 files with
+    """Raw fines of even number as UTF-8 files with the accented source headers (folder 2023), the others as ISO-8859-1 files with
     unaccented headers in reverse order (folder 2024)."""
     heads = [h for _, h in RAW_COLUMNS_AND_HEADERS]
     plain = ["".join(ch for ch in unicodedata.normalize("NFD", h) if not unicodedata.combining(ch)).upper() for h in heads]
@@ -393,8 +398,8 @@ def _two_layouts(spark: SparkSession, sf: str) -> str:
 
     def write(base: str) -> None:
         raw = landing(spark, sf)
-        write_csv_batches(raw.filter(_half()), f"{base}/2023", heads)
-        write_csv_batches(raw.filter(~_half()).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1")
+        write_csv_batches(raw.filter(_even()), f"{base}/2023", heads)
+        write_csv_batches(raw.filter(~_even()).select(*rev), f"{base}/2024", [plain[RAW_COLUMNS.index(c)] for c in rev], encoding="ISO-8859-1")
 
     return _written(spark, sf, "csv_two_layouts", write)
 
@@ -406,12 +411,12 @@ def csv_roundtrip(spark, sf):
     them.  Blank and NULL fields both come back as '' (a text file keeps no
     NULLs).
     """
-    return read_raw(spark, f"{_two_layouts(spark, sf)}/*/*.csv", with_source=False)
+    return read_once(spark, f"{_two_layouts(spark, sf)}/*/*.csv", with_source=False)
 
 
 def rows_per_load(spark, sf):
     """Row totals per load folder, summed from the totals per file."""
-    raw = read_raw(spark, f"{_two_layouts(spark, sf)}/*/*.csv")
+    raw = read_once(spark, f"{_two_layouts(spark, sf)}/*/*.csv")
     files = prof.rows_per_source(raw)
     return files.groupBy(source_year().alias("ano")).agg(F.sum("rows").cast("long").alias("linhas"))
 
@@ -437,7 +442,7 @@ def csv_quoting(spark, sf):
     """Values with quotes, backslashes and separators, in files of two layouts, some of which begin with blank lines.
 
     Half the records go through the library's writer; the other half are
-    written as plain lines, columns reversed, below two blank lines and the
+    written as plain lines, columns reversed, below two blank lines (one of a tab) and the
     header, so that files which share their first line differ in layout.
     """
 
@@ -450,7 +455,7 @@ def csv_quoting(spark, sf):
         for layout, cols, heads in (("b", list(reversed(rows.columns)), list(reversed(QUOTED_HEADERS))), ("c", rows.columns, QUOTED_HEADERS)):
             mine = rows.filter(~_half() & (F.pmod(F.xxhash64("numero_auto"), F.lit(4)) == (1 if layout == "b" else 3)))
             body = mine.select(F.pmod(F.xxhash64("numero_auto", F.lit(7)), F.lit(int(n))).alias("p"), F.lit(3).alias("o"), F.concat_ws(";", *[cell(c) for c in cols]).alias("value"))
-            top = body.select("p").distinct().select("p", F.inline(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("value")) for o, v in ((0, ""), (1, "  "), (2, ";".join(heads)))])))
+            top = body.select("p").distinct().select("p", F.inline(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(v).alias("value")) for o, v in ((0, ""), (1, "\t" if layout == "b" else "  "), (2, ";".join(heads)))])))
             lines = body.unionByName(top.select("p", "o", "value")).repartition("p").sortWithinPartitions("p", "o")
             lines.select("p", "value").write.partitionBy("p").option("compression", "none").text(f"{base}/{layout}")
 

@@ -39,6 +39,10 @@ from starmart.schemas import PREPARED_COLUMNS, RAW_COLUMNS
 SQL, FRAME = "sql", "frame"
 
 POSITION = "source_position"
+VALID = "numero_auto IS NOT NULL AND data_infracao IS NOT NULL"
+
+
+RAW_ROW = "raw"
 
 
 def _conform(raw: DataFrame, keep_position: bool = False) -> DataFrame:
@@ -52,7 +56,11 @@ def _conform(raw: DataFrame, keep_position: bool = False) -> DataFrame:
     return raw.select(*cols)
 
 
-def normalize_sql(raw: DataFrame) -> DataFrame:
+def _raw_row(keep: bool) -> list:
+    return [F.struct(*RAW_COLUMNS).alias(RAW_ROW)] if keep else []
+
+
+def normalize_sql(raw: DataFrame, valid_only: bool = True, keep_raw: bool = False) -> DataFrame:
     r = _conform(raw).distinct()
     uf = null_default("uf_infracao")
     typed = r.select(
@@ -78,16 +86,19 @@ def normalize_sql(raw: DataFrame) -> DataFrame:
         P.decimal_comma("medicao_considerada", SQL).alias("medicao_considerada"),
         P.decimal_comma("excesso_verificado", SQL).alias("excesso_verificado"),
         P.iso_date("data_infracao").alias("data_infracao"),
-    ).filter(F.col("numero_auto").isNotNull() & F.col("data_infracao").isNotNull())
+        *_raw_row(keep_raw),
+    )
+    if valid_only:
+        typed = typed.filter(VALID)
     parts = cal.date_parts("data_infracao")
     return typed.select(
         *[F.col(c) for c in typed.columns],
         *[v.alias(k) for k, v in parts.items()],
         dec.region_for("uf_infracao", SQL).alias("regiao_infracao"),
-    ).select(*PREPARED_COLUMNS)
+    ).select(*PREPARED_COLUMNS, *([RAW_ROW] if keep_raw else []))
 
 
-def normalize_frame(raw: DataFrame, holidays: str = "listed") -> DataFrame:
+def normalize_frame(raw: DataFrame, holidays: str = "listed", valid_only: bool = True, keep_raw: bool = False) -> DataFrame:
     r = _conform(raw, keep_position=True)
     pos = [F.col(POSITION)] if POSITION in r.columns else []
     d = P.iso_date("data_infracao")
@@ -117,13 +128,16 @@ def normalize_frame(raw: DataFrame, holidays: str = "listed") -> DataFrame:
         # the region is derived from the state before blanks are filled
         dec.region_for("uf_infracao", FRAME).alias("regiao_infracao"),
         *pos,
-    ).filter(F.col("numero_auto").isNotNull() & F.col("data_infracao").isNotNull())
+        *_raw_row(keep_raw),
+    )
+    if valid_only:
+        typed = typed.filter(VALID)
     parts = cal.date_parts("data_infracao")
     return typed.select(
         *[F.col(c) for c in typed.columns],
         *[v.alias(k) for k, v in parts.items()],
         cal.is_holiday("data_infracao", holidays).alias("is_feriado"),
-    ).select(*PREPARED_COLUMNS, "is_feriado", *([POSITION] if pos else []))
+    ).select(*PREPARED_COLUMNS, "is_feriado", *([POSITION] if pos else []), *([RAW_ROW] if keep_raw else []))
 
 
 def normalize(raw: DataFrame, rules: str = SQL, holidays: str = "listed") -> DataFrame:
@@ -133,3 +147,12 @@ def normalize(raw: DataFrame, rules: str = SQL, holidays: str = "listed") -> Dat
     if rules == FRAME:
         return normalize_frame(raw, holidays)
     raise ValueError(f"rules must be 'sql' or 'frame', got {rules!r}")
+
+
+def typed(raw: DataFrame, rules: str = SQL, holidays: str = "listed", keep_raw: bool = False) -> DataFrame:
+    """The cleaning projection over all rows, also those that ``normalize`` drops; ``keep_raw`` adds the 25 raw columns as a struct."""
+    if rules == SQL:
+        return normalize_sql(raw, valid_only=False, keep_raw=keep_raw)
+    if rules == FRAME:
+        return normalize_frame(raw, holidays, valid_only=False, keep_raw=keep_raw)
+    raise ValueError(f"rules must be 'sql' or 'frame', got {rules!r}")

@@ -235,3 +235,20 @@ def star_from_tables(spark: SparkSession, paths: dict[str, str], rules: str = "s
     tables = {k: spark.read.parquet(p) for k, p in paths.items() if k in TABLES}
     found = {k: measured(tables[k]) for k in DIMENSIONS}
     return Star(rules=rules, rows={k: n for k, (n, _) in found.items()}, sizes={k: b for k, (_, b) in found.items()}, **tables)
+
+
+def write_bucketed_star(star: Star, target_dir: str, key: str = OFFENDER_SK, buckets: int = 64, prefix: str = "") -> Star:
+    """The star with its fact and the dimension of ``key`` written as catalog tables bucketed by it.
+
+    Joins of the two on ``key`` read matching buckets side by side: neither is shuffled, however large the dimension.
+    Choose the largest dimension's key and about (fact bytes / 200 MB) buckets.  The other dimensions stay as they are.
+    """
+    from starmart.sources.sinks import write_bucketed
+
+    spark, base = star.dim_tempo.sparkSession, target_dir.rstrip("/")
+    name = next(n for n, sk in DIMENSIONS.items() if sk == key)
+    tables = {n: star.table(n) for n in TABLES}
+    for n in (name, "fato_multa"):
+        write_bucketed(star.table(n), prefix + n, f"{base}/{n}", key, buckets)
+        tables[n] = spark.table(prefix + n)
+    return Star(**tables, rows=star.rows, sizes=star.sizes, rules=star.rules, prepared=star.prepared)

@@ -13,6 +13,7 @@ from starmart.plans.prepare import normalize
 from starmart.plans.reports import REPORTS
 from starmart.plans.star import Star, build_star, write_star
 from starmart.sources.csv import read_raw
+from starmart.sources.ingest import read_once
 from starmart.sources.sinks import write_table
 
 
@@ -28,8 +29,10 @@ def load_warehouse(
 ) -> Star:
     """Ingest the files, clean them under ``rules``, build the star and (optionally) write it under ``target_dir``."""
     # the frame rules number keys by first occurrence, so rows keep their file position
-    raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=multiline, with_position=(rules == "frame"),
-                   recursive=recursive)
+    if multiline:
+        raw = read_raw(spark, paths, sep=sep, with_source=False, multiline=True, with_position=(rules == "frame"), recursive=recursive)
+    else:
+        raw = read_once(spark, paths, sep=sep, with_source=False, with_position=(rules == "frame"), recursive=recursive)
     star = build_star(normalize(raw, rules, holidays), rules, holidays)
     if target_dir:
         write_star(star, target_dir)

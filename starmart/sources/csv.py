@@ -10,7 +10,8 @@
   grouped by their exact header line (the first non-blank line, as the CSV
   reader takes it) and each group is one scan; the groups are unioned by
   name.  Only per-file metadata (path, encoding, header) ever reaches the
-  driver; a header line longer than ``MAX_HEADER_CHARS`` is an error.
+  driver; a header line longer than ``MAX_HEADER_CHARS``, or one that names
+  none of the 25 columns, is an error.
 * **Quoting**: fields may be quoted with ``"``; a doubled quote inside is one
   quote and a backslash is an ordinary character.
 * **Malformed rows** (too many or too few fields) keep the fields that fit
@@ -26,12 +27,13 @@
 
 from __future__ import annotations
 
+import csv
 import re
 import unicodedata
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,30 +88,56 @@ class SniffedFile:
     valid_utf8: bool
     header_has_replacement: bool
     header_line: str
+    header_bytes: bytes = b""
 
     @property
     def encoding(self) -> str:
         return UTF8 if (self.valid_utf8 or self.header_has_replacement) else LATIN1
 
+    def header(self, sep: str) -> list[str]:
+        """Names in the header line, decoded with the file's encoding; the reader's own header is not used, which may be a blank line."""
+        text = self.header_bytes.decode("latin-1" if self.encoding == LATIN1 else "utf-8", errors="replace")
+        return next(csv.reader([text], delimiter=sep), [])
 
-def sniff_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> DataFrame:
-    """(file_path, valid_utf8, header_has_replacement, header_line) per file, computed on the executors.
 
-    ``recursive=True`` takes every file matching ``pattern`` under the given folders.
-    """
+def not_blank(line: str) -> Column:
+    """True for a line with any character above the space; tabs and other control characters alone make it blank."""
+    return F.col(line).rlike(r"[^\x00-\x20]")
+
+
+def column_places(header: list[str], path: str) -> dict[str, int]:
+    """Place of each known column in a header; the first of two that name the same column counts.  None known is an error."""
+    places: dict[str, int] = {}
+    for i, h in enumerate(header):
+        name = resolve_header(h)
+        if name and name not in places:
+            places[name] = i
+    if not places:
+        raise ValueError(f"no known column in the header of {path}: {header[:5]}")
+    return places
+
+
+def text_lines(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> DataFrame:
+    """(value, file_path, block_start) of every line; ``recursive=True`` takes every file matching ``pattern`` under the given folders."""
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    lines = reader.text(paths).select(
+    return reader.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
     )
+
+
+def sniff_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False, pattern: str = "*.csv") -> DataFrame:
+    """(file_path, valid_utf8, header_has_replacement, header_line) per file, computed on the executors."""
+    lines = text_lines(spark, paths, recursive, pattern)
     # the header is the first non-blank line; splits follow their start, and ids grow in line order inside a split
     place = F.struct("block_start", F.monotonically_increasing_id())
-    lines = lines.withColumn("__ord", F.when(F.trim("value") != "", place))
+    lines = lines.withColumn("__ord", F.when(not_blank("value"), place))
     cut = F.substring("value", 1, MAX_HEADER_CHARS + 1)  # never more than this of a line reaches the driver
     return lines.groupBy("file_path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("valid_utf8"),
         F.min_by(cut, "__ord").alias("header_line"),
+        F.min_by(cut.cast("binary"), "__ord").alias("header_bytes"),
     ).withColumn("header_has_replacement", F.col("header_line").contains(REPLACEMENT))
 
 
@@ -118,7 +146,7 @@ def _file_list(spark: SparkSession, paths: list[str] | str, recursive: bool = Fa
     long_ = [r["file_path"] for r in rows if len(r["header_line"] or "") > MAX_HEADER_CHARS]
     if long_:
         raise ValueError(f"header longer than {MAX_HEADER_CHARS} characters in {long_[:5]}")
-    return [SniffedFile(r["file_path"], bool(r["valid_utf8"]), bool(r["header_has_replacement"]), r["header_line"] or "") for r in rows]
+    return [SniffedFile(r["file_path"], bool(r["valid_utf8"]), bool(r["header_has_replacement"]), r["header_line"] or "", bytes(r["header_bytes"] or b"")) for r in rows]
 
 
 def read_raw(
@@ -147,11 +175,15 @@ def read_raw(
     large files without such fields.
     """
     files = _file_list(spark, paths, recursive, pattern)
-    groups: dict[tuple[str, str], list[str]] = defaultdict(list)
+    groups: dict[tuple[str, bytes], list[SniffedFile]] = defaultdict(list)
     for f in files:
-        groups[(f.encoding, f.header_line)].append(f.path)
+        if f.header_bytes:  # a file of blank lines has neither header nor rows
+            groups[(f.encoding, f.header_bytes)].append(f)
     out = None
-    for (enc, _header), group_paths in sorted(groups.items()):
+    for (enc, _header), group in sorted(groups.items(), key=lambda g: g[0]):
+        group_paths = sorted(f.path for f in group)
+        header = group[0].header(sep)
+        places = column_places(header, group_paths[0])
         reader = (
             spark.read.options(**QUOTING)
             .option("sep", sep)
@@ -164,17 +196,11 @@ def read_raw(
             .option("ignoreTrailingWhiteSpace", False)
             .option("multiLine", multiline)
         )
-        header = reader.csv(sorted(group_paths)[0]).columns  # every file of the group has this header line
-        fields = [T.StructField(c, T.StringType()) for c in header]
+        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
         if with_malformed:
             fields.append(T.StructField(MALFORMED, T.StringType()))
-        df = reader.schema(T.StructType(fields)).csv(sorted(group_paths))
-        mapping: dict[str, str] = {}
-        for c in header:
-            name = resolve_header(c)
-            if name and name not in mapping.values():
-                mapping[c] = name
-        cols = [F.coalesce(F.col("`" + src.replace("`", "``") + "`"), F.lit("")).alias(dst) for src, dst in mapping.items()]
+        df = reader.schema(T.StructType(fields)).csv(group_paths)
+        cols = [F.coalesce(F.col(f"c{i}"), F.lit("")).alias(name) for name, i in places.items()]
         if with_malformed:
             cols.append(F.col(MALFORMED))
         if with_source:
@@ -220,8 +246,7 @@ def first_file_columns(spark: SparkSession, paths: list[str] | str, sep: str = "
     files = sorted(_file_list(spark, paths), key=lambda f: f.path)
     if not files:
         return []
-    f = files[0]
-    return spark.read.options(**QUOTING).option("sep", sep).option("header", True).option("encoding", f.encoding).csv(f.path).columns
+    return files[0].header(sep)
 
 
 def write_csv_batches(df: DataFrame, path: str, headers: list[str], encoding: str = UTF8, sep: str = ";") -> None:

@@ -4,6 +4,8 @@
   ``mode='overwrite_partitions'`` replaces only the partitions present in the
   new data (an idempotent re-load of one year/month), the safe replacement
   for appending the same load twice.
+* ``write_with_totals``: a write that counts rows on the way (all, and per load).
+* ``write_bucketed``: a catalog table bucketed by a join key.
 * ``append_table``: plain append (a batch insert into the landing table).
 * ``create_raw_table``: the 25-text-column landing table, created if absent.
 * ``write_jdbc``: an external database sink with a batch size; it needs a
@@ -12,7 +14,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.schemas import RAW_COLUMNS
 
@@ -42,6 +45,23 @@ def write_table(
         w.saveAsTable(table)
 
 
+def write_with_totals(df: DataFrame, path: str, by: Column | None = None, values: list | None = None, mode: str = "overwrite", partition_by: list[str] | None = None) -> dict:
+    """Write ``df`` and count its rows in the same pass (G18): all of them under the key ``None``, and those of each of ``values`` of ``by``.
+
+    ``values`` are few and known beforehand (the years of the files to be loaded).
+    """
+    seen, wanted = Observation(), list(values or [])
+    counts = [F.count_if(by.eqNullSafe(F.lit(v))).alias(f"n{i}") for i, v in enumerate(wanted)]
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n"), *counts), path=path, mode=mode, partition_by=partition_by)
+    found = seen.get
+    return {None: int(found["n"]), **{v: int(found[f"n{i}"]) for i, v in enumerate(wanted)}}
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Write a catalog table (files under ``path``) bucketed and sorted by ``key``; tables with the same buckets join on it without a shuffle."""
+    df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def append_table(df: DataFrame, path: str | None = None, table: str | None = None, partition_by: list[str] | None = None) -> None:
     write_table(df, path=path, table=table, mode="append", partition_by=partition_by)
 
