@@ -1,14 +1,19 @@
 """Substring dedup: near-copies of paragraphs by MinHash banding, exact verification and components.
 
-A paragraph is a line that holds a word; its set of five-word shingles is hashed to 64 bits
-each, and a line under five words is one shingle, so it is like only lines of the same words.  Equal paragraphs collapse first (a grouped minimum), so copies cost one row.
-Bands are tuned for recall: of the splits within ``MOST_BANDS`` bands that find a pair at the
-threshold with ``RECALL`` or more, the one with the most rows a band, hence the fewest chance
-collisions.  Distinct paragraphs that collide in a band are verified by the exact Jaccard of
-their shingle sets: each against the smallest of its bucket, and those not similar to it
-against all of the bucket.  The ones similar to the smallest are linked through it, so a bucket
-of near copies costs a row each, not a row per pair.  Connected components of the verified
-links decide: the first paragraph of a component stays, the others are removed.
+A paragraph is a run of consecutive lines: lines are taken together until they hold ``MIN_WORDS`` words, and what is
+left at the end of a text joins the paragraph before.  So every word of every text takes part, and a short common line
+is no paragraph of its own.  Its set of five-word shingles is hashed to 64 bits each (fewer words: one shingle of them
+all).  Equal paragraphs collapse first (a grouped minimum), so copies cost one row.
+
+Bands are tuned for recall: of the splits within ``MOST_BANDS`` bands that find a pair at the threshold with ``RECALL``
+or more, the one with the most rows a band, hence the fewest chance collisions.  Paragraphs that collide in a band are
+verified by the exact Jaccard of their shingle sets, each against the smallest of its bucket, through which the similar
+ones are linked: a bucket of near copies costs a row each, not a row per pair.  Paragraphs of buckets that also hold
+unlike ones are bucketed again by the rarest shingles of each (the prefix filter, exact at the threshold), so that
+paragraphs which share a template but nothing rare part company.  There, leader by leader, clusters are linked; as the
+Jaccard distance is a metric, what is too far from a leader, or from the ring in which a member stands, is never
+compared.  Connected components of the verified links decide: the first paragraph of a component stays, the others are
+removed.
 """
 
 from __future__ import annotations
@@ -26,12 +31,15 @@ from starmart.operators.joins import maybe_broadcast
 
 SHINGLE_WORDS = 5  # fixed value of the contract
 SIMILARITY = 0.8  # fixed value of the contract
-MIN_WORDS = 1  # every line that holds a word takes part
+MIN_WORDS = 20  # lines are taken together until they hold so many words
 RECALL = 0.999
 MOST_BANDS = 12
-LEADERS = 3  # rounds of clustering before the paragraphs left over are compared with each other
+PAIRS_PER_ROW = 4  # pairs left over that are compared directly, per paragraph of the crowded buckets; more: another leader
+MOST_LEADERS = 10_000  # reaching it is an error, not a result
+CLOSE = 1e-9
 BLOCK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # null doc_ids come last
+KEY = ["id", "th", "size"]  # of a row: its id, all 64 bits of its text's hash, and its length
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -46,48 +54,75 @@ def tune(similarity: float = SIMILARITY, recall: float = RECALL, most_bands: int
     return most_bands, 1
 
 
-def paragraphs(b: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one text: numbers of its lines with min_words words or more, first shingle of each, shingle counts, all shingle hashes."""
-    low = _LOWER[b]
-    starts, ends, _ = word_spans(low, np.array([0, len(b)]))
+def fill(n_words: list[int], min_words: int) -> list[int]:
+    """Numbers of the lines with which paragraphs begin, for the words of each line; what is left over joins the last one."""
+    begins, held = [], min_words
+    for line, n in enumerate(n_words):
+        if held >= min_words and n:
+            begins.append(line)
+            held = 0
+        held += n
+    if len(begins) > 1 and held < min_words:
+        begins.pop()
+    return begins
+
+
+def _words_by_line(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends, _ = word_spans(b, np.array([0, len(b)]))
     breaks = np.flatnonzero(b == 10)
-    line = np.searchsorted(breaks, starts)
-    n_words = np.bincount(line, minlength=len(breaks) + 1)
-    keep = np.flatnonzero(n_words >= max(1, min_words))
-    if not len(keep):
-        none = np.zeros(0, np.int64)
-        return keep, none, none, none.view(np.uint64)
+    return starts, ends, np.bincount(np.searchsorted(breaks, starts), minlength=len(breaks) + 1)
+
+
+def paragraphs(b: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one text: first line and number of lines of each paragraph, its first shingle, shingle counts, all shingle hashes.
+
+    A paragraph ends with its last line that holds a word.
+    """
+    low = _LOWER[b]
+    starts, ends, by_line = _words_by_line(low)
+    begins = np.array(fill(by_line.tolist(), max(1, min_words)), np.int64)
+    if not len(begins):
+        return begins, begins, begins, begins, begins.view(np.uint64)
+    worded = np.flatnonzero(by_line)
+    last = worded[np.searchsorted(worded, np.append(begins[1:], len(by_line))) - 1]
+    n_words = np.add.reduceat(by_line, begins)
     words = span_hashes(low, starts, ends)
     n = len(words)
-    first = np.concatenate([[0], np.cumsum(n_words)])[:-1]
-    count = np.maximum(n_words[keep] - SHINGLE_WORDS + 1, 1)
-    width = np.minimum(n_words[keep], SHINGLE_WORDS)
-    at = np.repeat(first[keep] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    first = np.cumsum(n_words) - n_words
+    count = np.maximum(n_words - SHINGLE_WORDS + 1, 1)
+    width = np.minimum(n_words, SHINGLE_WORDS)
+    at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     with np.errstate(over="ignore"):
         prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers(_BASE, n))])
         grams = mix64((prefix[at + np.repeat(width, count)] - prefix[at]) * powers(_BASE_INV, n + 1)[at], 31)
-    return keep, np.cumsum(count) - count, count, grams
+    return begins, last - begins + 1, np.cumsum(count) - count, count, grams
 
 
-def _line_parts(text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of its first line, bytes) of parts of about a block, cut between lines."""
-    done, line = 0, 0
+def _parts(text: np.ndarray, min_words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of its first line, bytes) of parts of about a block, cut between paragraphs."""
+    done, line, size = 0, 0, BLOCK_BYTES
     while True:
-        rest = text[done + BLOCK_BYTES:]
-        cut = np.flatnonzero(rest[: 8 * BLOCK_BYTES] == 10) if len(rest) else rest
-        if not len(cut):
-            cut = np.flatnonzero(rest == 10) if len(rest) else rest
-        if not len(cut):
+        stop = done + size
+        while stop < len(text) and not (text[stop:stop + BLOCK_BYTES] == 10).any():
+            stop += BLOCK_BYTES
+        if stop >= len(text):
             yield line, text[done:]
             return
-        stop = done + BLOCK_BYTES + int(cut[0])
-        yield line, text[done:stop]
-        line += int((text[done:stop + 1] == 10).sum())
-        done = stop + 1
+        stop += int(np.flatnonzero(text[stop:stop + BLOCK_BYTES] == 10)[0])
+        part = text[done:stop]
+        begins = fill(_words_by_line(part)[2].tolist(), max(1, min_words))
+        if len(begins) < 3:
+            size *= 2
+            continue
+        # the last paragraph may go on in the next part, and a rest at the end joins the one before it
+        breaks = np.flatnonzero(part == 10)
+        cut = int(breaks[begins[-2] - 1])
+        yield line, part[:cut]
+        done, line, size = done + cut + 1, line + begins[-2], BLOCK_BYTES
 
 
-_PLACE_DDL = "pid long, id long, th int, idx int, bands array<bigint>"
-_PLACE = pa.schema([("pid", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("idx", pa.int32()), ("bands", pa.list_(pa.int64()))])
+_PLACE_DDL = "pid long, id long, th long, size long, idx int, lines int, bands array<bigint>"
+_PLACE = pa.schema([("pid", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("size", pa.int64()), ("idx", pa.int32()), ("lines", pa.int32()), ("bands", pa.list_(pa.int64()))])
 
 
 def _places(min_words: int, bands: int, rows: int):
@@ -95,13 +130,13 @@ def _places(min_words: int, bands: int, rows: int):
         for block in blocks(batches, "text", BLOCK_BYTES):
             col = block.column("text")
             offs, data = offsets(col), data_bytes(col)
-            ids, ths = block.column("id").to_pylist(), block.column("th").to_pylist()
-            idx, doc, start, grams, seen = [], [], [], [], 0
+            idx, lines, doc, start, grams, seen = [], [], [], [], [], 0
             for d in range(block.num_rows):
-                for line, part in _line_parts(data[offs[d]:offs[d + 1]]):
-                    keep, first, _, found = paragraphs(part, min_words)
-                    idx.append(keep + line)
-                    doc.append(np.full(len(keep), d))
+                for line, part in _parts(data[offs[d]:offs[d + 1]], min_words):
+                    begins, n_lines, first, _, found = paragraphs(part, min_words)
+                    idx.append(begins + line)
+                    lines.append(n_lines)
+                    doc.append(np.full(len(begins), d))
                     start.append(first + seen)
                     grams.append(found)
                     seen += len(found)
@@ -120,8 +155,8 @@ def _places(min_words: int, bands: int, rows: int):
                     keys[:, k] = key
             doc = np.concatenate(doc)
             listed = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * bands, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(pid.view(np.int64)), pa.array([ids[d] for d in doc.tolist()], pa.int64()), pa.array([ths[d] for d in doc.tolist()], pa.int32()),
-                                              pa.array(np.concatenate(idx).astype(np.int32)), listed], schema=_PLACE)
+            held = [block.column(c).take(pa.array(doc)) for c in ("id", "th", "size")]
+            yield pa.RecordBatch.from_arrays([pa.array(pid.view(np.int64)), *held, pa.array(np.concatenate(idx).astype(np.int32)), pa.array(np.concatenate(lines).astype(np.int32)), listed], schema=_PLACE)
 
     return run
 
@@ -156,9 +191,9 @@ def _sets(min_words: int):
             pids, sets = [], []
             for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
                 by_line = {w["idx"]: w["pid"] for w in wanted}
-                for line, part in _line_parts(np.frombuffer(text.as_py().encode("utf-8"), np.uint8)):
-                    keep, first, count, grams = paragraphs(part, min_words)
-                    for k, s, n in zip(keep.tolist(), first.tolist(), count.tolist(), strict=True):
+                for line, part in _parts(np.frombuffer(text.as_py().encode("utf-8"), np.uint8), min_words):
+                    begins, _, first, count, grams = paragraphs(part, min_words)
+                    for k, s, n in zip(begins.tolist(), first.tolist(), count.tolist(), strict=True):
                         if k + line in by_line:
                             pids.append(by_line[k + line])
                             sets.append(np.unique(grams[s:s + n]).view(np.int64))
@@ -168,9 +203,77 @@ def _sets(min_words: int):
     return run
 
 
-def _similar(a: Column, b: Column, similarity: float) -> Column:
+def _similarity(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b))
-    return both >= similarity * (F.size(a) + F.size(b) - both)
+    return both / (F.size(a) + F.size(b) - both)
+
+
+def _members(keys: DataFrame, name: str) -> DataFrame:
+    """(band, pid, leader) of the buckets of ``keys`` (band, pid) that hold two paragraphs or more."""
+    members = keys.repartition("band").sortWithinPartitions("band", "pid").mapInArrow(_buckets, "band long, pid long, leader long")
+    return staged(members, name)
+
+
+def _tested(members: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """(pid, leader, sim) of every member that is not its bucket's leader, each pair once."""
+    mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
+    pairs = members.where("pid != leader").select("pid", "leader").distinct().join(mine, "pid").join(theirs, "leader")
+    return staged(pairs.select("pid", "leader", _similarity(F.col("x"), F.col("y")).alias("sim")), name)
+
+
+def _links(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("pid").alias("a"), F.col("leader").alias("b"))
+
+
+def rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
+    """(band, pid): the rarest shingles of each paragraph of ``sets`` (pid, shingles), as many as the prefix filter needs.
+
+    Of two sets with the similarity, either's n - ceil(similarity * n) + 1 first shingles in a common order (here by
+    rarity among these paragraphs) hold a shingle of the other's.  A shingle of one paragraph alone takes its place in
+    that order but makes no bucket.
+    """
+    rows = sets.select("pid", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    shared = rows.join(often, "shingle").groupBy("pid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
+    first = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - CLOSE).cast("int") + 1
+    left = F.greatest(first - (F.col("n") - F.size("shared")), F.lit(0))  # after the shingles that only this paragraph has
+    return shared.select("pid", F.explode(F.slice("shared", F.lit(1), left)).alias("rare")).select(F.col("rare.shingle").alias("band"), "pid")
+
+
+def _crowded_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Links among the paragraphs of ``sets`` that join every pair with the similarity."""
+    members = _members(rare_keys(sets, similarity), "para-rare")
+    tested = _tested(members, sets, "para-rare-tested")
+    links = _links(tested.where(F.col("sim") >= similarity))
+    unlike = members.join(tested.where(F.col("sim") < similarity), ["pid", "leader"], "left_semi").select("band").distinct()
+    mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
+    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"]).join(mine, "pid")
+    rows = staged(rows.select("band", "pid", "leader", "x", "sim"), "para-crowded")
+    allowed = PAIRS_PER_ROW * max(1000, rows.count())
+    reach = 1 - similarity
+    for _ in range(MOST_LEADERS):
+        near, far = rows.where(F.col("sim") >= similarity), rows.where(F.col("sim") < similarity)
+        near = near.select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y"), F.col("sim").alias("near"))
+        # one link to a cluster joins the whole cluster: a semi join, never a row per pair; only what the triangle allows
+        same = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & (F.col("near") <= F.col("sim") + reach + CLOSE)
+        to = far.where(F.col("sim") >= 1 - 2 * reach - CLOSE).join(near, same & (_similarity(F.col("x"), F.col("y")) >= similarity), "left_semi")
+        links = links.unionByName(_links(to))
+        sizes = far.groupBy("band").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        pairs = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        if pairs <= allowed:
+            break
+        heads = far.groupBy("band").agg(F.min("pid").alias("leader"))
+        rows = far.select("band", "pid", "x").join(heads, "band").where("pid != leader").join(theirs, "leader")
+        rows = staged(rows.select("band", "pid", "leader", "x", _similarity(F.col("x"), F.col("y")).alias("sim")), "para-crowded")
+        links = links.unionByName(_links(rows.where(F.col("sim") >= similarity)))
+    else:
+        raise RuntimeError("clusters did not settle")
+    if not pairs:
+        return links
+    left, right = far.select("band", F.col("pid").alias("a"), "x", "sim"), far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"), F.col("sim").alias("other"))
+    ring = (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & (F.abs(F.col("sim") - F.col("other")) <= reach + CLOSE)
+    rest = left.join(right, ring & (_similarity(F.col("x"), F.col("y")) >= similarity))
+    return links.unionByName(rest.select("a", "b"))
 
 
 def similar_links(bands: DataFrame, sets_of, similarity: float = SIMILARITY) -> DataFrame:
@@ -179,35 +282,15 @@ def similar_links(bands: DataFrame, sets_of, similarity: float = SIMILARITY) ->
     ``bands``: (pid, bands); ``sets_of(pids)`` gives (pid, shingles) for a table of pids.  Every pair
     that shares a band and has the similarity is connected by the links.
     """
-    keys = bands.select(F.explode("bands").alias("band"), "pid")
-    members = keys.repartition("band").sortWithinPartitions("band", "pid").mapInArrow(_buckets, "band long, pid long, leader long")
-    members = staged(members, "para-members")
+    members = _members(bands.select(F.explode("bands").alias("band"), "pid"), "para-members")
     sets = sets_of(members.select("pid").distinct())
-    mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
-    pairs = members.where("pid != leader").select("pid", "leader").distinct().join(mine, "pid").join(theirs, "leader")
-    tested = staged(pairs.select("pid", "leader", _similar(F.col("x"), F.col("y"), similarity).alias("ok")), "para-tested")
-    links = tested.where("ok").select(F.col("pid").alias("a"), F.col("leader").alias("b"))
-
-    # buckets that hold a paragraph unlike their smallest one: absorb clusters leader by leader
-    unlike = members.where("pid != leader").join(tested.where("not ok").select("pid", "leader"), ["pid", "leader"], "left_semi").select("band").distinct()
-    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"], "left").join(mine, "pid")
-    rows = staged(rows.select("band", "pid", "leader", "x", F.coalesce("ok", F.lit(True)).alias("ok")), "para-crowded")
-    in_cluster = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & _similar(F.col("x"), F.col("y"), similarity)
-    for _ in range(LEADERS):
-        near, far = rows.where("ok").select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y")), rows.where("not ok")
-        # one link to a cluster joins the whole cluster: a semi join, never a row per pair
-        to = far.join(near, in_cluster, "left_semi")
-        links = links.unionByName(to.select(F.col("pid").alias("a"), F.col("leader").alias("b")))
-        heads = far.groupBy("band").agg(F.min("pid").alias("leader"))
-        next_ = far.select("band", "pid", "x").join(heads, "band").join(theirs, "leader")
-        rows = staged(next_.select("band", "pid", "leader", "x", _similar(F.col("x"), F.col("y"), similarity).alias("ok")), "para-crowded")
-        links = links.unionByName(rows.where("ok and pid != leader").select(F.col("pid").alias("a"), F.col("leader").alias("b")))
-    near, far = rows.where("ok").select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y")), rows.where("not ok")
-    to = far.join(near, in_cluster, "left_semi")
-    links = links.unionByName(to.select(F.col("pid").alias("a"), F.col("leader").alias("b")))
-    left, right = far.select("band", F.col("pid").alias("a"), "x"), far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"))
-    rest = left.join(right, (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & _similar(F.col("x"), F.col("y"), similarity))
-    return links.unionByName(rest.select("a", "b"))
+    tested = _tested(members, sets, "para-tested")
+    links = _links(tested.where(F.col("sim") >= similarity))
+    # buckets that also hold a paragraph unlike their smallest one
+    unlike = members.join(tested.where(F.col("sim") < similarity), ["pid", "leader"], "left_semi").select("band").distinct()
+    crowded = members.join(unlike, "band", "left_semi").select("pid").distinct()
+    crowded = staged(sets.join(crowded, "pid", "left_semi"), "para-crowded-sets")
+    return links if crowded.isEmpty() else links.unionByName(_crowded_links(crowded, similarity))
 
 
 def _cutter(min_words: int):
@@ -216,7 +299,7 @@ def _cutter(min_words: int):
             total, cut, kept, listed = [], [], [], []
             for text, gone in zip(block.column("text").to_pylist(), block.column("gone").to_pylist(), strict=True):
                 lines = text.split("\n")
-                drop = set(gone or ())
+                drop = {g["idx"] + i for g in gone or () for i in range(g["lines"])}
                 total.append(len(lines))
                 cut.append(len(drop))
                 kept.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
@@ -230,27 +313,29 @@ def _cutter(min_words: int):
 def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, removed_lines (numbers from 0), kept_text.
 
-    Lines of ``min_words`` words or more whose five-word shingle sets (ASCII letters lower-cased)
-    are similar, directly or through others, form a group; its first line by (doc_id, line number)
-    stays.  Rows that repeat a doc_id are ordered by a hash of their text, and wholly equal rows
-    keep or lose the same lines.  Null doc_ids come last; null texts are empty; empty tables give
-    no rows; other columns are not read.
+    A paragraph is a run of lines with ``min_words`` words or more, from its first line that holds a word to its last;
+    lines are taken in order, and a rest at the end of a text joins the paragraph before (a text with fewer words is
+    one paragraph).  Paragraphs whose five-word shingle sets (ASCII letters lower-cased) are similar, directly or
+    through others, form a group; its first paragraph by (doc_id, line number) stays, the lines of the others go.
+    Rows that repeat a doc_id are ordered by a hash of their text, and wholly equal rows keep or lose the same lines.
+    Null doc_ids come last; null texts and texts without a word have no paragraph; empty tables give no rows; other
+    columns are not read.
     """
     text_batches(docs.sparkSession)
     bands, rows = tune(similarity, recall)
     text = text_or_empty()
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.shiftright(F.xxhash64(text), 32).cast("int").alias("th"), text.alias("text"))
-    plain = base.select("id", "th", "text")
+                       F.xxhash64(text).alias("th"), F.octet_length(text).cast("long").alias("size"), text.alias("text"))
+    plain = base.select(*KEY, "text")
     places = staged(plain.mapInArrow(_places(min_words, bands, rows), _PLACE_DDL), "para-places")
-    at = F.struct("id", "idx", "th")
+    at = F.struct("id", "idx", "th", "size")
     distinct = staged(places.groupBy("pid").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")), "para-distinct")
 
     def sets_of(pids: DataFrame) -> DataFrame:
-        wanted = distinct.join(pids, "pid", "left_semi").groupBy("first.id", "first.th").agg(F.collect_list(F.struct("pid", F.col("first.idx").alias("idx"))).alias("wanted"))
+        wanted = distinct.join(pids, "pid", "left_semi").groupBy("first.id", "first.th", "first.size").agg(F.collect_list(F.struct("pid", F.col("first.idx").alias("idx"))).alias("wanted"))
         wanted = staged(wanted, "para-wanted")
         n, parts = wanted.agg(F.count(F.lit(1)), F.sum(F.size("wanted"))).first()
-        found = plain.join(maybe_broadcast(wanted, n, 64 * n + 32 * (parts or 0)), ["id", "th"]).mapInArrow(_sets(min_words), "pid long, shingles array<bigint>")
+        found = plain.join(maybe_broadcast(wanted, n, 64 * n + 32 * (parts or 0)), KEY).mapInArrow(_sets(min_words), "pid long, shingles array<bigint>")
         return staged(found.groupBy("pid").agg(F.first("shingles").alias("shingles")), "para-sets")
 
     linked = components(similar_links(distinct.select("pid", "bands"), sets_of, similarity), "a", "b")
@@ -258,7 +343,7 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: fl
     stays = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("places"))
     keep = rooted.select("pid", "root").join(stays.where("places > 1"), "root").select("pid", "stays")
     gone = places.drop("bands").join(keep, "pid").where(at > F.col("stays"))
-    per_doc = staged(gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("idx")).alias("gone")), "para-gone")
+    per_doc = staged(gone.groupBy(*KEY).agg(F.collect_set(F.struct("idx", "lines")).alias("gone")), "para-gone")
     n, parts = per_doc.agg(F.count(F.lit(1)), F.sum(F.size("gone"))).first()
-    out = base.join(maybe_broadcast(per_doc, n, 64 * n + 8 * (parts or 0)), ["id", "th"], "left").select("doc_id", "text", "gone")
+    out = base.join(maybe_broadcast(per_doc, n, 64 * n + 16 * (parts or 0)), KEY, "left").select("doc_id", "text", "gone")
     return out.mapInArrow(_cutter(min_words), "doc_id long, n_lines long, n_removed long, removed_lines array<int>, kept_text string")

@@ -14,14 +14,30 @@ def shingles(line):
     return words, {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
 
 
+def runs(text, min_words):
+    """Lists of consecutive line numbers: lines until they hold the words, the rest to the last; no blank lines at the ends."""
+    worded = [k for k, line in enumerate(text.split("\n")) if shingles(line)[0]]
+    lines, out, held = text.split("\n"), [], min_words
+    for k in worded:
+        if held >= min_words:
+            out.append([])
+            held = 0
+        out[-1].append(k)
+        held += len(shingles(lines[k])[0])
+    if len(out) > 1 and held < min_words:
+        rest = out.pop()
+        out[-1] += rest
+    return [list(range(run[0], run[-1] + 1)) for run in out]
+
+
 def brute(rows, min_words):
     """By row: removed line numbers, comparing every two paragraphs."""
     found = []
     for r, (i, t) in enumerate(rows):
-        for k, line in enumerate((t or "").split("\n")):
-            words, s = shingles(line)
-            if len(words) >= max(1, min_words):
-                found.append(((1 << 63) - 1 if i is None else i, k, r, s))
+        lines = (t or "").split("\n")
+        for run in runs(t or "", max(1, min_words)):
+            _, s = shingles(" ".join(lines[k] for k in run))
+            found.append(((1 << 63) - 1 if i is None else i, run[0], r, s, run))
     root = list(range(len(found)))
 
     def find(x):
@@ -40,7 +56,7 @@ def brute(rows, min_words):
     gone = {}
     for x, f in enumerate(found):
         if f[:2] > first[find(x)]:
-            gone.setdefault(f[2], set()).add(f[1])
+            gone.setdefault(f[2], set()).update(f[4])
     return [sorted(gone.get(r, ())) for r in range(len(rows))]
 
 
@@ -77,7 +93,7 @@ def test_short_lines_take_part(spark):
     rng = random.Random(5)
     seeds = [[f"w{rng.randint(0, 400)}" for _ in range(n)] for n in (1, 2, 4, 5, 6, 9, 12, 15, 17, 19)]
     rows = [(i, "\n".join([" ".join(s) for s in rng.sample(seeds, 3)] + [edited(rng, rng.choice(seeds[7:]), 1), f"own{i}", ""])) for i in range(60)]
-    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows)).collect()}
+    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows), min_words=1).collect()}
     want = brute(rows, 1)
     assert sum(map(len, want)) > 150
     assert [got[i].removed_lines for i, _ in rows] == want
@@ -91,18 +107,67 @@ def test_awkward_rows(spark):
     for r in got:
         by.setdefault(r.doc_id, []).append(r)
     assert by[1][0].n_removed == 0 and by[2][0].removed_lines == [0] and by[None][0].removed_lines == [0]
-    assert by[30][0].kept_text == "x\nend" and by[31][0].removed_lines == [0, 1] and by[31][0].kept_text == ""
+    assert by[30][0].removed_lines == [0, 1, 2] and by[31][0].removed_lines == [0, 1] and by[31][0].kept_text == ""
     assert by[3][0].n_lines == 1 and by[3][0].kept_text == ""
 
 
 def test_parts_of_long_texts(monkeypatch):
     monkeypatch.setattr(M, "BLOCK_BYTES", 30)
-    text = "\n".join(f"line {i} with words" for i in range(50)) + "\n\nlast"
-    b = np.frombuffer(text.encode(), np.uint8)
-    parts = list(M._line_parts(b))
-    assert "\n".join(bytes(p).decode() for _, p in parts) == text
-    for line, part in parts:
-        assert bytes(part).decode().split("\n")[0] == text.split("\n")[line]
+    rng = random.Random(3)
+    for text in ["\n".join(f"line {i} with words" for i in range(50)) + "\n\nlast", "\n" * 40, "", "w " * 200, "\n\n".join("a b c d" if rng.random() < 0.9 else "x " * 90 for _ in range(200)) + "\n\n"]:
+        for min_words in (1, 5, 20):
+            parts = list(M._parts(np.frombuffer(text.encode(), np.uint8), min_words))
+            assert "\n".join(bytes(p).decode() for _, p in parts) == text
+            got = [(line + b, n) for line, p in parts for b, n in zip(*(x.tolist() for x in M.paragraphs(p, min_words)[:2]), strict=True)]
+            assert got == [(run[0], len(run)) for run in runs(text, min_words)]
+
+
+def test_paragraphs_fill_up_with_lines(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"short one\n\n{passage}\nof."), (2, f"other text here\n{passage}\nof."), (3, "of."), (4, "one\ntwo\nthree"), (5, "of.\n\nof.")]
+    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows)).collect()}
+    assert [got[i].removed_lines for i in range(1, 6)] == brute(rows, 20) == [[], [0, 1, 2], [], [], []]
+
+
+def test_a_template_many_paragraphs_share(spark):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(36)]
+    own = lambda: [f"o{rng.randint(0, 10**9)}" for _ in range(12)]
+    lines = [common + own() for _ in range(250)]
+    lines += [x[:-1] + ["changed"] for x in lines[:40]]
+    rows = list(enumerate(" ".join(x) for x in lines))
+    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows)).collect()}
+    want = brute(rows, 20)
+    assert [got[i].removed_lines for i, _ in rows] == want and sum(map(len, want)) == 40
+
+
+def test_crowded_buckets_leader_by_leader(spark, monkeypatch):
+    monkeypatch.setattr(M, "PAIRS_PER_ROW", 0)
+    rng = random.Random(9)
+    seeds = [[f"w{rng.randint(0, 60)}" for _ in range(30)] for _ in range(3)]
+    rows = [(i, edited(rng, rng.choice(seeds), rng.choice([0, 1, 2, 3]))) for i in range(90)]
+    sets = spark.createDataFrame([(i, [hash(x) for x in sorted(shingles(t)[1])]) for i, t in rows], "pid long, shingles array<bigint>")
+    links = [tuple(r) for r in M._crowded_links(sets, 0.8).collect()]
+    size = {i: shingles(t)[1] for i, t in rows}
+    like = lambda a, b: len(size[a] & size[b]) >= 0.8 * len(size[a] | size[b])
+    root = list(range(90))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in links:
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in range(90) for b in range(a) if like(a, b))
+    true = list(range(90))
+    full = lambda x: x if true[x] == x else full(true[x])
+    for a in range(90):
+        for b in range(a):
+            if like(a, b):
+                true[full(a)] = full(b)
+    assert all(full(a) == full(b) for a, b in links)
+
+
+def test_many_rows_without_an_id(spark):
+    rows = [(None, f"{PROSE} in many rows here {i}") for i in range(400)] + [(None, "")] * 20
+    got = M.dedup_paragraphs(docs(spark, rows)).collect()
+    assert len(got) == 420 and sum(r.n_removed for r in got) == 399
 
 
 def test_buckets_across_batches():
