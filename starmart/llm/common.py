@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +104,7 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
 _BASE = 0x9E6C63D0876A9A4B | 1  # odd, so it has an inverse modulo 2**64
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
+POLYNOMIAL_BYTES = 128
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -119,8 +121,19 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 1 << 19) -> np.ndarray:
-    """64-bit hash of each byte span [start, end) of ``data``; spans in order of start, work in slices of about ``most`` bytes."""
+    """64-bit hash of each byte span [start, end) of ``data``; spans in order of start, work in slices of about ``most`` bytes.
+
+    Short spans take a polynomial of their bytes modulo 2**64, whatever its base blind to the difference of a
+    Thue-Morse word and its complement from about 1,024 bytes on; spans over ``POLYNOMIAL_BYTES`` take XXH3 instead.
+    """
     out = np.zeros(len(starts), np.uint64)
+    long = np.flatnonzero(ends - starts > POLYNOMIAL_BYTES)
+    if len(long):
+        short = np.flatnonzero(ends - starts <= POLYNOMIAL_BYTES)
+        out[short] = span_hashes(data, starts[short], ends[short], most)
+        view = memoryview(np.ascontiguousarray(data))
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(starts[long].tolist(), ends[long].tolist(), strict=True)), np.uint64, len(long))
+        return out
     values = mix64(np.arange(256, dtype=np.uint64), 7)
     i = 0
     while i < len(starts):

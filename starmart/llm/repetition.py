@@ -6,8 +6,7 @@ same text, and of lines equal to an earlier line, are measured against the whole
 text whose n-gram of m words repeats also repeats the shorter n-grams in it, so each longer
 length looks only at the places where the one before it repeated.
 
-Hashes are 64 bits wide: two different n-grams of one text are taken as equal with a chance of
-about 1e-16 per pair.
+Words and n-grams are compared by hashes of 64 bits, lines with equal hashes by their bytes.
 """
 
 from __future__ import annotations
@@ -49,14 +48,28 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _not_first(keys: np.ndarray) -> np.ndarray:
-    """Which keys occur earlier in the array."""
+def _first_place(keys: np.ndarray) -> np.ndarray:
+    """For each key the place where it occurs first."""
     order = np.argsort(keys, kind="stable")
-    out = np.zeros(len(keys), bool)
-    out[order[1:][keys[order[1:]] == keys[order[:-1]]]] = True
+    head = np.flatnonzero(np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])) if len(keys) else order
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(order[head], np.diff(np.append(head, len(keys))))
     return out
 
 
+def equal_to_earlier(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which lines [start, end) of ``b`` equal an earlier line of their document; ``keys``: hashes of line and document."""
+    first = _first_place(keys)
+    again = first != np.arange(len(keys))
+    line = lambda i: b[starts[i]:ends[i]].tobytes()
+    for d in {int(doc[i]) for i in np.flatnonzero(again) if line(i) != line(first[i])}:  # different lines of one hash
+        seen: set[bytes] = set()
+        for i in np.flatnonzero(doc == d):
+            again[i] = line(i) in seen
+            seen.add(line(i))
+    return again
+
+
 def repeated_ngrams(words: np.ndarray, doc: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
     """By n: which words lie in an n-gram that occurs twice or more in their document (first occurrences too)."""
     n_words = len(words)
@@ -106,8 +119,8 @@ def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
     words_before = np.searchsorted(starts - low, line_start)
     worded = np.searchsorted(starts - low, line_end) > words_before
     line_start, line_end, line_doc = line_start[worded], line_end[worded], line_doc[worded]
-    keys = span_hashes(data, line_start + low, line_end + low)
-    again = _not_first(mix64(keys ^ mix64(line_doc.astype(np.uint64), 5)))
+    keys = mix64(span_hashes(data, line_start + low, line_end + low) ^ mix64(line_doc.astype(np.uint64), 5))
+    again = equal_to_earlier(b, line_start, line_end, line_doc, keys)
     line_chars = points[line_end] - points[line_start]
     count = lambda w: np.bincount(line_doc, weights=w, minlength=n_docs)
     dup_lines, in_lines, in_dup = count(again).astype(np.int64), count(line_chars), count(line_chars * again)
