@@ -7,13 +7,16 @@ Spark then scores the bipartite graph of patterns and instances in rounds: a pat
 confidence for a kind is the summed score of the instances it holds, over all distinct
 instances it holds, damped by their number; an unseen instance whose shape suits the kind
 scores one minus the chance that all its patterns are wrong.  Instances above ``ACCEPT`` become
-seeds of the next round, and their occurrences are added to the spans of the base patterns.
+seeds of the next round, until a round finds no more, and their occurrences are added to the spans of the base patterns.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,13 +26,15 @@ from starmart.llm.common import blocks, staged, text_batches, text_or_empty
 from starmart.operators.joins import can_broadcast
 
 KINDS = ("email", "ip", "card", "phone")  # fixed value: the contract's order
-ROUNDS = 3
+MOST_ROUNDS = 200  # rounds go on until nothing new is accepted; reaching this is an error, not a result
 ACCEPT = 0.9  # score an unseen instance needs
 LEAST_SEEDS = 3.0  # summed instance score a pattern needs before it counts
 SMOOTH = 0.2  # doubt added to a pattern's instances
 LEAST_CONFIDENCE = 0.6  # a pattern below this says nothing
 BLOCK_BYTES = 8 << 20
-CONTEXT_CHARS = 60
+CONTEXT_CHARS = 60  # looked at first; more where the words are longer
+LONG = 200  # longer strings stand in the graph by their hash
+MOST_DIGITS = 19  # of any kind of identifier
 
 # The contract's patterns, with possessive repeats where they match the same.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -106,25 +111,68 @@ def other_identifiers(text: str, known: list[tuple[int, int, int]]) -> list[tupl
     if "@" in text or "(at)" in text or "[at]" in text:
         found += [(m.start(), m.end()) for m in _AT.finditer(text)]
     found.sort()
-    out, i, done = [], 0, 0
-    ends = sorted((s, e) for s, _, e in known)
+    out, done = [], 0
+    starts = sorted(s for s, _, _ in known)
+    furthest = list(accumulate((e for _, e in sorted((s, e) for s, _, e in known)), max))  # end of any of the first spans
     for s, e in found:
-        while i < len(ends) and ends[i][1] <= s:
-            i += 1
-        if s < done or any(a < e and s < b for a, b in ends[i:i + 8]):
+        before = bisect_left(starts, e)
+        if s < done or (before and furthest[before - 1] > s):
             continue
         while text[e - 1] in ".:/ -(" and e > s + 1:
             e -= 1
         done = e
-        out.append((s, shape(text[s:e]), e))
+        out += _parted(text, s, e)
     return out
 
 
+def _parted(text: str, start: int, end: int) -> list[tuple[int, int, int]]:
+    """A run as one candidate, or, if its shape is none, the identifiers in it that spaces part, and what is between them."""
+    whole = shape(text[start:end])
+    if whole >= 0 or " " not in text[start:end]:
+        return [(start, whole, end)]
+    tokens = [(start + m.start(), start + m.end()) for m in re.finditer("[^ ]+", text[start:end])]
+    out, rest, i = [], None, 0
+    while i < len(tokens):
+        best, n, j = None, 0, i
+        while j < len(tokens):
+            n += len(digits(text[tokens[j][0]:tokens[j][1]]))
+            if n > MOST_DIGITS:
+                break
+            if (kind := shape(text[tokens[i][0]:tokens[j][1]])) >= 0:
+                best = (tokens[i][0], kind, tokens[j][1], j + 1)
+            j += 1
+        if best is None:
+            rest = (rest[0] if rest else tokens[i][0], -1, tokens[i][1])
+            i += 1
+            continue
+        out += [rest] if rest else []
+        rest, i = None, best[3]
+        out.append(best[:3])
+    return out + ([rest] if rest else [])
+
+
+def _near_words(text: str, at: int, ahead: bool) -> list[str]:
+    """The two whole words after or before a place, however long they are."""
+    width = CONTEXT_CHARS
+    while True:
+        low, high = (at, min(len(text), at + width)) if ahead else (max(0, at - width), at)
+        words = [w for w in _SPLIT.split(text[low:high]) if w]
+        # the outermost word may go on beyond the part looked at
+        cut = high < len(text) if ahead else low > 0
+        if len(words) > 2 or not cut:
+            return words[:2] if ahead else words[-2:]
+        width *= 4
+
+
+def _short(text: str) -> str:
+    return text if len(text) <= LONG else hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def patterns(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns around a span; words lower-cased, outer punctuation off, digits as #."""
-    clean = lambda w: re.sub(r"[0-9]", "#", _EDGE.sub("", w.lower()))
-    before = [clean(w) for w in _SPLIT.split(text[max(0, start - CONTEXT_CHARS):start]) if w][-2:]
-    after = [clean(w) for w in _SPLIT.split(text[end:end + CONTEXT_CHARS]) if w][:2]
+    clean = lambda w: _short(re.sub(r"[0-9]", "#", _EDGE.sub("", w.lower())))
+    before = [clean(w) for w in _near_words(text, start, False)]
+    after = [clean(w) for w in _near_words(text, end, True)]
     out = []
     if len(before) == 2:
         out.append("<< " + " ".join(before))
@@ -224,17 +272,17 @@ def _masker(shared):
 
 
 def value(text: str, start: int, end: int) -> str:
-    """An instance of the graph: the string in lower case; long ones by their start and length."""
-    found = text[start:end].lower()
-    return found if len(found) <= 200 else f"{found[:200]}#{len(found)}"
+    """An instance of the graph: the string in lower case; long ones by their hash."""
+    return _short(text[start:end].lower())
 
 
-def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
+def discover(seen: DataFrame, rounds: int = MOST_ROUNDS, accept: float = ACCEPT) -> DataFrame:
     """Accepted unseen instances: (value, kind, score).
 
     ``seen``: one row per occurrence with kind, seed, value, patterns.  Every count is of distinct
     instances, so a copied passage adds nothing, and every step is a grouped sum with a map-side
-    combine.
+    combine.  Scores only grow from round to round, so the rounds end when one accepts no more instances than the one
+    before; ``rounds`` is their bound, and reaching it is an error.
     """
     edges = seen.select("value", "kind", "seed", F.explode(F.array_distinct("patterns")).alias("pattern"))
     edges = staged(edges.groupBy("value", "pattern").agg(F.max("seed").alias("seed"), F.max("kind").alias("kind")), "pii-edges")
@@ -242,7 +290,7 @@ def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> D
     seeds = known = staged(seeds, "pii-seeds")
     spread = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("held"))
     open_ = edges.where("not seed and kind >= 0").select("value", "kind", "pattern")
-    accepted = None
+    found = -1
     for _ in range(rounds):
         scored = edges.select("value", "pattern").join(known, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
         trust = scored.where(F.col("mass") >= LEAST_SEEDS).join(spread, "pattern").withColumn("confidence", F.col("mass") / (F.col("held") + SMOOTH))
@@ -250,8 +298,11 @@ def discover(seen: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> D
         wrong = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         new = open_.join(trust, ["pattern", "kind"]).groupBy("value", "kind").agg((1 - wrong).alias("score")).where(F.col("score") >= accept)
         accepted = staged(new, "pii-round")
+        before, found = found, accepted.count()
+        if found in (0, before):
+            return accepted
         known = seeds.unionByName(accepted.join(seeds, "value", "left_anti"))  # a score can be 1.0 too: every value once
-    return accepted
+    raise RuntimeError(f"still accepting new instances after {rounds} rounds")
 
 
 def _joined(spans: Column) -> Column:
@@ -274,7 +325,7 @@ def _accepted(docs: DataFrame, rounds: int, accept: float):
     return accepted, docs.sparkSession.sparkContext.broadcast({(r["value"], r["kind"]) for r in accepted.collect()})
 
 
-def find_pii(docs: DataFrame, carry: list[str] | None = None, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
+def find_pii(docs: DataFrame, carry: list[str] | None = None, rounds: int = MOST_ROUNDS, accept: float = ACCEPT) -> DataFrame:
     """Every row of ``docs`` with the columns ``carry`` (default: all) and: n_email, n_ip, n_card, n_phone, base_sha256, spans, pii_spans.
 
     The four counts and base_sha256 are of the base patterns; ``spans`` lists base and added spans
@@ -322,7 +373,7 @@ def _mask_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _replaced(_replaced(block, "pii_spans", {}), "text", {"text": pa.array(out, pa.string())})
 
 
-def redact(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> DataFrame:
+def redact(docs: DataFrame, rounds: int = MOST_ROUNDS, accept: float = ACCEPT) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by its kind in brackets; n_chars, where present, follows.
 
     Overlapping spans become one mask, named after the first.  Null texts stay null.

@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
-from starmart.llm.pii_bootstrap import KINDS, base_spans, discover, find_pii, luhn, redact
+import pytest
+
+from starmart.llm.pii_bootstrap import KINDS, base_spans, discover, find_pii, luhn, other_identifiers, patterns, redact, value
 from cases import AWKWARD, SCHEMA, docs
 
 PLAIN = {  # the contract's patterns as they stand
@@ -112,3 +114,42 @@ def test_many_accepted_strings_take_the_joined_path(spark):
         assert sorted(map(repr, redact(docs(spark, rows)).collect())) == masked
     finally:
         spark.conf.unset("starmart.broadcast.maxRows")
+
+
+def test_rounds_go_on_until_nothing_new_is_found(spark):
+    hops, many = 7, 6
+    name = lambda k, i: f"h{k}i{i}@x"  # noqa: E731  hop -1 are the seeds
+    held: dict = {name(k, i): set() for k in range(-1, hops) for i in range(many)}
+    for k in range(hops):  # each of a hop stands in three contexts of its own, which hold all of the hop before
+        for i in range(many):
+            for p in (f"p{k}.{i}.{r}" for r in range(3)):
+                for v in (name(k, i), *(name(k - 1, j) for j in range(many))):
+                    held[v].add(p)
+    rows = [(0, v.startswith("h-1"), v, sorted(p)) for v, p in held.items()]
+    seen = spark.createDataFrame(rows, "kind int, seed boolean, value string, patterns array<string>")
+    assert {r.value for r in discover(seen).collect()} == {v for v in held if not v.startswith("h-1")}
+    with pytest.raises(RuntimeError, match="rounds"):
+        discover(seen, rounds=4)
+
+
+def test_long_values_are_instances_of_their_own():
+    a, b = "x" * 201 + "@one", "x" * 201 + "@two"
+    assert value(a, 0, len(a)) != value(b, 0, len(b)) and value("A@b", 0, 3) == "a@b"
+
+
+def test_context_words_of_any_length():
+    long = "q" * 500
+    text = f"{long} {long}z 12-34 {long} word"
+    at = text.index("12-34")
+    assert patterns(text, at, at + 5) == patterns(f"{long} {long}z 12-34 {long} word and more", at, at + 5)
+    assert patterns(text, at, at + 5) != patterns(text.replace(f"{long}z", f"{long}y"), at, at + 5)
+    assert patterns("a b 1 c d", 4, 5) == ["<< a b", "<> b c", ">> c d"] and patterns("1", 0, 1) == []
+
+
+def test_identifiers_side_by_side_are_candidates_of_their_own():
+    shapes = lambda t: [(t[s:e], k) for s, k, e in other_identifiers(t, [])]
+    assert shapes("my phone number (456) 555-9999 2021 after") == [("(456) 555-9999", 3), ("2021", -1)]
+    assert shapes("pay 4111 1111 1111 1111 5500 0000 0000 0004 now") == [("4111 1111 1111 1111", 2), ("5500 0000 0000 0004", 2)]
+    assert shapes("rows 1 2 3") == [("1 2 3", -1)]
+    many = [(i * 2, 0, i * 2 + 1) for i in range(50)] + [(0, 0, 120)]
+    assert other_identifiers("@" * 100 + " 123-45 " + "x" * 30, many) == []
