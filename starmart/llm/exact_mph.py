@@ -158,9 +158,10 @@ def exact_dedup(docs: DataFrame, carry: list[str] | None = None, history_share:
     old = ~F.col("null_id") & (F.col("id") <= F.lit(pivot))
     keys = rows.select("digest", "null_id", "id", "row")
     history = staged(distinct_digests(keys.where(old)), "mph-history")
-    shards = max(1, -(-history.count() // shard_rows))
+    new = staged(distinct_digests(keys.where(~old)), "mph-new")
+    shards = max(1, -(-max(history.count(), new.count()) // shard_rows))  # neither side of a lookup grows beyond a shard
     index = staged(build_index(history, shards), "mph-index")
-    found = lookup(index, distinct_digests(keys.where(~old)), shards)
+    found = lookup(index, new, shards)
     both = history.withColumn("member", F.lit(True)).unionByName(found)
     groups = both.groupBy("digest").agg(F.min(F.struct("null_id", "id", "row")).alias("w"), F.sum("n").alias("group_size"), F.max("member").alias("from_history"))
     keep = F.when(~F.col("w.null_id"), F.col("w.id")).alias("keep_id")

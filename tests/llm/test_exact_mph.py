@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 
 from starmart.llm.exact_mph import build_mph, exact_dedup, mph_slots
+from starmart.llm import exact_mph as M
 from cases import AWKWARD, SCHEMA, docs
 
 
@@ -41,3 +42,14 @@ def test_empty_and_clashing_columns(spark):
     df = docs(spark, AWKWARD).selectExpr("*", "1 as digest", "2 as kept", "3 as row", "4 as n", "5 as id", "6 as w")
     out = exact_dedup(df)
     assert out.count() == len(AWKWARD) and dict(out.dtypes)["kept"] == "boolean" and dict(out.dtypes)["w"] == "int"
+
+
+def test_one_outlying_id_and_ids_that_are_all_null(spark, monkeypatch):
+    asked = []
+    build = M.build_index
+    monkeypatch.setattr(M, "build_index", lambda history, shards: asked.append(shards) or build(history, shards))
+    texts = [f"text {i % 300}" for i in range(900)]
+    for ids in ([-(10**9), *range(1, 900)], [None] * 900):
+        got = M.exact_dedup(docs(spark, list(zip(ids, texts, strict=True))), carry=["doc_id"], shard_rows=50).collect()
+        assert len(got) == 900 and sum(r.kept for r in got) == 300 and {r.group_size for r in got} == {3}
+    assert min(asked) >= 6
