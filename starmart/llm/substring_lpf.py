@@ -37,10 +37,10 @@ BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # null doc_ids come last
 
-_RUN_DDL = "g long, content long, id long, th int, at long"
-_RUN = pa.schema([("g", pa.int64()), ("content", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("at", pa.int64())])
-_FOUND_DDL = "g long, id long, th int, start long, n long, open boolean"
-_FOUND = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("n", pa.int64()), ("open", pa.bool_())])
+_RUN_DDL = "g long, content long, id long, th long, at long"
+_RUN = pa.schema([("g", pa.int64()), ("content", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("at", pa.int64())])
+_FOUND_DDL = "g long, id long, th long, start long, n long, open boolean"
+_FOUND = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("open", pa.bool_())])
 
 
 def window_runs(b: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +123,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting = None  # the newest open candidate: g, id, th, start, n, whether its anchor is known to be shared
 
     def emit(g, ids, th, start, n, open_):
-        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(ids, pa.int64()), pa.array(th, pa.int32()), pa.array(start, pa.int64()),
+        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(ids, pa.int64()), pa.array(th, pa.int64()), pa.array(start, pa.int64()),
                                            pa.array(n, pa.int64()), pa.array(np.full(len(g), open_))], schema=_FOUND)
 
     for batch in batches:
@@ -161,8 +161,8 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(*[[x] for x in waiting[:5]], True)
 
 
-_CONTENT_DDL = "g long, id long, th int, start long, content binary, w1 long, w2 long"
-_CONTENT = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("content", pa.binary()), ("w1", pa.int64()), ("w2", pa.int64())])
+_CONTENT_DDL = "g long, id long, th long, start long, content binary, w1 long, w2 long"
+_CONTENT = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("content", pa.binary()), ("w1", pa.int64()), ("w2", pa.int64())])
 
 
 def _fetch(length: int):
@@ -254,8 +254,8 @@ def longest_previous_factors(text: np.ndarray, starts: np.ndarray, place: np.nda
     return out
 
 
-_GONE_DDL = "id long, th int, start long, n long"
-_GONE = pa.schema([("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("n", pa.int64())])
+_GONE_DDL = "id long, th long, start long, n long"
+_GONE = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
 
 
 def _shard_factors(length: int):
@@ -354,7 +354,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         raise ValueError("8 <= gram <= length <= 250")
     text = text_or_empty()
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.shiftright(F.xxhash64(text), 32).cast("int").alias("th"), text.alias("text"))
+                       F.xxhash64(text).alias("th"), text.alias("text"))
     runs = base.select("id", "th", "text").mapInArrow(_run_rows(length, gram), _RUN_DDL)
     found = staged(runs.repartition("g").sortWithinPartitions("g", "content", "id", "at").mapInArrow(_sort_out, _FOUND_DDL), "lpf-found")
 
@@ -373,7 +373,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     copies = windows.join(first, ["w1", "w2"]).where(F.struct("id", "start") > F.col("first")).select("id", "th", "start", F.lit(1).cast("long").alias("n"))
     gone = found.where("not open").select("id", "th", "start", "n").unionByName(factors).unionByName(copies)
     part = F.struct("start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
-    merged = gone.groupBy("id", "th").agg(F.collect_list(part).alias("parts")).mapInArrow(_merged, "id long, th int, spans binary")
+    merged = gone.groupBy("id", "th").agg(F.collect_list(part).alias("parts")).mapInArrow(_merged, "id long, th long, spans binary")
     spans = staged(merged, "lpf-spans")
     rows, size = spans.agg(F.count(F.lit(1)), F.sum(F.length("spans"))).first()
     out = base.join(maybe_broadcast(spans, rows, 64 * rows + (size or 0)), ["id", "th"], "left").select("doc_id", "text", "spans")

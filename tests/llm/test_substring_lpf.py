@@ -108,3 +108,12 @@ def test_shards_are_cut_between_anchors(monkeypatch, spark):
 def test_empty_table_and_clashing_columns(spark):
     assert L.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
     assert L.remove_repeats(docs(spark, AWKWARD).selectExpr("*", "1 as id", "2 as th", "3 as spans", "4 as g")).count() == len(AWKWARD)
+
+
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(4)
+    rows = [(None, "".join(rng.choice("abcdefgh") for _ in range(rng.randint(100, 140)))) for _ in range(300)]
+    rows += [(None, f"{i:03d}" + rows[i][1] + "tail") for i in range(100)]  # each holds an earlier text, three places on
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans) for r in L.remove_repeats(docs(spark, rows)).collect())
+    want = sorted((n, gone, runs) for _, _, n, gone, runs, *_ in brute(rows, 100))
+    assert got == want and sum(g for _, g, _ in got) > 0
