@@ -38,7 +38,8 @@ from starmart.llm.common import text_batches, text_or_empty
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BLOCK_BYTES = 8 << 20
-MOST_SHARDS = 2048
+SHARD_BYTES = 64 << 20  # text whose distinct words go to one word shard
+MOST_KNOWN = 1 << 20  # words whose ids an encoder keeps at hand
 
 _ROW = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 _ROW_DDL = "key long, block long, doc_ids array<bigint>, payload binary"
@@ -137,6 +138,8 @@ def _word_encoder(path: str):
                     at += n
                     got = known.get(word)
                     if got is None:
+                        if len(known) >= MOST_KNOWN:
+                            known.clear()
                         got = known[word] = encode(word)
                     ids.append(got)
                 lengths = np.fromiter(map(len, ids), np.uint32, len(ids))
@@ -177,17 +180,21 @@ def _reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table([pa.array(rows[0]["doc_ids"], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(out, pa.binary())], schema=_OUT)
 
 
+def _text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
+
+
 def encode_documents(docs: DataFrame, path: str = RANKS, block_bytes: int = BLOCK_BYTES, shards: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
 
     Ids are those of the tiktoken library without special tokens.  Null and empty texts have no
     ids.  Repeated and null doc_ids are kept as they are; other columns are not read; an empty
-    table gives no rows.  ``shards`` (default: spark.sql.shuffle.partitions, 2048 at most) word
-    shards hold the distinct words.
+    table gives no rows.  ``shards`` word shards hold the distinct words (default:
+    spark.sql.shuffle.partitions, or one per 64 MB of text if that is more).
     """
     text_batches(docs.sparkSession)
     spark = docs.sparkSession
-    n = shards or min(MOST_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_text_bytes(docs) // SHARD_BYTES))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     split = plain.mapInArrow(_splitter(block_bytes, n), _ROW_DDL).repartition(n, "key")
     encoded = split.mapInArrow(_word_encoder(path), "key long, payload binary")

@@ -45,3 +45,12 @@ def test_empty_table_and_clashing_columns(spark):
     assert B.encode_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     df = docs(spark, AWKWARD).selectExpr("*", "1 as ids", "2 as key", "3 as payload", "4 as decoded")
     assert B.decode_documents(B.encode_documents(df)).count() == len(AWKWARD)
+
+
+def test_shards_follow_the_text(spark, monkeypatch, library):
+    monkeypatch.setattr(B, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(B, "MOST_KNOWN", 5)
+    rows = [(i, f"word{i} and {i * 7} more " * 20) for i in range(60)]
+    out = B.encode_documents(docs(spark, rows))
+    assert out.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in out.collect()} == {i: library.encode_ordinary(t) for i, t in rows}
