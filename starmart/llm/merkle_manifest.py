@@ -37,7 +37,7 @@ BLOCK_BITS = 15
 NULL_BLOCK = -(1 << 60)  # before every block of 64-bit ids
 SPARSE = 2048  # a block of fewer ids is sent as places (2 bytes each) instead of bits
 MERGED = 64  # bitmaps that meet in one task
-ROWS_AT_ONCE = 65_536  # rows of one block that are ranked in one task
+ROWS_AT_ONCE = 8_192  # rows of one block that are ranked in one task, about
 HELD_IDS = 1 << 21
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -221,33 +221,36 @@ _NODES = pa.schema([("up", pa.bool_()), ("tree", pa.string()), ("idx", pa.int64(
 NODES_SCHEMA = "up boolean, tree string, idx long, n long, doc_id long, leaf binary, other binary, left array<binary>, right array<binary>"
 
 
-def _reduce(key: tuple, table: pa.Table) -> pa.Table:
-    """Nodes of one key with the siblings left and right of them on each level, and the node they come to."""
-    tree, group = key[0].as_py(), key[1].as_py()
-    width = FANOUT**LEVELS
-    slot = table["idx"].to_numpy() - group * width
-    n = table["n"][0].as_py()
-    level: list[bytes] = [b""] * len(slot)
-    for s, digest in zip(slot.tolist(), table["leaf"].to_pylist(), strict=True):
-        level[s] = digest
-    before, after = [], []
-    while len(level) > 1 if n <= width else len(before) < LEVELS:
-        runs = [level[i:i + FANOUT] for i in range(0, len(level), FANOUT)]
-        before.append([b"".join(run[:i]) for run in runs for i in range(len(run))])
-        after.append([b"".join(run[i + 1:]) for run in runs for i in range(len(run))])
-        level = [node(run) for run in runs]
-    paths = [[[step[s // FANOUT**k] for k, step in enumerate(side)] for s in slot.tolist()] for side in (before, after)]
-    nodes = [pa.array([False] * len(slot)), *[table[c] for c in ("tree", "idx", "n", "doc_id", "leaf", "other")], *[pa.array(p, pa.list_(pa.binary())) for p in paths]]
-    top = [[True], [tree], [group], [-(-n // width)], [None], level, [None], [None], [None]]
-    return pa.concat_tables([pa.table(nodes, schema=_NODES), pa.table(top, schema=_NODES)])
-
-
-def reduce_levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
+def _reducer(levels: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Nodes of one key with the siblings left and right of them on each level, and the node they come to."""
+        tree, group = key[0].as_py(), key[1].as_py()
+        width = FANOUT**levels
+        slot = table["idx"].to_numpy() - group * width
+        n = table["n"][0].as_py()
+        level: list[bytes] = [b""] * len(slot)
+        for s, digest in zip(slot.tolist(), table["leaf"].to_pylist(), strict=True):
+            level[s] = digest
+        before, after = [], []
+        while len(level) > 1 if n <= width else len(before) < levels:
+            runs = [level[i:i + FANOUT] for i in range(0, len(level), FANOUT)]
+            before.append([b"".join(run[:i]) for run in runs for i in range(len(run))])
+            after.append([b"".join(run[i + 1:]) for run in runs for i in range(len(run))])
+            level = [node(run) for run in runs]
+        paths = [[[step[s // FANOUT**k] for k, step in enumerate(side)] for s in slot.tolist()] for side in (before, after)]
+        nodes = [pa.array([False] * len(slot)), *[table[c] for c in ("tree", "idx", "n", "doc_id", "leaf", "other")], *[pa.array(p, pa.list_(pa.binary())) for p in paths]]
+        top = [[True], [tree], [group], [-(-n // width)], [None], level, [None], [None], [None]]
+        return pa.concat_tables([pa.table(nodes, schema=_NODES), pa.table(top, schema=_NODES)])
+
+    return run
+
+
+def reduce_levels(nodes: DataFrame, most: int, levels: int = LEVELS) -> tuple[list[DataFrame], DataFrame]:
     """Path tables, from the leaves up, and (tree, root).  ``nodes``: tree, idx, n, doc_id, leaf, other; ``most``: the largest n."""
-    width, tables, roots = FANOUT**LEVELS, [], None
+    width, tables, roots = FANOUT**levels, [], None
     while True:
         group = F.floor(F.col("idx") / width).cast("long")
-        out = staged(nodes.groupBy("tree", group.alias("group")).applyInArrow(_reduce, NODES_SCHEMA), "merkle-level")
+        out = staged(nodes.groupBy("tree", group.alias("group")).applyInArrow(_reducer(levels), NODES_SCHEMA), "merkle-level")
         tables.append(out.where("not up").drop("up"))
         up = out.where("up").drop("up")
         done = up.where("n = 1").select("tree", F.col("leaf").alias("root"))
@@ -258,13 +261,13 @@ def reduce_levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFra
         nodes = up.where("n > 1").drop("left", "right")
 
 
-def with_paths(tables: list[DataFrame]) -> DataFrame:
+def with_paths(tables: list[DataFrame], levels: int = LEVELS) -> DataFrame:
     """The first table with left and right for all levels."""
     nodes = tables[0]
     for k, upper in enumerate(tables[1:], 1):
         n = upper.count()
         above = upper.select("tree", F.col("idx").alias("above"), F.col("left").alias("more_left"), F.col("right").alias("more_right"))
-        nodes = nodes.withColumn("above", F.floor(F.col("idx") / FANOUT ** (LEVELS * k)).cast("long")).join(maybe_broadcast(above, n, 1024 * n), ["tree", "above"], "left")
+        nodes = nodes.withColumn("above", F.floor(F.col("idx") / FANOUT ** (levels * k)).cast("long")).join(maybe_broadcast(above, n, 1024 * n), ["tree", "above"], "left")
         empty = F.array().cast("array<binary>")
         for side in ("left", "right"):
             nodes = nodes.withColumn(side, F.concat(side, F.coalesce(f"more_{side}", empty)))
@@ -281,15 +284,15 @@ def _fold(leaf: Column) -> Column:
     return F.aggregate(F.arrays_zip("left", "right"), _hex(leaf), lambda h, run: F.sha2(F.concat(_hex(run["left"]), h, _hex(run["right"])), 256))
 
 
-def merkle_manifest(docs: DataFrame, tampered: Column | None = None, seen: Column | None = None) -> DataFrame:
+def merkle_manifest(docs: DataFrame, tampered: Column | None = None, seen: Column | None = None, levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, leaf, subroot, root, proof_sha256, left, right, folded_root, verified.
 
     ``docs`` needs doc_id, source, lang, n_chars and text; other columns are not read.  ``tampered``: rows whose text
     is replaced by ``seen`` before it is verified (default: none); leaf, roots and proofs are those of ``docs``.
     ``left`` and ``right`` are the digests beside the path, level by level from the leaf.  Null fields are hashed as
     a dash, empty ones as ``0:``; leaves of null doc_ids come first, rows that share a source and doc_id follow each
-    other by leaf hash, the null source comes first.  An empty table gives no rows.  A task holds the nodes of 729
-    leaves, or one block's bitmap with 65,536 rows.
+    other by leaf hash, the null source comes first.  ``levels`` are reduced per shuffle.  An empty table gives no rows.  A task holds the nodes of 729
+    leaves, or one block's bitmap with about 8,192 rows.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in FIELDS[1:]], (tampered if tampered is not None else F.lit(False)).alias("__t"),
@@ -301,16 +304,16 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None, seen: Colum
                          _leaf(F.col("text")).alias("leaf"), other.alias("other"))
     placed = coordinates(staged(leaves, "merkle-leaves"))
     most = placed.agg(F.max("n")).first()[0] or 1
-    tables, subroots = reduce_levels(placed.drop("row"), most)
+    tables, subroots = reduce_levels(placed.drop("row"), most, levels)
     tops = assign_dense_keys(subroots, ["tree"], "idx", first=0)
     sources = F.lit(tops.rows).cast("long").alias("n")
     top = tops.df.select(F.lit("").alias("tree"), "idx", sources, F.lit(None).cast("long").alias("doc_id"), F.col("root").alias("leaf"), F.lit(None).cast("binary").alias("other"))
-    top_tables, roots = reduce_levels(top, tops.rows)
+    top_tables, roots = reduce_levels(top, tops.rows, levels)
     last = roots.first()  # one row, or none for an empty table
-    above = with_paths(top_tables).select("idx", F.col("left").alias("top_left"), F.col("right").alias("top_right"))
-    size = 96 + 64 * (FANOUT - 1) * LEVELS * len(top_tables)
+    above = with_paths(top_tables, levels).select("idx", F.col("left").alias("top_left"), F.col("right").alias("top_right"))
+    size = 96 + 64 * (FANOUT - 1) * levels * len(top_tables)
     above = tops.df.join(above, "idx").select("tree", F.col("root").alias("subroot"), "top_left", "top_right")
-    paths = with_paths(tables).join(maybe_broadcast(above, tops.rows, size * tops.rows), "tree")
+    paths = with_paths(tables, levels).join(maybe_broadcast(above, tops.rows, size * tops.rows), "tree")
     paths = paths.withColumn("left", F.concat("left", "top_left")).withColumn("right", F.concat("right", "top_right"))
     siblings = F.transform(F.arrays_zip("left", "right"), lambda run: F.concat(_hex(run["left"]), _hex(run["right"])))
     root = F.lit(last["root"].hex() if last else None).cast("string")
