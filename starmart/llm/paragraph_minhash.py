@@ -10,10 +10,11 @@ or more, the one with the most rows a band, hence the fewest chance collisions.
 verified by the exact Jaccard of their shingle sets, each against the smallest of its bucket, through which the similar
 ones are linked: a bucket of near copies costs a row each, not a row per pair.  Paragraphs of buckets that also hold
 unlike ones are bucketed again by the rarest shingles of each (the prefix filter, exact at the threshold), so that
-paragraphs which share a template but nothing rare part company.  There, leader by leader, clusters are linked; as the
-Jaccard distance is a metric, what is too far from a leader, or from the ring in which a member stands, is never
-compared.  Connected components of the verified links decide: the first paragraph of a component stays, the others are
-removed.
+paragraphs which share a template but nothing rare part company.  What is compared with the smallest of each bucket, old
+and new, connects nearly all of a group of near copies; only paragraphs of different components are compared further,
+leader by leader, and as the Jaccard distance is a metric, not where the one is too far from the leader, or from the
+ring in which the other stands.  Connected components of the verified links decide: the first paragraph of a component
+stays, the others are removed.
 """
 
 from __future__ import annotations
@@ -240,38 +241,45 @@ def rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
     return shared.select("pid", F.explode(F.slice("shared", F.lit(1), left)).alias("rare")).select(F.col("rare.shingle").alias("band"), "pid")
 
 
-def _crowded_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Links among the paragraphs of ``sets`` that join every pair with the similarity."""
+def _open_pairs(rows: DataFrame) -> float:
+    """Pairs of rows (band, comp) of one band and different components."""
+    sizes = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("band").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    return sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("own")) / 2).first()[0] or 0.0
+
+
+def _crowded_links(sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame:
+    """Links among the paragraphs of ``sets`` that, with the ``known`` ones (a, b), join every pair with the similarity."""
     members = _members(rare_keys(sets, similarity), "para-rare")
     tested = _tested(members, sets, "para-rare-tested")
     links = _links(tested.where(F.col("sim") >= similarity))
     unlike = members.join(tested.where(F.col("sim") < similarity), ["pid", "leader"], "left_semi").select("band").distinct()
+    found = components(links if known is None else links.unionByName(known), "a", "b")
     mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
-    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"]).join(mine, "pid")
-    rows = staged(rows.select("band", "pid", "leader", "x", "sim"), "para-crowded")
+    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"]).join(found.withColumnRenamed("node", "pid"), "pid", "left").join(mine, "pid")
+    rows = staged(rows.select("band", "pid", "leader", "x", "sim", F.coalesce("root", "pid").alias("comp")), "para-crowded")
     allowed = PAIRS_PER_ROW * max(1000, rows.count())
     reach = 1 - similarity
     for _ in range(MOST_LEADERS):
         near, far = rows.where(F.col("sim") >= similarity), rows.where(F.col("sim") < similarity)
-        near = near.select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y"), F.col("sim").alias("near"))
-        # one link to a cluster joins the whole cluster: a semi join, never a row per pair; only what the triangle allows
-        same = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & (F.col("near") <= F.col("sim") + reach + CLOSE)
+        near = near.select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y"), F.col("sim").alias("near"), F.col("comp").alias("with"))
+        # one link to a cluster joins the whole cluster: a semi join, never a row per pair; only what is not joined yet and the triangle allows
+        same = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & (F.col("comp") != F.col("with")) & (F.col("near") <= F.col("sim") + reach + CLOSE)
         to = far.where(F.col("sim") >= 1 - 2 * reach - CLOSE).join(near, same & (_similarity(F.col("x"), F.col("y")) >= similarity), "left_semi")
         links = links.unionByName(_links(to))
-        sizes = far.groupBy("band").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        pairs = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        pairs = _open_pairs(far)
         if pairs <= allowed:
             break
         heads = far.groupBy("band").agg(F.min("pid").alias("leader"))
-        rows = far.select("band", "pid", "x").join(heads, "band").where("pid != leader").join(theirs, "leader")
-        rows = staged(rows.select("band", "pid", "leader", "x", _similarity(F.col("x"), F.col("y")).alias("sim")), "para-crowded")
+        rows = far.select("band", "pid", "x", "comp").join(heads, "band").where("pid != leader").join(theirs, "leader")
+        rows = staged(rows.select("band", "pid", "leader", "x", _similarity(F.col("x"), F.col("y")).alias("sim"), "comp"), "para-crowded")
         links = links.unionByName(_links(rows.where(F.col("sim") >= similarity)))
     else:
         raise RuntimeError("clusters did not settle")
     if not pairs:
         return links
-    left, right = far.select("band", F.col("pid").alias("a"), "x", "sim"), far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"), F.col("sim").alias("other"))
-    ring = (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & (F.abs(F.col("sim") - F.col("other")) <= reach + CLOSE)
+    left = far.select("band", F.col("pid").alias("a"), "x", "sim", "comp")
+    right = far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"), F.col("sim").alias("other"), F.col("comp").alias("with"))
+    ring = (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & (F.col("comp") != F.col("with")) & (F.abs(F.col("sim") - F.col("other")) <= reach + CLOSE)
     rest = left.join(right, ring & (_similarity(F.col("x"), F.col("y")) >= similarity))
     return links.unionByName(rest.select("a", "b"))
 
@@ -290,7 +298,7 @@ def similar_links(bands: DataFrame, sets_of, similarity: float = SIMILARITY) ->
     unlike = members.join(tested.where(F.col("sim") < similarity), ["pid", "leader"], "left_semi").select("band").distinct()
     crowded = members.join(unlike, "band", "left_semi").select("pid").distinct()
     crowded = staged(sets.join(crowded, "pid", "left_semi"), "para-crowded-sets")
-    return links if crowded.isEmpty() else links.unionByName(_crowded_links(crowded, similarity))
+    return links if crowded.isEmpty() else links.unionByName(_crowded_links(crowded, similarity, links))
 
 
 def _cutter(min_words: int):
