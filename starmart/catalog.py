@@ -95,12 +95,14 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _labels(star: Star) -> DataFrame:
-    return G.labels_and_formats(R.q1_rows(star), R.report_years(star))
+    rows = R.q1_table(star)
+    return G.labels_and_formats(rows, R.years_of(rows))
 
 
 def _q1b_ordered(star: Star) -> DataFrame:
-    years = R.report_years(star)
-    return G.ordered(R.q1b(star, years), [F.col(str(years[-1])).desc_nulls_last(), "regiao"])
+    rows = R.q1_table(star)
+    years = R.years_of(rows)
+    return G.ordered(R.q1b(star, rows), [F.col(str(years[-1])).desc_nulls_last(), "regiao"])
 
 
 def _suite(star: Star, spark: SparkSession, sf: str) -> DataFrame:

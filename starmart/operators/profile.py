@@ -113,6 +113,20 @@ def _metrics(one_row: DataFrame) -> DataFrame:
     return one_row.select(stack)
 
 
+def _rows_up_to(df: DataFrame, group: list[str], key: str, n: int) -> DataFrame:
+    """Rows of each group whose key is not above its n-th smallest (all of a group with fewer keys than that)."""
+    by_key = Window.partitionBy(*group).orderBy(F.col(key).asc_nulls_last())
+    last = df.select(*[F.col(g).alias(f"__{g}") for g in group], F.col(key).alias("__last"), F.row_number().over(by_key).alias("__i"))
+    last = last.filter((F.col("__i") == n) & F.col("__last").isNotNull()).drop("__i")  # one row per group
+    if not group:
+        found = last.first()
+        return df.filter(F.col(key) <= F.lit(found["__last"])) if found else df
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    return df.join(last, same, "left").filter(F.col("__last").isNull() | (F.col(key) <= F.col("__last"))).select(*df.columns)
+
+
 def profile(
     df: DataFrame,
     date_col: str | None = None,
@@ -134,7 +148,7 @@ def profile(
     Duplicates, text summaries and distinct values share a second pass: the
     columns are stacked as (column, value) and counted by one grouped
     aggregate.  Samples are the first rows in key order, so they are the same
-    in every run; only the first rows of each map task are shuffled for them.
+    in every run: the last key of each group's sample is found over the keys alone, and only rows up to it are sorted.
     """
     group = [by] if by else []
     cols = [c for c in df.columns if c != by]
@@ -186,7 +200,8 @@ def profile(
         out = out.unionByName(told).unionByName(values)
     if sample_cols and key_col:
         order = Window.partitionBy(*group).orderBy(F.col(key_col).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in cols if c != key_col])
-        first = df.select(*group, *cols, F.row_number().over(order).alias("__i")).filter(F.col("__i") <= max(date_samples, row_samples))
+        near = _rows_up_to(df, group, key_col, max(date_samples, row_samples))
+        first = near.select(*group, *cols, F.row_number().over(order).alias("__i")).filter(F.col("__i") <= max(date_samples, row_samples))
         picks = [(date_col, mixed_date(date_col).cast("string"), date_samples)] if date_col else []
         picks += [(c, F.col(c).cast("string"), row_samples) for c in sample_cols]
         parts = F.array(*[F.struct((F.col("__i") <= n).alias("keep"), F.lit("sample").alias("section"), F.lit(c).alias("column_name"),

@@ -24,7 +24,7 @@ from starmart.functions.decode import region
 from starmart.functions.labels import code_label, colour, millions, pair_label
 from starmart.functions.rounding import EXACT_BELOW, mean_of_units, to_units, to_units_or_null
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
-from starmart.plans.star import DIMENSIONS, Star
+from starmart.plans.star import DIMENSIONS, Star, materialize
 
 
 
@@ -152,17 +152,26 @@ def q1_order() -> list[Column]:
     return [F.col("regiao"), F.col("ano"), F.col("uf_infracao")]
 
 
-def report_years(star: Star) -> list[int]:
-    """The years that Q1 has rows for (one small aggregate; a handful of values)."""
-    return sorted(r["ano"] for r in q1_rows(star).select("ano").distinct().collect())
+def q1_table(star: Star) -> DataFrame:
+    """Q1's rows, written once: what takes the years from them and then their values need not compute them twice."""
+    return materialize(q1_rows(star), "q1_rows")
 
 
-def q1b(star: Star, years: list[int] | None = None) -> DataFrame:
-    """Region x year totals, one column per year present, with the first->last year % change (1 decimal), last year's largest first."""
-    years = years or report_years(star)
+def years_of(rows: DataFrame) -> list[int]:
+    """The years that Q1 has rows for (a handful of values)."""
+    return sorted(r["ano"] for r in rows.select("ano").distinct().collect())
+
+
+def q1b(star: Star, rows: DataFrame | None = None) -> DataFrame:
+    """Region x year totals, one column per year present, with the first->last year % change (1 decimal), last year's largest first.
+
+    ``rows``: Q1's rows where they are at hand already.
+    """
+    rows = q1_table(star) if rows is None else rows
+    years = years_of(rows)
     if not years:
-        return q1_rows(star).select("regiao").distinct()
-    wide = pivot_change(q1_rows(star), "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var_pct", scale=1)
+        return rows.select("regiao").distinct()
+    wide = pivot_change(rows, "regiao", "ano", years, "total_infracoes", years[0], years[-1], out="var_pct", scale=1)
     wide = wide.withColumnRenamed("var_pct", f"var_{str(years[0])[-2:]}_{str(years[-1])[-2:]}_pct")
     return wide.orderBy(F.col(str(years[-1])).desc_nulls_last(), "regiao")
 

@@ -51,7 +51,7 @@ def test_replaced_numbers_are_counted(spark):
 
 def test_years_come_from_the_data(spark):
     wide = star_for(spark, SF, "sql", view="fines_wide")
-    assert R.report_years(wide) == list(range(2020, 2027))
+    assert R.years_of(R.q1_table(wide)) == list(range(2020, 2027))
     assert R.q1b(wide).columns == ["regiao", *map(str, range(2020, 2027)), "var_20_26_pct"]
 
 
