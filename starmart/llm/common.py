@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.joins import maybe_broadcast
-from starmart.session import work_dir
+from starmart.session import drop_work, work_dir
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: a word of the contracts
 SPACE = r"[\x20\x09-\x0D]+"  # fixed value: a white-space run of the contracts
@@ -21,6 +23,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders that ``staged`` writes inside the block, which are removed at its end.
+
+    For a caller that writes a result inside the block; what it wants to keep it takes out of the list.  A result
+    that is still to be computed reads these folders and must not leave the block.
+    """
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(outer)
+        drop_work(spark, *made)
+
+
 def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder (spark.checkpoint.dir) and read it back.
 
@@ -29,6 +50,8 @@ def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path, compression=compression)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

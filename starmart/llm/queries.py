@@ -19,6 +19,7 @@ from starmart.llm.pii_bootstrap import find_pii
 from starmart.llm.quotes import link_quotations, with_quotes
 from starmart.llm.quotes_sql import LINKED, LINKED_RENDERED
 from starmart.llm.repetition import repetition_rules
+from starmart.llm.repetition_sql import RULES
 from starmart.llm.simhash_vp import simhash_groups
 from starmart.llm.substring_lpf import remove_repeats
 from starmart.llm.token_alignment import align_tokens
@@ -115,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op4_quotation_linking": LINKED,
     "op4_quotation_linking_rendered": LINKED_RENDERED,
+    "op8_repetition": RULES,
     "op12_merkle_manifest": MANIFEST,
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),

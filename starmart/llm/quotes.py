@@ -79,11 +79,11 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     One row per row: conv_id, turn, role, text (own lines, outer blank lines off), parent_turn,
     root_turn, depth, n_quotes (passages), n_linked (passages whose original is known), max_level.
     Reply order is (conv_id, root_turn, turn): every message comes after the one it answers.
-    Null texts are empty; null conv_ids are one conversation; a null turn comes before all others
+    Null texts are empty; null conv_ids are one conversation, and blank ones another; a null turn comes before all others
     and stays null; rows that repeat a turn share its place in the tree.  Empty tables give no
     rows; other columns are not read.
     """
-    base = messages.select("conv_id", "turn", "role", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("ck"),
+    base = messages.select("conv_id", "turn", "role", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("")).alias("ck"),
                            F.coalesce(F.col("turn").cast("long"), F.lit(FIRST_TURN)).alias("tk"), F.monotonically_increasing_id().alias("row"), text_or_empty().alias("body_text"))
     base = staged(base, "quote-messages")
     has = F.col("body_text").rlike(r"(?:^|\n)[ \t]*>")

@@ -1,8 +1,9 @@
-import numpy as np
-import public_tokenizers
+import os
 import re
 from collections import defaultdict
 
+import numpy as np
+import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -10,6 +11,7 @@ from starmart.llm.common import documents, staged
 from starmart.llm.pii_bootstrap import KINDS
 from starmart.llm.simhash_vp import simhash_groups
 from starmart.llm.toxicity_crf import learn, toxicity
+from starmart.session import ensure_checkpoint_dir
 from cases import AWKWARD, SCHEMA, docs
 from test_pii_bootstrap import plain_spans
 from test_simhash_vp import plain_components, plain_fp
@@ -46,7 +48,6 @@ def test_whole_run_against_plain_python(spark):
     assert 0 < len(toxic) < 200
     want = expected([(r.doc_id, r.text) for r in table.collect()], toxic)
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    hf.encode_special_tokens = True
     got = defaultdict(list)
     for r in C.run(spark, SF).collect():
         got[r.doc_id].append(r)
@@ -70,3 +71,11 @@ def test_empty_table(spark):
     for _, stage in C.STAGES:
         frame = staged(stage(spark, frame, SF), "test-stage")
     assert frame.count() == 0
+
+
+def test_only_the_last_result_stays_in_the_shared_folder(spark):
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables".removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    out = C.run(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(base)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("pipeline-packing") and out.count() > 0

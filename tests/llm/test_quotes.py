@@ -78,3 +78,9 @@ def test_empty_table_and_other_columns(spark):
     assert link_quotations(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame(THREAD, SCHEMA).selectExpr("*", "1 as row", "2 as ck", "3 as level", "4 as hash")
     assert link_quotations(df).count() == len(THREAD)
+
+
+def test_null_and_blank_conversations_are_two(spark):
+    rows = [(None, 0, "a", "first words here"), ("", 1, "b", "> first words here\nanswer"), (None, 2, "c", "> first words here\nmine"), ("", 0, "d", "other")]
+    got = {r.role: r for r in link_quotations(spark.createDataFrame(rows, SCHEMA.replace("conv_id long", "conv_id string"))).collect()}
+    assert (got["b"].n_quotes, got["b"].n_linked) == (1, 0) and (got["c"].n_linked, got["c"].root_turn) == (1, 0)
