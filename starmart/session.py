@@ -8,6 +8,7 @@ that setting is absent (local tests), never on a cluster that names one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
         # a machine-local folder is not shared by executors: a cluster must name one
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (written tables and key files go there)")
     key = sc.applicationId
