@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from starmart.llm.common import SPACE, staged, text_or_empty
 
 MARKS = r"^[ \t]*>(?:[ \t]*>)*[ \t]?"  # fixed value: quote marks at the start of a line
-TURN_BITS = 10  # the message before is looked up within 2**TURN_BITS turns first, then among those ranges
 FIRST_TURN = -(1 << 62)  # null turns come before all others
 MOST_ROUNDS = 70
 
@@ -46,12 +45,19 @@ def parse_lines(messages: DataFrame) -> DataFrame:
 
 
 def _previous(nodes: DataFrame) -> DataFrame:
-    """(ck, tk, before): the largest smaller turn of the conversation; no window holds a whole conversation."""
-    near = nodes.withColumn("range", F.shiftright("tk", TURN_BITS))
-    inside = near.withColumn("near", F.lag("tk").over(Window.partitionBy("ck", "range").orderBy("tk")))
-    ranges = near.groupBy("ck", "range").agg(F.max("tk").alias("top"))
-    ranges = ranges.select("ck", "range", F.lag("top").over(Window.partitionBy("ck").orderBy("range")).alias("far"))
-    return inside.join(ranges, ["ck", "range"]).select("ck", "tk", F.coalesce("near", "far").alias("before"))
+    """(ck, tk, before): the largest smaller turn of the conversation, for distinct (ck, tk).
+
+    The nodes are sorted by range partitions; a node's predecessor stands before it in its partition, or is the last
+    node of the partition before.  So no task holds a conversation, however long it is and however far its turns lie
+    apart; one row per partition goes through a single window.
+    """
+    key = F.struct("ck", "tk")
+    ordered = staged(nodes.orderBy("ck", "tk").withColumn("at", F.monotonically_increasing_id()), "quote-turns").withColumn("part", F.shiftright("at", 33))
+    last = ordered.groupBy("part").agg(F.max_by(key, "at").alias("last"))
+    edges = last.select("part", F.lag("last").over(Window.orderBy("part")).alias("edge"))
+    inside = ordered.withColumn("near", F.lag(key).over(Window.partitionBy("part").orderBy("at")))
+    found = inside.join(F.broadcast(edges), "part").withColumn("prev", F.coalesce("near", "edge"))
+    return found.select("ck", "tk", F.when(F.col("prev.ck") == F.col("ck"), F.col("prev.tk")).alias("before"))
 
 
 def reply_trees(parents: DataFrame) -> DataFrame:
@@ -122,7 +128,12 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 
 
 def with_quotes(messages: DataFrame) -> DataFrame:
-    """A mail-like rendering of a chat: every message quotes the one before it (every third the one before that), with what that one quoted in turn."""
+    """A mail-like rendering of a chat: every message quotes the one before it (every third the one before that), with what that one quoted in turn.
+
+    One row per row: conv_id, turn, role, text.  Null texts are empty; of rows that repeat a turn the smallest text is
+    quoted; messages without a turn, or of no conversation (null conv_id), quote nothing and are not quoted.  Empty
+    tables give no rows; other columns are not read.
+    """
     key = ["conv_id", "turn"]
     mark = lambda text, m: F.when(text.isNotNull(), F.concat_ws("\n", F.transform(F.split(text, "\n", -1), lambda x: F.concat(F.lit(m), x))))
     told = messages.select(*key, "role", text_or_empty().alias("text"))

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from starmart.llm.quotes import _previous, link_quotations, reply_trees
+from starmart.llm.quotes import _previous, link_quotations, reply_trees, with_quotes
 from starmart.llm.quotes_sql import LINKED
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -54,11 +54,15 @@ def test_equals_the_sql(spark):
 
 
 @pytest.mark.parametrize("gap", [1, 700, 5000])
-def test_turn_before_across_ranges(spark, gap):
-    turns = [i * gap for i in range(50)] + [-5, -3000]
-    got = {r.tk: r.before for r in _previous(spark.createDataFrame([("a", t) for t in turns], "ck string, tk long")).collect()}
-    turns.sort()
-    assert got == dict(zip(turns, [None, *turns[:-1]], strict=True))
+def test_turn_before_across_partitions(spark, gap):
+    turns = {"a": [i * gap for i in range(50)] + [-5, -3000], "b": [7], "c": [i * gap for i in range(20)]}
+    nodes = spark.createDataFrame([(c, t) for c, ts in turns.items() for t in ts], "ck string, tk long").repartition(5)
+    got = {(r.ck, r.tk): r.before for r in _previous(nodes).collect()}
+    want = {}
+    for c, ts in turns.items():
+        ts.sort()
+        want |= {(c, t): before for t, before in zip(ts, [None, *ts[:-1]], strict=True)}
+    assert got == want
 
 
 def test_long_chain_and_branches(spark):
@@ -80,6 +84,13 @@ def test_empty_table_and_other_columns(spark):
     assert link_quotations(df).count() == len(THREAD)
 
 
+def test_rendering_of_awkward_rows(spark):
+    rows = [(1, 0, "a", None), (1, 1, "b", "x"), (1, 1, "c", "w"), (1, 2, "d", ""), (None, 0, "e", "y"), (None, 1, "f", "z"), (1, None, "g", "t")]
+    got = {r.role: r.text for r in with_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == 7 and got["f"] == "z" and got["g"] == "t" and got["b"].endswith("x")
+    assert with_quotes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_null_and_blank_conversations_are_two(spark):
     rows = [(None, 0, "a", "first words here"), ("", 1, "b", "> first words here\nanswer"), (None, 2, "c", "> first words here\nmine"), ("", 0, "d", "other")]
     got = {r.role: r for r in link_quotations(spark.createDataFrame(rows, SCHEMA.replace("conv_id long", "conv_id string"))).collect()}
