@@ -12,8 +12,8 @@ ones are linked: a bucket of near copies costs a row each, not a row per pair.
 unlike ones are bucketed again by the rarest shingles of each (the prefix filter, exact at the threshold), so that
 paragraphs which share a template but nothing rare part company.  What is compared with the smallest of each bucket, old
 and new, connects nearly all of a group of near copies; only paragraphs of different components are compared further,
-leader by leader, and as the Jaccard distance is a metric, not where the one is too far from the leader, or from the
-ring in which the other stands.  Connected components of the verified links decide: the first paragraph of a component
+each pair in the first bucket that both are in: leader by leader, ``LEADERS`` times, then with each other; and as the
+Jaccard distance is a metric, not where the one is too far from the leader, or from the ring in which the other stands.  Connected components of the verified links decide: the first paragraph of a component
 stays, the others are removed.
 """
 
@@ -35,8 +35,7 @@ SIMILARITY = 0.8  # fixed value of the contract
 MIN_WORDS = 20  # lines are taken together until they hold so many words
 RECALL = 0.999
 MOST_BANDS = 12
-PAIRS_PER_ROW = 4  # pairs left over that are compared directly, per paragraph of the crowded buckets; more: another leader
-MOST_LEADERS = 10_000  # reaching it is an error, not a result
+LEADERS = 2  # rounds of clustering in crowded buckets before what is left over is compared with each other
 CLOSE = 1e-9
 BLOCK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # null doc_ids come last
@@ -226,8 +225,8 @@ def _links(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("pid").alias("a"), F.col("leader").alias("b"))
 
 
-def rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
-    """(band, pid): the rarest shingles of each paragraph of ``sets`` (pid, shingles), as many as the prefix filter needs.
+def rare_shingles(sets: DataFrame, similarity: float) -> DataFrame:
+    """(pid, rare): the rarest shingles of each paragraph of ``sets`` (pid, shingles), rarest first, as many as the prefix filter needs.
 
     Of two sets with the similarity, either's n - ceil(similarity * n) + 1 first shingles in a common order (here by
     rarity among these paragraphs) hold a shingle of the other's.  A shingle of one paragraph alone takes its place in
@@ -238,49 +237,48 @@ def rare_keys(sets: DataFrame, similarity: float) -> DataFrame:
     shared = rows.join(often, "shingle").groupBy("pid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
     first = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - CLOSE).cast("int") + 1
     left = F.greatest(first - (F.col("n") - F.size("shared")), F.lit(0))  # after the shingles that only this paragraph has
-    return shared.select("pid", F.explode(F.slice("shared", F.lit(1), left)).alias("rare")).select(F.col("rare.shingle").alias("band"), "pid")
+    return shared.select("pid", F.transform(F.slice("shared", F.lit(1), left), lambda s: s["shingle"]).alias("rare"))
 
 
-def _open_pairs(rows: DataFrame) -> float:
-    """Pairs of rows (band, comp) of one band and different components."""
-    sizes = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("band").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
-    return sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("own")) / 2).first()[0] or 0.0
+def _any_open(rows: DataFrame) -> bool:
+    """Whether any band of ``rows`` (band, comp) holds two components."""
+    return not rows.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").isEmpty()
 
 
 def _crowded_links(sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame:
     """Links among the paragraphs of ``sets`` that, with the ``known`` ones (a, b), join every pair with the similarity."""
-    members = _members(rare_keys(sets, similarity), "para-rare")
+    rare = staged(rare_shingles(sets, similarity), "para-rare-shingles")
+    members = _members(rare.select(F.explode("rare").alias("band"), "pid"), "para-rare")
     tested = _tested(members, sets, "para-rare-tested")
     links = _links(tested.where(F.col("sim") >= similarity))
     unlike = members.join(tested.where(F.col("sim") < similarity), ["pid", "leader"], "left_semi").select("band").distinct()
     found = components(links if known is None else links.unionByName(known), "a", "b")
     mine, theirs = sets.select("pid", F.col("shingles").alias("x")), sets.select(F.col("pid").alias("leader"), F.col("shingles").alias("y"))
-    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"]).join(found.withColumnRenamed("node", "pid"), "pid", "left").join(mine, "pid")
-    rows = staged(rows.select("band", "pid", "leader", "x", "sim", F.coalesce("root", "pid").alias("comp")), "para-crowded")
-    allowed = PAIRS_PER_ROW * max(1000, rows.count())
+    rows = members.join(unlike, "band", "left_semi").join(tested, ["pid", "leader"]).join(found.withColumnRenamed("node", "pid"), "pid", "left").join(mine, "pid").join(rare, "pid")
+    rows = staged(rows.select("band", "pid", "leader", "x", "sim", F.coalesce("root", "pid").alias("comp"), "rare"), "para-crowded")
     reach = 1 - similarity
-    for _ in range(MOST_LEADERS):
+    # a pair meets in every bucket of a rare shingle that both have; only in the first of them it is compared
+    here = F.element_at(F.array_intersect("rare", "other_rare"), 1) == F.col("band")
+    for rounds_left in range(LEADERS, -1, -1):
         near, far = rows.where(F.col("sim") >= similarity), rows.where(F.col("sim") < similarity)
-        near = near.select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y"), F.col("sim").alias("near"), F.col("comp").alias("with"))
+        near = near.select(F.col("band").alias("in_band"), F.col("leader").alias("head"), F.col("x").alias("y"), F.col("sim").alias("near"), F.col("comp").alias("with"), F.col("rare").alias("other_rare"))
         # one link to a cluster joins the whole cluster: a semi join, never a row per pair; only what is not joined yet and the triangle allows
         same = (F.col("band") == F.col("in_band")) & (F.col("leader") == F.col("head")) & (F.col("comp") != F.col("with")) & (F.col("near") <= F.col("sim") + reach + CLOSE)
-        to = far.where(F.col("sim") >= 1 - 2 * reach - CLOSE).join(near, same & (_similarity(F.col("x"), F.col("y")) >= similarity), "left_semi")
+        to = far.where(F.col("sim") >= 1 - 2 * reach - CLOSE).join(near, same & here & (_similarity(F.col("x"), F.col("y")) >= similarity), "left_semi")
         links = links.unionByName(_links(to))
-        pairs = _open_pairs(far)
-        if pairs <= allowed:
+        open_ = _any_open(far)
+        if not (open_ and rounds_left):
             break
         heads = far.groupBy("band").agg(F.min("pid").alias("leader"))
-        rows = far.select("band", "pid", "x", "comp").join(heads, "band").where("pid != leader").join(theirs, "leader")
-        rows = staged(rows.select("band", "pid", "leader", "x", _similarity(F.col("x"), F.col("y")).alias("sim"), "comp"), "para-crowded")
+        rows = far.select("band", "pid", "x", "comp", "rare").join(heads, "band").where("pid != leader").join(theirs, "leader")
+        rows = staged(rows.select("band", "pid", "leader", "x", _similarity(F.col("x"), F.col("y")).alias("sim"), "comp", "rare"), "para-crowded")
         links = links.unionByName(_links(rows.where(F.col("sim") >= similarity)))
-    else:
-        raise RuntimeError("clusters did not settle")
-    if not pairs:
+    if not open_:
         return links
-    left = far.select("band", F.col("pid").alias("a"), "x", "sim", "comp")
-    right = far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"), F.col("sim").alias("other"), F.col("comp").alias("with"))
+    left = far.select("band", F.col("pid").alias("a"), "x", "sim", "comp", "rare")
+    right = far.select(F.col("band").alias("same"), F.col("pid").alias("b"), F.col("x").alias("y"), F.col("sim").alias("other"), F.col("comp").alias("with"), F.col("rare").alias("other_rare"))
     ring = (F.col("band") == F.col("same")) & (F.col("a") > F.col("b")) & (F.col("comp") != F.col("with")) & (F.abs(F.col("sim") - F.col("other")) <= reach + CLOSE)
-    rest = left.join(right, ring & (_similarity(F.col("x"), F.col("y")) >= similarity))
+    rest = left.join(right, ring & here & (_similarity(F.col("x"), F.col("y")) >= similarity))
     return links.unionByName(rest.select("a", "b"))
 
 

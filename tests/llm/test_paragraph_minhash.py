@@ -141,8 +141,9 @@ def test_a_template_many_paragraphs_share(spark):
     assert [got[i].removed_lines for i, _ in rows] == want and sum(map(len, want)) == 40
 
 
-def test_crowded_buckets_leader_by_leader(spark, monkeypatch):
-    monkeypatch.setattr(M, "PAIRS_PER_ROW", 0)
+@pytest.mark.parametrize("leaders", [0, 2, 9])
+def test_crowded_buckets_leader_by_leader(spark, monkeypatch, leaders):
+    monkeypatch.setattr(M, "LEADERS", leaders)
     rng = random.Random(9)
     seeds = [[f"w{rng.randint(0, 60)}" for _ in range(30)] for _ in range(3)]
     rows = [(i, edited(rng, rng.choice(seeds), rng.choice([0, 1, 2, 3]))) for i in range(90)]
