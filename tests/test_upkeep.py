@@ -229,3 +229,14 @@ def test_bucketed_join_is_not_shuffled(spark):
         assert joined.count() == star.fato_multa.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+# --- sizes -----------------------------------------------------------------------------------------------------------
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reconcile_moves_each_side_once(spark):
+    a, b = (spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") % n).alias("v")) for n in (3, 4))
+    plan = plan_of(reconcile(a, b, ["k"], ["v"]))
+    assert "Join" not in plan and plan.count("Exchange") == 1, plan
