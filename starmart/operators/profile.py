@@ -124,7 +124,8 @@ def _rows_up_to(df: DataFrame, group: list[str], key: str, n: int) -> DataFrame:
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-    return df.join(last, same, "left").filter(F.col("__last").isNull() | (F.col(key) <= F.col("__last"))).select(*df.columns)
+    # one row per group of n keys or more; joined by a shuffle, each group's whole rows would gather in one task
+    return df.join(F.broadcast(last), same, "left").filter(F.col("__last").isNull() | (F.col(key) <= F.col("__last"))).select(*df.columns)
 
 
 def profile(

@@ -240,3 +240,16 @@ def test_reconcile_moves_each_side_once(spark):
     a, b = (spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") % n).alias("v")) for n in (3, 4))
     plan = plan_of(reconcile(a, b, ["k"], ["v"]))
     assert "Join" not in plan and plan.count("Exchange") == 1, plan
+
+
+def test_profile_samples_are_not_gathered_by_group(spark):
+    from starmart.operators.profile import _rows_up_to
+
+    df = spark.createDataFrame([(g, f"{i:03d}", "x" * 20) for g in (1, 2, None) for i in range(80)], "g int, k string, t string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table above the threshold
+    try:
+        near = _rows_up_to(df, ["g"], "k", 50)
+        assert near.count() == 150 and "BroadcastHashJoin" in plan_of(near)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
