@@ -34,7 +34,7 @@ from starmart.schemas import (
     TIME_SK,
 )
 from starmart.plans.prepare import POSITION
-from starmart.session import drop_work, work_dir
+from starmart.session import drop_work, work_dir, write_settings
 
 DIMENSIONS = {
     "dim_tempo": TIME_SK,
@@ -93,19 +93,18 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back (lineage cut, survives executor loss).
 
-    A partitioned write is rebalanced on the partition columns first, so tasks x values does not make small files
-    and one large value is still split over tasks.  ``folders`` collects the path.
+    A partitioned write keeps the tasks of its input, each writing one file per value it holds: the rows do not cross
+    the network again for the few values (years) there are.  ``folders`` collects the path.
     """
     path = work_dir(df.sparkSession, name)
     if folders is not None:
         folders.append(path)
-    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    if sort_by:
-        out = out.sortWithinPartitions(*(partition_by or []), *sort_by)
+    out = df.sortWithinPartitions(*(partition_by or []), *sort_by) if sort_by else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with write_settings(df.sparkSession):
+        w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)  # an empty partitioned write has no file to infer from
 
 

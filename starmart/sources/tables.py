@@ -91,14 +91,16 @@ def landing(spark: SparkSession, sf_dir: str, view: str = "fines_raw") -> DataFr
     table, instead of re-deriving them from lineitem and part.  The session
     setting ``starmart.landing.partitions`` is ``fines_raw``'s ``partitions``.
     """
-    from starmart.session import work_dir
+    from starmart.session import work_dir, write_settings
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), view)
     with _LANDING_LOCK:
         if key not in _LANDING:
             path = work_dir(spark, f"landing_{view}")
             partitions = spark.conf.get("starmart.landing.partitions", None)
-            fines_raw(spark, sf_dir, view, int(partitions) if partitions else None).write.parquet(path)
+            raw = fines_raw(spark, sf_dir, view, int(partitions) if partitions else None)
+            with write_settings(spark):
+                raw.write.parquet(path)
             _LANDING[key] = (path, spark.read.parquet(path))
         return _LANDING[key][1]
 

@@ -242,6 +242,30 @@ def test_reconcile_moves_each_side_once(spark):
     assert "Join" not in plan and plan.count("Exchange") == 1, plan
 
 
+def test_partitioned_tables_are_written_without_a_shuffle(spark, monkeypatch):
+    import pyspark.sql.readwriter as W
+
+    from starmart.plans.star import materialize
+
+    plans, limits = [], []
+    parquet = W.DataFrameWriter.parquet
+
+    def seen(self, path, *a, **k):
+        plans.append(plan_of(self._df))
+        limits.append(int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")))
+        return parquet(self, path, *a, **k)
+
+    monkeypatch.setattr(W.DataFrameWriter, "parquet", seen)
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        df = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("ano"))
+        assert rows(materialize(df, "parts", ["ano"], sort_by=["id"])) == rows(df)
+        assert "Exchange" not in plans[0] and limits == [8000] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
 def test_profile_samples_are_not_gathered_by_group(spark):
     from starmart.operators.profile import _rows_up_to
 
