@@ -9,7 +9,7 @@ at runtime.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,41 @@ def lookup_key(
     return out.drop(*[f"__k_{k}" for k in on])
 
 
+def _key_hash(keys: list[Column], null_safe: bool) -> Column:
+    """64 bits of a natural key; NULL where the key can match nothing."""
+    if null_safe:
+        return F.xxhash64(*keys, *[k.isNull() for k in keys])
+    known = F.lit(True)
+    for k in keys:
+        known = known & k.isNotNull()
+    return F.when(known, F.xxhash64(*keys))
+
+
+def lookup_known_keys(df: DataFrame, lookups: list[tuple[DataFrame, list[str], str, int, int | None]], null_safe: bool = False) -> DataFrame:
+    """Attach several surrogate keys to rows whose natural keys all are in their dimensions (those were built from them).
+
+    ``lookups``: (dimension, natural key, surrogate key, rows, bytes).  Broadcast lookups go first, they pipeline into
+    the scan; shuffle joins last and largest last.  For these a text key of several columns is matched by its 64-bit
+    hash, so that the rows cross the network without it: a known key's hash leads to its row if no two rows of the
+    dimension share a hash, which is tested; else the columns themselves are joined.
+    """
+    lookups = sorted(lookups, key=lambda t: (not can_broadcast(t[0], t[3], t[4]), t[3]))
+    hashed = {}
+    for dim, on, sk, rows, size in lookups:
+        if len(on) > 1 and not can_broadcast(dim, rows, size):
+            by_hash = dim.select(F.col(sk).alias(f"__of_{sk}"), _key_hash([F.col(k) for k in on], null_safe).alias(f"__hash_of_{sk}")).filter(F.col(f"__hash_of_{sk}").isNotNull())
+            if by_hash.groupBy(f"__hash_of_{sk}").count().filter("count > 1").isEmpty():
+                hashed[sk] = by_hash
+    out = df.select("*", *[_key_hash([F.col(k) for k in on], null_safe).alias(f"__hash_{sk}") for _, on, sk, _, _ in lookups if sk in hashed])
+    for dim, on, sk, rows, size in lookups:
+        if sk in hashed:
+            out = out.join(hashed[sk], F.col(f"__hash_{sk}") == F.col(f"__hash_of_{sk}"), "left")
+            out = out.withColumnRenamed(f"__of_{sk}", sk).drop(f"__hash_{sk}", f"__hash_of_{sk}")
+        else:
+            out = lookup_key(out, dim, on, sk, rows, null_safe, dim_bytes=size)
+    return out
+
+
 def semi_join(df: DataFrame, other: DataFrame, on: list[str] | str) -> DataFrame:
     """Rows of ``df`` with at least one match in ``other`` (J8, EXISTS).
 

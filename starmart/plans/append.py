@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import calendar as cal
-from starmart.operators.joins import lookup_key
+from starmart.operators.joins import lookup_known_keys
 from starmart.operators.keys import extend_keys
 from starmart.plans.star import DIMENSIONS, LOCATION_ORDER, Star, materialize, star_from_tables
 from starmart.schemas import FACT_EXTRA_SQL, FACT_MEASURES, LOCATION_KEY, OFFENCE_KEY, OFFENDER_KEY, TIME_KEY
@@ -41,9 +41,7 @@ def append_to_star(spark: SparkSession, paths: dict[str, str], prepared: DataFra
             df = df.select("*", *[v.alias(k) for k, v in parts.items()], cal.is_holiday("data_infracao", holidays).alias("is_feriado"))
         append_table(df.select(*old.table(name).columns), path=paths[name])
     grown = star_from_tables(spark, paths, rules)
-    fact = prepared
-    for name, sk in sorted(DIMENSIONS.items(), key=lambda kv: (not grown.small(kv[0]), grown.rows[kv[0]])):
-        fact = lookup_key(fact, grown.table(name), KEYS[name], sk, grown.rows[name], null_safe, dim_bytes=grown.sizes[name])
+    fact = lookup_known_keys(prepared, [(grown.table(n), KEYS[n], sk, grown.rows[n], grown.sizes[n]) for n, sk in DIMENSIONS.items()], null_safe)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
     append_table(fact.select(*DIMENSIONS.values(), *FACT_MEASURES, *extra).select(*old.fato_multa.columns), path=paths["fato_multa"])
     return star_from_tables(spark, paths, rules)

@@ -34,7 +34,9 @@ from starmart.functions import calendar as cal
 from starmart.functions import decode as dec
 from starmart.functions import parse as P
 from starmart.functions.text import blank_default, null_default
+from starmart.operators.joins import can_broadcast
 from starmart.schemas import PREPARED_COLUMNS, RAW_COLUMNS
+from starmart.session import work_dir
 
 SQL, FRAME = "sql", "frame"
 
@@ -60,8 +62,31 @@ def _raw_row(keep: bool) -> list:
     return [F.struct(*RAW_COLUMNS).alias(RAW_ROW)] if keep else []
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df.distinct()`` for wide rows of which few come twice: only rows whose 64-bit hash comes twice are compared.
+
+    The hashes that come more than once are found first, in a job over the hashes alone, and written.  A row with a
+    hash of its own equals no other row and stays where it is.  Where too many hashes repeat to send to every task,
+    all rows are compared.
+    """
+    spark, at = df.sparkSession, "__hash"
+    # NULLs do not change a hash: which columns are NULL is hashed too
+    hashed = df.withColumn(at, F.xxhash64(*df.columns, F.array(*[F.col(c).isNull() for c in df.columns])))
+    path = work_dir(spark, "repeated_rows")
+    hashed.groupBy(at).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(at).alias("__repeated")).write.parquet(path)
+    repeated = spark.read.schema("__repeated long").parquet(path)
+    few = repeated.count()
+    if not few:
+        return df
+    if not can_broadcast(repeated, few):
+        return df.distinct()
+    marked = hashed.join(F.broadcast(repeated), F.col(at) == F.col("__repeated"), "left")
+    alone, again = marked.filter(F.col("__repeated").isNull()), marked.filter(F.col("__repeated").isNotNull())
+    return alone.select(*df.columns).unionByName(again.select(*df.columns).distinct())
+
+
 def normalize_sql(raw: DataFrame, valid_only: bool = True, keep_raw: bool = False) -> DataFrame:
-    r = _conform(raw).distinct()
+    r = distinct_rows(_conform(raw))
     uf = null_default("uf_infracao")
     typed = r.select(
         F.col("numero_auto"),

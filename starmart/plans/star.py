@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import calendar as cal
-from starmart.operators.joins import can_broadcast, lookup_key, maybe_broadcast
+from starmart.operators.joins import can_broadcast, lookup_known_keys, maybe_broadcast
 from starmart.operators.keys import Keyed, assign_dense_keys, build_dimension, measured
 from starmart.schemas import (
     FACT_EXTRA_SQL,
@@ -182,12 +182,7 @@ def build_star(
 
     keys_of = {"dim_tempo": TIME_KEY, "dim_localizacao": LOCATION_KEY, "dim_infracao": OFFENCE_KEY, "dim_infrator": OFFENDER_KEY}
     lookups = [(dims[n], keys_of[n], DIMENSIONS[n], rows[n], sizes[n]) for n in DIMENSIONS]
-    # broadcast lookups first (they pipeline into the scan); shuffle joins last and largest last,
-    # so each shuffled fact row already carries narrow keys instead of the resolved text columns
-    lookups.sort(key=lambda t: (not can_broadcast(t[0], t[3], t[4]), t[3]))
-    f = prepared
-    for dim, keys, sk, n, b in lookups:
-        f = lookup_key(f, dim, keys, sk, n, null_safe, dim_bytes=b)
+    f = lookup_known_keys(prepared, lookups, null_safe)
     extra = FACT_EXTRA_SQL if rules == "sql" else []
     published = [TIME_SK, LOCATION_SK, OFFENCE_SK, OFFENDER_SK, *FACT_MEASURES, *extra]
     fact = f.select(*published, F.col("ano").alias(FACT_YEAR))

@@ -242,6 +242,30 @@ def test_reconcile_moves_each_side_once(spark):
     assert "Join" not in plan and plan.count("Exchange") == 1, plan
 
 
+def test_known_keys_are_looked_up_by_hash_unless_two_share_one(spark, monkeypatch):
+    from starmart.operators import joins
+
+    found = [("a", "x", 1), ("a", None, 2), (None, "a", 3), (None, None, 4), ("b", "x", 5)]
+    dim = spark.createDataFrame(found, "k string, l string, sk long")
+    df = spark.createDataFrame([(k, l, n) for k, l, sk in found for n in range(sk)], "k string, l string, n int")
+    spark.conf.set("starmart.broadcast.maxRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for null_safe in (True, False):
+            want = rows(joins.lookup_key(df, dim, ["k", "l"], "sk", 5, null_safe))
+            assert len(want) == len(df.collect())
+            got = joins.lookup_known_keys(df, [(dim, ["k", "l"], "sk", 5, None)], null_safe)
+            assert rows(got) == want
+            plan = plan_of(got.select("n", "sk"))
+            assert "hashpartitioning(__hash_sk" in plan and "coalesce(k#" not in plan and "hashpartitioning(k#" not in plan, plan
+            monkeypatch.setattr(joins, "_key_hash", lambda keys, null_safe: F.lit(7).cast("long"))
+            assert rows(joins.lookup_known_keys(df, [(dim, ["k", "l"], "sk", 5, None)], null_safe)) == want
+            monkeypatch.undo()
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_partitioned_tables_are_written_without_a_shuffle(spark, monkeypatch):
     import pyspark.sql.readwriter as W
 
@@ -277,3 +301,18 @@ def test_profile_samples_are_not_gathered_by_group(spark):
         assert near.count() == 150 and "BroadcastHashJoin" in plan_of(near)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("most", ["0", "1000"])
+def test_distinct_rows_compares_only_rows_whose_hash_repeats(spark, most):
+    from starmart.plans.prepare import distinct_rows
+
+    df = spark.createDataFrame([("a", None), (None, "a"), (None, None), (None, None), ("a", "b"), ("a", "b"), ("", None)], "x string, y string")
+    once = spark.createDataFrame([("a", None), (None, "a"), ("", "a")], "x string, y string")
+    spark.conf.set("starmart.broadcast.maxRows", most)
+    try:
+        assert rows(distinct_rows(df)) == rows(df.distinct()) and len(rows(df.distinct())) == 5
+        assert rows(distinct_rows(once)) == rows(once) and "Exchange" not in plan_of(distinct_rows(once))
+        assert distinct_rows(df.limit(0)).count() == 0
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
