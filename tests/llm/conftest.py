@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))  # a module named conftest is loaded once
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="module", autouse=True)
