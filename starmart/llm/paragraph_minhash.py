@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import _BASE, _BASE_INV, blocks, data_bytes, mix64, offsets, powers, span_hashes, staged, text_batches, text_or_empty, word_spans
@@ -37,6 +37,8 @@ RECALL = 0.999
 MOST_BANDS = 12
 LEADERS = 2  # rounds of clustering in crowded buckets before what is left over is compared with each other
 CLOSE = 1e-9
+PASSAGE_WORDS = 20  # neighbouring repeated pieces that hold so many words are a repeated passage
+REACH = 6  # places on either side over which a shingle's hash is the smallest where a text is cut
 BLOCK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1  # null doc_ids come last
 KEY = ["id", "th", "size"]  # of a row: its id, all 64 bits of its text's hash, and its length
@@ -299,6 +301,128 @@ def similar_links(bands: DataFrame, sets_of, similarity: float = SIMILARITY) ->
     return links if crowded.isEmpty() else links.unionByName(_crowded_links(crowded, similarity, links))
 
 
+def pieces(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts b[offs[i]:offs[i + 1]]: the hash of each piece, its text, its first word there, its words, its first byte and its end there.
+
+    A piece begins with its text or where a shingle's hash is below those of the ``REACH`` places before and at most those of the places after.
+    """
+    low = _LOWER[b]
+    starts, ends, doc = word_spans(low, offs)
+    n = len(starts)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none.view(np.uint64), none, none, none, none, none
+    words = span_hashes(low, starts, ends)
+    begin = np.searchsorted(doc, np.arange(len(offs)))  # first word of each text
+    gap = REACH + SHINGLE_WORDS  # between texts, so that none sees its neighbours
+    at = np.arange(n) + gap * (doc + 1)
+    most = np.uint64((1 << 64) - 1)
+    hashes = np.full(n + gap * (len(offs) + 1), most)
+    with np.errstate(over="ignore"):
+        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers(_BASE, n))])
+        inverse = powers(_BASE_INV, n + 1)
+        whole = np.flatnonzero(np.arange(n) + SHINGLE_WORDS <= begin[doc + 1])
+        hashes[at[whole]] = mix64((prefix[whole + SHINGLE_WORDS] - prefix[whole]) * inverse[whole], 31)
+    before, after = np.full(len(hashes), most), np.full(len(hashes), most)
+    for k in range(1, REACH + 1):
+        np.minimum(before[k:], hashes[:-k], out=before[k:])
+        np.minimum(after[:-k], hashes[k:], out=after[:-k])
+    cut = ((hashes < before) & (hashes <= after))[at]
+    cut[begin[:-1][np.diff(begin) > 0]] = True
+    first = np.flatnonzero(cut)
+    stop = np.append(first[1:], n)
+    with np.errstate(over="ignore"):
+        key = mix64((prefix[stop] - prefix[first]) * inverse[first] ^ mix64((stop - first).astype(np.uint64), 52), 53)
+    base = offs[doc[first]]
+    return key, doc[first], first - begin[doc[first]], stop - first, starts[first] - base, ends[stop - 1] - base
+
+
+_PIECE_DDL = "piece long, id long, th long, size long, first int, words int, start long, stop long, settled boolean"
+_PIECE = pa.schema([("piece", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("size", pa.int64()), ("first", pa.int32()), ("words", pa.int32()),
+                    ("start", pa.int64()), ("stop", pa.int64()), ("settled", pa.bool_())])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of all texts; one that stands earlier in the same block is settled here and gets a key of its own, so that common ones gather nowhere."""
+    for block in blocks(batches, "text", BLOCK_BYTES):
+        col = block.column("text")
+        offs, data = offsets(col), data_bytes(col)
+        if block.num_rows == 1 and offs[1] - offs[0] > 2 * BLOCK_BYTES:
+            found, byte, word = [], 0, 0
+            for _, part in _parts(data[offs[0]:offs[1]], MIN_WORDS):
+                key, doc, first, words, start, stop = pieces(part, np.array([0, len(part)]))
+                found.append((key, doc, first + word, words, start + byte, stop + byte))
+                byte, word = byte + len(part) + 1, word + int(words.sum())
+            key, doc, first, words, start, stop = (np.concatenate(x) for x in zip(*found, strict=True))
+        else:
+            key, doc, first, words, start, stop = pieces(data[offs[0]:offs[-1]], offs - offs[0])
+        if not len(key):
+            continue
+        ids, th, size = (block.column(c).to_numpy(zero_copy_only=False)[doc] for c in KEY)
+        order = np.lexsort((start, size, th, ids, key))
+        key, ids, th, size, first, words, start, stop = (x[order] for x in (key, ids, th, size, first, words, start, stop))
+        lead = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), np.arange(len(key)), 0))
+        settled = (ids != ids[lead]) | (th != th[lead]) | (size != size[lead]) | (start != start[lead])
+        with np.errstate(over="ignore"):
+            key = np.where(settled, mix64(th.view(np.uint64) ^ mix64(start.astype(np.uint64), 54), 55), key)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids), pa.array(th), pa.array(size), pa.array(first.astype(np.int32)),
+                                          pa.array(words.astype(np.int32)), pa.array(start), pa.array(stop), pa.array(settled)], schema=_PIECE)
+
+
+def _runs(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for found in batch.column("found").to_pylist():
+                out: list[list[int]] = []  # first word, end word, first byte, end
+                for p in sorted(found, key=lambda p: p["first"]):
+                    if out and out[-1][1] == p["first"]:
+                        out[-1][1], out[-1][3] = p["first"] + p["words"], p["stop"]
+                    else:
+                        out.append([p["first"], p["first"] + p["words"], p["start"], p["stop"]])
+                spans.append([{"start": s, "stop": e} for a, b, s, e in out if b - a >= least])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in KEY], pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=[*KEY, "spans"])
+
+    return run
+
+
+def repeated_passages(texts: DataFrame, least: int = PASSAGE_WORDS) -> DataFrame:
+    """(id, th, size, spans) of the texts that hold a passage of ``least`` words or more which also stands earlier: its bytes, start:stop.
+
+    ``texts``: (id, th, size, text).  The order is by (id, th, size, place); wholly equal rows have the same spans.
+    """
+    order = Window.partitionBy("piece").orderBy(*KEY, "start")
+    again = texts.mapInArrow(_pieces, _PIECE_DDL).withColumn("place", F.rank().over(order)).where("settled or place > 1")
+    per_text = again.groupBy(*KEY).agg(F.collect_set(F.struct("first", "words", "start", "stop")).alias("found"))
+    spans = per_text.mapInArrow(_runs(least), "id long, th long, size long, spans array<struct<start: bigint, stop: bigint>>")
+    return staged(spans.where(F.size("spans") > 0), "para-passages")
+
+
+def _without(text: str, drop: set[int], spans: list[dict]) -> str:
+    """``text`` without the lines ``drop`` and the bytes of ``spans``."""
+    kept, begin = [], 0
+    for i, line in enumerate(text.encode("utf-8").split(b"\n")):
+        end = begin + len(line)
+        if i not in drop:
+            edges = [begin, *(min(max(x, begin), end) for s in spans for x in (s["start"], s["stop"])), end]
+            kept.append(b"".join(line[a - begin:b - begin] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+        begin = end + 1
+    return b"\n".join(kept).decode("utf-8")
+
+
+def _passage_cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of ``_cutter``, the words of repeated passages taken out of the kept text too, and what passages there were."""
+    for block in blocks(batches, "text", 8 << 20):
+        texts, drops, spans = block.column("text").to_pylist(), [], [s or [] for s in block.column("spans").to_pylist()]
+        for gone in block.column("gone").to_pylist():
+            drops.append({g["idx"] + i for g in gone or () for i in range(g["lines"])})
+        kept = [_without(t, d, s) if d or s else t for t, d, s in zip(texts, drops, spans, strict=True)]
+        cols = [block.column("doc_id"), pa.array([t.count("\n") + 1 for t in texts], pa.int64()), pa.array([len(d) for d in drops], pa.int64()),
+                pa.array([sorted(d) for d in drops], pa.list_(pa.int32())), pa.array(kept, pa.string()), pa.array([len(s) for s in spans], pa.int64()),
+                pa.array([",".join(f"{x['start']}:{x['stop']}" for x in s) for s in spans], pa.string())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_lines", "n_removed", "removed_lines", "kept_text", "n_passages", "passage_spans"])
+
+
 def _cutter(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", 8 << 20):
@@ -316,7 +440,7 @@ def _cutter(min_words: int):
     return run
 
 
-def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, recall: float = RECALL, passage_words: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, removed_lines (numbers from 0), kept_text.
 
     A paragraph is a run of lines with ``min_words`` words or more, from its first line that holds a word to its last;
@@ -326,6 +450,9 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: fl
     Rows that repeat a doc_id are ordered by a hash of their text, and wholly equal rows keep or lose the same lines.
     Null doc_ids come last; null texts and texts without a word have no paragraph; empty tables give no rows; other
     columns are not read.
+
+    With ``passage_words`` the words of passages of that many words or more that also stand earlier, inside longer lines
+    too, are taken out of ``kept_text``, and n_passages and passage_spans (bytes of the text, start:end) follow.
     """
     text_batches(docs.sparkSession)
     bands, rows = tune(similarity, recall)
@@ -349,7 +476,15 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, similarity: fl
     stays = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("places"))
     keep = rooted.select("pid", "root").join(stays.where("places > 1"), "root").select("pid", "stays")
     gone = places.drop("bands").join(keep, "pid").where(at > F.col("stays"))
-    per_doc = staged(gone.groupBy(*KEY).agg(F.collect_set(F.struct("idx", "lines")).alias("gone")), "para-gone")
-    n, parts = per_doc.agg(F.count(F.lit(1)), F.sum(F.size("gone"))).first()
-    out = base.join(maybe_broadcast(per_doc, n, 64 * n + 16 * (parts or 0)), KEY, "left").select("doc_id", "text", "gone")
-    return out.mapInArrow(_cutter(min_words), "doc_id long, n_lines long, n_removed long, removed_lines array<int>, kept_text string")
+    per_doc = gone.groupBy(*KEY).agg(F.collect_set(F.struct("idx", "lines")).alias("gone"))
+    columns = "doc_id long, n_lines long, n_removed long, removed_lines array<int>, kept_text string"
+    if passage_words is None:
+        per_doc = staged(per_doc, "para-gone")
+        n, parts = per_doc.agg(F.count(F.lit(1)), F.sum(F.size("gone"))).first()
+        out = base.join(maybe_broadcast(per_doc, n, 64 * n + 16 * (parts or 0)), KEY, "left").select("doc_id", "text", "gone")
+        return out.mapInArrow(_cutter(min_words), columns)
+    per_doc = staged(per_doc.join(repeated_passages(plain, passage_words), KEY, "full"), "para-gone")
+    held = F.coalesce(F.size("gone"), F.lit(0)) + F.coalesce(F.size("spans"), F.lit(0))
+    n, parts = per_doc.agg(F.count(F.lit(1)), F.sum(held)).first()
+    out = base.join(maybe_broadcast(per_doc, n, 80 * n + 32 * (parts or 0)), KEY, "left").select("doc_id", "text", "gone", "spans")
+    return out.mapInArrow(_passage_cutter, columns + ", n_passages long, passage_spans string")

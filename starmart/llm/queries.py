@@ -14,7 +14,7 @@ from starmart.llm.matched_packing import pack_matched
 from starmart.llm.merkle_manifest import merkle_manifest
 from starmart.llm.merkle_sql import MANIFEST
 from starmart.llm.packing import pack_documents
-from starmart.llm.paragraph_minhash import dedup_paragraphs
+from starmart.llm.paragraph_minhash import PASSAGE_WORDS, dedup_paragraphs
 from starmart.llm.pii_bootstrap import find_pii
 from starmart.llm.quotes import link_quotations, with_quotes
 from starmart.llm.quotes_sql import LINKED, LINKED_RENDERED
@@ -53,7 +53,7 @@ def op4_quotation_linking_rendered(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def op5_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_paragraphs(documents(spark, sf_dir))
+    return dedup_paragraphs(documents(spark, sf_dir), passage_words=PASSAGE_WORDS)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

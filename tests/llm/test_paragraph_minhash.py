@@ -129,6 +129,52 @@ def test_paragraphs_fill_up_with_lines(spark):
     assert [got[i].removed_lines for i in range(1, 6)] == brute(rows, 20) == [[], [0, 1, 2], [], [], []]
 
 
+def test_passages_inside_longer_lines(spark):
+    rng = random.Random(12)
+    own = lambda n: " ".join(f"o{rng.randint(0, 10**9)}" for _ in range(n))
+    rows, pasted = [], set()
+    for k in range(40):
+        passage = own(55)
+        rows += [(2 * k, f"{own(60)} {passage} {own(70)}\n{own(30)}"), (2 * k + 1, f"{own(33)}\n{own(80)} {passage.upper()} {own(rng.randint(0, 90))}")]
+        pasted.add(2 * k + 1)
+    rows += [(100 + k, own(150)) for k in range(40)] + [(200 + k, f"{own(60)} common short line of text {own(60)}") for k in range(20)]
+    got = {r.doc_id: r for r in M.dedup_paragraphs(docs(spark, rows), passage_words=20).collect()}
+    assert sum(got[i].n_passages > 0 for i in pasted) >= 38 and not any(r.n_passages for i, r in got.items() if i not in pasted)
+    for i, t in rows:
+        spans = [tuple(map(int, x.split(":"))) for x in got[i].passage_spans.split(",") if x]
+        kept = t.encode()
+        for s, e in reversed(spans):
+            assert len(kept[s:e].split()) >= 20 and kept[s:e].decode().lower() in rows[i - 1][1].lower()
+            kept = kept[:s] + kept[e:]
+        assert got[i].n_removed == 0 and got[i].kept_text == kept.decode()
+
+
+def test_passages_and_lines_go_together(spark):
+    rng = random.Random(13)
+    own = lambda n: " ".join(f"Ü{rng.randint(0, 10**9)}" for _ in range(n))
+    line, passage = own(40), own(60)
+    rows = [(1, f"{line}\n{own(30)} {passage}"), (2, f"{own(25)}\n{line}\n{own(90)} {passage} {own(90)}"), (2, "a b"), (3, f"{own(30)}\n{line}"), (None, line), (4, None), (5, "")]
+    got = {(r.doc_id, r.n_lines): r for r in M.dedup_paragraphs(docs(spark, rows), passage_words=20).collect()}
+    assert len(got) == len(rows)
+    two = got[2, 3]
+    assert two.removed_lines == [1] and two.n_passages >= 1 and two.kept_text.startswith(rows[1][1].split("\n")[0])
+    assert two.kept_text.count("\n") == 1 and len(two.kept_text.split()) < 25 + 180 + 25
+    assert got[None, 1].kept_text == "" and got[3, 2].removed_lines == [1] and got[1, 2].kept_text == rows[0][1] and got[2, 1].kept_text == "a b"
+
+
+def test_pieces_do_not_see_their_neighbours(monkeypatch):
+    rng = random.Random(14)
+    texts = [" ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.choice([0, 1, 3, 7, 40, 300]))) + rng.choice(["", "\n", "  "]) for _ in range(40)]
+    data = [t.encode() for t in texts]
+    offs = np.cumsum([0, *map(len, data)])
+    together = list(zip(*(x.tolist() for x in M.pieces(np.frombuffer(b"".join(data), np.uint8), offs)), strict=True))
+    alone = [(k, i, *rest) for i, d in enumerate(data) for k, _, *rest in zip(*(x.tolist() for x in M.pieces(np.frombuffer(d, np.uint8), np.array([0, len(d)]))), strict=True)]
+    assert together == alone
+    for i, d in enumerate(data):
+        mine = [x for x in together if x[1] == i]
+        assert sum(x[3] for x in mine) == len(d.split()) and b" ".join(b" ".join(d[x[4]:x[5]].split()) for x in mine) == b" ".join(d.split())
+
+
 def test_a_template_many_paragraphs_share(spark):
     rng = random.Random(8)
     common = [f"c{i}" for i in range(36)]
