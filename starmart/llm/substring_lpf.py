@@ -33,8 +33,8 @@ from starmart.operators.joins import maybe_broadcast
 LENGTH = 100  # fixed value of the contract
 GRAM = 32
 HOT = 4096
-BLOCK_BYTES = 1 << 20
-SHARD_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+SHARD_BYTES = 1 << 18
 NO_ID = (1 << 63) - 1  # null doc_ids come last
 
 _RUN_DDL = "g long, content long, id long, th long, at long"

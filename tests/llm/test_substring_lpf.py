@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starmart.llm import substring_lpf as L
@@ -117,3 +119,18 @@ def test_many_rows_without_an_id(spark):
     got = sorted((r.n_bytes, r.n_removed, r.n_spans) for r in L.remove_repeats(docs(spark, rows)).collect())
     want = sorted((n, gone, runs) for _, _, n, gone, runs, *_ in brute(rows, 100))
     assert got == want and sum(g for _, g, _ in got) > 0
+
+
+def test_memory_of_a_task():
+    rng = np.random.default_rng(4)
+    text = rng.integers(97, 123, 3_000_000, np.uint8).tobytes()
+    batches = pa.table({"id": range(100), "th": range(100), "text": [text[i * 30_000:(i + 1) * 30_000].decode() for i in range(100)]}).to_batches(max_chunksize=50)
+    pieces = [text[i * 200:(i + 1) * 200] for i in range(15_000)]
+    shards = pa.table({"g": range(15_000), "id": range(15_000), "th": range(15_000), "start": [0] * 15_000, "content": pa.array(pieces, pa.binary())}).to_batches(max_chunksize=1000)
+    for run, rows, most in ((L._run_rows(100, 32), batches, 65), (L._shard_factors(100), shards, 65)):
+        tracemalloc.start()
+        for _ in run(iter(rows)):
+            pass
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert peak < most, peak
