@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 DEFAULT_MAX_ROWS = 2_000_000
+#: Bytes that a broadcast of (hash, surrogate key) holds for a row: two numbers and their place in a half-empty table.
+HASHED_ROW = 96
 
 
 def _width(dt: T.DataType) -> int:
@@ -48,6 +50,17 @@ def maybe_broadcast(df: DataFrame, rows: int | None, size_bytes: int | None = No
     return F.broadcast(df) if can_broadcast(df, rows, size_bytes) else df
 
 
+def broadcast_or_merge(df: DataFrame, rows: int | None, size_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its checked size allows, else a sort-merge join; unchanged where the rows are not known.
+
+    Spark's own estimate goes by the bytes of compressed files and by the columns taken of them: a written dimension of
+    millions of rows would look small to it and be sent through the driver.
+    """
+    if rows is None:
+        return df
+    return F.broadcast(df) if can_broadcast(df, rows, size_bytes) else df.hint("merge")
+
+
 def lookup_key(
     df: DataFrame,
     dim: DataFrame,
@@ -64,7 +77,7 @@ def lookup_key(
     delimited text key, so values containing the delimiter cannot collide.
     """
     d = dim.select(sk, *[F.col(k).alias(f"__k_{k}") for k in on])
-    d = maybe_broadcast(d, dim_rows, dim_bytes)
+    d = broadcast_or_merge(d, dim_rows, dim_bytes)
     cond = None
     for k in on:
         c = df[k].eqNullSafe(d[f"__k_{k}"]) if null_safe else (df[k] == d[f"__k_{k}"])
@@ -87,24 +100,26 @@ def lookup_known_keys(df: DataFrame, lookups: list[tuple[DataFrame, list[str], s
     """Attach several surrogate keys to rows whose natural keys all are in their dimensions (those were built from them).
 
     ``lookups``: (dimension, natural key, surrogate key, rows, bytes).  Broadcast lookups go first, they pipeline into
-    the scan; shuffle joins last and largest last.  For these a text key of several columns is matched by its 64-bit
-    hash, so that the rows cross the network without it: a known key's hash leads to its row if no two rows of the
-    dimension share a hash, which is tested; else the columns themselves are joined.
+    the scan; shuffle joins last and largest last.  A key of several columns is matched by its 64-bit hash, so that
+    neither a broadcast nor the rows crossing the network hold it: a known key's hash leads to its row if no two rows
+    of the dimension share a hash, which is tested; else the columns themselves are joined.
     """
-    lookups = sorted(lookups, key=lambda t: (not can_broadcast(t[0], t[3], t[4]), t[3]))
     hashed = {}
-    for dim, on, sk, rows, size in lookups:
-        if len(on) > 1 and not can_broadcast(dim, rows, size):
+    for dim, on, sk, _, _ in lookups:
+        if len(on) > 1:
             by_hash = dim.select(F.col(sk).alias(f"__of_{sk}"), _key_hash([F.col(k) for k in on], null_safe).alias(f"__hash_of_{sk}")).filter(F.col(f"__hash_of_{sk}").isNotNull())
             if by_hash.groupBy(f"__hash_of_{sk}").count().filter("count > 1").isEmpty():
                 hashed[sk] = by_hash
+    # what a broadcast would hold: the dimension's measured bytes, or its hashes
+    held = {sk: HASHED_ROW * rows if sk in hashed and rows is not None else size for _, _, sk, rows, size in lookups}
+    lookups = sorted(lookups, key=lambda t: (not can_broadcast(t[0], t[3], held[t[2]]), t[3]))
     out = df.select("*", *[_key_hash([F.col(k) for k in on], null_safe).alias(f"__hash_{sk}") for _, on, sk, _, _ in lookups if sk in hashed])
-    for dim, on, sk, rows, size in lookups:
+    for dim, on, sk, rows, _ in lookups:
         if sk in hashed:
-            out = out.join(hashed[sk], F.col(f"__hash_{sk}") == F.col(f"__hash_of_{sk}"), "left")
+            out = out.join(broadcast_or_merge(hashed[sk], rows, held[sk]), F.col(f"__hash_{sk}") == F.col(f"__hash_of_{sk}"), "left")
             out = out.withColumnRenamed(f"__of_{sk}", sk).drop(f"__hash_{sk}", f"__hash_of_{sk}")
         else:
-            out = lookup_key(out, dim, on, sk, rows, null_safe, dim_bytes=size)
+            out = lookup_key(out, dim, on, sk, rows, null_safe, dim_bytes=held[sk])
     return out
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import calendar as cal
-from starmart.operators.joins import can_broadcast, lookup_known_keys, maybe_broadcast
+from starmart.operators.joins import broadcast_or_merge, can_broadcast, lookup_known_keys
 from starmart.operators.keys import Keyed, assign_dense_keys, build_dimension, measured
 from starmart.schemas import (
     FACT_EXTRA_SQL,
@@ -83,10 +83,10 @@ class Star:
         return can_broadcast(self.table(name), self.rows.get(name), self.sizes.get(name))
 
     def dim(self, name: str, *cols: str) -> DataFrame:
-        """Projection of a dimension (key first), broadcast-hinted when its checked size allows."""
+        """Projection of a dimension (key first), broadcast when its checked size allows, else joined by sort and merge."""
         sk = DIMENSIONS[name]
         d = self.table(name).select(sk, *[c for c in cols if c != sk])
-        return maybe_broadcast(d, self.rows.get(name), self.sizes.get(name))
+        return broadcast_or_merge(d, self.rows.get(name), self.sizes.get(name))
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, folders: list[str] | None = None,

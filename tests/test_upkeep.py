@@ -316,3 +316,40 @@ def test_distinct_rows_compares_only_rows_whose_hash_repeats(spark, most):
         assert distinct_rows(df.limit(0)).count() == 0
     finally:
         spark.conf.unset("starmart.broadcast.maxRows")
+
+
+@pytest.fixture
+def written_dimension(spark, tmp_path):
+    """A written dimension whose files Spark takes for small, while the checked size forbids a broadcast."""
+    dim = spark.range(1, 200).select(F.col("id").alias("sk"), F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit("x").alias("l"))
+    dim.write.parquet(f"{tmp_path}/dim")
+    spark.conf.set("starmart.broadcast.maxRows", "100")
+    yield spark.read.parquet(f"{tmp_path}/dim")
+    spark.conf.unset("starmart.broadcast.maxRows")
+
+
+def test_large_written_dimensions_are_not_broadcast_by_file_size(spark, written_dimension):
+    from starmart.operators import joins
+    from starmart.plans.star import Star
+
+    dim = written_dimension
+    rows_ = dim.select("k", "l")
+    assert "BroadcastHashJoin" in plan_of(rows_.join(dim.select("sk", F.col("k").alias("j")), F.col("k") == F.col("j")))  # by Spark's estimate
+    for on in (["k"], ["k", "l"]):
+        got = joins.lookup_known_keys(rows_, [(dim, on, "sk", 199, None)])
+        assert "BroadcastHashJoin" not in plan_of(got) and rows(got.select("k", "sk")) == rows(dim.select("k", "sk"))
+    star = Star(None, None, None, dim.withColumnRenamed("sk", "id_infrator_sk"), None, rows={"dim_infrator": 199})
+    assert "BroadcastHashJoin" not in plan_of(dim.select(F.col("sk").alias("id_infrator_sk")).join(star.dim("dim_infrator", "k"), "id_infrator_sk"))
+
+
+def test_broadcast_lookups_hold_a_hash_in_place_of_text_keys(spark):
+    from starmart.operators import joins
+
+    dim = spark.createDataFrame([("a", "x", 1), ("a", None, 2), (None, "a", 3), (None, None, 4)], "k string, l string, sk long")
+    df = dim.drop("sk")
+    for null_safe in (True, False):
+        got = joins.lookup_known_keys(df, [(dim, ["k", "l"], "sk", 4, 400)], null_safe)
+        plan = plan_of(got)
+        sent = plan[plan.index("BroadcastExchange") :]
+        assert "HashedRelationBroadcastMode(List(input[1, bigint" in sent, plan
+        assert rows(got) == rows(joins.lookup_key(df, dim, ["k", "l"], "sk", 4, null_safe))
