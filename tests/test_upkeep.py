@@ -353,3 +353,14 @@ def test_broadcast_lookups_hold_a_hash_in_place_of_text_keys(spark):
         sent = plan[plan.index("BroadcastExchange") :]
         assert "HashedRelationBroadcastMode(List(input[1, bigint" in sent, plan
         assert rows(got) == rows(joins.lookup_key(df, dim, ["k", "l"], "sk", 4, null_safe))
+
+
+def test_known_keys_of_a_large_dimension_are_not_broadcast(spark, written_dimension, monkeypatch):
+    import pyspark.sql.readwriter as W
+
+    plans, parquet = [], W.DataFrameWriter.parquet
+    monkeypatch.setattr(W.DataFrameWriter, "parquet", lambda self, path, *a, **k: plans.append(plan_of(self._df)) or parquet(self, path, *a, **k))
+    more = spark.createDataFrame([("k1", "x"), ("new", None), ("new", None), (None, "x")], "k string, l string")
+    new = extend_keys(written_dimension, more, ["k", "l"], "sk")
+    assert rows(new.df) == [(200, "new", None), (201, None, "x")] and new.rows == 2
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0], plans
