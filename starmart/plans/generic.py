@@ -24,6 +24,7 @@ from starmart.functions.rounding import mean_of_cents, to_cents
 from starmart.functions.text import null_default
 from starmart.operators import profile as prof
 from starmart.operators import quality as qa
+from starmart.operators.distinct import distinct_written
 from starmart.operators.joins import anti_join, maybe_broadcast, semi_join
 from starmart.operators.keys import assign_dense_keys, build_dimension, measured
 from starmart.operators.metrics import change_vs_previous, pivot_change, rank_by, share_of_total, stack_base, top_k
@@ -532,7 +533,7 @@ def sink_raw_table(spark, sf):
             append_table(raw, path=base)
         spark.sql(f"DROP TABLE {name}")
 
-    return spark.read.schema(raw.schema).parquet(_written(spark, sf, "sink_raw_table", write)).distinct()
+    return distinct_written(spark, _written(spark, sf, "sink_raw_table", write), raw.schema)
 
 
 def sql_over_views(star) -> DataFrame:

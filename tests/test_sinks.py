@@ -1,5 +1,6 @@
 """Sinks: partitioned write, idempotent partition overwrite, append + distinct, raw table DDL; scratch folders."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from starmart.schemas import RAW_COLUMNS
@@ -57,3 +58,26 @@ def test_scratch_folders_can_be_dropped(spark, tmp_path):
         spark.read.parquet(path)
     with pytest.raises(ValueError):
         drop_work(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("most", ["0", "1000"])
+def test_distinct_of_a_written_table_moves_digests_only(spark, tmp_path, most):
+    from starmart.operators.distinct import distinct_written
+
+    texts = [("a", None), (None, "a"), (None, None), (None, None), ("a", "b"), ("a", "b"), ("", None), (None, ""), ("-", "1:a"), ("1:", "a"), ("1:a", ""), ("ab", ""), ("", "ab")]
+    df = spark.createDataFrame(texts, "x string, y string")
+    many = spark.range(70_000).select((F.col("id") % 40_000).cast("string").alias("x"), F.lit("w" * 200).alias("y"))
+    for part in (df, df, many.repartition(3), many.coalesce(1)):
+        part.write.mode("append").parquet(f"{tmp_path}/t")
+    spark.conf.set("starmart.broadcast.maxRows", most)
+    try:
+        got = distinct_written(spark, f"{tmp_path}/t", df.schema)
+        key = lambda r: repr(tuple(r))
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, df.union(many).distinct().collect()), key=key)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning" in plan) == (most == "0"), plan
+        assert distinct_written(spark, f"{tmp_path}/t", df.limit(0).schema).count() == 40_011
+        df.limit(0).write.parquet(f"{tmp_path}/none")
+        assert distinct_written(spark, f"{tmp_path}/none", df.schema).count() == 0
+    finally:
+        spark.conf.unset("starmart.broadcast.maxRows")
