@@ -364,3 +364,21 @@ def test_known_keys_of_a_large_dimension_are_not_broadcast(spark, written_dimens
     new = extend_keys(written_dimension, more, ["k", "l"], "sk")
     assert rows(new.df) == [(200, "new", None), (201, None, "x")] and new.rows == 2
     assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0], plans
+
+
+def test_reconcile_pairs_repeated_keys_without_an_aggregate(spark):
+    def some(n, seed):
+        x = spark.range(n).select(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(40)).alias("h"), F.pmod(F.xxhash64("id", F.lit(-seed)), F.lit(4)).alias("v"))
+        return x.select(F.when(F.col("h") > 2, F.col("h").cast("string")).alias("k"), F.when(F.col("v") > 0, F.col("v")).alias("v"), F.lit("t").alias("t"))
+
+    a, b = some(70, 1), some(90, 2)
+    out = reconcile(a, b, ["k"], ["v", "t"])
+    assert "Aggregate" not in plan_of(out), plan_of(out)
+    want = {}
+    for side, df in enumerate((a, b)):
+        for k, v, _ in sorted((tuple(r) for r in df.collect()), key=lambda r: (r[1] is None, r[1] or 0)):
+            want.setdefault(k, ([], []))[side].append(v)
+    at = lambda found, i: found[i] if i < len(found) else "none"
+    pairs = [(k, i + 1, at(x, i), at(y, i)) for k, (x, y) in want.items() for i in range(max(len(x), len(y)))]
+    got = [(r["k"], r["place"], *("none" if r[s] is None else r[s]["v"] for s in ("left", "right"))) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(pairs, key=repr) and None in want
